@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.operators import dims, marts, staging
+from ridemart.operators import anomaly, bi, dims, marts, quality, series, staging
+from ridemart.operators.sampling import sample_rows
 from ridemart.settings import Settings, fixture_settings
 from ridemart.sources import fixtures
 
@@ -53,6 +54,17 @@ class Inputs:
     def daily(self, ordered: bool = True) -> DataFrame:
         return marts.mart_daily_volume(self.fact(), self.dim_date(), self.settings, ordered)
 
+    def series(self) -> DataFrame:
+        return series.hourly_series(self.clean(), self.settings)
+
+    def rule_input(self) -> DataFrame:
+        return anomaly.scoring_input(self.fact(), self.settings)
+
+
+HEATMAP_FLEET = "yellow"
+TOP_ZONES = 12
+SAMPLE_ROWS = 1_000
+
 
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +84,24 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_hourly_volume": lambda i: i.hourly(),
         "mart_daily_volume": lambda i: i.daily(),
         "mart_route_flows": lambda i: marts.mart_route_flows(i.fact(), i.dim_zone()),
+        "heatmap_grid": lambda i: marts.heatmap_grid(i.hourly(False), HEATMAP_FLEET),
+        "daily_trend": lambda i: marts.daily_trend(i.daily(False)),
+        "top_zones": lambda i: marts.top_zones(i.zone_demand(False), TOP_ZONES),
+        "zone_map_points": lambda i: marts.zone_map_points(i.zone_demand(False)),
+        "quality_metrics": lambda i: quality.quality_metrics(i.clean()),
+        "duplicate_groups": lambda i: quality.duplicate_groups(i.clean()),
+        "contract_failures": lambda i: quality.contract_failures(i.clean(), i.settings),
+        "sampled_trips": lambda i: sample_rows(i.clean(), SAMPLE_ROWS, seed=7),
+        "hourly_series": lambda i: i.series(),
+        "design_matrix": lambda i: series.design_matrix(i.series()),
+        "seasonal_naive": lambda i: series.seasonal_naive(i.series(), i.settings),
+        "naive_metrics": lambda i: series.naive_metrics(i.series(), i.settings),
+        "naive_backtest": lambda i: series.naive_backtest(i.series(), i.settings),
+        "anomaly_rules": lambda i: anomaly.with_rules(i.rule_input()),
+        "anomaly_rule_summary": lambda i: anomaly.rule_summary(i.rule_input()),
+        "kpis": lambda i: bi.kpis(i.fact()),
+        "week_over_week": lambda i: bi.week_over_week(i.fact(), i.dim_date(), i.settings),
+        "distance_bands": lambda i: bi.distance_bands(i.fact()),
+        "net_flow": lambda i: bi.net_flow(i.fact(), i.dim_zone()),
     }
     return {k: _q(v) for k, v in q.items()}

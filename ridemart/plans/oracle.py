@@ -152,6 +152,81 @@ ORDER BY trips DESC, f.fleet, f.pickup_location_id, f.dropoff_location_id
 LIMIT 500"""
 
 
+def rn(x: str, digits: int) -> str:
+    return f"floor(({x}) * {10 ** digits} + 0.5) / {10 ** digits}"
+
+
+DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "long": "BIGINT", "double": "DOUBLE",
+              "timestamp_ntz": "TIMESTAMP"}
+
+
+def contract_sql(s: Settings) -> str:
+    from ridemart.operators.quality import contract_rules
+    parts = []
+    for r in contract_rules(s):
+        v = r.column
+        t = DUCK_TYPES[r.dtype]
+        parts.append(f"SELECT '{v}' AS column_name, 'coerce({r.dtype})' AS check_name, "
+                     f"count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS failures FROM clean")
+        if not r.nullable:
+            parts.append(f"SELECT '{v}', 'not_nullable', count_if({v} IS NULL) FROM clean")
+        if r.check is not None:
+            pred = r.sql.format(v=f"TRY_CAST({v} AS {t})")
+            parts.append(f"SELECT '{v}', '{r.check}', "
+                         f"count_if(TRY_CAST({v} AS {t}) IS NOT NULL AND NOT ({pred})) FROM clean")
+    return "\nUNION ALL ".join(parts)
+
+
+def series_ctes(s: Settings) -> str:
+    w, fc = s.window, s.forecast
+    fleets = ", ".join(f"'{f}'" for f in fc.fleets)
+    test = fc.test_days * 24
+    return f"""
+counts AS (SELECT fleet, date_trunc('hour', pickup_datetime) AS ds, count(*) AS n FROM clean
+           WHERE fleet IN ({fleets}) AND pickup_datetime >= TIMESTAMP '{w.start}'
+             AND pickup_datetime < TIMESTAMP '{w.end}'
+           GROUP BY ALL),
+bounds AS (SELECT fleet, min(ds) AS lo, max(ds) AS hi FROM counts GROUP BY fleet),
+spine AS (SELECT fleet, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ds FROM bounds),
+series AS (SELECT s.fleet, s.ds, CAST(coalesce(c.n, 0) AS DOUBLE) AS y
+           FROM spine s LEFT JOIN counts c USING (fleet, ds)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY fleet ORDER BY ds) - 1 AS t,
+               count(*) OVER (PARTITION BY fleet) AS n,
+               lag(y, 168) OVER (PARTITION BY fleet ORDER BY ds) AS yhat
+        FROM series),
+elig AS (SELECT * FROM pos WHERE n >= {test} + 336),
+naive AS (SELECT fleet, ds, y AS y_actual, yhat FROM elig WHERE t >= n - {test}),
+folds AS (SELECT fleet, fold, n - ({fc.folds} - fold) * {fc.horizon} AS cut
+          FROM (SELECT DISTINCT fleet, n FROM elig) x, range(0, {fc.folds}) r(fold)
+          WHERE n - ({fc.folds} - fold) * {fc.horizon} > 336)"""
+
+
+def metrics_sql(y: str = "y_actual", yhat: str = "yhat") -> str:
+    err = f"({yhat} - {y})"
+    return (f"avg(abs({err})) AS MAE, sqrt(avg({err} * {err})) AS RMSE, "
+            f"avg(CASE WHEN {y} > 0 THEN abs({err} / {y}) END) * 100 AS MAPE, "
+            f"avg(2 * abs({err}) / (abs({y}) + abs({yhat}) + 1e-9)) * 100 AS sMAPE")
+
+
+def fourier_sql(v: str, period: int, k: int, name: str) -> str:
+    cols = []
+    for i in range(1, k + 1):
+        arg = f"2 * pi() * {i} * {v} / {period}"
+        cols += [f"{rn(f'sin({arg})', 6)} AS {name}_sin{i}", f"{rn(f'cos({arg})', 6)} AS {name}_cos{i}"]
+    return ", ".join(cols)
+
+
+RULES_SQL = {
+    "zero_distance": "trip_distance <= 0",
+    "zero_fare": "fare_amount <= 0",
+    "implausible_speed": "avg_speed_mph > 80.0",
+    "fare_distance_mismatch": "fare_amount > 60.0 AND trip_distance < 1.0",
+    "tip_exceeds_fare": "tip_amount > fare_amount * 1.5",
+}
+FEATURES_SQL = "trip_distance, fare_amount, tip_amount, total_amount, trip_duration_min, avg_speed_mph"
+FEATURES_NOT_NULL = " AND ".join(f"{c.strip()} IS NOT NULL" for c in FEATURES_SQL.split(","))
+
+
 def oracle_queries() -> dict[str, str]:
     s = fixture_settings()
     q: dict[str, str] = {}
@@ -171,5 +246,102 @@ SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS trip_id, * FROM fact""")
                                         HOURLY_VOLUME)
     q["mart_daily_volume"] = with_base("SELECT * FROM daily ORDER BY fleet, date", DAILY_VOLUME)
     q["mart_route_flows"] = with_base(ROUTE_FLOWS)
-    del s
+
+    hours = ", ".join(f"coalesce(max(CASE WHEN hour = {h} THEN avg_rides_per_day END), 0.0) AS h{h:02d}"
+                      for h in range(24))
+    q["heatmap_grid"] = with_base(f"SELECT weekday, weekday_name, {hours} FROM hourly "
+                                  f"WHERE fleet = 'yellow' GROUP BY weekday, weekday_name ORDER BY weekday",
+                                  HOURLY_VOLUME)
+    q["daily_trend"] = with_base("SELECT fleet, date, rides FROM daily ORDER BY date, fleet", DAILY_VOLUME)
+    zd = f"zd AS ({ZONE_DEMAND})"
+    q["top_zones"] = with_base("SELECT zone, pickups FROM zd ORDER BY pickups DESC, location_id LIMIT 12", zd)
+    q["zone_map_points"] = with_base("SELECT zone, borough, lat, lng, pickups, avg_fare FROM zd", zd)
+
+    nulls = ", ".join(
+        f"CASE WHEN count(*) > 0 THEN {r4(f'count_if({c} IS NULL) / count(*)')} ELSE 0.0 END AS null_rate_{c}"
+        for c in ["passenger_count", "pickup_location_id", "dropoff_location_id", "trip_distance",
+                  "fare_amount", "tip_amount", "total_amount", "trip_duration_min", "avg_speed_mph"])
+    ranges = ", ".join(
+        f"CAST(min({c}) AS DOUBLE) AS min_{c}, CAST(max({c}) AS DOUBLE) AS max_{c}"
+        for c in ["trip_distance", "fare_amount", "tip_amount", "total_amount",
+                  "trip_duration_min", "avg_speed_mph"])
+    dup_key = "fleet, pickup_datetime, pickup_location_id, dropoff_location_id, fare_amount"
+    q["quality_metrics"] = with_base(f"""
+SELECT count(*) AS row_count, min(pickup_date) AS date_min, max(pickup_date) AS date_max, {nulls}, {ranges},
+       (SELECT count(*) FROM (SELECT {dup_key} FROM clean GROUP BY ALL HAVING count(*) > 1)) AS duplicate_groups
+FROM clean""")
+    q["duplicate_groups"] = with_base(
+        f"SELECT {dup_key}, count(*) AS n FROM clean GROUP BY ALL HAVING count(*) > 1")
+    q["contract_failures"] = with_base(contract_sql(s))
+
+    sc = series_ctes(s)
+    q["hourly_series"] = with_base("SELECT fleet, ds, y FROM series", sc)
+    q["design_matrix"] = with_base(f"""
+SELECT fleet, ds, y, CAST(hour(ds) AS BIGINT) AS hour, CAST(isodow(ds) - 1 AS BIGINT) AS dow,
+       CAST(isodow(ds) >= 6 AS BIGINT) AS is_weekend,
+       CAST(date_diff('hour', min(ds) OVER (PARTITION BY fleet), ds) AS DOUBLE) AS trend,
+       {fourier_sql('hour(ds)', 24, 4, 'd')},
+       {fourier_sql('((isodow(ds) - 1) * 24 + hour(ds))', 168, 6, 'w')},
+       lag(y, 168) OVER (PARTITION BY fleet ORDER BY ds) AS lag_168,
+       lag(y, 336) OVER (PARTITION BY fleet ORDER BY ds) AS lag_336
+FROM series""", sc)
+    q["seasonal_naive"] = with_base("SELECT * FROM naive", sc)
+    q["naive_metrics"] = with_base(
+        f"SELECT fleet, 'seasonal_naive' AS model, {metrics_sql()} FROM naive GROUP BY fleet", sc)
+    q["naive_backtest"] = with_base(f"""
+SELECT fleet, 'seasonal_naive' AS model, avg(MAE) AS MAE, avg(RMSE) AS RMSE, avg(MAPE) AS MAPE,
+       avg(sMAPE) AS sMAPE
+FROM (SELECT p.fleet, f.fold, {metrics_sql('y', 'yhat')}
+      FROM elig p JOIN folds f ON p.fleet = f.fleet AND p.t >= f.cut AND p.t < f.cut + {s.forecast.horizon}
+      GROUP BY p.fleet, f.fold) per_fold
+GROUP BY fleet""", sc)
+
+    reasons = ", ".join(f"CASE WHEN coalesce({p}, false) THEN '{n}' END" for n, p in RULES_SQL.items())
+    q["anomaly_rules"] = with_base(f"""
+SELECT fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, concat_ws(',', {reasons}) AS rules
+FROM fact WHERE {FEATURES_NOT_NULL}""")
+    q["anomaly_rule_summary"] = with_base("\nUNION ALL ".join(
+        f"SELECT '{n}' AS rule, count_if(coalesce({p}, false)) AS count FROM fact WHERE {FEATURES_NOT_NULL}"
+        for n, p in RULES_SQL.items()))
+
+    q["kpis"] = with_base("""
+SELECT count(*) AS total_trips, sum(total_amount) AS total_revenue,
+       sum(tip_amount) / NULLIF(sum(fare_amount), 0) AS tip_rate,
+       avg(CAST(is_rush_hour AS INTEGER)) AS rush_hour_share
+FROM fact""")
+    fleets = ", ".join(f"'{f}'" for f in s.ingest.fleets)
+    q["week_over_week"] = with_base(f"""
+SELECT fleet, date, rides, rides_7d,
+       lag(rides_7d, 7) OVER (PARTITION BY fleet ORDER BY date) AS rides_prev_7d,
+       CAST(rides_7d AS DOUBLE) / NULLIF(lag(rides_7d, 7) OVER (PARTITION BY fleet ORDER BY date), 0) - 1
+         AS wow_change
+FROM (SELECT fleet, date, rides,
+             CAST(sum(rides) OVER (PARTITION BY fleet ORDER BY date
+                                   ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS rides_7d
+      FROM (SELECT sp.fleet, sp.date, coalesce(dn.n, 0) AS rides
+            FROM (SELECT unnest([{fleets}]) AS fleet, date_key, date FROM dim_date) sp
+            LEFT JOIN (SELECT fleet, date_key, count(*) AS n FROM fact GROUP BY ALL) dn
+              USING (fleet, date_key)) s) w""")
+    q["distance_bands"] = with_base("""
+SELECT distance_band, band_min_miles, count(*) AS trips, count(*) / sum(count(*)) OVER () AS share
+FROM (SELECT CASE WHEN trip_distance < 1 THEN '<1' WHEN trip_distance < 3 THEN '1-3'
+                  WHEN trip_distance < 5 THEN '3-5' WHEN trip_distance < 10 THEN '5-10'
+                  WHEN trip_distance >= 10 THEN '10+' END AS distance_band,
+             CASE WHEN trip_distance < 1 THEN 0.0 WHEN trip_distance < 3 THEN 1.0
+                  WHEN trip_distance < 5 THEN 3.0 WHEN trip_distance < 10 THEN 5.0
+                  WHEN trip_distance >= 10 THEN 10.0 END::DOUBLE AS band_min_miles
+      FROM fact) b
+GROUP BY ALL""")
+    q["net_flow"] = with_base(f"""
+SELECT coalesce(z.location_id, f.location_id) AS location_id, z.zone, z.borough,
+       coalesce(f.pickups, 0) AS pickups, coalesce(f.dropoffs, 0) AS dropoffs,
+       coalesce(f.pickups, 0) - coalesce(f.dropoffs, 0) AS net_flow,
+       {r2('f.fare')} AS avg_dropoff_fare
+FROM dim_zone z FULL JOIN (
+  SELECT location_id, CAST(sum(p) AS BIGINT) AS pickups, CAST(sum(d) AS BIGINT) AS dropoffs,
+         avg(fare) AS fare
+  FROM (SELECT pickup_location_id AS location_id, 1 AS p, 0 AS d, CAST(NULL AS DOUBLE) AS fare FROM fact
+        UNION ALL
+        SELECT dropoff_location_id, 0, 1, fare_amount FROM fact) r
+  GROUP BY location_id) f ON z.location_id = f.location_id""")
     return q
