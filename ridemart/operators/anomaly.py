@@ -88,3 +88,35 @@ def anomaly_summary(flagged: DataFrame, fact_rows: Column | int | None = None) -
         out = out.withColumn("fact_rows", total.cast("long")).withColumn(
             "anomaly_rate_of_fact", F.try_divide(F.col("anomalies"), F.col("fact_rows")))
     return out
+
+
+def detect(fact: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    """N1-N14 end to end over the fact (with ``trip_id``).
+
+    Returns ``scored`` (every input row with score, flags and reasons;
+    persisted, as four outputs read it), ``mart`` (N13), ``summary`` (A19,
+    B5) and ``rules`` (N14).  Only the node table, one threshold and the
+    feature means reach the driver.
+    """
+    from ridemart.operators import iforest
+
+    a = settings.anomaly
+    feats = list(ANOMALY_FEATURES)
+    base = scoring_input(fact, settings)
+    z, zcols = iforest.standardize(base, feats)
+    keys = ["trip_id"] if "trip_id" in base.columns else None
+    nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys)
+    scored = iforest.score(z, zcols, nodes).drop(*zcols)
+    scored = with_rules(scored).persist()
+    n = scored.count()
+    thr = iforest.contamination_threshold(scored, a.contamination, exact_max_rows=a.exact_quantile_max_rows,
+                                          rows=n)
+    flagged = flag(scored, F.lit(thr if thr is not None else float("inf")))
+    total = fact.count() if a.sample_rows else n
+    return {
+        "scored": flagged,
+        "mart": anomaly_mart(flagged, settings),
+        "summary": anomaly_summary(flagged, total),
+        "rules": rule_summary(flagged),
+        "threshold": thr,
+    }

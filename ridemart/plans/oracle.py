@@ -208,6 +208,12 @@ def metrics_sql(y: str = "y_actual", yhat: str = "yhat") -> str:
             f"avg(2 * abs({err}) / (abs({y}) + abs({yhat}) + 1e-9)) * 100 AS sMAPE")
 
 
+def fold_mean(m: str) -> str:
+    """Mean over folds, summed in fold order (as ``series.ordered_mean``)."""
+    return (f"list_reduce(list({m} ORDER BY fold) FILTER (WHERE {m} IS NOT NULL), "
+            f"lambda a, b: a + b) / count({m}) AS {m}")
+
+
 def fourier_sql(v: str, period: int, k: int, name: str) -> str:
     cols = []
     for i in range(1, k + 1):
@@ -289,8 +295,7 @@ FROM series""", sc)
     q["naive_metrics"] = with_base(
         f"SELECT fleet, 'seasonal_naive' AS model, {metrics_sql()} FROM naive GROUP BY fleet", sc)
     q["naive_backtest"] = with_base(f"""
-SELECT fleet, 'seasonal_naive' AS model, avg(MAE) AS MAE, avg(RMSE) AS RMSE, avg(MAPE) AS MAPE,
-       avg(sMAPE) AS sMAPE
+SELECT fleet, 'seasonal_naive' AS model, {', '.join(fold_mean(m) for m in ('MAE', 'RMSE', 'MAPE', 'sMAPE'))}
 FROM (SELECT p.fleet, f.fold, {metrics_sql('y', 'yhat')}
       FROM elig p JOIN folds f ON p.fleet = f.fleet AND p.t >= f.cut AND p.t < f.cut + {s.forecast.horizon}
       GROUP BY p.fleet, f.fold) per_fold
