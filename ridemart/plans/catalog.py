@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridemart.operators import anomaly, bi, dims, marts, quality, series, staging
+from ridemart.operators import anomaly, bi, dims, forecast, marts, quality, series, staging
 from ridemart.operators.sampling import sample_rows
 from ridemart.settings import Settings, fixture_settings
 from ridemart.sources import fixtures
@@ -60,6 +60,24 @@ class Inputs:
     def rule_input(self) -> DataFrame:
         return anomaly.scoring_input(self.fact(), self.settings)
 
+    def forecast(self) -> dict[str, DataFrame]:
+        """Forecast tables, fitted once per (session, input, settings) in this process."""
+        key = ("forecast", id(self.spark), self.sf_dir, self.settings)
+        if key not in _FITTED:
+            _FITTED[key] = forecast.forecast(self.series(), self.settings)
+        return _FITTED[key]
+
+    def anomalies(self) -> dict[str, DataFrame]:
+        """Anomaly tables, forest grown once per (session, input, settings) in this process."""
+        key = ("anomaly", id(self.spark), self.sf_dir, self.settings)
+        if key not in _FITTED:
+            _FITTED[key] = anomaly.detect(self.fact_with_ids(), self.settings)
+        return _FITTED[key]
+
+
+# Fitted models are reused by the several outputs that read them.
+_FITTED: dict[tuple, dict] = {}
+
 
 HEATMAP_FLEET = "yellow"
 TOP_ZONES = 12
@@ -103,5 +121,14 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "week_over_week": lambda i: bi.week_over_week(i.fact(), i.dim_date(), i.settings),
         "distance_bands": lambda i: bi.distance_bands(i.fact()),
         "net_flow": lambda i: bi.net_flow(i.fact(), i.dim_zone()),
+        "mart_forecast": lambda i: i.forecast()["mart_forecast"],
+        "mart_forecast_metrics": lambda i: i.forecast()["mart_forecast_metrics"],
+        "mart_forecast_backtest": lambda i: i.forecast()["mart_forecast_backtest"],
+        "best_model": lambda i: forecast.best_model(i.forecast()["mart_forecast_metrics"]),
+        "forecast_error": lambda i: bi.forecast_error(i.forecast()["mart_forecast"]),
+        "forecast_band": lambda i: marts.forecast_band(i.forecast()["mart_forecast"], HEATMAP_FLEET),
+        "mart_trip_anomalies": lambda i: i.anomalies()["mart"],
+        "anomaly_summary": lambda i: i.anomalies()["summary"],
+        "anomaly_scatter": lambda i: bi.anomaly_scatter(i.anomalies()["mart"]),
     }
     return {k: _q(v) for k, v in q.items()}

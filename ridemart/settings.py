@@ -42,6 +42,7 @@ class ForecastSettings:
     step_size: float = 0.06
     seed: int = 7
     parallel_fits: int = 4   # concurrent model fits from the driver
+    fit_partitions: int = 8  # partitions of the cached design matrix
 
 
 @dataclass(frozen=True)
