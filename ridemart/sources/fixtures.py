@@ -76,3 +76,40 @@ def borough_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40.0) + F.col("r_regionkey")).alias("lat"),
         (F.lit(-74.0) - F.col("r_regionkey")).alias("lng"),
     )
+
+
+def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str, month: str = "2024-01") -> list[str]:
+    """Land the fixture trips as raw fleet-month files with fleet-prefixed columns.
+
+    Used by tests of the file path (S1-S3): the same trips as
+    ``raw_trips`` but shaped like the published trip files (``tpep_``/
+    ``lpep_`` timestamps, ``PULocationID``/``DOLocationID`` and payment type
+    as BIGINT).
+    """
+    from ridemart.constants import FLEET_PREFIX
+    from ridemart.sources.landing import raw_file_name
+
+    raw = raw_trips(spark, sf_dir)
+    written = []
+    for fleet, prefix in FLEET_PREFIX.items():
+        out = raw.where(F.col("fleet") == fleet).select(
+            F.col("pickup_datetime").alias(f"{prefix}_pickup_datetime"),
+            F.col("dropoff_datetime").alias(f"{prefix}_dropoff_datetime"),
+            "passenger_count", "trip_distance",
+            F.col("pickup_location_id").cast("long").alias("PULocationID"),
+            F.col("dropoff_location_id").cast("long").alias("DOLocationID"),
+            F.col("payment_type").cast("long").alias("payment_type"),
+            "fare_amount", "tip_amount", "total_amount")
+        path = f"{landing_dir.rstrip('/')}/{raw_file_name(fleet, month)}"
+        out.write.mode("overwrite").parquet(path)
+        written.append(path)
+    return written
+
+
+def write_zone_lookup_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The fixture zone lookup as a CSV with the published header."""
+    zone_lookup(spark, sf_dir).select(
+        F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
+        F.col("zone").alias("Zone"), "service_zone",
+    ).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return path

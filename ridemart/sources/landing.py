@@ -35,7 +35,8 @@ def _list_files(spark: SparkSession, landing_dir: str) -> set[str]:
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return set()
-    return {st.getPath().getName() for st in fs.listStatus(path) if st.isFile()}
+    # A landed file may be a single parquet file or a directory of part files.
+    return {st.getPath().getName() for st in fs.listStatus(path)}
 
 
 def discover_landing(spark: SparkSession, landing_dir: str, settings: Settings) -> list[dict]:
