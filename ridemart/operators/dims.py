@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ridemart.constants import BOROUGH_CENTROID, CITY_CENTROID, FLEET_ROWS
 from ridemart.functions import (date_key, day_name, day_part, is_rush_hour, is_weekend_day,
                                 month_name, monday_weekday, week_start)
-from ridemart.operators.joins import bounded
+from ridemart.operators.joins import bounded, mark_bounded
 from ridemart.session import ensure_checkpoint_dir
 from ridemart.settings import Settings
 
@@ -40,7 +40,7 @@ def dim_date(spark: SparkSession, settings: Settings) -> DataFrame:
             F.lit(w.start).cast("date"), F.date_sub(F.lit(w.end).cast("date"), 1),
             F.expr("INTERVAL 1 DAY"))).alias("date"))
     d = F.col("date")
-    return spine.select(
+    return mark_bounded(spine.select(
         date_key(d).alias("date_key"),
         d,
         F.year(d).cast("long").alias("year"),
@@ -51,24 +51,25 @@ def dim_date(spark: SparkSession, settings: Settings) -> DataFrame:
         day_name(d).alias("weekday_name"),
         is_weekend_day(d).alias("is_weekend"),
         week_start(d).alias("week_start"),
-    )
+    ), window_days(settings))
 
 
 def dim_fleet(spark: SparkSession) -> DataFrame:
     """Fixed fleet rows."""
-    return spark.createDataFrame(FLEET_ROWS, "fleet string, fleet_name string, color string")
+    return mark_bounded(spark.createDataFrame(FLEET_ROWS, "fleet string, fleet_name string, color string"),
+                        len(FLEET_ROWS))
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
     """D3: 24 hours with day part and rush flag (S10 + X14 + X15)."""
     h = F.col("id")
-    return spark.range(0, 24).select(
-        h.alias("hour"), day_part(h).alias("day_part"), is_rush_hour(h).alias("is_rush_hour"))
+    return mark_bounded(spark.range(0, 24).select(
+        h.alias("hour"), day_part(h).alias("day_part"), is_rush_hour(h).alias("is_rush_hour")), 24)
 
 
 def default_borough_centroids(spark: SparkSession) -> DataFrame:
     rows = [(b, lat, lng) for b, (lat, lng) in BOROUGH_CENTROID.items()]
-    return spark.createDataFrame(rows, "borough string, lat double, lng double")
+    return mark_bounded(spark.createDataFrame(rows, "borough string, lat double, lng double"), len(rows))
 
 
 def dim_zone(lookup: DataFrame, centroids: DataFrame | None = None,
@@ -87,17 +88,20 @@ def dim_zone(lookup: DataFrame, centroids: DataFrame | None = None,
         c = centroids.select(F.col("location_id").cast("int").alias("location_id"),
                              F.col("lat").cast("double").alias("c_lat"),
                              F.col("lng").cast("double").alias("c_lng"))
-        z = z.join(bounded(c), "location_id", "left")
+        z = z.join(c, "location_id", "left")
     else:
         z = z.withColumns({"c_lat": F.lit(None).cast("double"), "c_lng": F.lit(None).cast("double")})
     b = borough_centroids if borough_centroids is not None else default_borough_centroids(spark)
-    b = b.select("borough", F.col("lat").alias("b_lat"), F.col("lng").alias("b_lng"))
-    z = z.join(bounded(b), "borough", "left")
-    return z.select(
+    bb = b.select("borough", F.col("lat").alias("b_lat"), F.col("lng").alias("b_lng"))
+    known = getattr(b, "_ridemart_max_rows", None)
+    z = z.join(F.broadcast(bb) if known is not None else bb, "borough", "left")
+    out = z.select(
         "location_id", "zone", "borough", "service_zone",
         F.coalesce("c_lat", "b_lat", F.lit(CITY_CENTROID[0])).alias("lat"),
         F.coalesce("c_lng", "b_lng", F.lit(CITY_CENTROID[1])).alias("lng"),
     )
+    n = getattr(lookup, "_ridemart_max_rows", None)
+    return mark_bounded(out, n) if n is not None else out
 
 
 def read_zone_lookup_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ridemart.functions import round2
 from ridemart.operators.dims import window_days
@@ -20,6 +21,10 @@ def _date_dim(dim_date: DataFrame, settings: Settings | None) -> DataFrame:
     return bounded(dim_date, known_max_rows=window_days(settings) if settings else None)
 
 
+def _zones(dim_zone: DataFrame) -> DataFrame:
+    return bounded(dim_zone).select("location_id", "zone", "borough", "lat", "lng")
+
+
 def mart_zone_demand(fact: DataFrame, dim_zone: DataFrame, ordered: bool = True) -> DataFrame:
     """M1: pickups and economics per pickup zone."""
     agg = fact.groupBy(F.col("pickup_location_id").alias("location_id")).agg(
@@ -29,8 +34,7 @@ def mart_zone_demand(fact: DataFrame, dim_zone: DataFrame, ordered: bool = True)
         F.avg("trip_distance").alias("_dist"),
         F.avg("trip_duration_min").alias("_dur"),
     )
-    z = bounded(dim_zone.select("location_id", "zone", "borough", "lat", "lng"))
-    out = agg.join(z, "location_id").select(
+    out = agg.join(_zones(dim_zone), "location_id").select(
         "location_id", "zone", "borough", "lat", "lng", "pickups",
         round2("_rev").alias("total_revenue"), round2("_fare").alias("avg_fare"),
         round2("_dist").alias("avg_distance"), round2("_dur").alias("avg_duration_min"),
@@ -43,16 +47,19 @@ def mart_hourly_volume(fact: DataFrame, dim_date: DataFrame, settings: Settings
     """M2: average rides per day by fleet, weekday and hour.
 
     ``n_days`` counts dates that have at least one ride for the fleet and
-    weekday (K10).  Both aggregates come from one per-(fleet, day, hour)
-    count, so the fact is scanned and shuffled once.
+    weekday (K10).  The fact is scanned and shuffled once, into one row per
+    (fleet, day, hour); ``n_days`` is a window over that small frame
+    (at most window-days x 24 rows per fleet and weekday), and the final
+    aggregate reuses the window's partitioning.
     """
     per_hour = fact.groupBy("fleet", "date_key", "pickup_hour").agg(F.count(F.lit(1)).alias("n"))
-    d = _date_dim(dim_date.select("date_key", "date", "weekday", "weekday_name"), settings)
+    d = _date_dim(dim_date, settings).select("date_key", "weekday", "weekday_name")
     base = per_hour.join(d, "date_key")
-    days = base.groupBy("fleet", "weekday").agg(F.countDistinct("date").alias("n_days"))
+    by_day = Window.partitionBy("fleet", "weekday")
+    base = base.withColumn("n_days", F.size(F.collect_set("date_key").over(by_day)).cast("long"))
     counts = base.groupBy("fleet", "weekday", "weekday_name", F.col("pickup_hour").alias("hour")) \
-                 .agg(F.sum("n").alias("rides"))
-    out = counts.join(days, ["fleet", "weekday"]).select(
+                 .agg(F.sum("n").alias("rides"), F.first("n_days").alias("n_days"))
+    out = counts.select(
         "fleet", "weekday", "weekday_name", "hour", "rides", "n_days",
         round2(F.col("rides").cast("double") / F.col("n_days")).alias("avg_rides_per_day"),
     )
@@ -68,7 +75,7 @@ def mart_daily_volume(fact: DataFrame, dim_date: DataFrame, settings: Settings |
         F.avg("fare_amount").alias("_fare"),
         F.avg("trip_distance").alias("_dist"),
     )
-    d = _date_dim(dim_date.select("date_key", "date", "weekday_name", "is_weekend"), settings)
+    d = _date_dim(dim_date, settings).select("date_key", "date", "weekday_name", "is_weekend")
     out = agg.join(d, "date_key").select(
         "fleet", "date", "weekday_name", "is_weekend", "rides",
         round2("_rev").alias("revenue"), round2("_fare").alias("avg_fare"),
@@ -92,7 +99,7 @@ def mart_route_flows(fact: DataFrame, dim_zone: DataFrame, limit: int = ROUTE_LI
            .groupBy("fleet", "pickup_location_id", "dropoff_location_id")
            .agg(F.count(F.lit(1)).alias("trips"),
                 F.avg("fare_amount").alias("_fare"), F.avg("trip_distance").alias("_dist")))
-    z = bounded(dim_zone.select("location_id", "zone", "borough", "lat", "lng"))
+    z = _zones(dim_zone)
     pz = z.select(F.col("location_id").alias("pickup_location_id"),
                   F.col("zone").alias("pickup_zone"), F.col("borough").alias("pickup_borough"),
                   F.col("lat").alias("pickup_lat"), F.col("lng").alias("pickup_lng"))
