@@ -81,10 +81,12 @@ def week_start(d: str | Column) -> Column:
 def hour_start(ts: str | Column) -> Column:
     """``date_trunc('hour')`` kept zone-less.
 
-    Spark's ``date_trunc`` returns TIMESTAMP even for TIMESTAMP_NTZ input; the
-    session zone is UTC, so the cast back is exact.
+    Built as midnight of the day plus the hour, all on TIMESTAMP_NTZ, so no
+    session-zone conversion is involved (``date_trunc`` would return a zoned
+    TIMESTAMP).
     """
-    return F.date_trunc("hour", col_of(ts)).cast("timestamp_ntz")
+    t = col_of(ts)
+    return F.timestamp_add("HOUR", F.hour(t), F.to_date(t).cast("timestamp_ntz"))
 
 
 def date_key(d: str | Column) -> Column:

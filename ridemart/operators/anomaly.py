@@ -71,9 +71,11 @@ def flag(scored: DataFrame, threshold: Column | float) -> DataFrame:
 
 
 def anomaly_mart(flagged: DataFrame, settings: Settings) -> DataFrame:
-    """The top flagged trips by score (ties by trip id)."""
-    order = [F.desc("anomaly_score")] + ([F.col("trip_id")] if "trip_id" in flagged.columns else [])
-    return flagged.where("is_anomaly").orderBy(*order).limit(settings.anomaly.mart_rows)
+    """The top flagged trips by score (ties by trip id), see ``top_k``."""
+    from ridemart.operators.sampling import top_k
+
+    tie = ["trip_id"] if "trip_id" in flagged.columns else []
+    return top_k(flagged.where("is_anomaly"), settings.anomaly.mart_rows, "anomaly_score", tie)
 
 
 def anomaly_summary(flagged: DataFrame, fact_rows: Column | int | None = None) -> DataFrame:

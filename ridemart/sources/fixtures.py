@@ -27,9 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_trips_from_events(events: DataFrame) -> DataFrame:
-    """Normalised raw trips (the columns a raw-file scan produces), one scan."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    e = events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+    """Normalised raw trips (the columns a raw-file scan produces), one scan.
+
+    ``k`` is the top-level ``$.k`` of ``props``.  ``json_tuple`` parses the
+    document once per row in a generator; a scalar expression would be
+    inlined by predicate pushdown into every cleaning predicate that uses
+    the dropoff time and parsed again for each.
+    """
+    e = (events.select("event_id", "ts", "user_id", "event_type", "value",
+                       F.json_tuple("props", "k").alias("k_text"))
+         .withColumn("k", F.col("k_text").cast("int")))
     amount = F.floor(F.col("value") * 4).cast("double") / 4
     return e.select(
         F.when(F.col("event_type").isin(*YELLOW_EVENT_TYPES), "yellow").otherwise("green").alias("fleet"),

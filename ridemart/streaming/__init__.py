@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline being reproduced is batch only: a fixed list of monthly files,
+stages run once in order, no watermark, event-time window, late-data rule or
+stateful operator.  Nothing here is needed to run any of its queries; the
+package exists so that the layout is uniform.
+"""

@@ -86,3 +86,12 @@ def test_detect_end_to_end(inputs001):
     outliers = out["scored"].where("iso_outlier").count()
     assert 5 <= outliers <= 9  # about 1 % of 672
     out["scored"].unpersist()
+
+
+def test_top_k_is_exact(spark):
+    from ridemart.operators.sampling import top_k
+
+    df = spark.range(20000).select("id", ((F.col("id") * 7919) % 1000).cast("double").alias("s"))
+    want = [tuple(r) for r in df.orderBy(F.desc("s"), "id").limit(50).collect()]
+    got = [tuple(r) for r in top_k(df.repartition(13), 50, "s", ["id"]).collect()]
+    assert got == want
