@@ -80,6 +80,7 @@ def net_flow(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
     flows = (fact.select(F.inline(roles)).groupBy("location_id")
              .agg(F.sum("p").alias("pickups"), F.sum("d").alias("dropoffs"),
                   F.avg("fare").alias("_fare")))
+    # Full outer joins cannot broadcast; both sides are one row per zone.
     z = dim_zone.select("location_id", "zone", "borough")
     out = z.join(flows, "location_id", "full")
     return out.select(

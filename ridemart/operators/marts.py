@@ -22,7 +22,8 @@ def _date_dim(dim_date: DataFrame, settings: Settings | None) -> DataFrame:
 
 
 def _zones(dim_zone: DataFrame) -> DataFrame:
-    return bounded(dim_zone).select("location_id", "zone", "borough", "lat", "lng")
+    """The zone dimension for a broadcast join, after a capped size check."""
+    return bounded(dim_zone, check=True).select("location_id", "zone", "borough", "lat", "lng")
 
 
 def mart_zone_demand(fact: DataFrame, dim_zone: DataFrame, ordered: bool = True) -> DataFrame:
@@ -99,19 +100,19 @@ def mart_route_flows(fact: DataFrame, dim_zone: DataFrame, limit: int = ROUTE_LI
            .groupBy("fleet", "pickup_location_id", "dropoff_location_id")
            .agg(F.count(F.lit(1)).alias("trips"),
                 F.avg("fare_amount").alias("_fare"), F.avg("trip_distance").alias("_dist")))
+    # One zone frame in both roles: the two broadcasts are the same exchange,
+    # built once and reused.
     z = _zones(dim_zone)
-    pz = z.select(F.col("location_id").alias("pickup_location_id"),
-                  F.col("zone").alias("pickup_zone"), F.col("borough").alias("pickup_borough"),
-                  F.col("lat").alias("pickup_lat"), F.col("lng").alias("pickup_lng"))
-    dz = z.select(F.col("location_id").alias("dropoff_location_id"),
-                  F.col("zone").alias("dropoff_zone"), F.col("borough").alias("dropoff_borough"),
-                  F.col("lat").alias("dropoff_lat"), F.col("lng").alias("dropoff_lng"))
-    out = (agg.where(F.col("trips") >= min_trips)
-           .join(pz, "pickup_location_id").join(dz, "dropoff_location_id")
-           .select("fleet", "pickup_location_id", "dropoff_location_id", "pickup_zone",
-                   "dropoff_zone", "pickup_borough", "dropoff_borough", "pickup_lat",
-                   "pickup_lng", "dropoff_lat", "dropoff_lng", "trips",
-                   round2("_fare").alias("avg_fare"), round2("_dist").alias("avg_distance")))
+    pz, dz = z.alias("pz"), z.alias("dz")
+    out = (agg.where(F.col("trips") >= min_trips).alias("a")
+           .join(pz, F.col("a.pickup_location_id") == F.col("pz.location_id"))
+           .join(dz, F.col("a.dropoff_location_id") == F.col("dz.location_id"))
+           .select("a.fleet", "a.pickup_location_id", "a.dropoff_location_id",
+                   F.col("pz.zone").alias("pickup_zone"), F.col("dz.zone").alias("dropoff_zone"),
+                   F.col("pz.borough").alias("pickup_borough"), F.col("dz.borough").alias("dropoff_borough"),
+                   F.col("pz.lat").alias("pickup_lat"), F.col("pz.lng").alias("pickup_lng"),
+                   F.col("dz.lat").alias("dropoff_lat"), F.col("dz.lng").alias("dropoff_lng"),
+                   "a.trips", round2("a._fare").alias("avg_fare"), round2("a._dist").alias("avg_distance")))
     return out.orderBy(F.desc("trips"), "fleet", "pickup_location_id",
                        "dropoff_location_id").limit(limit)
 

@@ -22,9 +22,12 @@ METRICS = ["MAE", "RMSE", "MAPE", "sMAPE"]
 def hourly_series(staged: DataFrame, settings: Settings) -> DataFrame:
     """``(fleet, ds, y)`` hourly ride counts, gap-filled with 0.
 
-    F10 (fleet + window filter) and A7 (count by hour), then a per-fleet
-    spine from the first to the last hour with rides (K16) left-joined to
-    the counts (J7).  Fleets without rides produce no rows.
+    F10 (fleet + window filter) and A7 (count by hour, map-side combined),
+    then gap filling from the first to the last hour with rides (K16, J7)
+    without a spine join: each hour with rides emits itself and the empty
+    hours up to the fleet's next hour with rides (``lead`` over at most
+    window-hours rows per fleet).  One scan, one shuffle of hourly counts.
+    Fleets without rides produce no rows.
     """
     w = settings.window
     ts = F.col("pickup_datetime")
@@ -33,10 +36,12 @@ def hourly_series(staged: DataFrame, settings: Settings) -> DataFrame:
                            & (ts < F.lit(w.end).cast("timestamp_ntz")))
               .groupBy("fleet", hour_start(ts).alias("ds"))
               .agg(F.count(F.lit(1)).alias("n")))
-    spine = (counts.groupBy("fleet").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
-             .select("fleet", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("ds")))
-    return (spine.join(counts, ["fleet", "ds"], "left")
-            .select("fleet", "ds", F.coalesce("n", F.lit(0)).cast("double").alias("y")))
+    nxt = F.lead("ds").over(Window.partitionBy("fleet").orderBy("ds"))
+    last = F.coalesce(F.timestamp_add("HOUR", F.lit(-1), nxt), F.col("ds"))
+    spans = counts.withColumn("last", last).select("fleet", "n", F.posexplode(
+        F.sequence("ds", "last", F.expr("INTERVAL 1 HOUR"))).alias("pos", "hour_ds"))
+    return spans.select("fleet", F.col("hour_ds").alias("ds"),
+                        F.when(F.col("pos") == 0, F.col("n")).otherwise(F.lit(0)).cast("double").alias("y"))
 
 
 def _by_fleet() -> Window:

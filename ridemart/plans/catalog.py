@@ -41,9 +41,11 @@ class Inputs:
         return dims.fact_trip(self.clean(), self.settings)
 
     def dim_zone(self) -> DataFrame:
-        s, d = self.spark, self.sf_dir
-        return dims.dim_zone(fixtures.zone_lookup(s, d), fixtures.zone_centroids(s, d),
-                             fixtures.borough_centroids(s, d))
+        if not hasattr(self, "_dim_zone"):
+            s, d = self.spark, self.sf_dir
+            self._dim_zone = dims.dim_zone(fixtures.zone_lookup(s, d), fixtures.zone_centroids(s, d),
+                                           fixtures.borough_centroids(s, d))
+        return self._dim_zone
 
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark, self.settings)
