@@ -105,12 +105,12 @@ def detect(fact: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     a = settings.anomaly
     feats = list(ANOMALY_FEATURES)
     base = scoring_input(fact, settings)
-    z, zcols = iforest.standardize(base, feats)
+    z, zcols, rows = iforest.standardize(base, feats)
     keys = ["trip_id"] if "trip_id" in base.columns else None
-    nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys)
+    nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys, rows)
     scored = iforest.score(z, zcols, nodes).drop(*zcols)
     scored = with_rules(scored).persist()
-    n = scored.count()
+    n = rows
     thr = iforest.contamination_threshold(scored, a.contamination, exact_max_rows=a.exact_quantile_max_rows,
                                           rows=n)
     flagged = flag(scored, F.lit(thr if thr is not None else float("inf")))

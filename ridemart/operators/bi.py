@@ -15,8 +15,6 @@ from pyspark.sql.window import Window
 
 from ridemart.constants import DISTANCE_BANDS
 from ridemart.functions import distance_band, round2, safe_divide
-
-
 from ridemart.settings import Settings
 
 

@@ -124,6 +124,22 @@ def fact_rows(staged: DataFrame) -> DataFrame:
     )
 
 
+# Rows per range partition when numbering the fact (about 0.5 GB of fact rows).
+ROWS_PER_ID_PARTITION = 4_000_000
+
+
+def id_partitions(df: DataFrame, requested: int | None = None) -> int:
+    """Partitions for the id sort: as requested, else sized from the row count.
+
+    The count reads parquet footers only when ``df`` is a projection of a
+    table; the result is at least ``spark.sql.shuffle.partitions``.
+    """
+    if requested:
+        return int(requested)
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-df.count() // ROWS_PER_ID_PARTITION))
+
+
 def with_dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
                    partitions: int | None = None) -> DataFrame:
     """Dense 1..n ids in the total order of ``order_cols`` (NULLS FIRST).
@@ -138,7 +154,7 @@ def with_dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = id_partitions(df, partitions)
     keys = [F.col(c).asc_nulls_first() for c in order_cols]
     local = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
              .withColumn("_pid", F.spark_partition_id())

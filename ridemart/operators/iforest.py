@@ -97,9 +97,14 @@ def _tree_builder(features: list[str], max_samples: int, seed: int):
     return build
 
 
-def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
-    """Z-scores with population std (std 0 leaves values centred only)."""
-    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
+def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str], int]:
+    """Z-scores with population std (std 0 leaves values centred only).
+
+    Returns the frame with z columns, their names and the row count (taken
+    in the same pass as the means).
+    """
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
     zcols = [f"_z_{c}" for c in features]
     exprs = {}
@@ -107,15 +112,16 @@ def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str
         m = stats[f"m{i}"] or 0.0
         s = stats[f"s{i}"] or 0.0
         exprs[zcols[i]] = (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0)
-    return df.withColumns(exprs), zcols
+    return df.withColumns(exprs), zcols, int(stats["n"])
 
 
 def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples: int = 256,
-               seed: int = 7, key_cols: list[str] | None = None) -> pd.DataFrame:
+               seed: int = 7, key_cols: list[str] | None = None, rows: int | None = None) -> pd.DataFrame:
     """Grow ``trees`` isolation trees; returns the (bounded) node table."""
     pool_size = trees * max_samples
     keys = key_cols or features
-    pool = sample_rows(df.select(*dict.fromkeys(keys + features)), pool_size, seed, keys).cache()
+    pool = sample_rows(df.select(*dict.fromkeys(keys + features)), pool_size, seed, keys,
+                       total=rows).cache()
     n_pool = pool.count()
     if n_pool == 0:
         raise ValueError("no rows to fit the isolation forest on")

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridemart.constants import LOCATION_ID_RANGE
 from ridemart.functions import count_when, round4
@@ -145,7 +144,3 @@ def contract_report(failures: DataFrame) -> dict:
     """Small driver-side summary: pass/fail and the failing checks."""
     errors = [r.asDict() for r in contract_errors(failures).orderBy("check_name").collect()]
     return {"passed": not errors, "errors": errors}
-
-
-SCHEMA_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
-                "double": T.DoubleType(), "timestamp_ntz": T.TimestampNTZType()}

@@ -10,7 +10,7 @@ _MIN = -(2 ** 63)
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None = None,
-                oversample: float = 1.5) -> DataFrame:
+                oversample: float = 1.5, total: int | None = None) -> DataFrame:
     """Exactly ``min(n, count)`` rows: those with the smallest seeded hash.
 
     The hash ``xxhash64(keys, seed)`` is uniform over the 64-bit range, so
@@ -20,11 +20,12 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
     task sees about 1.5n rows whatever the table size.  If the threshold
     kept fewer than n rows (or the table is small) it is raised until it
     keeps n or all rows, so the result is exact.  The same seed picks the
-    same rows.  ``key_cols`` defaults to all columns.
+    same rows.  ``key_cols`` defaults to all columns; ``total`` is the row
+    count when the caller already has it.
     """
     keys = [F.col(c) for c in (key_cols or df.columns)]
     hashed = df.withColumn("_h", F.xxhash64(*keys, F.lit(seed)))
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= n:
         return df
     frac = min(1.0, oversample * n / total)

@@ -76,6 +76,19 @@ def test_forest_is_deterministic(spark, forest_input):
                                   b.sort_values(key).reset_index(drop=True))
 
 
+def test_mart_cap_and_uncapped_summary(inputs001):
+    s = fixture_settings().replace(anomaly={"mart_rows": 10, "trees": 20})
+    out = anomaly.detect(inputs001.fact_with_ids(), s)
+    mart = out["mart"].collect()
+    summ = out["summary"].first()
+    assert len(mart) == 10 and summ.anomalies > 10  # K22
+    scores = [r.anomaly_score for r in mart]
+    assert scores == sorted(scores, reverse=True)
+    top = out["scored"].where("is_anomaly").orderBy(F.desc("anomaly_score"), "trip_id").limit(10)
+    assert [r.trip_id for r in mart] == [r.trip_id for r in top.collect()]
+    out["scored"].unpersist()
+
+
 def test_detect_end_to_end(inputs001):
     out = anomaly.detect(inputs001.fact_with_ids(), fixture_settings())
     summ = out["summary"].first()

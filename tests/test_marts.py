@@ -78,3 +78,14 @@ def test_route_tie_break_is_stable(spark, seed):
     a = [tuple(r) for r in marts.mart_route_flows(fact, z, limit=1).collect()]
     b = [tuple(r) for r in marts.mart_route_flows(fact.repartition(5), z, limit=1).collect()]
     assert a == b
+
+
+def test_n_days_counts_only_days_with_rides(spark):
+    # Two Mondays in the window, rides on one of them only.
+    dim_date = spark.createDataFrame(
+        [(20220103, dt.date(2022, 1, 3), 0, "Monday", False), (20220110, dt.date(2022, 1, 10), 0, "Monday", False)],
+        "date_key int, date date, weekday long, weekday_name string, is_weekend boolean")
+    fact = spark.createDataFrame([("yellow", 20220103, 8)] * 3 + [("yellow", 20220103, 9)],
+                                 "fleet string, date_key int, pickup_hour long")
+    rows = {r.hour: (r.rides, r.n_days, r.avg_rides_per_day) for r in marts.mart_hourly_volume(fact, dim_date).collect()}
+    assert rows == {8: (3, 1, 3.0), 9: (1, 1, 1.0)}

@@ -75,3 +75,17 @@ def test_hourly_series_gap_fill(spark):
     assert [(r.fleet, r.ds.hour, r.y) for r in out] == [
         ("green", 5, 1.0), ("yellow", 0, 2.0), ("yellow", 1, 0.0), ("yellow", 2, 0.0), ("yellow", 3, 1.0)]
     assert series.hourly_series(df.where("false"), fixture_settings()).count() == 0
+
+
+def test_horizon_longer_than_a_season_is_refused(reference_series):
+    s = fixture_settings().replace(forecast={"test_days": 8})
+    with pytest.raises(ValueError):
+        series.seasonal_naive(reference_series, s)  # K17
+
+
+def test_fold_guard_skips_early_cuts(reference_series, spark):
+    # 520 hours: only folds whose cut is past two seasons (336 h) remain.
+    short = reference_series.where(F.col("ds") < F.lit("2022-01-22 16:00:00").cast("timestamp_ntz"))
+    s = fixture_settings().replace(forecast={"folds": 8})
+    folds = series.backtest_folds(series.with_position(short), s).orderBy("fold").collect()
+    assert [f.cut for f in folds] == [352, 376, 400, 424, 448, 472, 496]

@@ -99,3 +99,13 @@ def test_int_cast_rounds_half_even(spark):
                                                            "fare_amount", "tip_amount", "total_amount"]])
     r = landing.normalize_fleet(raw, "yellow").first()
     assert (r.pickup_location_id, r.dropoff_location_id) == (4, 2)
+
+
+def test_null_measure_drops_row(spark, settings):
+    raw = spark.createDataFrame(
+        [("yellow", 1, 2, 1.0, None, 5.0, 0.0, 6.0, 1), ("yellow", 1, 2, 1.0, 1.0, 5.0, 0.0, 6.0, 1)],
+        "fleet string, pickup_location_id int, dropoff_location_id int, passenger_count double, "
+        "trip_distance double, fare_amount double, tip_amount double, total_amount double, payment_type int")
+    raw = raw.withColumns({"pickup_datetime": F.lit("2024-01-02 10:00:00").cast("timestamp_ntz"),
+                           "dropoff_datetime": F.lit("2024-01-02 10:20:00").cast("timestamp_ntz")})
+    assert staging.clean_trips(raw, settings).count() == 1  # K2
