@@ -21,9 +21,6 @@ class Inputs:
     """Lazily built frames shared by the queries of one call."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings | None = None):
-        # Zone-less timestamps: durations and calendar parts are wall-clock
-        # values only under a UTC session zone.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
         self.settings = settings or fixture_settings()
 

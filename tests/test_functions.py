@@ -72,3 +72,13 @@ def test_fourier_terms_quantised(spark):
 def test_clip_lower(spark):
     df = spark.createDataFrame([(-2.0,), (3.0,), (None,)], "x double")
     assert [r[0] for r in df.select(X.clip_lower("x")).collect()] == [0.0, 3.0, None]
+
+
+def test_zone_free_under_dst_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 01:30:00' a, timestamp_ntz'2024-03-10 03:30:00' b")
+        r = df.select(X.minutes_between("a", "b").alias("m"), X.hour_start("b").alias("h")).first()
+        assert r.m == 120.0 and r.h == dt.datetime(2024, 3, 10, 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
