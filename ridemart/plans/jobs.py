@@ -208,3 +208,48 @@ def run_all(spark: SparkSession, settings: Settings, paths: Paths,
     return results
 
 
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """E2 as one ``spark-submit`` job.
+
+    ``spark-submit ridemart/plans/jobs.py --root <shared folder> [--stages stage,quality]
+    [--window-start 2022-01-01 --window-end 2022-03-01] [--months 2022-01,2022-02]``
+    """
+    import argparse
+    import json
+
+    from ridemart.session import get_spark
+
+    ap = argparse.ArgumentParser(prog="ridemart-jobs")
+    ap.add_argument("--root", required=True, help="shared folder holding landing/, reference/, staged/, ...")
+    ap.add_argument("--landing", help="raw file folder (default <root>/landing)")
+    ap.add_argument("--zone-lookup", help="zone lookup CSV (default <root>/reference/taxi_zone_lookup.csv)")
+    ap.add_argument("--zone-centroids", help="optional centroid parquet (location_id, lat, lng)")
+    ap.add_argument("--stages", help="comma-separated subset of " + ",".join(n for n, _ in STAGES))
+    ap.add_argument("--window-start")
+    ap.add_argument("--window-end")
+    ap.add_argument("--months", help="comma-separated yyyy-mm list")
+    ap.add_argument("--fleets", help="comma-separated fleet list")
+    a = ap.parse_args(argv)
+
+    settings = Settings()
+    window = {k: v for k, v in (("start", a.window_start), ("end", a.window_end)) if v}
+    ingest = {}
+    if a.months:
+        ingest["months"] = tuple(a.months.split(","))
+    if a.fleets:
+        ingest["fleets"] = tuple(a.fleets.split(","))
+    if window:
+        settings = settings.replace(window=window)
+    if ingest:
+        settings = settings.replace(ingest=ingest)
+    paths = Paths(a.root, a.landing, a.zone_lookup, a.zone_centroids)
+    spark = get_spark()
+    result = run_all(spark, settings, paths, a.stages.split(",") if a.stages else None)
+    print(json.dumps(result, default=str))
+    return result
+
+
+if __name__ == "__main__":
+    main()

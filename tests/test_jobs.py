@@ -39,3 +39,12 @@ def test_run_all(spark, scratch):
     assert os.path.isdir(paths.exports + "/dim_time.csv")
     landed = sinks.read_report(spark, paths.landing_manifest)
     assert sorted(f["fleet"] for f in landed["files"]) == ["green", "yellow"]
+
+
+def test_main_runs_selected_stages(spark, scratch):
+    root = scratch + "/cli"
+    fixtures.write_landing(spark, SF001, root + "/landing", "2024-01")
+    res = jobs.main(["--root", root, "--stages", "stage,quality", "--months", "2024-01",
+                     "--window-start", "2024-01-01", "--window-end", "2024-01-30"])
+    assert set(res) == {"stage", "quality"}
+    assert res["stage"]["rows_clean"] == 672 and res["quality"]["status"] == "pass"
