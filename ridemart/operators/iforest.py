@@ -21,9 +21,11 @@ Score s(x) = 2 ** (-E[h(x)] / c(max_samples)), in (0, 1], higher is odder.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,11 @@ from pyspark.sql import types as T
 from ridemart.constants import EULER_GAMMA
 from ridemart.operators.sampling import sample_rows
 
+# The tree builder and scorer run in Python workers.  Ship this module's
+# functions by value so workers need numpy and pandas, not this package on
+# their path (no --py-files needed).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, "
                "left_child int, right_child int, leaf_path double")
 
