@@ -167,13 +167,13 @@ def contract_sql(s: Settings) -> str:
         v = r.column
         t = DUCK_TYPES[r.dtype]
         parts.append(f"SELECT '{v}' AS column_name, 'coerce({r.dtype})' AS check_name, "
-                     f"count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS failures FROM clean")
+                     f"CAST(count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS BIGINT) AS failures FROM clean")
         if not r.nullable:
-            parts.append(f"SELECT '{v}', 'not_nullable', count_if({v} IS NULL) FROM clean")
+            parts.append(f"SELECT '{v}', 'not_nullable', CAST(count_if({v} IS NULL) AS BIGINT) FROM clean")
         if r.check is not None:
             pred = r.sql.format(v=f"TRY_CAST({v} AS {t})")
             parts.append(f"SELECT '{v}', '{r.check}', "
-                         f"count_if(TRY_CAST({v} AS {t}) IS NOT NULL AND NOT ({pred})) FROM clean")
+                         f"CAST(count_if(TRY_CAST({v} AS {t}) IS NOT NULL AND NOT ({pred})) AS BIGINT) FROM clean")
     return "\nUNION ALL ".join(parts)
 
 
@@ -238,8 +238,8 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_trips"] = with_base("SELECT * FROM clean")
     q["clean_summary"] = with_base(f"""
-SELECT count(*) AS rows_raw, count_if(coalesce(kept, false)) AS rows_clean,
-       count(*) - count_if(coalesce(kept, false)) AS rows_removed,
+SELECT count(*) AS rows_raw, CAST(count_if(coalesce(kept, false)) AS BIGINT) AS rows_clean,
+       CAST(count(*) - count_if(coalesce(kept, false)) AS BIGINT) AS rows_removed,
        CASE WHEN count(*) > 0
             THEN {r2('(count(*) - count_if(coalesce(kept, false))) / count(*) * 100')}
             ELSE 0.0 END AS removed_pct
@@ -306,7 +306,8 @@ GROUP BY fleet""", sc)
 SELECT fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, concat_ws(',', {reasons}) AS rules
 FROM fact WHERE {FEATURES_NOT_NULL}""")
     q["anomaly_rule_summary"] = with_base("\nUNION ALL ".join(
-        f"SELECT '{n}' AS rule, count_if(coalesce({p}, false)) AS count FROM fact WHERE {FEATURES_NOT_NULL}"
+        f"SELECT '{n}' AS rule, CAST(count_if(coalesce({p}, false)) AS BIGINT) AS count FROM fact "
+        f"WHERE {FEATURES_NOT_NULL}"
         for n, p in RULES_SQL.items()))
 
     q["kpis"] = with_base("""

@@ -40,9 +40,16 @@ def test_oracle_keys_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_query_equals_oracle(spark, con, key):
     sdf = entry.queries()[key](spark, SF001)
+    rel = con.sql(entry.oracle_sql()[key])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes} == otypes
     res = con.execute(entry.oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
