@@ -75,8 +75,10 @@ class Settings:
     anomaly: AnomalySettings = field(default_factory=AnomalySettings)
     quality: QualitySettings = field(default_factory=QualitySettings)
     export: ExportSettings = field(default_factory=ExportSettings)
-    # Partitions for the range sort that numbers fact rows; None uses
-    # spark.sql.shuffle.partitions.
+    # Fact id numbering: "sorted" (range sort on the fact columns, reproducible
+    # order) or "scan" (storage order, no shuffle).
+    fact_ids: str = "sorted"
+    # Partitions for the "sorted" numbering; None sizes them from the row count.
     id_partitions: int | None = None
 
     def replace(self, **sections) -> Settings:

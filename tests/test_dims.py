@@ -70,3 +70,27 @@ def test_dense_ids_split_a_hot_key(spark):
     rows = out.orderBy("rid").collect()
     assert [r.rid for r in rows] == list(range(1, 5001))
     assert [r.k for r in rows] == sorted(r.k for r in rows)
+
+
+def test_scan_ids_dense_and_stable(inputs001):
+    s = fixture_settings().replace(fact_ids="scan")
+    staged = inputs001.clean().repartition(5)
+    a = dims.fact_trip(staged, s)
+    ids = sorted(r.trip_id for r in a.select("trip_id").collect())
+    assert ids == list(range(1, len(ids) + 1))
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+def test_scan_ids_on_a_table_need_no_shuffle(spark, scratch):
+    spark.range(0, 3000).selectExpr("id % 7 AS k", "id AS v").write.parquet(scratch + "/t")
+    df = spark.read.parquet(scratch + "/t")
+    out = dims.with_scan_ids(df, "rid")
+    rows = out.collect()
+    assert sorted(r.rid for r in rows) == list(range(1, 3001))
+    again = {r.v: r.rid for r in dims.with_scan_ids(spark.read.parquet(scratch + "/t"), "rid").collect()}
+    assert {r.v: r.rid for r in rows} == again
+    # Only the per-partition counts (one partial row per partition) are shuffled.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchanges and all("_pid" in ln for ln in exchanges) and "rangepartitioning" not in plan
