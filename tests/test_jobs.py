@@ -20,6 +20,7 @@ def test_run_all(spark, scratch):
     paths = jobs.Paths(root)
     res = jobs.run_all(spark, settings, paths)
 
+    assert res["zones"]["zones"] == 25
     assert res["stage"]["rows_raw"] == 1000 and res["stage"]["rows_clean"] == 672
     assert res["quality"]["status"] == "pass"
     assert sinks.read_report(spark, paths.quality_report)["metrics"]["row_count"] == 672
