@@ -108,3 +108,22 @@ def test_top_k_is_exact(spark):
     want = [tuple(r) for r in df.orderBy(F.desc("s"), "id").limit(50).collect()]
     got = [tuple(r) for r in top_k(df.repartition(13), 50, "s", ["id"]).collect()]
     assert got == want
+
+
+def test_injected_extreme_trip_is_flagged(spark):
+    from ridemart.plans.catalog import Inputs
+    from conftest import SF01
+
+    i = Inputs(spark, SF01)
+    fact = i.fact_with_ids()
+    odd = fact.orderBy("trip_id").limit(1).select(
+        F.lit(10 ** 9).cast("long").alias("trip_id"), *[F.col(c) for c in fact.columns if c != "trip_id"])
+    # Beyond the sf0.01 maxima in tip, total and speed (579.75, 967.25 and 2,227.5).
+    odd = odd.withColumns({"trip_distance": F.lit(100.0), "fare_amount": F.lit(500.0), "tip_amount": F.lit(2000.0),
+                           "total_amount": F.lit(3000.0), "trip_duration_min": F.lit(1.0),
+                           "avg_speed_mph": F.lit(6000.0)})
+    out = anomaly.detect(fact.unionByName(odd), fixture_settings().replace(anomaly={"trees": 100}))
+    row = out["scored"].where("trip_id = 1000000000").first()
+    assert row.iso_outlier and row.is_anomaly
+    assert out["mart"].where("trip_id = 1000000000").count() == 1
+    out["scored"].unpersist()
