@@ -7,6 +7,7 @@ and no per-column scans are needed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,7 +66,7 @@ class ColumnRule:
     dtype: str            # Spark type the value must coerce to
     nullable: bool
     check: str | None     # check label, None when only type/NULL are checked
-    predicate: object = None  # Column -> Column, true when the value passes
+    predicate: Callable[[Column], Column] | None = None  # true when the value passes
     sql: str | None = None    # the same predicate as SQL text over ``{v}``
 
 
