@@ -161,15 +161,18 @@ def backtest_folds(positioned: DataFrame, settings: Settings) -> DataFrame:
 def naive_backtest(series: DataFrame, settings: Settings, season: int = WEEK_HOURS) -> DataFrame:
     """T9 (baseline part) + A17: per-fold naive scores averaged per fleet.
 
-    The fold frame has ``folds`` rows per fleet, so joining it to the
-    series multiplies only the hours inside a fold's test block.
+    The fold test blocks tile the last ``folds * horizon`` hours without
+    overlap, so each hour's fold follows from its position; no fold table is
+    joined.  Folds with ``cut <= 2 * season`` are skipped (K20).
     """
     fc = settings.forecast
     p = eligible(with_position(series), settings)
     p = p.withColumn("yhat", F.lag("y", season).over(_by_fleet()))
-    folds = backtest_folds(p, settings)
-    test = p.join(folds, "fleet").where(
-        (F.col("t") >= F.col("cut")) & (F.col("t") < F.col("cut") + fc.horizon))
+    start = F.col("n") - fc.folds * fc.horizon
+    fold = F.floor((F.col("t") - start) / fc.horizon).cast("int")
+    cut = F.col("n") - (F.lit(fc.folds) - F.col("fold")) * fc.horizon
+    test = (p.where(F.col("t") >= start).withColumn("fold", fold)
+            .where(cut > 2 * WEEK_HOURS))
     per_fold = score(test.withColumnRenamed("y", "y_actual"), ["fleet", "fold"])
     return (per_fold.groupBy("fleet").agg(*[ordered_mean(m, "fold").alias(m) for m in METRICS])
             .select("fleet", F.lit("seasonal_naive").alias("model"), *METRICS))
