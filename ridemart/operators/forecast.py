@@ -124,7 +124,7 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     backtest = (per_fold.groupBy("fleet", "model")
                 .agg(*[ordered_mean(m, "fold").alias(m) for m in METRICS]))
     return {"mart_forecast": mart_forecast, "mart_forecast_metrics": metrics,
-            "mart_forecast_backtest": backtest, "predictions": pred}
+            "mart_forecast_backtest": backtest, "predictions": pred, "model_frame": mf}
 
 
 def _by_fleet_window():

@@ -158,6 +158,7 @@ def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     out = forecast.forecast(s, settings)
     for name in FORECAST_TABLES:
         sinks.write_table(out[name], paths.table(name))
+    out["model_frame"].unpersist()
     fc = spark.read.parquet(paths.table("mart_forecast"))
     best = forecast.best_model(spark.read.parquet(paths.table("mart_forecast_metrics"))).collect()
     return {"forecasts": fc.count(), "best": {r["fleet"]: r["model"] for r in best}}
