@@ -105,10 +105,12 @@ def detect(fact: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     a = settings.anomaly
     feats = list(ANOMALY_FEATURES)
     base = scoring_input(fact, settings)
-    z, zcols, rows = iforest.standardize(base, feats)
+    center, scale, rows = iforest.feature_stats(base, feats)
+    z, zcols = iforest.with_z(base, feats, center, scale)
     keys = ["trip_id"] if "trip_id" in base.columns else None
     nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys, rows)
-    scored = iforest.score(z, zcols, nodes).drop(*zcols)
+    # Scoring standardises inside the Python task: only raw columns cross over.
+    scored = iforest.score(base, feats, nodes, center=center, scale=scale)
     scored = with_rules(scored).persist()
     n = rows
     thr = iforest.contamination_threshold(scored, a.contamination, exact_max_rows=a.exact_quantile_max_rows,

@@ -104,22 +104,29 @@ def _tree_builder(features: list[str], max_samples: int, seed: int):
     return build
 
 
-def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str], int]:
-    """Z-scores with population std (std 0 leaves values centred only).
-
-    Returns the frame with z columns, their names and the row count (taken
-    in the same pass as the means).
-    """
+def feature_stats(df: DataFrame, features: list[str]) -> tuple[list[float], list[float], int]:
+    """Per-feature mean and population std (0 -> 1), plus the row count, in one pass."""
     stats = df.agg(F.count(F.lit(1)).alias("n"),
                    *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    center = [float(stats[f"m{i}"] or 0.0) for i in range(len(features))]
+    scale = [float(stats[f"s{i}"] or 0.0) or 1.0 for i in range(len(features))]
+    return center, scale, int(stats["n"])
+
+
+def with_z(df: DataFrame, features: list[str], center: list[float],
+           scale: list[float]) -> tuple[DataFrame, list[str]]:
+    """Z-score columns ``_z_<feature>`` = (x - mean) / std."""
     zcols = [f"_z_{c}" for c in features]
-    exprs = {}
-    for i, c in enumerate(features):
-        m = stats[f"m{i}"] or 0.0
-        s = stats[f"s{i}"] or 0.0
-        exprs[zcols[i]] = (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0)
-    return df.withColumns(exprs), zcols, int(stats["n"])
+    return df.withColumns({z: (F.col(c) - F.lit(m)) / F.lit(sd)
+                           for z, c, m, sd in zip(zcols, features, center, scale)}), zcols
+
+
+def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str], int]:
+    """Z-scores with population std (std 0 leaves values centred only)."""
+    center, scale, n = feature_stats(df, features)
+    z, zcols = with_z(df, features, center, scale)
+    return z, zcols, n
 
 
 def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples: int = 256,
@@ -182,9 +189,18 @@ def path_lengths(x: np.ndarray, packed: dict) -> np.ndarray:
 
 
 def score(df: DataFrame, features: list[str], nodes: pd.DataFrame,
-          score_col: str = "anomaly_score") -> DataFrame:
-    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row."""
+          score_col: str = "anomaly_score", center: list[float] | None = None,
+          scale: list[float] | None = None) -> DataFrame:
+    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row.
+
+    With ``center``/``scale`` the raw ``features`` are standardised inside
+    the task (same arithmetic as ``with_z``), so no z columns cross the
+    JVM/Python boundary.
+    """
     packed = _pack(nodes)
+    if center is not None:
+        packed["center"] = np.asarray(center, dtype=float)
+        packed["scale"] = np.asarray(scale, dtype=float)
     c_psi = avg_path_length(nodes.attrs.get("max_samples", 256))
     bc = df.sparkSession.sparkContext.broadcast(packed)
     schema = T.StructType(df.schema.fields + [T.StructField(score_col, T.DoubleType())])
@@ -193,6 +209,8 @@ def score(df: DataFrame, features: list[str], nodes: pd.DataFrame,
         p = bc.value
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float)
+            if "center" in p:
+                x = (x - p["center"]) / p["scale"]
             eh = path_lengths(x, p) if len(x) else np.zeros(0)
             pdf[score_col] = np.power(2.0, -eh / c_psi) if c_psi > 0 else 1.0
             yield pdf
