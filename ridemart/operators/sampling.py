@@ -7,24 +7,43 @@ from pyspark.sql import functions as F
 
 _SPAN = 2 ** 64
 _MIN = -(2 ** 63)
+_PORTABLE_SPAN = 2 ** 60
+
+
+def portable_hash(cols: list, seed: int):
+    """A 60-bit hash that SQL engines reproduce exactly.
+
+    The first 15 hex digits of ``md5(seed|k1|k2|...)`` as BIGINT.  Keys must
+    have engine-independent string forms (integers, strings, booleans);
+    convert timestamps to epoch microseconds first.  NULL keys are skipped,
+    as ``concat_ws`` does.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None = None,
-                oversample: float = 1.5, total: int | None = None) -> DataFrame:
+                oversample: float = 1.5, total: int | None = None, portable: bool = False) -> DataFrame:
     """Exactly ``min(n, count)`` rows: those with the smallest seeded hash.
 
-    The hash ``xxhash64(keys, seed)`` is uniform over the 64-bit range, so
-    the n smallest hashes lie below the threshold that keeps about
-    ``oversample * n`` rows.  Rows under it are filtered in the scan stage;
-    only that candidate set reaches the final ordered take, so the merge
-    task sees about 1.5n rows whatever the table size.  If the threshold
-    kept fewer than n rows (or the table is small) it is raised until it
-    keeps n or all rows, so the result is exact.  The same seed picks the
-    same rows.  ``key_cols`` defaults to all columns; ``total`` is the row
-    count when the caller already has it.
+    The hash of ``key_cols`` (``xxhash64``, or ``portable_hash`` when
+    ``portable``) is uniform over its range, so the n smallest hashes lie
+    below the threshold that keeps about ``oversample * n`` rows.  Rows
+    under it are filtered in the scan stage; only that candidate set
+    reaches the final ordered take, so the merge task sees about 1.5n rows
+    whatever the table size.  If the threshold kept fewer than n rows it is
+    raised until it keeps n or all rows, so the result is exact.  Ties on
+    the hash are broken by the key columns, then by every other column, so
+    the same seed always picks the same rows.  ``key_cols`` defaults to all
+    columns; ``total`` is the row count when the caller already has it.
     """
-    keys = [F.col(c) for c in (key_cols or df.columns)]
-    hashed = df.withColumn("_h", F.xxhash64(*keys, F.lit(seed)))
+    keys = list(key_cols or df.columns)
+    order = keys + [c for c in df.columns if c not in keys]
+    if portable:
+        hashed, lo, span = df.withColumn("_h", portable_hash(keys, seed)), 0, _PORTABLE_SPAN
+    else:
+        hashed = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in keys], F.lit(seed)))
+        lo, span = _MIN, _SPAN
     total = df.count() if total is None else total
     if total <= n:
         return df
@@ -33,12 +52,11 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
         if frac >= 1.0:
             cand = hashed
             break
-        thr = _MIN + int(frac * _SPAN)
-        cand = hashed.where(F.col("_h") < F.lit(thr))
+        cand = hashed.where(F.col("_h") < F.lit(lo + int(frac * span)))
         if cand.count() >= n:
             break
         frac *= 2
-    return cand.orderBy("_h", *keys).limit(int(n)).drop("_h")
+    return cand.orderBy("_h", *order).limit(int(n)).drop("_h")
 
 
 def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = None,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridemart.operators import anomaly, bi, dims, forecast, marts, quality, series, staging
 from ridemart.operators.sampling import sample_rows
@@ -86,6 +87,16 @@ TOP_ZONES = 12
 SAMPLE_ROWS = 1_000
 
 
+SAMPLE_KEY = ["fleet", "_pickup_us", "pickup_location_id", "dropoff_location_id", "payment_type"]
+
+
+def sampled_trips(i: Inputs) -> DataFrame:
+    """A seeded sample of the staged trips, keyed for an engine-portable hash."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    keyed = i.clean().withColumn("_pickup_us", F.timestamp_diff("MICROSECOND", epoch, F.col("pickup_datetime")))
+    return sample_rows(keyed, SAMPLE_ROWS, seed=7, key_cols=SAMPLE_KEY, portable=True).drop("_pickup_us")
+
+
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -111,7 +122,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_metrics": lambda i: quality.quality_metrics(i.clean()),
         "duplicate_groups": lambda i: quality.duplicate_groups(i.clean()),
         "contract_failures": lambda i: quality.contract_failures(i.clean(), i.settings),
-        "sampled_trips": lambda i: sample_rows(i.clean(), SAMPLE_ROWS, seed=7),
+        "sampled_trips": sampled_trips,
         "hourly_series": lambda i: i.series(),
         "design_matrix": lambda i: series.design_matrix(i.series()),
         "seasonal_naive": lambda i: series.seasonal_naive(i.series(), i.settings),

@@ -177,6 +177,21 @@ def contract_sql(s: Settings) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def sample_sql(n: int = 1000, seed: int = 7) -> str:
+    """O8 with the portable hash: md5 of the '|'-joined key, first 15 hex digits."""
+    from ridemart.operators.staging import STAGED_COLUMNS
+    keys = ["fleet", "_pickup_us", "pickup_location_id", "dropoff_location_id", "payment_type"]
+    text = "concat_ws('|', '%d', %s)" % (seed, ", ".join(f"CAST({k} AS VARCHAR)" for k in keys))
+    order = keys + [c for c in STAGED_COLUMNS if c not in keys]
+    cols = ", ".join(STAGED_COLUMNS)
+    return f"""
+SELECT {cols} FROM (
+  SELECT *, CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) AS _h
+  FROM (SELECT *, epoch_us(pickup_datetime) AS _pickup_us FROM clean) k) h
+ORDER BY _h, {", ".join(f"{c} NULLS FIRST" for c in order)}
+LIMIT {n}"""
+
+
 def series_ctes(s: Settings) -> str:
     w, fc = s.window, s.forecast
     fleets = ", ".join(f"'{f}'" for f in fc.fleets)
@@ -279,6 +294,7 @@ FROM clean""")
     q["duplicate_groups"] = with_base(
         f"SELECT {dup_key}, count(*) AS n FROM clean GROUP BY ALL HAVING count(*) > 1")
     q["contract_failures"] = with_base(contract_sql(s))
+    q["sampled_trips"] = with_base(sample_sql())
 
     sc = series_ctes(s)
     q["hourly_series"] = with_base("SELECT fleet, ds, y FROM series", sc)
