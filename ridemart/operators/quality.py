@@ -7,14 +7,13 @@ and no per-column scans are needed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.constants import LOCATION_ID_RANGE
-from ridemart.functions import count_when, round4
+from ridemart.functions import round4
 from ridemart.settings import Settings
 
 NULL_RATE_COLUMNS = [
@@ -66,8 +65,7 @@ class ColumnRule:
     dtype: str            # Spark type the value must coerce to
     nullable: bool
     check: str | None     # check label, None when only type/NULL are checked
-    predicate: Callable[[Column], Column] | None = None  # true when the value passes
-    sql: str | None = None    # the same predicate as SQL text over ``{v}``
+    sql: str | None = None    # the passing condition as SQL over ``{v}`` (Spark and the oracle)
 
 
 def _fmt(x) -> str:
@@ -82,15 +80,14 @@ def contract_rules(settings: Settings) -> list[ColumnRule]:
 
     def rng(column, dtype, a, b):
         return ColumnRule(column, dtype, False, f"in_range({_fmt(a)},{_fmt(b)})",
-                          lambda v: v.between(a, b), f"{{v}} BETWEEN {_fmt(a)} AND {_fmt(b)}")
+                          f"{{v}} BETWEEN {_fmt(a)} AND {_fmt(b)}")
 
     def ge0(column):
-        return ColumnRule(column, "double", True, "ge(0)", lambda v: v >= 0, "{v} >= 0")
+        return ColumnRule(column, "double", True, "ge(0)", "{v} >= 0")
 
     fleet_sql = ", ".join(f"'{f}'" for f in fleets)
     return [
-        ColumnRule("fleet", "string", False, f"isin({','.join(fleets)})",
-                   lambda v: v.isin(*fleets), f"{{v}} IN ({fleet_sql})"),
+        ColumnRule("fleet", "string", False, f"isin({','.join(fleets)})", f"{{v}} IN ({fleet_sql})"),
         ColumnRule("pickup_datetime", "timestamp_ntz", False, None),
         ColumnRule("dropoff_datetime", "timestamp_ntz", False, None),
         rng("pickup_location_id", "int", lo, hi),
@@ -116,23 +113,24 @@ def contract_failures(staged: DataFrame, settings: Settings) -> DataFrame:
     ignored.
     """
     present = set(staged.columns)
-    counters: list[tuple[str, str, Column]] = []
+    counters: list[tuple[str, str, str]] = []
     for r in contract_rules(settings):
         if r.column not in present:
-            counters.append((r.column, "column_present", F.lit(1).cast("long")))
+            counters.append((r.column, "column_present", "CAST(1 AS BIGINT)"))
             continue
-        raw = F.col(r.column)
-        val = raw.try_cast(r.dtype)
-        counters.append((r.column, f"coerce({r.dtype})", count_when(raw.isNotNull() & val.isNull())))
+        raw = f"`{r.column}`"
+        val = f"try_cast({raw} AS {r.dtype})"
+        counters.append((r.column, f"coerce({r.dtype})", f"count_if({raw} IS NOT NULL AND {val} IS NULL)"))
         if not r.nullable:
-            counters.append((r.column, "not_nullable", count_when(raw.isNull())))
+            counters.append((r.column, "not_nullable", f"count_if({raw} IS NULL)"))
         if r.check is not None:
-            counters.append((r.column, r.check, count_when(val.isNotNull() & ~r.predicate(val))))
-    agg = staged.agg(*[c.cast("long").alias(f"_c{i}") for i, (_, _, c) in enumerate(counters)])
-    rows = F.array(*[F.struct(F.lit(col).alias("column_name"), F.lit(chk).alias("check_name"),
-                              F.col(f"_c{i}").alias("failures"))
-                     for i, (col, chk, _) in enumerate(counters)])
-    return agg.select(F.inline(rows))
+            passes = r.sql.format(v=val)
+            counters.append((r.column, r.check, f"count_if({val} IS NOT NULL AND NOT ({passes}))"))
+    # Built as SQL text: one expression per counter, parsed once on the JVM.
+    agg = staged.agg(*[F.expr(f"CAST({e} AS BIGINT)").alias(f"_c{i}") for i, (_, _, e) in enumerate(counters)])
+    rows = ", ".join(f"named_struct('column_name', '{col}', 'check_name', '{chk}', 'failures', _c{i})"
+                     for i, (col, chk, _) in enumerate(counters))
+    return agg.select(F.expr(f"inline(array({rows}))"))
 
 
 def contract_errors(failures: DataFrame) -> DataFrame:
