@@ -127,3 +127,13 @@ def test_injected_extreme_trip_is_flagged(spark):
     assert row.iso_outlier and row.is_anomaly
     assert out["mart"].where("trip_id = 1000000000").count() == 1
     out["scored"].unpersist()
+
+
+def test_sampled_mode_reports_both_denominators(inputs001):
+    s = fixture_settings().replace(anomaly={"sample_rows": 300, "trees": 20})
+    out = anomaly.detect(inputs001.fact_with_ids(), s)
+    summ = out["summary"].first()
+    assert summ.sampled == 300 and summ.fact_rows == 672  # K23
+    assert summ.anomaly_rate_of_fact == summ.anomalies / 672
+    assert out["scored"].count() == 300
+    out["scored"].unpersist()
