@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ridemart.constants import INTERVAL_Z, LAGS, WEEK_HOURS
 from ridemart.functions import clip_lower
-from ridemart.operators.series import (FEATURE_COLUMNS, METRICS, backtest_folds, design_matrix,
+from ridemart.operators.series import (FEATURE_COLUMNS, METRICS, backtest_folds, by_fleet, design_matrix,
                                        eligible, ordered_mean, score, seasonal_naive, with_position)
 from ridemart.settings import Settings
 
@@ -116,7 +116,7 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     gbm_folds = tests.select("fleet", "fold", F.col("y").alias("y_actual"),
                              clip_lower("raw_pred").alias("yhat"), F.lit("gbm").alias("model"))
     lagged = with_position(series).withColumn(
-        "yhat", F.lag("y", WEEK_HOURS).over(_by_fleet_window()))
+        "yhat", F.lag("y", WEEK_HOURS).over(by_fleet()))
     naive_folds = (tests.select("fleet", "fold", "t").join(lagged, ["fleet", "t"])
                    .select("fleet", "fold", F.col("y").alias("y_actual"), "yhat",
                            F.lit("seasonal_naive").alias("model")))
@@ -127,11 +127,6 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
             "mart_forecast_backtest": backtest, "predictions": pred, "model_frame": mf}
 
 
-def _by_fleet_window():
-    from pyspark.sql.window import Window
-    return Window.partitionBy("fleet").orderBy("ds")
-
-
 def best_model(metrics: DataFrame) -> DataFrame:
     """The model with the lowest RMSE per fleet (ties by model name)."""
     return metrics.groupBy("fleet").agg(

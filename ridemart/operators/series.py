@@ -44,13 +44,14 @@ def hourly_series(staged: DataFrame, settings: Settings) -> DataFrame:
                         F.when(F.col("pos") == 0, F.col("n")).otherwise(F.lit(0)).cast("double").alias("y"))
 
 
-def _by_fleet() -> Window:
+def by_fleet() -> Window:
+    """Window over one fleet's series in time order (at most window-hours rows)."""
     return Window.partitionBy("fleet").orderBy("ds")
 
 
 def with_position(series: DataFrame) -> DataFrame:
     """W4 helper: 0-based position ``t`` and series length ``n`` per fleet."""
-    w = _by_fleet()
+    w = by_fleet()
     return (series.withColumn("t", F.row_number().over(w) - 1)
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("fleet"))))
 
@@ -78,7 +79,7 @@ def design_matrix(series: DataFrame) -> DataFrame:
     ``trend`` is hours since the fleet's first hour; ``lag_168``/``lag_336``
     are NULL where the history is shorter.
     """
-    w = _by_fleet()
+    w = by_fleet()
     first = F.min("ds").over(Window.partitionBy("fleet"))
     cal = calendar_features("ds")
     out = series.select(
@@ -106,7 +107,7 @@ def seasonal_naive(series: DataFrame, settings: Settings, season: int = WEEK_HOU
     if test > season:
         raise ValueError("test horizon longer than one season would read held-out actuals")
     p = eligible(with_position(series), settings)
-    p = p.withColumn("yhat", F.lag("y", season).over(_by_fleet()))
+    p = p.withColumn("yhat", F.lag("y", season).over(by_fleet()))
     return (p.where(F.col("t") >= F.col("n") - test)
             .select("fleet", "ds", F.col("y").alias("y_actual"), "yhat"))
 
@@ -167,7 +168,7 @@ def naive_backtest(series: DataFrame, settings: Settings, season: int = WEEK_HOU
     """
     fc = settings.forecast
     p = eligible(with_position(series), settings)
-    p = p.withColumn("yhat", F.lag("y", season).over(_by_fleet()))
+    p = p.withColumn("yhat", F.lag("y", season).over(by_fleet()))
     start = F.col("n") - fc.folds * fc.horizon
     fold = F.floor((F.col("t") - start) / fc.horizon).cast("int")
     cut = F.col("n") - (F.lit(fc.folds) - F.col("fold")) * fc.horizon
