@@ -44,3 +44,17 @@ def test_gbm_learns_the_pattern(result):
     rmse = {r.model: r.RMSE for r in result["mart_forecast_metrics"].collect()}
     mean_y = result["mart_forecast"].agg(F.avg("y_actual")).first()[0]
     assert rmse["gbm"] < 0.2 * mean_y
+
+
+def test_same_seed_same_forecast(spark, inputs001):
+    from ridemart.operators import series as S
+
+    s = fixture_settings().replace(forecast={"max_iter": 3, "folds": 1, "fleets": ("yellow",)},
+                                   window={"start": "2024-01-01", "end": "2024-01-30"})
+    hourly = S.hourly_series(inputs001.clean(), s)
+    a = forecast.forecast(hourly, s)
+    b = forecast.forecast(hourly.repartition(3), s)
+    key = ["fleet", "ds"]
+    ra = [tuple(r) for r in a["mart_forecast"].orderBy(*key).collect()]
+    rb = [tuple(r) for r in b["mart_forecast"].orderBy(*key).collect()]
+    assert len(ra) == 168 and ra == rb
