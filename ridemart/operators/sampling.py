@@ -31,8 +31,9 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
     below the threshold that keeps about ``oversample * n`` rows.  Rows
     under it are filtered in the scan stage; only that candidate set
     reaches the final ordered take, so the merge task sees about 1.5n rows
-    whatever the table size.  If the threshold kept fewer than n rows it is
-    raised until it keeps n or all rows, so the result is exact.  Ties on
+    whatever the table size.  The (at most n-row) result is cached; if the
+    threshold kept fewer than n rows it is raised and the take repeated, so
+    the result is exact.  Ties on
     the hash are broken by the key columns, then by every other column, so
     the same seed always picks the same rows.  ``key_cols`` defaults to all
     columns; ``total`` is the row count when the caller already has it.
@@ -49,14 +50,14 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
         return df
     frac = min(1.0, oversample * n / total)
     while True:
-        if frac >= 1.0:
-            cand = hashed
-            break
-        cand = hashed.where(F.col("_h") < F.lit(lo + int(frac * span)))
-        if cand.count() >= n:
-            break
+        cand = hashed if frac >= 1.0 else hashed.where(F.col("_h") < F.lit(lo + int(frac * span)))
+        # The result is at most n rows: keep it, so checking its size is the
+        # same pass that produces it.
+        out = cand.orderBy("_h", *order).limit(int(n)).drop("_h").cache()
+        if frac >= 1.0 or out.count() >= n:
+            return out
+        out.unpersist()
         frac *= 2
-    return cand.orderBy("_h", *order).limit(int(n)).drop("_h")
 
 
 def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = None,
