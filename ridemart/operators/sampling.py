@@ -61,31 +61,30 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
 
 
 def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = None,
-          rows: int | None = None, accuracy: int = 100_000) -> DataFrame:
+          accuracy: int = 100_000) -> DataFrame:
     """The ``k`` rows with the highest ``score_col`` (ties by ``tiebreak``), exactly.
 
     ``orderBy(...).limit(k)`` sends k rows from every input partition into
-    one merge task, which grows with the number of partitions.  Here an
-    approximate quantile first gives a score threshold that keeps about 2k
-    rows (the rank error of the sketch is at most rows/accuracy); rows under
-    it are dropped where they are, and the ordered take runs on the
-    candidates only.  If the threshold kept fewer than k rows it is lowered
-    until it keeps k or all rows, so the result is exact.
+    one merge task, which grows with the number of partitions.  Instead one
+    pass gets the row count and a ladder of approximate upper quantiles
+    (0.9, 0.99, ...; rank error at most rows/accuracy).  The highest rung
+    expected to keep at least 2k rows becomes a score threshold; rows under
+    it are dropped where they are and the ordered take runs on the rest.
+    The (at most k-row) result is cached, and if it has fewer than k rows
+    the next lower rung is tried, down to no threshold, so the result is
+    exact.
     """
     tiebreak = tiebreak or []
     order = [F.desc(score_col)] + [F.col(c) for c in tiebreak]
-    n = rows if rows is not None else df.count()
-    if n <= 4 * k:
-        return df.orderBy(*order).limit(int(k))
-    spread = 2.0
+    ladder = [1.0 - 10.0 ** -e for e in range(1, 10)]
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx(score_col, ladder, accuracy).alias("q")).first()
+    n, qs = stats["n"], stats["q"] or []
+    rungs = [t for q, t in zip(ladder, qs) if (1.0 - q) * n >= 2 * k and t is not None]
     while True:
-        q = 1.0 - spread * k / n
-        if q <= 0:
-            cand = df
-            break
-        thr = df.agg(F.percentile_approx(score_col, q, accuracy).alias("t")).first()["t"]
-        cand = df.where(F.col(score_col) >= F.lit(thr))
-        if cand.count() >= k:
-            break
-        spread *= 2
-    return cand.orderBy(*order).limit(int(k))
+        cand = df.where(F.col(score_col) >= F.lit(rungs[-1])) if rungs else df
+        out = cand.orderBy(*order).limit(int(k)).cache()
+        if not rungs or out.count() >= min(k, n):
+            return out
+        out.unpersist()
+        rungs.pop()
