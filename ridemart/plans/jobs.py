@@ -88,9 +88,10 @@ def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     raw = frames[0]
     for f in frames[1:]:
         raw = raw.unionByName(f)
-    # Sorting each task's rows by pickup time (a local sort, no shuffle) makes
-    # parquet row-group min/max statistics prune time-window reads later.
-    staged = staging.clean_trips(raw, settings).sortWithinPartitions("pickup_datetime")
+    # Sorting each task's rows by fleet, then pickup time (a local sort, no
+    # shuffle), satisfies the partitioned writer's ordering and makes parquet
+    # row-group min/max statistics prune time-window reads later.
+    staged = staging.clean_trips(raw, settings).sortWithinPartitions("fleet", "pickup_datetime")
     sinks.write_table(staged, paths.staged, ["fleet"])
     # Both counts read parquet footers only (no column data).
     raw_total = raw.count()
