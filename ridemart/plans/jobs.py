@@ -178,6 +178,7 @@ def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     summary["by_rule"] = {r["rule"]: r["count"] for r in
                           spark.read.parquet(paths.table("mart_anomaly_summary")).collect()}
     out["scored"].unpersist()
+    out["mart"].unpersist()
     return summary
 
 
