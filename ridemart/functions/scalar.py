@@ -26,7 +26,7 @@ def col_of(c: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """``round(x, digits)`` as floor(x*10^d + 0.5)/10^d.
+    """``round(x, digits)`` as floor(x*10^d + 0.5)/10^d.
 
     One formula on every engine, so ties such as 1.005 come out the same
     everywhere (K8).  Result is DOUBLE; NULL stays NULL.
@@ -106,7 +106,7 @@ def safe_divide(num: str | Column, den: str | Column) -> Column:
 
 
 def is_rush_hour(hour: str | Column) -> Column:
-    """X15."""
+    """X15 (an F13 IN list)."""
     return col_of(hour).isin(*RUSH_HOURS)
 
 

@@ -34,7 +34,7 @@ def rule_columns() -> dict[str, Column]:
 
 
 def rule_reasons() -> Column:
-    """Names of the rules that fire, comma-separated in rule order ('' if none)."""
+    """Names of the rules that fire, comma-separated in rule order ('' if none)."""
     return F.concat_ws(",", *[F.when(c, F.lit(name)) for name, c in rule_columns().items()])
 
 
@@ -54,7 +54,11 @@ def with_rules(df: DataFrame) -> DataFrame:
 
 
 def rule_summary(df: DataFrame) -> DataFrame:
-    """``(rule, count)`` for every rule, from one aggregation pass."""
+    """``(rule, count)`` for every rule, from one aggregation pass.
+
+    X21: the rule booleans are counted directly instead of searching the
+    reason strings.
+    """
     cols = rule_columns()
     agg = df.agg(*[count_when(c).alias(name) for name, c in cols.items()])
     return agg.select(F.inline(F.array(*[
@@ -71,7 +75,7 @@ def flag(scored: DataFrame, threshold: Column | float) -> DataFrame:
 
 
 def anomaly_mart(flagged: DataFrame, settings: Settings) -> DataFrame:
-    """The top flagged trips by score (ties by trip id), see ``top_k``."""
+    """N13/O5 + F12: the top flagged trips by score (ties by trip id), see ``top_k``."""
     from ridemart.operators.sampling import top_k
 
     tie = ["trip_id"] if "trip_id" in flagged.columns else []

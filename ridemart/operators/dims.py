@@ -79,7 +79,11 @@ def dim_zone(lookup: DataFrame, centroids: DataFrame | None = None,
     ``lookup`` has location_id, zone, borough, service_zone; ``centroids``
     location_id, lat, lng (J5); ``borough_centroids`` borough, lat, lng (J6,
     defaults to the fixed borough table).  Missing coordinates take the
-    borough centroid, then the city centroid (K26).
+    borough centroid, then the city centroid (K26, X12 coalesce); P7 fixes
+    the output columns.  The fixed borough table is broadcast (6 rows);
+    inputs of unknown size are joined without a hint and Spark's size
+    threshold picks the strategy.  A bound recorded on ``lookup`` carries
+    over to the result.
     """
     spark = lookup.sparkSession
     z = lookup.select(F.col("location_id").cast("int").alias("location_id"),

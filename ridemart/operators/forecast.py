@@ -64,6 +64,8 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     """``mart_forecast``, ``mart_forecast_metrics``, ``mart_forecast_backtest``.
 
     Fold -1 is the final fit (held-out week); folds 0.. are the backtest.
+    All fits' predictions are one union (U2); ``mart_forecast`` is the P10
+    projection with the interval from the in-sample residual std (A16).
     Fleets too short for a forecast are skipped (T13); no eligible fleet
     gives empty tables.
     """
@@ -128,7 +130,7 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
-    """The model with the lowest RMSE per fleet (ties by model name)."""
+    """A18 + O9: the model with the lowest RMSE per fleet (ties by model name)."""
     return metrics.groupBy("fleet").agg(
         F.min_by(F.struct("model", "RMSE", "MAPE"), F.struct("RMSE", "model")).alias("best")
     ).select("fleet", "best.model", "best.RMSE", "best.MAPE")

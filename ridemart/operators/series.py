@@ -22,7 +22,7 @@ METRICS = ["MAE", "RMSE", "MAPE", "sMAPE"]
 def hourly_series(staged: DataFrame, settings: Settings) -> DataFrame:
     """``(fleet, ds, y)`` hourly ride counts, gap-filled with 0.
 
-    F10 (fleet + window filter) and A7 (count by hour, map-side combined),
+    F10 (fleet IN list, F13, + window filter) and A7 (count by hour, map-side combined),
     then gap filling from the first to the last hour with rides (K16, J7)
     without a spine join: each hour with rides emits itself and the empty
     hours up to the fleet's next hour with rides (``lead`` over at most
@@ -45,7 +45,7 @@ def hourly_series(staged: DataFrame, settings: Settings) -> DataFrame:
 
 
 def by_fleet() -> Window:
-    """Window over one fleet's series in time order (at most window-hours rows)."""
+    """Window over one fleet's series in time order (at most window-hours rows)."""
     return Window.partitionBy("fleet").orderBy("ds")
 
 
@@ -113,7 +113,7 @@ def seasonal_naive(series: DataFrame, settings: Settings, season: int = WEEK_HOU
 
 
 def score_columns(y: str = "y_actual", yhat: str = "yhat") -> list[Column]:
-    """MAE, RMSE, MAPE (hours with y > 0 only, NULL if none), sMAPE."""
+    """A15 + X19: MAE, RMSE, MAPE (hours with y > 0 only, NULL if none), sMAPE."""
     err = F.col(yhat) - F.col(y)
     ape = F.when(F.col(y) > 0, F.abs(err / F.col(y)))
     sape = 2 * F.abs(err) / (F.abs(F.col(y)) + F.abs(F.col(yhat)) + SMAPE_EPS)

@@ -80,7 +80,7 @@ def run_zone_dim(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Landed raw files -> staged trips (partitioned by fleet)."""
+    """E1 + S1-S3, U1, D6, S11, A8: landed raw files -> staged trips (partitioned by fleet)."""
     files = landing.discover_landing(spark, paths.landing, settings)
     sinks.write_report(spark, {"files": files}, paths.landing_manifest)
     frames = [landing.read_fleet_month(spark, f["fleet"], f["path"], settings.ingest.sample_rows)
@@ -110,7 +110,7 @@ def staged_trips(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def run_quality(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Metrics and contract over the staged table; report written as JSON.
+    """E1 + Q1-Q10, S20: metrics and contract over the staged table; report written as JSON.
 
     A failing contract is reported, never raised (K25).
     """
@@ -130,7 +130,7 @@ def run_quality(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Dimensions, fact and marts as tables.
+    """E1 + D1-D5, M1-M4, S7, S13, S15: dimensions, fact and marts as tables.
 
     The marts read the written fact table, so its lineage (and the id
     checkpoint) is not recomputed.
@@ -157,7 +157,7 @@ def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict
 
 
 def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Hourly series from the staged table -> forecast tables."""
+    """E1 + T1-T13: hourly series from the staged table -> forecast tables."""
     s = series.hourly_series(staged_trips(spark, paths), settings)
     out = forecast.forecast(s, settings)
     for name in FORECAST_TABLES:
@@ -169,7 +169,7 @@ def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Score the fact table, write the flagged-trip mart and the rule summary."""
+    """E1 + N1-N14: score the fact table, write the flagged-trip mart and the rule summary."""
     fact = spark.read.parquet(paths.table("fact_trip"))
     out = anomaly.detect(fact, settings)
     sinks.write_table(out["mart"], paths.table("mart_trip_anomalies"))
@@ -183,7 +183,7 @@ def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_export(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """Every warehouse table to parquet (+ CSV when small) with a manifest."""
+    """E1 + S16-S18: every warehouse table to parquet (+ CSV when small) with a manifest."""
     names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES
              if _table_exists(spark, paths.table(n))]
     manifest = sinks.export_tables(spark, {n: paths.table(n) for n in names}, paths.exports,

@@ -13,7 +13,11 @@ log = logging.getLogger("ridemart.sinks")
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Create-or-replace a parquet table directory."""
+    """Create-or-replace a parquet table directory.
+
+    S14 (registering in-memory frames as tables) is not needed: model and
+    anomaly results are DataFrames already and are written the same way.
+    """
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
