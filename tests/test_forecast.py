@@ -58,3 +58,13 @@ def test_same_seed_same_forecast(spark, inputs001):
     ra = [tuple(r) for r in a["mart_forecast"].orderBy(*key).collect()]
     rb = [tuple(r) for r in b["mart_forecast"].orderBy(*key).collect()]
     assert len(ra) == 168 and ra == rb
+
+
+def test_too_short_series_gives_empty_tables(spark):
+    short = spark.range(100).select(
+        F.lit("yellow").alias("fleet"),
+        F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2022-01-01 00:00:00").cast("timestamp_ntz")).alias("ds"),
+        F.lit(5.0).alias("y"))
+    out = forecast.forecast(short, fixture_settings())  # T13: 100 h < 168 + 336 h
+    assert out["mart_forecast"].count() == 0
+    assert out["mart_forecast_metrics"].count() == 0 and out["mart_forecast_backtest"].count() == 0
