@@ -65,7 +65,8 @@ clean AS (
          trip_distance / NULLIF(trip_duration_min / 60.0, 0) AS avg_speed_mph
   FROM keep WHERE kept),
 fact AS (
-  SELECT CAST(strftime(pickup_date, '%Y%m%d') AS INTEGER) AS date_key, pickup_hour, fleet,
+  SELECT CAST(year(pickup_date) * 10000 + month(pickup_date) * 100 + day(pickup_date) AS INTEGER) AS date_key,
+         pickup_hour, fleet,
          pickup_location_id, dropoff_location_id, passenger_count, trip_distance, fare_amount,
          tip_amount, total_amount, trip_duration_min, avg_speed_mph, is_weekend, is_rush_hour
   FROM clean),
@@ -81,17 +82,13 @@ dim_zone AS (
   LEFT JOIN (SELECT r_name AS borough, 40.0 + r_regionkey AS lat, -74.0 - r_regionkey AS lng
              FROM region WHERE r_regionkey < 4) b ON l.borough = b.borough),
 dim_date AS (
-  SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date,
-         CAST(EXTRACT(year FROM date) AS BIGINT) AS year,
-         CAST(EXTRACT(month FROM date) AS BIGINT) AS month,
-         monthname(date) AS month_name,
-         CAST(EXTRACT(day FROM date) AS BIGINT) AS day,
-         CAST(isodow(date) - 1 AS BIGINT) AS weekday,
-         dayname(date) AS weekday_name,
-         isodow(date) IN (6, 7) AS is_weekend,
-         CAST(date_trunc('week', date) AS DATE) AS week_start
-  FROM (SELECT CAST(d AS DATE) AS date
-        FROM range(DATE '{w.start}', DATE '{w.end}', INTERVAL 1 DAY) t(d)) spine)
+  SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, date,
+         CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month, monthname(date) AS month_name,
+         CAST(day(date) AS BIGINT) AS day, wd AS weekday, dayname(date) AS weekday_name, wd >= 5 AS is_weekend,
+         CAST(date - CAST(wd AS INTEGER) AS DATE) AS week_start
+  FROM (SELECT date, CAST(isodow(date) - 1 AS BIGINT) AS wd
+        FROM (SELECT CAST(unnest(generate_series(DATE '{w.start}', DATE '{w.end}' - INTERVAL 1 DAY,
+                                                 INTERVAL 1 DAY)) AS DATE) AS date) g) days)
 """
 
 
@@ -113,42 +110,51 @@ FACT_ORDER = ("date_key, pickup_hour, fleet, pickup_location_id, dropoff_locatio
               "tip_amount NULLS FIRST, total_amount NULLS FIRST, trip_duration_min NULLS FIRST, "
               "avg_speed_mph NULLS FIRST, is_weekend, is_rush_hour")
 
+# The marts in the same shape as the Spark plans: aggregate the fact on ids,
+# then join the dimensions to the (small) aggregate.
+
 ZONE_DEMAND = f"""
-SELECT z.location_id, z.zone, z.borough, z.lat, z.lng, count(*) AS pickups,
-       {r2('sum(f.total_amount)')} AS total_revenue, {r2('avg(f.fare_amount)')} AS avg_fare,
-       {r2('avg(f.trip_distance)')} AS avg_distance, {r2('avg(f.trip_duration_min)')} AS avg_duration_min
-FROM fact f JOIN dim_zone z ON f.pickup_location_id = z.location_id
-GROUP BY ALL"""
+SELECT location_id, z.zone, z.borough, z.lat, z.lng, a.pickups,
+       {r2('a.rev')} AS total_revenue, {r2('a.fare')} AS avg_fare,
+       {r2('a.dist')} AS avg_distance, {r2('a.dur')} AS avg_duration_min
+FROM (SELECT pickup_location_id AS location_id, count(*) AS pickups, sum(total_amount) AS rev,
+             avg(fare_amount) AS fare, avg(trip_distance) AS dist, avg(trip_duration_min) AS dur
+      FROM fact GROUP BY pickup_location_id) a
+JOIN dim_zone z USING (location_id)"""
 
 HOURLY_VOLUME = f"""
-base AS (SELECT f.fleet, f.pickup_hour AS hour, d.weekday, d.weekday_name, d.date
-         FROM fact f JOIN dim_date d ON f.date_key = d.date_key),
-days AS (SELECT fleet, weekday, count(DISTINCT date) AS n_days FROM base GROUP BY ALL),
-counts AS (SELECT fleet, weekday, weekday_name, hour, count(*) AS rides FROM base GROUP BY ALL),
-hourly AS (SELECT c.fleet, c.weekday, c.weekday_name, c.hour, c.rides, dd.n_days,
-                  {r2('c.rides::DOUBLE / dd.n_days')} AS avg_rides_per_day
-           FROM counts c JOIN days dd USING (fleet, weekday))"""
+per_hour AS (SELECT fleet, date_key, pickup_hour, count(*) AS n FROM fact
+             GROUP BY fleet, date_key, pickup_hour),
+dated AS (SELECT p.fleet, p.pickup_hour, p.n, d.date, d.weekday, d.weekday_name
+          FROM per_hour p JOIN dim_date d ON p.date_key = d.date_key),
+ride_days AS (SELECT fleet, weekday, count(DISTINCT date) AS n_days FROM dated GROUP BY fleet, weekday),
+hourly AS (SELECT x.fleet, x.weekday, x.weekday_name, x.pickup_hour AS hour,
+                  CAST(sum(x.n) AS BIGINT) AS rides, r.n_days,
+                  {r2('CAST(sum(x.n) AS DOUBLE) / r.n_days')} AS avg_rides_per_day
+           FROM dated x JOIN ride_days r ON x.fleet = r.fleet AND x.weekday = r.weekday
+           GROUP BY x.fleet, x.weekday, x.weekday_name, x.pickup_hour, r.n_days)"""
 
 DAILY_VOLUME = f"""
-daily AS (SELECT f.fleet, d.date, d.weekday_name, d.is_weekend, count(*) AS rides,
-                 {r2('sum(f.total_amount)')} AS revenue, {r2('avg(f.fare_amount)')} AS avg_fare,
-                 {r2('avg(f.trip_distance)')} AS avg_distance
-          FROM fact f JOIN dim_date d ON f.date_key = d.date_key GROUP BY ALL)"""
+daily AS (SELECT a.fleet, d.date, d.weekday_name, d.is_weekend, a.rides,
+                 {r2('a.rev')} AS revenue, {r2('a.fare')} AS avg_fare, {r2('a.dist')} AS avg_distance
+          FROM (SELECT fleet, date_key, count(*) AS rides, sum(total_amount) AS rev,
+                       avg(fare_amount) AS fare, avg(trip_distance) AS dist
+                FROM fact GROUP BY fleet, date_key) a
+          JOIN dim_date d ON a.date_key = d.date_key)"""
 
 ROUTE_FLOWS = f"""
-SELECT f.fleet, f.pickup_location_id, f.dropoff_location_id,
-       pz.zone AS pickup_zone, dz.zone AS dropoff_zone,
-       pz.borough AS pickup_borough, dz.borough AS dropoff_borough,
-       pz.lat AS pickup_lat, pz.lng AS pickup_lng, dz.lat AS dropoff_lat, dz.lng AS dropoff_lng,
-       count(*) AS trips, {r2('avg(f.fare_amount)')} AS avg_fare,
-       {r2('avg(f.trip_distance)')} AS avg_distance
-FROM fact f
-JOIN dim_zone pz ON f.pickup_location_id = pz.location_id
-JOIN dim_zone dz ON f.dropoff_location_id = dz.location_id
-WHERE f.pickup_location_id <> f.dropoff_location_id
-GROUP BY ALL
-HAVING count(*) >= 5
-ORDER BY trips DESC, f.fleet, f.pickup_location_id, f.dropoff_location_id
+SELECT a.fleet, a.pickup_location_id, a.dropoff_location_id,
+       p.zone AS pickup_zone, q.zone AS dropoff_zone, p.borough AS pickup_borough, q.borough AS dropoff_borough,
+       p.lat AS pickup_lat, p.lng AS pickup_lng, q.lat AS dropoff_lat, q.lng AS dropoff_lng,
+       a.trips, {r2('a.fare')} AS avg_fare, {r2('a.dist')} AS avg_distance
+FROM (SELECT fleet, pickup_location_id, dropoff_location_id, count(*) AS trips,
+             avg(fare_amount) AS fare, avg(trip_distance) AS dist
+      FROM fact WHERE pickup_location_id <> dropoff_location_id
+      GROUP BY fleet, pickup_location_id, dropoff_location_id
+      HAVING count(*) >= 5) a
+JOIN dim_zone p ON p.location_id = a.pickup_location_id
+JOIN dim_zone q ON q.location_id = a.dropoff_location_id
+ORDER BY a.trips DESC, a.fleet, a.pickup_location_id, a.dropoff_location_id
 LIMIT 500"""
 
 
