@@ -38,16 +38,13 @@ raw AS (
          k % 6 AS payment_type
   FROM e),
 feat AS (
-  SELECT *,
-         CAST(pickup_datetime AS DATE) AS pickup_date,
-         CAST(EXTRACT(hour FROM pickup_datetime) AS BIGINT) AS pickup_hour,
-         CAST(isodow(pickup_datetime) - 1 AS BIGINT) AS pickup_weekday,
-         dayname(pickup_datetime) AS pickup_day_name,
-         isodow(pickup_datetime) IN (6, 7) AS is_weekend,
-         EXTRACT(hour FROM pickup_datetime) IN (7, 8, 9, 16, 17, 18, 19) AS is_rush_hour,
+  SELECT r.*, CAST(pickup_datetime AS DATE) AS pickup_date, c.h AS pickup_hour, c.wd AS pickup_weekday,
+         dayname(pickup_datetime) AS pickup_day_name, c.wd >= 5 AS is_weekend,
+         c.h IN (7, 8, 9, 16, 17, 18, 19) AS is_rush_hour,
          CAST(date_diff('microsecond', pickup_datetime, dropoff_datetime) AS DOUBLE) / 60000000.0
            AS trip_duration_min
-  FROM raw),
+  FROM raw r, LATERAL (SELECT CAST(hour(r.pickup_datetime) AS BIGINT) AS h,
+                              CAST(isodow(r.pickup_datetime) - 1 AS BIGINT) AS wd) c),
 keep AS (
   SELECT *,
          pickup_datetime >= TIMESTAMP '{w.start}' AND pickup_datetime < TIMESTAMP '{w.end}'
