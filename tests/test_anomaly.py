@@ -9,7 +9,7 @@ from ridemart.operators.sampling import sample_rows
 from ridemart.settings import fixture_settings
 
 
-def test_rules_flag_known_bad(spark):
+def test_rule_reasons_for_hand_rows(spark):
     df = spark.createDataFrame(
         [(2.0, 10.0, 2.0, 15.0), (0.0, 12.0, 1.0, 20.0), (1.0, 0.0, 0.0, 10.0), (0.5, 80.0, 1.0, 120.0),
          (1.0, 4.0, 7.0, None)],

@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from ridemart.operators import quality
 
 
-def test_contract_passes_on_clean(inputs001, settings):
+def test_clean_table_has_no_contract_failures(inputs001, settings):
     f = quality.contract_failures(inputs001.clean(), settings)
     assert f.where("failures > 0").count() == 0
     assert quality.contract_report(f)["passed"]
 
 
-def test_contract_fails_on_corrupted_fares(inputs001, settings):
+def test_out_of_range_fares_are_counted(inputs001, settings):
     clean = inputs001.clean().withColumn("_r", F.monotonically_increasing_id())
     n = clean.count()
     half = clean.orderBy("_r").limit(n // 2).select("_r")

@@ -22,7 +22,7 @@ def reference_series(spark):
     return df.withColumn("y", (base + 3 * h).cast("double"))
 
 
-def test_score_exact(spark):
+def test_scores_of_a_hand_case(spark):
     df = spark.createDataFrame([(10.0, 11.0), (20.0, 19.0), (30.0, 33.0)], "y_actual double, yhat double")
     s = df.agg(*series.score_columns()).first()
     assert math.isclose(s.MAE, 5 / 3) and s.RMSE >= s.MAE

@@ -35,7 +35,7 @@ def test_fixture_counts_match_published_table(inputs001):
     assert clean.select("pickup_date").distinct().count() == 29
 
 
-def test_negative_fares_removed(spark, inputs001, settings):
+def test_cleaning_drops_negative_fares(spark, inputs001, settings):
     raw = inputs001.raw().withColumn(
         "fare_amount", F.when(F.col("pickup_location_id") == 1, F.lit(-10.0)).otherwise(F.col("fare_amount")))
     clean = staging.clean_trips(raw, settings)
