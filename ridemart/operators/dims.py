@@ -128,20 +128,17 @@ def fact_rows(staged: DataFrame) -> DataFrame:
     )
 
 
-# Rows per range partition when numbering the fact (about 0.5 GB of fact rows).
-ROWS_PER_ID_PARTITION = 4_000_000
-
-
 def id_partitions(df: DataFrame, requested: int | None = None) -> int:
-    """Partitions for the id sort: as requested, else sized from the row count.
+    """Partitions for the id sort: as requested, else one per input split.
 
-    The count reads parquet footers only when ``df`` is a projection of a
-    table; the result is at least ``spark.sql.shuffle.partitions``.
+    Input splits are sized by ``spark.sql.files.maxPartitionBytes``, so the
+    count grows with the data and is known from planning alone (no job).
+    The result is at least ``spark.sql.shuffle.partitions``.
     """
     if requested:
         return int(requested)
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, -(-df.count() // ROWS_PER_ID_PARTITION))
+    return max(base, df.rdd.getNumPartitions())
 
 
 def with_dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
