@@ -137,3 +137,25 @@ def test_sampled_mode_reports_both_denominators(inputs001):
     assert summ.anomaly_rate_of_fact == summ.anomalies / 672
     assert out["scored"].count() == 300
     out["scored"].unpersist()
+
+
+def test_vectorised_scores_equal_a_plain_tree_walk(spark, forest_input):
+    import math
+
+    nodes = iforest.fit_forest(forest_input, ["a", "b", "c"], trees=15, max_samples=64, seed=3,
+                               key_cols=["trip_id"])
+    scored = {r.trip_id: r.anomaly_score for r in iforest.score(forest_input, ["a", "b", "c"], nodes).collect()}
+    trees = {t: g.set_index("node_id") for t, g in nodes.groupby("tree_id")}
+
+    def walk(tree, x, node=0):
+        n = tree.loc[node]
+        if n.feature < 0:
+            return n.leaf_path
+        nxt = n.left_child if x[int(n.feature)] < n.threshold else n.right_child
+        return walk(tree, x, int(nxt))
+
+    c = iforest.avg_path_length(64)
+    for row in forest_input.orderBy("trip_id").limit(40).collect():
+        x = [row.a, row.b, row.c]
+        eh = sum(walk(t, x) for t in trees.values()) / len(trees)
+        assert math.isclose(scored[row.trip_id], 2.0 ** (-eh / c), rel_tol=1e-12)
