@@ -11,7 +11,7 @@ from ridemart.settings import fixture_settings
 
 
 @pytest.fixture(scope="module")
-def reference_series(spark):
+def formula_series(spark):
     """720 hours from 2022-01-01: y = (200 + 120*[h in 8,9,17,18,19]) * (0.7 + 0.3*[weekday]) + 3h."""
     df = spark.range(720).select(
         F.lit("yellow").alias("fleet"),
@@ -35,8 +35,8 @@ def test_mape_skips_zero_actuals(spark):
     assert s.MAPE is None and s.MAE == 1.5  # K19
 
 
-def test_design_matrix(reference_series):
-    dm = series.design_matrix(reference_series)
+def test_design_matrix(formula_series):
+    dm = series.design_matrix(formula_series)
     assert dm.count() == 720
     assert {"hour", "dow", "trend", "d_sin1", "w_cos1", "lag_168", "lag_336"} <= set(dm.columns)
     assert len(series.FEATURE_COLUMNS) == 26
@@ -47,23 +47,23 @@ def test_design_matrix(reference_series):
     assert r[6].d_sin1 == 1.0
 
 
-def test_seasonal_naive_repeats_last_week(reference_series):
+def test_seasonal_naive_repeats_last_week(formula_series):
     s = fixture_settings()
-    naive = series.seasonal_naive(reference_series, s).orderBy("ds").collect()
-    ys = [r.y for r in reference_series.orderBy("ds").collect()]
+    naive = series.seasonal_naive(formula_series, s).orderBy("ds").collect()
+    ys = [r.y for r in formula_series.orderBy("ds").collect()]
     assert len(naive) == 168
     assert [r.yhat for r in naive] == ys[720 - 168 - 168: 720 - 168]
     assert [r.y_actual for r in naive] == ys[-168:]
 
 
-def test_backtest_folds_and_guard(reference_series, spark):
+def test_backtest_folds_and_guard(formula_series, spark):
     s = fixture_settings()
-    p = series.with_position(reference_series)
+    p = series.with_position(formula_series)
     folds = series.backtest_folds(p, s).orderBy("fold").collect()
     assert [(f.fold, f.cut) for f in folds] == [(0, 648), (1, 672), (2, 696)]
-    nb = series.naive_backtest(reference_series, s).first()
+    nb = series.naive_backtest(formula_series, s).first()
     assert nb.model == "seasonal_naive" and nb.MAE >= 0
-    short = reference_series.where(F.col("ds") < F.lit("2022-01-20").cast("timestamp_ntz"))
+    short = formula_series.where(F.col("ds") < F.lit("2022-01-20").cast("timestamp_ntz"))
     assert series.naive_metrics(short, s).count() == 0  # T13
 
 
@@ -77,15 +77,15 @@ def test_hourly_series_gap_fill(spark):
     assert series.hourly_series(df.where("false"), fixture_settings()).count() == 0
 
 
-def test_horizon_longer_than_a_season_is_refused(reference_series):
+def test_horizon_longer_than_a_season_is_refused(formula_series):
     s = fixture_settings().replace(forecast={"test_days": 8})
     with pytest.raises(ValueError):
-        series.seasonal_naive(reference_series, s)  # K17
+        series.seasonal_naive(formula_series, s)  # K17
 
 
-def test_fold_guard_skips_early_cuts(reference_series, spark):
+def test_fold_guard_skips_early_cuts(formula_series, spark):
     # 520 hours: only folds whose cut is past two seasons (336 h) remain.
-    short = reference_series.where(F.col("ds") < F.lit("2022-01-22 16:00:00").cast("timestamp_ntz"))
+    short = formula_series.where(F.col("ds") < F.lit("2022-01-22 16:00:00").cast("timestamp_ntz"))
     s = fixture_settings().replace(forecast={"folds": 8})
     folds = series.backtest_folds(series.with_position(short), s).orderBy("fold").collect()
     assert [f.cut for f in folds] == [352, 376, 400, 424, 448, 472, 496]
