@@ -238,9 +238,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--window-end")
     ap.add_argument("--months", help="comma-separated yyyy-mm list")
     ap.add_argument("--fleets", help="comma-separated fleet list")
+    ap.add_argument("--settings", help="JSON file with settings sections (see settings_from_dict)")
     a = ap.parse_args(argv)
 
     settings = Settings()
+    if a.settings:
+        from ridemart.settings import settings_from_dict
+        with open(a.settings) as fh:
+            settings = settings_from_dict(json.load(fh))
     window = {k: v for k, v in (("start", a.window_start), ("end", a.window_end)) if v}
     ingest = {}
     if a.months:

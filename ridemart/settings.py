@@ -95,6 +95,23 @@ class Settings:
         return dataclasses.replace(self, **out)
 
 
+def settings_from_dict(data: dict) -> Settings:
+    """Settings from nested sections, e.g. parsed from a JSON file.
+
+    ``{"window": {"start": "2022-01-01"}, "forecast": {"fleets": ["yellow"]}}``;
+    unknown keys are an error, lists become tuples, missing keys keep
+    their defaults.
+    """
+    sections, top = {}, {}
+    for key, value in data.items():
+        if isinstance(value, dict):
+            sections[key] = {k: tuple(v) if isinstance(v, list) else v for k, v in value.items()}
+        else:
+            top[key] = value
+    s = Settings().replace(**sections)
+    return dataclasses.replace(s, **top) if top else s
+
+
 def fixture_settings() -> Settings:
     """Settings for the trips derived from the driver tables (FIXTURES.md B)."""
     return Settings().replace(window={"start": "2024-01-01", "end": "2024-01-30"})

@@ -82,3 +82,16 @@ def test_zone_free_under_dst_session(spark):
         assert r.m == 120.0 and r.h == dt.datetime(2024, 3, 10, 3)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_settings_from_dict():
+    import pytest
+
+    from ridemart.settings import settings_from_dict
+
+    s = settings_from_dict({"window": {"start": "2024-01-01", "end": "2024-01-30"},
+                            "forecast": {"fleets": ["yellow"]}, "fact_ids": "scan"})
+    assert s.window.start == "2024-01-01" and s.forecast.fleets == ("yellow",) and s.fact_ids == "scan"
+    assert s.cleaning.max_fare == 500.0
+    with pytest.raises(TypeError):
+        settings_from_dict({"window": {"begin": "2024-01-01"}})
