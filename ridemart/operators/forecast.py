@@ -29,12 +29,20 @@ from ridemart.settings import Settings
 MISSING_LAG = -1.0
 
 
+MISSING_FLAGS = [f"lag_{lag}_missing" for lag in LAGS]
+
+
 def model_frame(series: DataFrame, settings: Settings) -> DataFrame:
-    """Design matrix of eligible fleets with position, length and a feature vector."""
+    """Design matrix of eligible fleets with position, length and a feature vector.
+
+    The 26 design columns plus one 0/1 flag per lag marking a lag before the
+    start of the series (whose value is then ``MISSING_LAG``).
+    """
     dm = design_matrix(series)
+    dm = dm.withColumns({f"lag_{lag}_missing": F.col(f"lag_{lag}").isNull().cast("double") for lag in LAGS})
     dm = dm.fillna(MISSING_LAG, subset=[f"lag_{lag}" for lag in LAGS])
     pos = eligible(with_position(dm), settings)
-    asm = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features")
+    asm = VectorAssembler(inputCols=FEATURE_COLUMNS + MISSING_FLAGS, outputCol="features")
     return asm.transform(pos)
 
 
