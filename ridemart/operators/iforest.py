@@ -146,7 +146,12 @@ def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples
     h = F.xxhash64(*[F.col(c) for c in keys], F.col("tree_id"), F.lit(seed))
     u = (F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30))
     chosen = offered.withColumn("_h", h).where(u < rate).select("tree_id", *features, "_h")
-    nodes = (chosen.groupBy("tree_id")
+    # The offered rows are few (about 1.5 x trees x psi), so AQE would coalesce
+    # them into one partition and grow every tree in one Python task.  An
+    # explicit partition count (which AQE keeps) spreads the trees over the
+    # cluster; the grouping reuses that partitioning.
+    tasks = max(1, min(trees, df.sparkSession.sparkContext.defaultParallelism))
+    nodes = (chosen.repartition(tasks, "tree_id").groupBy("tree_id")
              .applyInPandas(_tree_builder(features, psi, seed), NODE_SCHEMA))
     node_pdf = nodes.toPandas()
     pool.unpersist()
