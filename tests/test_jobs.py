@@ -49,3 +49,18 @@ def test_main_runs_selected_stages(spark, scratch):
                      "--window-start", "2024-01-01", "--window-end", "2024-01-30"])
     assert set(res) == {"stage", "quality"}
     assert res["stage"]["rows_clean"] == 672 and res["quality"]["status"] == "pass"
+
+
+def test_scan_order_ids_through_the_settings_file(spark, scratch):
+    import json
+
+    root = scratch + "/scan"
+    fixtures.write_landing(spark, SF001, root + "/landing", "2024-01")
+    fixtures.write_zone_lookup_csv(spark, SF001, root + "/reference/taxi_zone_lookup.csv")
+    with open(scratch + "/s.json", "w") as fh:
+        json.dump({"window": {"start": "2024-01-01", "end": "2024-01-30"}, "ingest": {"months": ["2024-01"]},
+                   "fact_ids": "scan"}, fh)
+    res = jobs.main(["--root", root, "--settings", scratch + "/s.json", "--stages", "zones,stage,warehouse"])
+    assert res["warehouse"]["tables"]["fact_trip"] == 672
+    ids = sorted(r.trip_id for r in spark.read.parquet(jobs.Paths(root).table("fact_trip")).select("trip_id").collect())
+    assert ids == list(range(1, 673))
