@@ -10,8 +10,9 @@ place:
    ``1.5 * max_samples / pool`` by a seeded hash; inside the tree's task the
    ``max_samples`` smallest hashes are kept (exact sample without
    replacement),
-3. ``groupBy(tree_id).applyInPandas`` grows one tree per task and returns
-   its nodes,
+3. ``groupBy(tree_id).applyInPandas`` grows each tree from its own group
+   and returns its nodes; the groups are spread over up to one task per
+   core by an explicit partition count,
 4. the node table (at most ``trees * (2 * max_samples - 1)`` rows) is
    broadcast and every row is scored in Arrow batches by ``mapInPandas``.
 
