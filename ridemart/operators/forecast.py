@@ -62,7 +62,9 @@ def _fit_predict(mf: DataFrame, fleet: str, cut: int, horizon: int, settings: Se
     rows are kept so the residual spread can be taken in-sample (K18).
     """
     rows = mf.where((F.col("fleet") == fleet) & (F.col("t") < cut + horizon))
-    model = _pipeline(settings).fit(rows.where(F.col("t") < cut))
+    # One fleet's rows (bounded by the window's hours) in one partition: each
+    # of the fit's many small jobs then runs a single task.
+    model = _pipeline(settings).fit(rows.where(F.col("t") < cut).coalesce(1))
     pred = model.transform(rows)
     return pred.select("fleet", F.lit(fold).alias("fold"), "t", "ds", "y", "raw_pred",
                        (F.col("t") >= cut).alias("is_test"))

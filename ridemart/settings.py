@@ -41,7 +41,7 @@ class ForecastSettings:
     max_depth: int = 5
     step_size: float = 0.06
     seed: int = 7
-    parallel_fits: int = 4   # concurrent model fits from the driver
+    parallel_fits: int = 8   # concurrent model fits from the driver (each is one task wide)
     fit_partitions: int = 8  # partitions of the cached design matrix
 
 
