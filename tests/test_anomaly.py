@@ -159,3 +159,21 @@ def test_vectorised_scores_equal_a_plain_tree_walk(spark, forest_input):
         x = [row.a, row.b, row.c]
         eh = sum(walk(t, x) for t in trees.values()) / len(trees)
         assert math.isclose(scored[row.trip_id], 2.0 ** (-eh / c), rel_tol=1e-12)
+
+
+def test_anomaly_outputs_equal_brute_force(inputs001):
+    import numpy as np
+
+    s = fixture_settings().replace(anomaly={"trees": 20, "mart_rows": 50})
+    out = anomaly.detect(inputs001.fact_with_ids(), s)
+    scored = out["scored"].toPandas()
+    thr = np.percentile(scored["anomaly_score"], 99)  # linear interpolation, as Spark's percentile
+    assert (scored["iso_outlier"] == (scored["anomaly_score"] > thr)).all()
+    flags = scored["iso_outlier"] | (scored["rules"] != "")
+    assert (scored["is_anomaly"] == flags).all()
+    summ = out["summary"].first()
+    assert summ.sampled == len(scored) and summ.anomalies == int(flags.sum())
+    assert summ.anomaly_rate == np.floor(flags.mean() * 10000 + 0.5) / 10000
+    top = scored[flags].sort_values(["anomaly_score", "trip_id"], ascending=[False, True]).head(50)
+    assert [r.trip_id for r in out["mart"].collect()] == top["trip_id"].tolist()
+    out["scored"].unpersist()

@@ -68,3 +68,30 @@ def test_too_short_series_gives_empty_tables(spark):
     out = forecast.forecast(short, fixture_settings())  # T13: 100 h < 168 + 336 h
     assert out["mart_forecast"].count() == 0
     assert out["mart_forecast_metrics"].count() == 0 and out["mart_forecast_backtest"].count() == 0
+
+
+def test_forecast_outputs_equal_brute_force(spark, inputs001):
+    import numpy as np
+
+    from ridemart.operators import bi
+    from ridemart.operators import series as S
+
+    s = fixture_settings().replace(forecast={"max_iter": 3, "folds": 1})
+    out = forecast.forecast(S.hourly_series(inputs001.clean(), s), s)
+    fc = out["mart_forecast"].toPandas()
+    metrics = {(r.fleet, r.model): r for r in out["mart_forecast_metrics"].collect()}
+    errors = {r.fleet: r for r in bi.forecast_error(out["mart_forecast"]).collect()}
+    for fleet, g in fc.groupby("fleet"):
+        y, p = g["y_actual"].to_numpy(), g["yhat"].to_numpy()
+        e = p - y
+        nz = y > 0
+        m = metrics[(fleet, "gbm")]
+        assert np.isclose(m.MAE, np.abs(e).mean()) and np.isclose(m.RMSE, np.sqrt((e ** 2).mean()))
+        assert np.isclose(m.MAPE, np.mean(np.abs(e[nz] / y[nz])) * 100)
+        assert np.isclose(m.sMAPE, np.mean(2 * np.abs(e) / (np.abs(y) + np.abs(p) + 1e-9)) * 100)
+        assert np.isclose(errors[fleet].bias, e.mean()) and np.isclose(errors[fleet].MAE, m.MAE)
+        assert (g["yhat_lower"] <= g["yhat"]).all() and (g["yhat"] <= g["yhat_upper"]).all()
+    best = {r.fleet: r.model for r in forecast.best_model(out["mart_forecast_metrics"]).collect()}
+    for fleet in best:
+        rm = {mod: metrics[(fleet, mod)].RMSE for mod in ("gbm", "seasonal_naive")}
+        assert best[fleet] == min(rm, key=lambda k: (rm[k], k))
