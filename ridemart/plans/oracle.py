@@ -170,7 +170,8 @@ def contract_sql(s: Settings) -> str:
         v = r.column
         t = DUCK_TYPES[r.dtype]
         parts.append(f"SELECT '{v}' AS column_name, 'coerce({r.dtype})' AS check_name, "
-                     f"CAST(count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS BIGINT) AS failures FROM clean")
+                     f"CAST(count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS BIGINT) AS failures "
+                     f"FROM clean")
         if not r.nullable:
             parts.append(f"SELECT '{v}', 'not_nullable', CAST(count_if({v} IS NULL) AS BIGINT) FROM clean")
         if r.check is not None:
