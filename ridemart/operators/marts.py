@@ -50,9 +50,10 @@ def mart_hourly_volume(fact: DataFrame, dim_date: DataFrame, settings: Settings
     ``n_days`` counts dates that have at least one ride for the fleet and
     weekday (K10); rides are cast to DOUBLE before the division (X16).  This
     mart is also the B10 measure (average rides per weekday x hour).  The
-    fact is scanned and shuffled once, into one row per (fleet, day, hour); ``n_days`` is a window over that small frame
-    (at most window-days x 24 rows per fleet and weekday), and the final
-    aggregate reuses the window's partitioning.
+    fact is scanned and shuffled once, into one row per (fleet, day, hour);
+    ``n_days`` is a window over that small frame (at most window-days x 24
+    rows per fleet and weekday), and the final aggregate reuses the
+    window's partitioning.
     """
     per_hour = fact.groupBy("fleet", "date_key", "pickup_hour").agg(F.count(F.lit(1)).alias("n"))
     d = _date_dim(dim_date, settings).select("date_key", "weekday", "weekday_name")
