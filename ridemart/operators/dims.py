@@ -133,12 +133,12 @@ def id_partitions(df: DataFrame, requested: int | None = None) -> int:
 
     Input splits are sized by ``spark.sql.files.maxPartitionBytes``, so the
     count grows with the data and is known from planning alone (no job).
-    The result is at least ``spark.sql.shuffle.partitions``.
+    The floor is the cluster's default parallelism, so every core takes part
+    (an explicit count is never coalesced by AQE, so no fixed large floor).
     """
     if requested:
         return int(requested)
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, df.rdd.getNumPartitions())
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
 
 
 def with_dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
