@@ -71,6 +71,19 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def register_tables(spark: SparkSession, paths: Paths) -> list[str]:
+    """S13 as SQL names: every written warehouse table becomes a temp view.
+
+    After a run, ``spark.sql("SELECT ... FROM mart_zone_demand")`` works the
+    way queries against the tables of a warehouse database do.
+    """
+    names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES
+             if _table_exists(spark, paths.table(n))]
+    for n in names:
+        spark.read.parquet(paths.table(n)).createOrReplaceTempView(n)
+    return names
+
+
 def run_zone_dim(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     """D4 + S5/S6/S12: zone lookup CSV (+ optional centroids) -> dim_zone table."""
     lookup = dims.read_zone_lookup_csv(spark, paths.lookup_csv)
@@ -153,6 +166,7 @@ def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict
                       t("mart_daily_volume"))
     sinks.write_table(marts.mart_route_flows(fact, dim_zone), t("mart_route_flows"))
     counts = sinks.table_counts(spark, {n: t(n) for n in WAREHOUSE_TABLES}).collect()
+    register_tables(spark, paths)
     return {"tables": {r["table"]: r["rows"] for r in counts}}
 
 
@@ -163,6 +177,7 @@ def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     for name in FORECAST_TABLES:
         sinks.write_table(out[name], paths.table(name))
     out["model_frame"].unpersist()
+    register_tables(spark, paths)
     fc = spark.read.parquet(paths.table("mart_forecast"))
     best = forecast.best_model(spark.read.parquet(paths.table("mart_forecast_metrics"))).collect()
     return {"forecasts": fc.count(), "best": {r["fleet"]: r["model"] for r in best}}
@@ -179,6 +194,7 @@ def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
                           spark.read.parquet(paths.table("mart_anomaly_summary")).collect()}
     out["scored"].unpersist()
     out["mart"].unpersist()
+    register_tables(spark, paths)
     return summary
 
 

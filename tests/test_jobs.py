@@ -38,6 +38,9 @@ def test_run_all(spark, scratch):
     assert manifest["fact_trip"].formats == ["parquet"]          # 672 rows > CSV limit 100
     assert manifest["dim_time"].formats == ["parquet", "csv"]
     assert os.path.isdir(paths.exports + "/dim_time.csv")
+    # Every table is queryable by name after the run.
+    assert spark.sql("SELECT count(*) FROM fact_trip").first()[0] == 672
+    assert spark.sql("SELECT sum(pickups) FROM mart_zone_demand").first()[0] > 0
     landed = sinks.read_report(spark, paths.landing_manifest)
     assert sorted(f["fleet"] for f in landed["files"]) == ["green", "yellow"]
 
