@@ -19,7 +19,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the file listing and schema are resolved once per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
