@@ -132,6 +132,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_metrics": lambda i: quality.quality_metrics(i.clean()),
         "duplicate_groups": lambda i: quality.duplicate_groups(i.clean()),
         "contract_failures": lambda i: quality.contract_failures(i.clean(), i.settings),
+        "contract_errors": lambda i: quality.contract_errors(quality.contract_failures(i.clean(), i.settings)),
         "sampled_trips": sampled_trips,
         "hourly_series": lambda i: i.series(),
         "design_matrix": lambda i: series.design_matrix(i.series()),

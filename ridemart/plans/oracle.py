@@ -298,6 +298,9 @@ FROM clean""")
     q["duplicate_groups"] = with_base(
         f"SELECT {dup_key}, count(*) AS n FROM clean GROUP BY ALL HAVING count(*) > 1")
     q["contract_failures"] = with_base(contract_sql(s))
+    q["contract_errors"] = with_base(
+        "SELECT check_name, CAST(sum(failures) AS BIGINT) AS n FROM (" + contract_sql(s) + ") c "
+        "WHERE failures > 0 GROUP BY check_name")
     q["sampled_trips"] = with_base(sample_sql())
 
     sc = series_ctes(s)

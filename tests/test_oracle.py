@@ -62,7 +62,7 @@ def test_query_equals_oracle(spark, con, key):
 REGISTERED = {
     "clean_trips", "clean_summary", "dim_zone", "fact_trip", "mart_zone_demand", "mart_hourly_volume",
     "mart_daily_volume", "mart_route_flows", "heatmap_grid", "daily_trend", "top_zones", "zone_map_points",
-    "quality_metrics", "duplicate_groups", "contract_failures", "sampled_trips", "hourly_series",
+    "quality_metrics", "duplicate_groups", "contract_failures", "contract_errors", "sampled_trips", "hourly_series",
     "design_matrix", "seasonal_naive", "naive_metrics", "naive_backtest", "anomaly_rules",
     "anomaly_rule_summary", "kpis", "week_over_week", "distance_bands", "net_flow", "mart_forecast",
     "mart_forecast_metrics", "mart_forecast_backtest", "best_model", "forecast_error", "forecast_band",
