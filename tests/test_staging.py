@@ -109,3 +109,11 @@ def test_null_measure_drops_row(spark, settings):
     raw = raw.withColumns({"pickup_datetime": F.lit("2024-01-02 10:00:00").cast("timestamp_ntz"),
                            "dropoff_datetime": F.lit("2024-01-02 10:20:00").cast("timestamp_ntz")})
     assert staging.clean_trips(raw, settings).count() == 1  # K2
+
+
+def test_landing_manifest_frame(spark, scratch):
+    fixtures.write_landing(spark, SF001, scratch + "/landing", "2024-01")
+    files = landing.discover_landing(spark, scratch + "/landing", fixture_settings().replace(ingest={"months": ("2024-01",)}))
+    m = landing.landing_manifest(spark, files)
+    assert m.columns == ["fleet", "month", "path", "source"]
+    assert sorted((r.fleet, r.month) for r in m.collect()) == [("green", "2024-01"), ("yellow", "2024-01")]
