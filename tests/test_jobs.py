@@ -67,3 +67,14 @@ def test_scan_order_ids_through_the_settings_file(spark, scratch):
     assert res["warehouse"]["tables"]["fact_trip"] == 672
     ids = sorted(r.trip_id for r in spark.read.parquet(jobs.Paths(root).table("fact_trip")).select("trip_id").collect())
     assert ids == list(range(1, 673))
+
+
+def test_quality_stage_with_a_contract_sample(spark, scratch):
+    root = scratch + "/q"
+    fixtures.write_landing(spark, SF001, root + "/landing", "2024-01")
+    s = fixture_settings().replace(ingest={"months": ("2024-01",)}, quality={"sample_rows": 100})
+    paths = jobs.Paths(root)
+    jobs.run_staging(spark, s, paths)
+    report = jobs.run_quality(spark, s, paths)
+    assert report["contract"]["rows_checked"] == 100 and report["metrics"]["row_count"] == 672
+    assert report["status"] == "pass"
