@@ -54,7 +54,7 @@ def _pipeline(settings: Settings) -> Pipeline:
     return Pipeline(stages=[gbt])
 
 
-def _fit_predict(mf: DataFrame, fleet: str, cut: int, horizon: int, settings: Settings,
+def _fit_fold(mf: DataFrame, fleet: str, cut: int, horizon: int, settings: Settings,
                  fold: int) -> DataFrame:
     """T5: fit on positions < cut, predict positions < cut + horizon.
 
@@ -97,7 +97,7 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
 
     def run(job):
         fleet, cut, horizon, fold = job
-        return _fit_predict(mf, fleet, cut, horizon, settings, fold)
+        return _fit_fold(mf, fleet, cut, horizon, settings, fold)
 
     if jobs:
         with ThreadPoolExecutor(max_workers=max(1, fc.parallel_fits)) as pool:

@@ -22,7 +22,10 @@ def survey_ids() -> list[tuple[str, str]]:
     for line in sec.splitlines():
         m = re.match(r"\| ([A-Z]\d{1,2}) \| ([^|]+)\|", line)
         if m:
-            out.append((m.group(1), m.group(2).strip()))
+            # Keep the plain description; drop code spans (signatures, names).
+            name = re.sub(r"`[^`]*`", "", m.group(2))
+            name = re.sub(r"\s*,\s*$|\s{2,}", " ", name).strip(" ,")
+            out.append((m.group(1), name))
     return out
 
 
