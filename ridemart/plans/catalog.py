@@ -107,7 +107,7 @@ def sampled_trips(i: Inputs) -> DataFrame:
     return sample_rows(keyed, SAMPLE_ROWS, seed=7, key_cols=SAMPLE_KEY, portable=True).drop("_pickup_us")
 
 
-def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _registered(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
@@ -155,4 +155,4 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "anomaly_summary": lambda i: i.anomalies()["summary"],
         "anomaly_scatter": lambda i: bi.anomaly_scatter(i.anomalies()["mart"]),
     }
-    return {k: _q(v) for k, v in q.items()}
+    return {k: _registered(v) for k, v in q.items()}
