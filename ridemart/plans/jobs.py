@@ -221,6 +221,9 @@ STAGES = [
 def run_all(spark: SparkSession, settings: Settings, paths: Paths,
             stages: list[str] | None = None) -> dict:
     """The stages in order; each result dict is returned under its stage name."""
+    unknown = set(stages or ()) - {name for name, _ in STAGES}
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}; known: {[n for n, _ in STAGES]}")
     results = {}
     for name, fn in STAGES:
         if stages and name not in stages:

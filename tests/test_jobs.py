@@ -78,3 +78,10 @@ def test_quality_stage_with_a_contract_sample(spark, scratch):
     report = jobs.run_quality(spark, s, paths)
     assert report["contract"]["rows_checked"] == 100 and report["metrics"]["row_count"] == 672
     assert report["status"] == "pass"
+
+
+def test_unknown_stage_is_an_error(spark, scratch):
+    import pytest
+
+    with pytest.raises(ValueError, match="unknown stages"):
+        jobs.run_all(spark, fixture_settings(), jobs.Paths(scratch), ["stage", "staging"])
