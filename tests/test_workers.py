@@ -24,3 +24,10 @@ def test_forest_runs_when_workers_cannot_import_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True,
                          text=True, timeout=600)
     assert "SAMPLED 672" in out.stdout, out.stderr[-2000:]
+
+
+def test_module_entry_prints_help(tmp_path):
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    out = subprocess.run([sys.executable, "-m", "ridemart", "--help"], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "--root" in out.stdout and "--stages" in out.stdout
