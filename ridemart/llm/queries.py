@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridemart.llm import quality_llr
+from ridemart.llm import quality_llr, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes."""
+    return sharding.assign(_table(spark, sf_dir, "documents"), 24).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the likelihood-ratio verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -19,7 +25,7 @@ def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op7_quality_llr,)}
+    return {f.__name__: f for f in (op3_sampled_splitters, op7_quality_llr)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
