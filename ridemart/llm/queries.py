@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import quality_llr, sharding
+from ridemart.llm import decontamination, quality_llr, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), 24).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the likelihood-ratio verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -24,9 +30,34 @@ def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.score_documents(docs, ratios)
 
 
+#: Every ten-word window of the benchmark looked up among all windows of the documents.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bn AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bs AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bn),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM bs),
+dn AS (SELECT doc_id, w, n FROM d, (SELECT DISTINCT n FROM bn) WHERE len(w) >= n),
+ds AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dn),
+hit AS (SELECT doc_id, i, ds.n AS n, item_id FROM ds JOIN bw ON bw.n = ds.n AND array_to_string(w[i:i + ds.n - 1], ' ') = win),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op3_sampled_splitters, op7_quality_llr)}
+    return {f.__name__: f for f in (op3_sampled_splitters, op6_winnowing, op7_quality_llr)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_winnowing": DECONTAMINATION_SQL}
