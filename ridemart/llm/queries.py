@@ -5,18 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import decontamination, quality_llr, sharding
+from ridemart.llm import decontamination, direct_codes, packing, quality_llr, sharding
+from ridemart.llm.tokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Ends every document of the encoded and the packed corpus.
+END_ID = 2
+
+
+def op2_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as token-id files of directly addressable codes, read back."""
+    return direct_codes.encode_corpus(spark, _table(spark, sf_dir, "documents"), vocabulary(), END_ID).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards of near equal bytes."""
     return sharding.assign(_table(spark, sf_dir, "documents"), 24).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), END_ID).drop("row")
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -56,7 +71,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op3_sampled_splitters, op6_winnowing, op7_quality_llr)}
+    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op6_winnowing, op7_quality_llr)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
