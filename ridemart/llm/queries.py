@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import decontamination, direct_codes, packing, quality_llr, sharding
+from ridemart.llm import archive, decontamination, direct_codes, packing, quality_llr, sharding
 from ridemart.llm.tokens import vocabulary
 
 
@@ -70,9 +70,26 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives."""
+    records = archive.archive_pages(spark, _table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Equal payloads of 100 bytes or more refer to their smallest page.
+ARCHIVE_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op6_winnowing, op7_quality_llr)}
+    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op6_winnowing, op7_quality_llr, op10_warc_dictionary)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op6_winnowing": DECONTAMINATION_SQL}
+    return {"op6_winnowing": DECONTAMINATION_SQL, "op10_warc_dictionary": ARCHIVE_SQL}

@@ -7,12 +7,12 @@ import uuid
 from pyarrow import fs
 
 
-def write_file(folder: str, name: str, parts: list[bytes]) -> str:
+def write_file(folder: str, name: str, parts: list[bytes], suffix: str = "") -> str:
     """Write a new file (a fresh name per attempt, so a retried task never touches another's) and return its URI."""
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
-    name = f"{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(f"{path}/{name}") as out:
+    name = f"{name}-{uuid.uuid4().hex}{suffix}"
+    with system.open_output_stream(f"{path}/{name}", compression=None) as out:
         for part in parts:
             out.write(part)
     return f"{folder}/{name}"
