@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ridemart.llm import store
 from ridemart.llm.cluster import shared_folder
-from ridemart.llm.tokens import encoder, text_slices
+from ridemart.llm.tokens import encoded
 
 _MAGIC = b"DACTOK01"
 _BLOCK = 8  # bitmap words per directory entry
@@ -137,7 +137,7 @@ def write_corpus(docs: DataFrame, vocabulary: str, end_id: int, folder: str, chu
     """Encode all texts in ascending id order into files below ``folder``; the manifest, written as a table there."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, library = TaskContext.get().partitionId(), encoder(vocabulary)
+        part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         seq, doc_ids, known, pieces, total = 0, [], [], [], 0
 
@@ -153,9 +153,9 @@ def write_corpus(docs: DataFrame, vocabulary: str, end_id: int, folder: str, chu
                                                                      ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("uri", pa.string())]))
 
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for a, b in text_slices(texts):
-                for i, tokens in zip(ids[a:b], library.encode([t or "" for t in texts[a:b]])):
+            ids = batch.column("doc_id").to_pylist()
+            for a, some in encoded(batch.column("text"), vocabulary):
+                for i, tokens in zip(ids[a:], some):
                     doc_ids.append(i or 0)
                     known.append(i is not None)
                     pieces.append(tokens + end)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridemart.llm.tokens import encoder, text_slices
+from ridemart.llm.tokens import encoded
 from ridemart.session import ensure_checkpoint_dir
 
 
@@ -87,13 +87,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
     """Every document's pieces (``PIECE_SCHEMA``); ``row`` numbers the documents."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            rows = batch.column("row").to_pylist()
-            for a, b in text_slices(texts):
+            ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
+            for a, some in encoded(batch.column("text"), vocabulary):
                 out: list[list] = [[], [], [], [], [], []]
-                for row, i, tokens in zip(rows[a:b], ids[a:b], library.encode([t or "" for t in texts[a:b]])):
+                for row, i, tokens in zip(rows[a:], ids[a:], some):
                     tokens += end
                     for k, (start, length) in enumerate(cut_pieces(len(tokens) // 4, capacity)):
                         for column, value in zip(out, (row, i, k, start, length, zlib.crc32(tokens[start * 4:(start + length) * 4]))):
@@ -149,12 +148,12 @@ def sequences(docs: DataFrame, packed: DataFrame, vocabulary: str, end_id: int,
     ``doc_id`` must be unique here, as it links the pieces to their texts.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for a, b in text_slices(texts):
+            ids = batch.column("doc_id").to_pylist()
+            for a, some in encoded(batch.column("text"), vocabulary):
                 out: tuple[list, list, list] = ([], [], [])
-                for i, tokens in zip(ids[a:b], library.encode([t or "" for t in texts[a:b]])):
+                for i, tokens in zip(ids[a:], some):
                     tokens += end
                     for k, (start, length) in enumerate(cut_pieces(len(tokens) // 4, capacity)):
                         for column, value in zip(out, (i, k, tokens[start * 4:(start + length) * 4])):

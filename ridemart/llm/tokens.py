@@ -1,29 +1,34 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary (the ``tokenizers`` library).
 
-Natural text repeats its words, so each worker keeps the ids of the pieces it
-has seen.  A piece starts at a single space after a non-space, or is a single
-newline between non-spaces: the vocabulary's pre-tokeniser always cuts there,
-so the ids of the pieces in a row are exactly the ids of the text.  Texts with
-runs of white space (or NUL) go to the library whole.
+Natural text repeats its words, so the library is asked for each distinct piece
+of a batch once, and every worker keeps the ids of the pieces it has met.  A
+piece starts where the vocabulary's pre-tokeniser always starts a new token: at
+a single space after a non-space, at and after a single newline, and at ASCII
+punctuation after a letter.  So the ids of the pieces in a row are exactly the
+ids of the text.  Texts with runs of white space, or white space other than
+space and newline, go to the library whole.
+
+Pieces are looked up by a 64-bit hash of their bytes and length.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
+from ridemart.llm import text as T
 from ridemart.llm.cluster import per_worker
 
-_RUNS = ("  ", "\n\n", " \n", "\n ", "\x00")
-#: White space other than space and newline: let the library decide.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_MARK = "\x00"
-
-
-def _plain(text: str) -> bool:
-    return not any(run in text for run in _RUNS) and not _OTHER_SPACE.search(text)
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[10, 32]] = True
+#: Bytes that are, or may begin, other white space (UTF-8).
+_ODD = np.zeros(256, bool)
+_ODD[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -32,67 +37,144 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _odd_space(data: np.ndarray) -> np.ndarray:
+    """Places of white space other than space and newline."""
+    at = np.flatnonzero(_ODD[data])
+    second, third = (np.where(at + k < len(data), data[np.minimum(at + k, len(data) - 1)], 0) for k in (1, 2))
+    first = data[at]
+    yes = first < 32
+    yes |= (first == 0xC2) & ((second == 0x85) | (second == 0xA0))
+    yes |= (first == 0xE1) & (second == 0x9A) & (third == 0x80)
+    yes |= (first == 0xE2) & (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    yes |= (first == 0xE2) & (second == 0x81) & (third == 0x9F)
+    yes |= (first == 0xE3) & (second == 0x80) & (third == 0x80)
+    return at[yes]
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """True on the last byte of an ASCII or Latin-1 letter."""
+    out = _ASCII_LETTER[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3) + 1
+    out[latin[(data[latin] != 0x97) & (data[latin] != 0xB7)]] = True
+    return out
+
+
 class Encoder:
-    """Texts to little-endian uint32 ids; ``kept_pieces`` bounds the memory of the piece table."""
+    """Texts to ids; ``kept_pieces`` bounds the memory of the piece table."""
 
-    def __init__(self, path: str, kept_pieces: int = 500_000, joined: int = 2000):
+    def __init__(self, path: str, kept_pieces: int = 1_500_000, joined: int = 2000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kept_pieces, self.joined = kept_pieces, joined
-        newline = self._whole(["\n"])[0]
         # Pieces may be encoded in one go, one per line, when a newline is one id of its own.
-        self.newline = int(np.frombuffer(newline, "<u4")[0]) if len(newline) == 4 else None
-        self.fixed = {"": b"", "\n": newline}
-        self.pieces = dict(self.fixed)
+        newline = self._whole(["\n"])[0]
+        self.newline = int(newline[0]) if len(newline) == 1 else None
+        self._forget()
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
-    def _lines(self, pieces: list[str]) -> list[bytes]:
-        ids = np.frombuffer(self._whole(["\n".join(pieces)])[0], "<u4")
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _lines(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, ids per piece)."""
+        ids = self._whole([b"\n".join(pieces).decode()])[0]
         at = np.flatnonzero(ids == self.newline)
         if len(at) != len(pieces) - 1:
-            return self._whole(pieces)
-        raw, cuts = ids.tobytes(), (at * 4).tolist()
-        return [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text, four bytes each (a few megabytes of text at a time)."""
-        split = [t.replace(" ", _MARK + " ").replace("\n", _MARK + "\n" + _MARK).split(_MARK)
-                 if self.newline is not None and _plain(t) else None for t in texts]
-        out: list[bytes] = [b""] * len(texts)
-        rest = [k for k, s in enumerate(split) if s is None]
-        for k, ids in zip(rest, self._whole([texts[k] for k in rest])):
-            out[k] = ids
-        whole = [s for s in split if s is not None]
-        if len(self.pieces) > self.kept_pieces:
-            self.pieces = dict(self.fixed)
-        self._learn(list(set().union(*whole).difference(self.pieces)))
-        for k, pieces in enumerate(split):
-            if pieces is not None:
-                out[k] = b"".join(map(self.pieces.__getitem__, pieces))
+            parts = self._whole([p.decode() for p in pieces])
+            return np.concatenate(parts), np.array([len(p) for p in parts])
+        return np.delete(ids, at), np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        ids, sizes = [], []
+        lines = [p for p in pieces if p != b"\n"]
+        for a in range(0, len(lines), self.joined):
+            got = self._lines(lines[a:a + self.joined])
+            ids.append(got[0])
+            sizes.append(got[1])
+        size = np.concatenate([*sizes, np.zeros(0, np.int64)])
+        if len(lines) < len(pieces):
+            at = pieces.index(b"\n")
+            size = np.insert(size, at, 1)
+            flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
+            ids = [np.insert(flat, int(size[:at].sum()), self.newline)]
+        first = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *ids]).astype(np.uint32, copy=False)
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.first = np.insert(self.first, place, first)
+        self.size = np.insert(self.size, place, size)
+
+    def _plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, id offsets) of texts without odd white space."""
+        blank = _BLANK[data]
+        begins = blank.copy()
+        begins[1:] |= data[:-1] == 10
+        begins[1:] |= _letters(data)[:-1] & _PUNCTUATION[data[1:]]
+        begins[off[:-1][off[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        hashes = T.mix(T.span_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
+        keys, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.kept_pieces:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        fresh = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        fresh[inside] = self.keys[place[inside]] != keys[inside]
+        if fresh.any():
+            raw = data.tobytes()
+            self._learn(keys[fresh], [raw[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist())])
+            place = np.searchsorted(self.keys, keys)
+        place = place[back]
+        size = self.size[place]
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        ids = self.ids[np.repeat(self.first[place] - (stop - size), size) + np.arange(total)]
+        return ids, np.concatenate([[0], stop])[np.searchsorted(starts, off)]
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """The ids of every text of a slice (bytes and offsets), as little-endian uint32."""
+        n = len(off) - 1
+        blank = _BLANK[data]
+        odd = np.zeros(n, bool)
+        if self.newline is None:
+            odd[:] = True
+        else:
+            runs = np.flatnonzero(blank[1:] & blank[:-1])
+            row = np.searchsorted(off, runs, "right") - 1
+            odd[row[off[row + 1] > runs + 1]] = True
+            odd[np.searchsorted(off, _odd_space(data), "right") - 1] = True
+        size = np.diff(off)
+        out: list[bytes] = [b""] * n
+        rest = np.flatnonzero(odd & (size > 0)).tolist()
+        for k, ids in zip(rest, self._whole([data[off[k]:off[k + 1]].tobytes().decode() for k in rest])):
+            out[k] = ids.astype("<u4", copy=False).tobytes()
+        if odd.any():
+            data = data[np.repeat(~odd, size)]
+            off = np.concatenate([[0], np.cumsum(size[~odd])])
+        if len(data):
+            ids, cuts = self._plain(data, off)
+            raw, cuts = ids.astype("<u4", copy=False).tobytes(), (cuts * 4).tolist()
+            for k, a, b in zip(np.flatnonzero(~odd).tolist(), cuts, cuts[1:]):
+                out[k] = raw[a:b]
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        for a in range(0, len(new), self.joined):
-            part = new[a:a + self.joined]
-            self.pieces.update(zip(part, self._lines(part)))
-
 
 def encoder(path: str) -> Encoder:
     return per_worker("encoder:" + path, lambda: Encoder(path))
 
 
-def text_slices(texts: list, size: int = 1 << 21):
-    """Yield (first, last) ranges of about ``size`` characters (one text at least)."""
-    first, total = 0, 0
-    for k, t in enumerate(texts):
-        if total and total + len(t or "") > size:
-            yield first, k
-            first, total = k, 0
-        total += len(t or "")
-    if first < len(texts):
-        yield first, len(texts)
+def encoded(column, path: str, slice_bytes: int = 4 << 20):
+    """Yield (first row, ids of its rows) over a text column, a slice at a time."""
+    library = encoder(path)
+    data, off = T.flat(column)
+    for a, b in T.slices(off, slice_bytes):
+        yield a, library.encode(data[off[a]:off[b]], off[a:b + 1] - off[a])

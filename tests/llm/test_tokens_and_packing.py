@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,6 +9,7 @@ from tokenizers import Tokenizer
 
 from ridemart.llm import direct_codes as C
 from ridemart.llm import packing as P
+from ridemart.llm import text as T
 from ridemart.llm.tokens import Encoder, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +25,8 @@ def direct():
 
 
 def got_ids(encoder, texts):
-    return [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t or "" for t in texts])]
+    data, off = T.flat(pa.array(texts, pa.string()))
+    return [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(data, off)]
 
 
 def test_pieces_equal_the_library(direct):
@@ -31,7 +34,7 @@ def test_pieces_equal_the_library(direct):
     assert got_ids(encoder, EDGE) == [direct(t) for t in EDGE]
 
 
-@settings(max_examples=150, deadline=None, derandomize=True)
+@settings(max_examples=400, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="ab \n\té'1.Ü \x1c", max_size=30), max_size=6))
 def test_pieces_equal_the_library_on_any_text(texts):
     encoder = _SHARED.setdefault("e", Encoder(vocabulary()))
