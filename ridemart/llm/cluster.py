@@ -7,7 +7,7 @@ import types
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ridemart.session import ensure_checkpoint_dir
 
@@ -24,6 +24,12 @@ def drop_folder(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """The rows as a table below a shared folder, read again: lineage ends here and Spark knows the true size."""
+    df.write.option("compression", "lz4").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
 def per_worker(key: str, make: Callable[[], object]) -> object:
     """A value made once per Python worker process and reused by its later tasks."""
     store = sys.modules.setdefault("_ridemart_worker_values", types.ModuleType("_ridemart_worker_values"))

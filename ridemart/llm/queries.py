@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import archive, decontamination, direct_codes, packing, quality_llr, sharding
+from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, packing, quality_llr, sharding
 from ridemart.llm.tokens import vocabulary
 
 
@@ -32,6 +32,11 @@ def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), END_ID).drop("row")
 
 
+def op5_multi_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at a 5-word-shingle Jaccard similarity of 0.8."""
+    return ngram_jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -88,7 +93,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op6_winnowing, op7_quality_llr, op10_warc_dictionary)}
+    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op10_warc_dictionary)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
