@@ -135,6 +135,7 @@ def answer(requests: DataFrame, reduce: Callable, n_buckets: int) -> DataFrame:
     """Each bucket's requests through ``reduce(list of part lists) -> list of payloads``; answers keep bucket and chunk."""
 
     def one(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
         payloads = reduce([split_parts(p.as_py()) for p in table.column("payload")])
         return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"), "payload": pa.array(payloads, pa.binary())})
 
@@ -143,12 +144,12 @@ def answer(requests: DataFrame, reduce: Callable, n_buckets: int) -> DataFrame:
 
 
 def finish(requests: DataFrame, answers: DataFrame, last: Callable, schema: str) -> DataFrame:
-    """Run ``last(chunk, [payload by bucket]) -> Arrow table`` for every chunk, with or without answers."""
+    """Run ``last(chunk, [payload by bucket]) -> Arrow table`` for every chunk; what a chunk row carries comes first."""
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
         chunk = table.column("chunk")[0].as_py()
-        return last(chunk, [p.as_py() for b, p in zip(table.column("bucket"), table.column("payload")) if b.as_py() != CHUNK_ROW])
+        return last(chunk, [p for p in table.column("payload").to_pylist() if p])
 
     known = requests.where(F.col("bucket") == CHUNK_ROW)
     chunks = known.count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, packing, quality_llr, sharding
+from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, packing, quality_llr, recompression, sharding
 from ridemart.llm.tokens import vocabulary
 
 
@@ -75,6 +75,11 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of later copies of 20-word sequences removed."""
+    return recompression.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, read back from the archives."""
     records = archive.archive_pages(spark, _table(spark, sf_dir, "pages"))
@@ -93,7 +98,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op10_warc_dictionary)}
+    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op10_warc_dictionary)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
