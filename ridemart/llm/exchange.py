@@ -117,12 +117,12 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
 
 
-def write_requests(docs: DataFrame, folder: str, requests: Callable, chunk_bytes: int) -> DataFrame:
-    """Chunk the rows (``doc_id``, ``text``), keep their texts, and write what ``requests(table, chunk)`` asks."""
+def write_requests(docs: DataFrame, folder: str, requests: Callable, chunk_bytes: int, save: Callable = save_texts) -> DataFrame:
+    """Chunk the rows (``doc_id``, ``text``), keep them, and write what ``requests(table, chunk)`` asks."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_chunks(batches, chunk_bytes):
-            chunk = save_texts(folder, table)
+            chunk = save(folder, table)
             yield rows_batch([(CHUNK_ROW, chunk, b""), *requests(table, chunk)])
 
     path = f"{folder}/requests"
@@ -131,26 +131,33 @@ def write_requests(docs: DataFrame, folder: str, requests: Callable, chunk_bytes
     return docs.sparkSession.read.schema(REQUEST_SCHEMA).parquet(path)
 
 
-def answer(requests: DataFrame, reduce: Callable, n_buckets: int) -> DataFrame:
-    """Each bucket's requests through ``reduce(list of part lists) -> list of payloads``; answers keep bucket and chunk."""
+def answer(requests: DataFrame, reduce: Callable, n_buckets: int, pass_chunks: bool = False) -> DataFrame:
+    """Each bucket's requests through ``reduce(list of part lists) -> list of payloads``; answers keep bucket and chunk.
+
+    Requests come in chunk order.  With ``pass_chunks`` the chunk rows go along,
+    so that requests that are not a table need to be made only once.
+    """
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
+        if table.column("bucket")[0].as_py() == CHUNK_ROW:
+            return table
         payloads = reduce([split_parts(p.as_py()) for p in table.column("payload")])
         return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"), "payload": pa.array(payloads, pa.binary())})
 
-    asked = requests.where(F.col("bucket") != CHUNK_ROW)
+    asked = requests if pass_chunks else requests.where(F.col("bucket") != CHUNK_ROW)
     return asked.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(one, REQUEST_SCHEMA)
 
 
-def finish(requests: DataFrame, answers: DataFrame, last: Callable, schema: str) -> DataFrame:
+def chunk_rows(requests: DataFrame) -> DataFrame:
+    return requests.where(F.col("bucket") == CHUNK_ROW)
+
+
+def finish(rows: DataFrame, chunks: int, last: Callable, schema: str) -> DataFrame:
     """Run ``last(chunk, [payload by bucket]) -> Arrow table`` for every chunk; what a chunk row carries comes first."""
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
-        chunk = table.column("chunk")[0].as_py()
-        return last(chunk, [p for p in table.column("payload").to_pylist() if p])
+        return last(table.column("chunk")[0].as_py(), [p for p in table.column("payload").to_pylist() if p])
 
-    known = requests.where(F.col("bucket") == CHUNK_ROW)
-    chunks = known.count()
-    return known.unionAll(answers).repartition(max(1, chunks), "chunk").groupBy("chunk").applyInArrow(one, schema)
+    return rows.repartition(max(1, chunks), "chunk").groupBy("chunk").applyInArrow(one, schema)

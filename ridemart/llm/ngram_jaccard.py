@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame, cfg: JaccardConfig | None = None) -> DataFr
     folder = shared_folder(spark, "ngram-jaccard")  # also sets the checkpoint folder
     n_buckets = max(1, -(-X.text_bytes(docs) // (6 * cfg.bucket_tokens)))
     requests = X.write_requests(docs, folder, _requests(cfg, n_buckets), cfg.chunk_bytes)
-    rows = X.finish(requests, X.answer(requests, _frequency_classes, n_buckets), _set_rows(cfg), DOC_SCHEMA)
+    known = X.chunk_rows(requests)
+    rows = X.finish(known.unionAll(X.answer(requests, _frequency_classes, n_buckets)), known.count(), _set_rows(cfg), DOC_SCHEMA)
     rows = written(rows, folder, "rows")
     # Equal sets become one, named by its smallest document.
     key = ["sig1", "sig2", "n"]

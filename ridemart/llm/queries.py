@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, packing, quality_llr, recompression, sharding
+from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, ngram_lm, packing, quality_llr, recompression, sharding
 from ridemart.llm.tokens import vocabulary
 
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 END_ID = 2
 
 
+def op1_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram scores of all documents, trained on nine tenths of them."""
+    return ngram_lm.train_and_score(_table(spark, sf_dir, "documents"))
+
+
 def op2_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as token-id files of directly addressable codes, read back."""
     return direct_codes.encode_corpus(spark, _table(spark, sf_dir, "documents"), vocabulary(), END_ID).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -98,7 +103,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op10_warc_dictionary)}
+    return {f.__name__: f for f in (op1_elias_fano_lm, op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op10_warc_dictionary)}
 
 
 def llm_oracle_sql() -> dict[str, str]:

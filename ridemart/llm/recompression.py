@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from ridemart.llm import exchange as X
 from ridemart.llm import store
 from ridemart.llm import text as T
-from ridemart.llm.cluster import drop_folder, shared_folder, written
+from ridemart.llm.cluster import drop_folder, shared_folder
 
 
 @dataclass(frozen=True)
@@ -235,7 +235,7 @@ def _ask_windows(cfg: RecompressionConfig, folder: str, n_buckets: int):
         asked, back = np.unique(X.short_keys(keys), return_inverse=True)
         many = split_bits(payloads)
         starts = starts[many[back]] if len(asked) else starts
-        side = store.write_file(folder, "candidates", [X.squeeze(np.diff(starts, prepend=0))])
+        side = store.write_file(folder, "candidates", [X.squeeze(np.diff(starts, prepend=0))])  # a repeated task writes an equal one
         prints, at, _ = _distinct_windows(words, starts, first, rank, cfg)
         owner = np.searchsorted(first, starts[at], "right") - 1
         ids = table.column("doc_id").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy(False)
@@ -299,9 +299,10 @@ def remove_repeats(docs: DataFrame, cfg: RecompressionConfig | None = None, with
     folder = shared_folder(spark, "recompression")
     n_buckets = max(1, -(-X.text_bytes(docs) // (12 * cfg.bucket_keys)))
     first = X.write_requests(docs, folder, _ask_keys(cfg, n_buckets), cfg.chunk_bytes)
-    second = written(X.finish(first, X.answer(first, _repeated, n_buckets), _ask_windows(cfg, folder, n_buckets), X.REQUEST_SCHEMA), folder, "windows")
-    drop_folder(spark, f"{folder}/requests")
+    known = X.chunk_rows(first)
+    chunks = known.count()
+    second = X.finish(known.unionAll(X.answer(first, _repeated, n_buckets)), chunks, _ask_windows(cfg, folder, n_buckets), X.REQUEST_SCHEMA)
     schema = RESULT_SCHEMA + (", kept string" if with_text else "")
-    out = X.finish(second, X.answer(second, _not_first, n_buckets), _remove(cfg, with_text), schema).checkpoint()
+    out = X.finish(X.answer(second, _not_first, n_buckets, pass_chunks=True), chunks, _remove(cfg, with_text), schema).checkpoint()
     drop_folder(spark, folder)
     return out
