@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, ngram_lm, packing, quality_llr, recompression, sharding
+from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, ngram_lm, packing, quality_llr, recompression, sharding, suffix_dedup
 from ridemart.llm.tokens import vocabulary
 
 
@@ -85,6 +85,11 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op9_induced_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings of smaller documents removed."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, read back from the archives."""
     records = archive.archive_pages(spark, _table(spark, sf_dir, "pages"))
@@ -103,7 +108,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_elias_fano_lm, op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op10_warc_dictionary)}
+    return {f.__name__: f for f in (op1_elias_fano_lm, op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op9_induced_sort, op10_warc_dictionary)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
