@@ -13,8 +13,8 @@ exactly.
    a prefix token (one pair per set).  Verified pairs form components, which
    makes a large group of near copies one component without its pairs.
 3. Pairs across components are then all examined: within a prefix token's
-   group, in blocks, by size and shared-token bounds, then by the other orders,
-   then exactly.  No group is capped and no link between components is lost.
+   group, in blocks, by bounds on their intersection, then by the other
+   orders, then exactly.  No group is capped and no link between components is lost.
 
 Edge cases: null, empty and blank texts have the empty set and are linked with
 nothing; a text of fewer words than ``n`` is one token; repeated rows are equal
@@ -176,17 +176,26 @@ def verified(pairs: DataFrame, sets: DataFrame, cfg: JaccardConfig) -> DataFrame
     return both.withColumn("i", inter).where(100 * F.col("i") >= cfg.percent * (F.col("n_a") + F.col("n_b") - F.col("i"))).select("a", "b")
 
 
-def hub_pairs(sets: DataFrame) -> DataFrame:
-    """One pair per set: with the most central set among those that share one of its prefix tokens."""
+def pivots(sets: DataFrame) -> DataFrame:
+    """For every set, the most central set among those that share one of its prefix tokens, and what both have in common."""
     posts = sets.select("id", "centre", F.explode("first").alias("token"))
     hubs = posts.groupBy("token").agg(F.max(F.struct("centre", "id")).alias("hub"))
-    return (posts.join(hubs, "token").where(F.col("hub.id") != F.col("id")).groupBy("id").agg(F.max("hub").alias("hub"))
-            .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
-
-
-def cross_pairs(sets: DataFrame, labels: DataFrame, cfg: JaccardConfig) -> DataFrame:
-    """Every pair of different components that shares a prefix token and passes the size bounds, once."""
-    posts = (sets.join(labels, "id", "left").select("id", "n", "m", F.coalesce("component", "id").alias("component"), F.explode("first").alias("token")))
+    chosen = (posts.join(hubs, "token").where(F.col("hub.id") != F.col("id")).groupBy("id").agg(F.max("hub").alias("hub"))
+              .select("id", F.col("hub.id").alias("pivot")))
+    return (sets.select("id", "tokens").join(chosen, "id").join(sets.select(F.col("id").alias("pivot"), F.col("tokens").alias("t")), "pivot")
+            .select("id", "pivot", F.size(F.array_intersect("tokens", "t")).alias("with_pivot")))
+
+
+def cross_pairs(sets: DataFrame, near: DataFrame, labels: DataFrame, cfg: JaccardConfig) -> DataFrame:
+    """Every pair of different components that shares a prefix token and passes the bounds, once.
+
+    Bounds on the intersection of x and y: neither has more shared tokens than
+    ``m``; and with the same pivot they have at most the smaller intersection
+    with it in common inside it, and the smaller rest outside.
+    """
+    posts = (sets.join(labels, "id", "left").join(near, "id", "left")
+             .select("id", "n", "m", F.coalesce("component", "id").alias("component"), F.coalesce("pivot", "id").alias("pivot"),
+                     F.coalesce("with_pivot", "m").alias("with_pivot"), F.explode("first").alias("token")))
     open_ = (posts.groupBy("token").agg(F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("token", "k"))
     posts = posts.join(open_, "token")
@@ -195,17 +204,19 @@ def cross_pairs(sets: DataFrame, labels: DataFrame, cfg: JaccardConfig) -> DataF
     mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     met = (posts.withColumn("blocks", blocks).withColumn("mine", mine)
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("id", "n", "m", "component", "token", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")))
+           .select("id", "n", "m", "component", "pivot", "with_pivot", "token", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")))
     percent = cfg.percent
 
     def meet(table: pa.Table) -> pa.Table:
-        col = {c: table.column(c).to_numpy() for c in ("id", "n", "m", "component", "mine")}
+        col = {c: table.column(c).to_numpy() for c in ("id", "n", "m", "component", "pivot", "with_pivot", "mine")}
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
         left, right = np.flatnonzero(col["mine"] == x), np.flatnonzero(col["mine"] == y)
         out_a, out_b = [], []
         for i in left.tolist():
             least = -(-percent * (col["n"][i] + col["n"][right]) // (100 + percent))
             ok = (col["component"][right] != col["component"][i]) & (np.minimum(col["m"][right], col["m"][i]) >= least)
+            inside, outside = col["with_pivot"], col["m"] - col["with_pivot"]
+            ok &= (col["pivot"][right] != col["pivot"][i]) | (np.minimum(inside[right], inside[i]) + np.minimum(outside[right], outside[i]) >= least)
             if x == y:
                 ok &= col["id"][right] > col["id"][i]
             if ok.any():
@@ -239,8 +250,10 @@ def near_duplicates(docs: DataFrame, cfg: JaccardConfig | None = None) -> DataFr
     kept = (filled.where(F.col("tokens").isNotNull()).groupBy(key)
             .agg(F.first(F.struct("m", "centre", "tokens", "first", "others")).alias("set")))
     sets = written(kept.join(named, key).select("id", "n", "set.*"), folder, "sets")
-    links = written(verified(hub_pairs(sets), sets, cfg), folder, "links")
-    more = written(verified(cross_pairs(sets, components(links, folder), cfg), sets, cfg), folder, "more-links")
+    near = written(pivots(sets), folder, "pivots")
+    stars = near.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    links = written(verified(stars, sets, cfg), folder, "links")
+    more = written(verified(cross_pairs(sets, near, components(links, folder), cfg), sets, cfg), folder, "more-links")
     labels = components(links.union(more), folder).withColumnRenamed("component", "label")
     groups = named.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = groups.groupBy("label").agg(F.min("least").alias("component_id"))
