@@ -26,13 +26,13 @@ def col_of(c: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """``round(x, digits)`` as floor(x*10^d + 0.5)/10^d.
+    """``round(x, digits)``, ties away from zero on the scaled double.
 
-    One formula on every engine, so ties such as 1.005 come out the same
-    everywhere (K8).  Result is DOUBLE; NULL stays NULL.
+    The usual database ``round`` of a DOUBLE: -0.125 gives -0.13, and NULL,
+    NaN and infinities pass through unchanged (K8).
     """
-    scale = 10 ** digits
-    return F.floor(col_of(c) * scale + 0.5) / scale
+    scale = float(10 ** digits)
+    return F.round(col_of(c).cast("double") * scale, 0) / scale
 
 
 def round2(c: str | Column) -> Column:
@@ -119,22 +119,13 @@ def day_part(hour: str | Column) -> Column:
     return expr.otherwise(LAST_DAY_PART)
 
 
-def fourier_terms(values: str | Column, period: int, k: int, name: str,
-                  digits: int | None = 6) -> list[Column]:
-    """``{name}_sin{i}``, ``{name}_cos{i}`` for i = 1..k.
-
-    Terms are quantised to ``digits`` decimals (default 6): JVM and C
-    library sin/cos differ in the last bit for a few arguments, and a
-    feature needs nowhere near 15 digits.
-    """
+def fourier_terms(values: str | Column, period: int, k: int, name: str) -> list[Column]:
+    """``{name}_sin{i}``, ``{name}_cos{i}`` for i = 1..k."""
     v = col_of(values)
     out = []
     for i in range(1, k + 1):
         arg = F.lit(2.0) * F.pi() * F.lit(i) * v / F.lit(period)
-        s, c = F.sin(arg), F.cos(arg)
-        if digits is not None:
-            s, c = round_half_up(s, digits), round_half_up(c, digits)
-        out += [s.alias(f"{name}_sin{i}"), c.alias(f"{name}_cos{i}")]
+        out += [F.sin(arg).alias(f"{name}_sin{i}"), F.cos(arg).alias(f"{name}_cos{i}")]
     return out
 
 

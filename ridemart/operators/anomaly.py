@@ -1,8 +1,9 @@
 """Trip anomalies: business rules plus an isolation-forest score.
 
-Rules are plain boolean columns (JVM).  The forest is built from a bounded,
-seeded sample (one pandas task per tree) and scores every trip in
-Arrow batches; see ``ridemart.operators.iforest``.
+Rules are plain boolean columns (JVM).  The forest is built from seeded
+draws of bounded size (one pandas task per tree) and scores every trip in
+Arrow batches; see ``ridemart.operators.iforest``.  What follows a score
+(threshold, flags, mart, summary) is the same for any score column.
 """
 
 from __future__ import annotations
@@ -74,12 +75,16 @@ def flag(scored: DataFrame, threshold: Column | float) -> DataFrame:
     return out.withColumn("is_anomaly", F.col("iso_outlier") | (F.col("rules") != ""))
 
 
-def anomaly_mart(flagged: DataFrame, settings: Settings) -> DataFrame:
-    """N13/O5 + F12: the top flagged trips by score (ties by trip id), see ``top_k``."""
+def anomaly_mart(flagged: DataFrame) -> DataFrame:
+    """N13 + F12: every flagged trip with its score and reasons."""
+    return flagged.where("is_anomaly")
+
+
+def top_anomalies(mart: DataFrame, k: int) -> DataFrame:
+    """The k flagged trips with the highest score (ties by trip id), see ``top_k``."""
     from ridemart.operators.sampling import top_k
 
-    tie = ["trip_id"] if "trip_id" in flagged.columns else []
-    return top_k(flagged.where("is_anomaly"), settings.anomaly.mart_rows, "anomaly_score", tie)
+    return top_k(mart, k, "anomaly_score", ["trip_id"] if "trip_id" in mart.columns else [])
 
 
 def anomaly_summary(flagged: DataFrame, fact_rows: Column | int | None = None) -> DataFrame:
@@ -96,35 +101,51 @@ def anomaly_summary(flagged: DataFrame, fact_rows: Column | int | None = None) -
     return out
 
 
-def detect(fact: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """N1-N14 end to end over the fact (with ``trip_id``).
-
-    Returns ``scored`` (every input row with score, flags and reasons;
-    persisted, as four outputs read it), ``mart`` (N13), ``summary`` (A19,
-    B5) and ``rules`` (N14).  Only the node table, one threshold and the
-    feature means reach the driver.
-    """
+def largest_z(df: DataFrame, settings: Settings) -> DataFrame:
+    """A plain score next to the forest's: the largest absolute z-score of the six features."""
     from ridemart.operators import iforest
 
-    a = settings.anomaly
     feats = list(ANOMALY_FEATURES)
-    base = scoring_input(fact, settings)
-    center, scale, rows = iforest.feature_stats(base, feats)
-    z, zcols = iforest.with_z(base, feats, center, scale)
-    keys = ["trip_id"] if "trip_id" in base.columns else None
+    z, zcols, _ = iforest.standardize(df, feats)
+    return z.withColumn("anomaly_score", F.greatest(*[F.abs(c) for c in zcols])).drop(*zcols)
+
+
+def forest_scores(df: DataFrame, settings: Settings) -> DataFrame:
+    """The isolation-forest score of every row."""
+    from ridemart.operators import iforest
+
+    a, feats = settings.anomaly, list(ANOMALY_FEATURES)
+    center, scale, rows = iforest.feature_stats(df, feats)
+    z, zcols = iforest.with_z(df, feats, center, scale)
+    keys = ["trip_id"] if "trip_id" in df.columns else None
     nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys, rows)
     # Scoring standardises inside the Python task: only raw columns cross over.
-    scored = iforest.score(base, feats, nodes, center=center, scale=scale)
-    scored = with_rules(scored).persist()
-    n = rows
-    thr = iforest.contamination_threshold(scored, a.contamination, exact_max_rows=a.exact_quantile_max_rows,
-                                          rows=n)
+    return iforest.score(df, feats, nodes, center=center, scale=scale)
+
+
+def assess(scored: DataFrame, settings: Settings, fact_rows: Column | int | None = None) -> dict[str, DataFrame]:
+    """N5, N12-N14, A19 over any scored rows (a table: several outputs read it)."""
+    from ridemart.operators import iforest
+
+    scored = with_rules(scored)
+    thr = iforest.contamination_threshold(scored, settings.anomaly.contamination)
     flagged = flag(scored, F.lit(thr if thr is not None else float("inf")))
-    total = fact.count() if a.sample_rows else n
     return {
         "scored": flagged,
-        "mart": anomaly_mart(flagged, settings),
-        "summary": anomaly_summary(flagged, total),
+        "mart": anomaly_mart(flagged),
+        "summary": anomaly_summary(flagged, fact_rows),
         "rules": rule_summary(flagged),
         "threshold": thr,
     }
+
+
+def detect(fact: DataFrame, settings: Settings, scores_path: str, score=forest_scores) -> dict[str, DataFrame]:
+    """N1-N14 end to end over the fact (with ``trip_id``).
+
+    The scored rows are written once to ``scores_path`` and read back by the
+    outputs: ``scored``, ``mart`` (N13), ``summary`` (A19, B5), ``rules``
+    (N14).  Only the node table, one threshold and the feature means reach
+    the driver.
+    """
+    score(scoring_input(fact, settings), settings).write.mode("overwrite").parquet(scores_path)
+    return assess(fact.sparkSession.read.parquet(scores_path), settings, fact.count())

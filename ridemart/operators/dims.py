@@ -82,8 +82,8 @@ def dim_zone(lookup: DataFrame, centroids: DataFrame | None = None,
     borough centroid, then the city centroid (K26, X12 coalesce); P7 fixes
     the output columns.  The fixed borough table is broadcast (6 rows);
     inputs of unknown size are joined without a hint and Spark's size
-    threshold picks the strategy.  A bound recorded on ``lookup`` carries
-    over to the result.
+    threshold picks the strategy.  The result has no recorded bound: a
+    centroid table that repeats an id repeats its zone.
     """
     spark = lookup.sparkSession
     z = lookup.select(F.col("location_id").cast("int").alias("location_id"),
@@ -104,8 +104,7 @@ def dim_zone(lookup: DataFrame, centroids: DataFrame | None = None,
         F.coalesce("c_lat", "b_lat", F.lit(CITY_CENTROID[0])).alias("lat"),
         F.coalesce("c_lng", "b_lng", F.lit(CITY_CENTROID[1])).alias("lng"),
     )
-    n = getattr(lookup, "_ridemart_max_rows", None)
-    return mark_bounded(out, n) if n is not None else out
+    return out
 
 
 def read_zone_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -196,14 +195,12 @@ def with_scan_ids(df: DataFrame, id_col: str) -> DataFrame:
 def fact_trip(staged: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The trip fact with a dense ``trip_id``.
 
-    ``settings.fact_ids`` picks the numbering: ``"sorted"`` (default) numbers
-    in the order of the fact columns after a range sort, which is
-    reproducible anywhere and clusters the table by date; ``"scan"``
-    numbers in storage order without moving data, the cheap choice for a
-    very large fact whose id order does not matter.
+    ``settings.fact_ids`` picks the numbering: ``"scan"`` (default) numbers
+    in storage order without moving data; ``"sorted"`` numbers in the order
+    of the fact columns after a range sort, which is reproducible anywhere.
     """
     rows = fact_rows(staged)
-    mode = settings.fact_ids if settings else "sorted"
+    mode = settings.fact_ids if settings else "scan"
     if mode == "scan":
         return with_scan_ids(rows, "trip_id").select(*FACT_COLUMNS)
     if mode != "sorted":

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ridemart.constants import INTERVAL_Z, LAGS, WEEK_HOURS
 from ridemart.functions import clip_lower
 from ridemart.operators.series import (FEATURE_COLUMNS, METRICS, backtest_folds, by_fleet, design_matrix,
-                                       eligible, ordered_mean, score, seasonal_naive, with_position)
+                                       eligible, naive_backtest, naive_metrics, ordered_mean, score, with_position)
 from ridemart.settings import Settings
 
 # Gradient-boosted trees cannot take NULL lags; a lag before the start of the
@@ -50,7 +50,7 @@ def _pipeline(settings: Settings) -> Pipeline:
     fc = settings.forecast
     gbt = GBTRegressor(featuresCol="features", labelCol="y", predictionCol="raw_pred",
                        maxIter=fc.max_iter, maxDepth=fc.max_depth, stepSize=fc.step_size,
-                       seed=fc.seed)
+                       maxBins=fc.max_bins, minInstancesPerNode=fc.min_leaf, seed=fc.seed)
     return Pipeline(stages=[gbt])
 
 
@@ -109,6 +109,14 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
         pred = spark.createDataFrame([], "fleet string, fold int, t int, ds timestamp_ntz, y double, "
                                          "raw_pred double, is_test boolean")
 
+    return {**forecast_tables(pred, series, settings), "predictions": pred, "model_frame": mf}
+
+
+def forecast_tables(pred: DataFrame, series: DataFrame, settings: Settings, model: str = "gbm") -> dict[str, DataFrame]:
+    """T6, T8-T12 from any model's predictions ``(fleet, fold, t, ds, y, raw_pred, is_test)``.
+
+    Fold -1 holds the final fit with its in-sample rows, folds 0.. the backtest.
+    """
     # Sigma is the population std of in-sample residuals of the final fit.
     sigma = (pred.where((F.col("fold") == -1) & ~F.col("is_test"))
              .groupBy("fleet").agg(F.stddev_pop(F.col("y") - F.col("raw_pred")).alias("sigma")))
@@ -118,25 +126,30 @@ def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
         "fleet", "ds", F.col("y").alias("y_actual"), yhat.alias("yhat"),
         clip_lower(yhat - INTERVAL_Z * F.col("sigma")).alias("yhat_lower"),
         (yhat + INTERVAL_Z * F.col("sigma")).alias("yhat_upper"))
+    own = score(mart_forecast.withColumn("model", F.lit(model)), ["fleet", "model"]).select("fleet", "model", *METRICS)
 
-    naive = seasonal_naive(series, settings).withColumn("model", F.lit("seasonal_naive"))
-    gbm = mart_forecast.select("fleet", "ds", "y_actual", "yhat", F.lit("gbm").alias("model"))
-    metrics = score(gbm.unionByName(naive), ["fleet", "model"]).select("fleet", "model", *METRICS)
-
-    # Backtest: per-fold scores of both models, averaged per fleet and model.
+    # Backtest: per-fold scores averaged per fleet, next to the baseline's.
     tests = pred.where((F.col("fold") >= 0) & F.col("is_test"))
-    gbm_folds = tests.select("fleet", "fold", F.col("y").alias("y_actual"),
-                             clip_lower("raw_pred").alias("yhat"), F.lit("gbm").alias("model"))
-    lagged = with_position(series).withColumn(
-        "yhat", F.lag("y", WEEK_HOURS).over(by_fleet()))
-    naive_folds = (tests.select("fleet", "fold", "t").join(lagged, ["fleet", "t"])
-                   .select("fleet", "fold", F.col("y").alias("y_actual"), "yhat",
-                           F.lit("seasonal_naive").alias("model")))
-    per_fold = score(gbm_folds.unionByName(naive_folds), ["fleet", "model", "fold"])
-    backtest = (per_fold.groupBy("fleet", "model")
-                .agg(*[ordered_mean(m, "fold").alias(m) for m in METRICS]))
-    return {"mart_forecast": mart_forecast, "mart_forecast_metrics": metrics,
-            "mart_forecast_backtest": backtest, "predictions": pred, "model_frame": mf}
+    per_fold = score(tests.select("fleet", "fold", F.col("y").alias("y_actual"), clip_lower("raw_pred").alias("yhat")), ["fleet", "fold"])
+    folds = (per_fold.groupBy("fleet").agg(*[ordered_mean(m, "fold").alias(m) for m in METRICS])
+             .select("fleet", F.lit(model).alias("model"), *METRICS))
+    return {"mart_forecast": mart_forecast,
+            "mart_forecast_metrics": own.unionByName(naive_metrics(series, settings)),
+            "mart_forecast_backtest": folds.unionByName(naive_backtest(series, settings))}
+
+
+def two_week_mean(series: DataFrame, settings: Settings) -> DataFrame:
+    """A model without a fit: the mean of the values one and two weeks earlier, as predictions of every fold."""
+    fc = settings.forecast
+    p = eligible(with_position(series), settings)
+    w = by_fleet()
+    p = p.withColumn("raw_pred", (F.lag("y", WEEK_HOURS).over(w) + F.lag("y", 2 * WEEK_HOURS).over(w)) / 2)
+    final = p.select("fleet", F.lit(-1).alias("fold"), "t", "ds", "y", "raw_pred",
+                     (F.col("t") >= F.col("n") - fc.test_days * 24).alias("is_test"))
+    folds = backtest_folds(p.select("fleet", "n").distinct(), settings)
+    tests = (p.join(folds, "fleet").where((F.col("t") >= F.col("cut")) & (F.col("t") < F.col("cut") + fc.horizon))
+             .select("fleet", "fold", "t", "ds", "y", "raw_pred", F.lit(True).alias("is_test")))
+    return final.unionByName(tests).where("raw_pred is not null")
 
 
 def best_model(metrics: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ axis-aligned cuts; anomalies need fewer cuts.  Each tree sees only
 ``max_samples`` (256) rows, so the build never needs the table in one
 place:
 
-1. a seeded pool of at most ``trees * max_samples`` rows (O8),
-2. every pool row is offered to every tree and kept with probability about
-   ``1.5 * max_samples / pool`` by a seeded hash; inside the tree's task the
-   ``max_samples`` smallest hashes are kept (exact sample without
-   replacement),
+1. every row draws its trees in the scan: a seeded hash keeps it for a tree
+   with the probability that gives each tree about ``1.5 * max_samples``
+   rows, so about ``1.5 * trees * max_samples`` rows leave the scan however
+   large the table is,
+2. they go straight to their tree's task, which keeps the ``max_samples``
+   smallest hashes (an exact sample without replacement),
 3. ``groupBy(tree_id).applyInPandas`` grows each tree from its own group
    and returns its nodes; the groups are spread over up to one task per
    core by an explicit partition count,
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemart.constants import EULER_GAMMA
-from ridemart.operators.sampling import sample_rows
+from ridemart.operators.sampling import exact_quantile
 
 # The tree builder and scorer run in Python workers.  Ship this module's
 # functions by value so workers need numpy and pandas, not this package on
@@ -133,21 +134,21 @@ def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str
 def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples: int = 256,
                seed: int = 7, key_cols: list[str] | None = None, rows: int | None = None) -> pd.DataFrame:
     """Grow ``trees`` isolation trees; returns the (bounded) node table."""
-    pool_size = trees * max_samples
     keys = key_cols or features
-    pool = sample_rows(df.select(*dict.fromkeys(keys + features)), pool_size, seed, keys,
-                       total=rows).cache()
-    n_pool = pool.count()
-    if n_pool == 0:
+    n = df.count() if rows is None else rows
+    if n == 0:
         raise ValueError("no rows to fit the isolation forest on")
-    psi = min(max_samples, n_pool)
-    rate = min(1.0, 1.5 * psi / n_pool)
-    tree_ids = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id")
-    offered = pool.select(tree_ids, *features, *[c for c in keys if c not in features])
-    h = F.xxhash64(*[F.col(c) for c in keys], F.col("tree_id"), F.lit(seed))
-    u = (F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30))
-    chosen = offered.withColumn("_h", h).where(u < rate).select("tree_id", *features, "_h")
-    # The offered rows are few (about 1.5 x trees x psi), so AQE would coalesce
+    psi = min(max_samples, n)
+    wanted = 1.5 * trees * psi / n  # trees per row
+    copies = min(trees, max(1, math.ceil(wanted)))
+    own = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
+    drawn = df.select(*dict.fromkeys(keys + features)).withColumn("_own", own)
+    drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))) if copies > 1 else F.lit(0))
+    drawn = drawn.withColumn("tree_id", F.pmod(F.pmod("_own", F.lit(trees)) + F.col("_copy"), F.lit(trees)).cast("int"))
+    drawn = drawn.withColumn("_h", F.xxhash64("_own", "tree_id", F.lit(seed)))
+    kept = F.pmod("_h", F.lit(1 << 30)).cast("double") / float(1 << 30) < min(1.0, wanted / copies)
+    chosen = drawn.where(kept).select("tree_id", *features, "_h")
+    # The drawn rows are few (about 1.5 x trees x psi), so AQE would coalesce
     # them into one partition and grow every tree in one Python task.  An
     # explicit partition count (which AQE keeps) spreads the trees over the
     # cluster; the grouping reuses that partitioning.
@@ -155,7 +156,6 @@ def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples
     nodes = (chosen.repartition(tasks, "tree_id").groupBy("tree_id")
              .applyInPandas(_tree_builder(features, psi, seed), NODE_SCHEMA))
     node_pdf = nodes.toPandas()
-    pool.unpersist()
     node_pdf.attrs["max_samples"] = psi
     return node_pdf
 
@@ -224,18 +224,6 @@ def score(df: DataFrame, features: list[str], nodes: pd.DataFrame,
     return df.mapInPandas(run, schema)
 
 
-def contamination_threshold(scored: DataFrame, contamination: float, score_col: str = "anomaly_score",
-                            exact_max_rows: int = 2_000_000, rows: int | None = None) -> float | None:
-    """Score above which a row is an outlier (the 1-contamination quantile).
-
-    Exact ``percentile`` (linear interpolation) up to ``exact_max_rows``
-    rows; above that ``percentile_approx`` with accuracy 1e6 (rank error at
-    most n/1e6), whose buffer does not grow with the table.
-    """
-    n = rows if rows is not None else scored.count()
-    q = 1.0 - contamination
-    if n <= exact_max_rows:
-        agg = F.percentile(score_col, q)
-    else:
-        agg = F.percentile_approx(score_col, q, 1_000_000)
-    return scored.agg(agg.alias("t")).first()["t"]
+def contamination_threshold(scored: DataFrame, contamination: float, score_col: str = "anomaly_score") -> float | None:
+    """Score above which a row is an outlier: the exact, interpolated 1-contamination quantile."""
+    return exact_quantile(scored, score_col, 1.0 - contamination)

@@ -17,21 +17,15 @@ def mark_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
-def bounded(df: DataFrame, known_max_rows: int | None = None,
-            max_rows: int = MAX_BROADCAST_ROWS, check: bool = False) -> DataFrame:
+def bounded(df: DataFrame, known_max_rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
 
     The bound is ``known_max_rows`` or one recorded with ``mark_bounded``
     (days in a window, 24 hours, partitions of a sort, a fixed table).
-    With ``check=True`` an unknown size is counted (capped at
-    ``max_rows + 1`` rows) and recorded.  Otherwise no hint is given and
-    Spark's own size test decides: the planner broadcasts a side whose
+    Without one no hint is given and Spark's own size test decides: the planner broadcasts a side whose
     estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, AQE
     re-decides from the exact size of shuffled sides, and anything larger
     gets a shuffle (sort-merge) join.
     """
     n = known_max_rows if known_max_rows is not None else getattr(df, _BOUND_ATTR, None)
-    if n is None and check:
-        n = df.limit(max_rows + 1).count()
-        mark_bounded(df, n)
     return F.broadcast(df) if n is not None and n <= max_rows else df

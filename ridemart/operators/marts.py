@@ -22,8 +22,8 @@ def _date_dim(dim_date: DataFrame, settings: Settings | None) -> DataFrame:
 
 
 def _zones(dim_zone: DataFrame) -> DataFrame:
-    """The zone dimension for a broadcast join, after a capped size check."""
-    return bounded(dim_zone, check=True).select("location_id", "zone", "borough", "lat", "lng")
+    """The zone columns the marts carry; its size is unknown, so Spark picks the join."""
+    return dim_zone.select("location_id", "zone", "borough", "lat", "lng")
 
 
 def mart_zone_demand(fact: DataFrame, dim_zone: DataFrame, ordered: bool = True) -> DataFrame:
@@ -59,7 +59,8 @@ def mart_hourly_volume(fact: DataFrame, dim_date: DataFrame, settings: Settings
     d = _date_dim(dim_date, settings).select("date_key", "weekday", "weekday_name")
     base = per_hour.join(d, "date_key")
     by_day = Window.partitionBy("fleet", "weekday")
-    base = base.withColumn("n_days", F.size(F.collect_set("date_key").over(by_day)).cast("long"))
+    day = F.dense_rank().over(by_day.orderBy("date_key"))
+    base = base.withColumn("day", day).withColumn("n_days", F.max("day").over(by_day).cast("long"))
     counts = base.groupBy("fleet", "weekday", "weekday_name", F.col("pickup_hour").alias("hour")) \
                  .agg(F.sum("n").alias("rides"), F.first("n_days").alias("n_days"))
     out = counts.select(

@@ -50,9 +50,9 @@ def quality_metrics(staged: DataFrame) -> DataFrame:
         F.count(F.lit(1))).scalar())
 
 
-def duplicate_groups(staged: DataFrame) -> DataFrame:
+def duplicate_groups(staged: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Key groups seen more than once, with their size."""
-    return (staged.groupBy(*DUPLICATE_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return (staged.groupBy(*(key or DUPLICATE_KEY)).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
 
 

@@ -1,63 +1,88 @@
-"""O8 exact-size seeded sample, and a top-k whose final merge stays small."""
+"""O8 exact-size seeded sample, exact quantiles and a top-k whose final merge stays small."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPAN = 2 ** 64
-_MIN = -(2 ** 63)
-_PORTABLE_SPAN = 2 ** 60
+_SPAN = 2 ** 60
 
 
-def portable_hash(cols: list, seed: int):
+def seeded_hash(cols: list, seed: int) -> Column:
     """A 60-bit hash that SQL engines reproduce exactly.
 
-    The first 15 hex digits of ``md5(seed|k1|k2|...)`` as BIGINT.  Keys must
-    have engine-independent string forms (integers, strings, booleans);
-    convert timestamps to epoch microseconds first.  NULL keys are skipped,
-    as ``concat_ws`` does.
+    The first 15 hex digits of ``md5(seed|k1|k2|...)`` as BIGINT.  NULL keys
+    are skipped, as ``concat_ws`` does.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None = None,
-                oversample: float = 1.5, total: int | None = None, portable: bool = False) -> DataFrame:
+                oversample: float = 1.5, total: int | None = None) -> DataFrame:
     """Exactly ``min(n, count)`` rows: those with the smallest seeded hash.
 
-    The hash of ``key_cols`` (``xxhash64``, or ``portable_hash`` when
-    ``portable``) is uniform over its range, so the n smallest hashes lie
-    below the threshold that keeps about ``oversample * n`` rows.  Rows
-    under it are filtered in the scan stage; only that candidate set
+    The hash of ``key_cols`` is uniform over its range, so the n smallest
+    hashes lie below the threshold that keeps about ``oversample * n`` rows.
+    Rows under it are filtered in the scan stage; only that candidate set
     reaches the final ordered take, so the merge task sees about 1.5n rows
-    whatever the table size.  The (at most n-row) result is cached; if the
-    threshold kept fewer than n rows it is raised and the take repeated, so
-    the result is exact.  Ties on
-    the hash are broken by the key columns, then by every other column, so
-    the same seed always picks the same rows.  ``key_cols`` defaults to all
-    columns; ``total`` is the row count when the caller already has it.
+    whatever the table size.  If the threshold kept fewer than n rows it is
+    raised, so the result is exact.  Ties on the hash are broken by the key
+    columns, then by every other column, so the same seed always picks the
+    same rows.  ``key_cols`` defaults to all columns; ``total`` is the row
+    count when the caller already has it.
     """
     keys = list(key_cols or df.columns)
     order = keys + [c for c in df.columns if c not in keys]
-    if portable:
-        hashed, lo, span = df.withColumn("_h", portable_hash(keys, seed)), 0, _PORTABLE_SPAN
-    else:
-        hashed = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in keys], F.lit(seed)))
-        lo, span = _MIN, _SPAN
+    hashed = df.withColumn("_h", seeded_hash(keys, seed))
     total = df.count() if total is None else total
     if total <= n:
         return df
     frac = min(1.0, oversample * n / total)
-    while True:
-        cand = hashed if frac >= 1.0 else hashed.where(F.col("_h") < F.lit(lo + int(frac * span)))
-        # The result is at most n rows: keep it, so checking its size is the
-        # same pass that produces it.
-        out = cand.orderBy("_h", *order).limit(int(n)).drop("_h").cache()
-        if frac >= 1.0 or out.count() >= n:
-            return out
-        out.unpersist()
-        frac *= 2
+    while frac < 1.0 and hashed.where(F.col("_h") < F.lit(int(frac * _SPAN))).count() < n:
+        frac = min(1.0, 2 * frac)
+    candidates = hashed if frac >= 1.0 else hashed.where(F.col("_h") < F.lit(int(frac * _SPAN)))
+    return candidates.orderBy("_h", *order).limit(int(n)).drop("_h")
+
+
+def order_statistics(df: DataFrame, col: str, ranks: list[int], bins: int = 4096) -> list[float]:
+    """The values at 0-based ranks of a DOUBLE column, exactly, at any size.
+
+    Rows are counted per bin of the value range; the bin holding a rank is
+    split into bins again until it holds one value.  Each round is one
+    aggregation of at most ``bins`` rows; nothing is sorted.
+    """
+    out = []
+    base = df.select(F.col(col).cast("double").alias("v")).where("v is not null")
+    for rank in ranks:
+        rows, before = base, 0
+        while True:
+            low, high = rows.agg(F.min("v"), F.max("v")).first()
+            if low == high:
+                out.append(low)
+                break
+            step = (high - low) / bins
+            which = F.least(F.floor((F.col("v") - low) / step), F.lit(bins - 1)) if step > 0 else (F.col("v") > low).cast("int")
+            counted = rows.groupBy(which.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+            for r in sorted(counted, key=lambda r: r["lo"]):
+                if before + r["n"] > rank:
+                    break
+                before += r["n"]
+            rows = base.where((F.col("v") >= r["lo"]) & (F.col("v") <= r["hi"]))
+    return out
+
+
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """The q-quantile with linear interpolation between neighbouring ranks (NULL for no rows)."""
+    n = df.where(F.col(col).isNotNull()).count()
+    if not n:
+        return None
+    place = q * (n - 1)
+    low = math.floor(place)
+    values = order_statistics(df, col, sorted({low, min(low + 1, n - 1)}))
+    return values[0] + (values[-1] - values[0]) * (place - low)
 
 
 def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = None,
@@ -70,9 +95,8 @@ def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = No
     (0.9, 0.99, ...; rank error at most rows/accuracy).  The highest rung
     expected to keep at least 2k rows becomes a score threshold; rows under
     it are dropped where they are and the ordered take runs on the rest.
-    The (at most k-row) result is cached, and if it has fewer than k rows
-    the next lower rung is tried, down to no threshold, so the result is
-    exact.
+    If fewer than k rows reach a rung the next lower one is taken, down to no
+    threshold, so the result is exact.
     """
     tiebreak = tiebreak or []
     order = [F.desc(score_col)] + [F.col(c) for c in tiebreak]
@@ -81,10 +105,7 @@ def top_k(df: DataFrame, k: int, score_col: str, tiebreak: list[str] | None = No
                    F.percentile_approx(score_col, ladder, accuracy).alias("q")).first()
     n, qs = stats["n"], stats["q"] or []
     rungs = [t for q, t in zip(ladder, qs) if (1.0 - q) * n >= 2 * k and t is not None]
-    while True:
-        cand = df.where(F.col(score_col) >= F.lit(rungs[-1])) if rungs else df
-        out = cand.orderBy(*order).limit(int(k)).cache()
-        if not rungs or out.count() >= min(k, n):
-            return out
-        out.unpersist()
+    while rungs and df.where(F.col(score_col) >= F.lit(rungs[-1])).count() < min(k, n):
         rungs.pop()
+    cand = df.where(F.col(score_col) >= F.lit(rungs[-1])) if rungs else df
+    return cand.orderBy(*order).limit(int(k))

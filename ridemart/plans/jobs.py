@@ -106,13 +106,7 @@ def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     # row-group min/max statistics prune time-window reads later.
     staged = staging.clean_trips(raw, settings).sortWithinPartitions("fleet", "pickup_datetime")
     sinks.write_table(staged, paths.staged, ["fleet"])
-    # Both counts read parquet footers only (no column data).
-    raw_total = raw.count()
-    kept = spark.read.parquet(paths.staged).count()
-    removed = raw_total - kept
-    return {"rows_raw": raw_total, "rows_clean": kept, "rows_removed": removed,
-            "removed_pct": round(removed / raw_total * 100, 2) if raw_total else 0.0,
-            "path": paths.staged}
+    return {**staging.clean_summary(raw, settings).first().asDict(), "path": paths.staged}
 
 
 def staged_trips(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -184,26 +178,24 @@ def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """E1 + N1-N14: score the fact table, write the flagged-trip mart and the rule summary."""
+    """E1 + N1-N14: score the fact table, write the scores, the flagged-trip mart and the rule summary."""
     fact = spark.read.parquet(paths.table("fact_trip"))
-    out = anomaly.detect(fact, settings)
+    out = anomaly.detect(fact, settings, paths.table("trip_scores"))
     sinks.write_table(out["mart"], paths.table("mart_trip_anomalies"))
     sinks.write_table(out["rules"], paths.table("mart_anomaly_summary"))
     summary = out["summary"].first().asDict()
     summary["by_rule"] = {r["rule"]: r["count"] for r in
                           spark.read.parquet(paths.table("mart_anomaly_summary")).collect()}
-    out["scored"].unpersist()
-    out["mart"].unpersist()
     register_tables(spark, paths)
     return summary
 
 
 def run_export(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """E1 + S16-S18: every warehouse table to parquet (+ CSV when small) with a manifest."""
+    """E1 + S16-S18: every warehouse table to parquet (+ CSV as listed) with a manifest."""
     names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES
              if _table_exists(spark, paths.table(n))]
     manifest = sinks.export_tables(spark, {n: paths.table(n) for n in names}, paths.exports,
-                                   settings.export.csv_row_limit)
+                                   settings.export.csv_tables)
     return {"tables": manifest.count(), "path": paths.exports}
 
 

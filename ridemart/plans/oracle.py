@@ -3,8 +3,10 @@
 The driver registers the test tables as views; every query below starts from
 the same fixture projection as ``ridemart.sources.fixtures`` and spells the
 same semantics in DuckDB's dialect: NULLS FIRST stated where Spark's default
-is relied on, ``floor(x*100+0.5)/100`` for rounding, BIGINT for hour-like
-columns, microsecond differences for durations.
+is relied on, DuckDB's own ``round``, BIGINT for hour-like columns,
+microsecond differences for durations.  The rules (contract, cleaning bounds,
+anomaly rules, dimension labels) are written out here and not taken from the
+library.
 """
 
 from __future__ import annotations
@@ -90,11 +92,11 @@ dim_date AS (
 
 
 def r2(x: str) -> str:
-    return f"floor(({x}) * 100 + 0.5) / 100"
+    return f"round({x}, 2)"
 
 
 def r4(x: str) -> str:
-    return f"floor(({x}) * 10000 + 0.5) / 10000"
+    return f"round({x}, 4)"
 
 
 def with_base(body: str, extra_ctes: str = "", s: Settings | None = None) -> str:
@@ -156,38 +158,51 @@ LIMIT 500"""
 
 
 def rn(x: str, digits: int) -> str:
-    return f"floor(({x}) * {10 ** digits} + 0.5) / {10 ** digits}"
-
-
-DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "long": "BIGINT", "double": "DOUBLE",
-              "timestamp_ntz": "TIMESTAMP"}
-
-
-def contract_sql(s: Settings) -> str:
-    from ridemart.operators.quality import contract_rules
+    return f"round({x}, {digits}) + 0.0"  # no negative zero
+
+
+#: The trip contract: column, type, nullable, check label, condition.
+CONTRACT = [
+    ("fleet", "string", False, "isin(yellow,green)", "fleet IN ('yellow', 'green')"),
+    ("pickup_datetime", "timestamp_ntz", False, None, None),
+    ("dropoff_datetime", "timestamp_ntz", False, None, None),
+    ("pickup_location_id", "int", False, "in_range(1,265)", "pickup_location_id BETWEEN 1 AND 265"),
+    ("dropoff_location_id", "int", False, "in_range(1,265)", "dropoff_location_id BETWEEN 1 AND 265"),
+    ("passenger_count", "double", True, "ge(0)", "passenger_count >= 0"),
+    ("trip_distance", "double", False, "in_range(0.0,100.0)", "trip_distance BETWEEN 0 AND 100"),
+    ("fare_amount", "double", False, "in_range(0.0,500.0)", "fare_amount BETWEEN 0 AND 500"),
+    ("trip_duration_min", "double", False, "in_range(1.0,180.0)", "trip_duration_min BETWEEN 1 AND 180"),
+    ("avg_speed_mph", "double", True, "ge(0)", "avg_speed_mph >= 0"),
+    ("pickup_hour", "long", False, "in_range(0,23)", "pickup_hour BETWEEN 0 AND 23"),
+    ("pickup_weekday", "long", False, "in_range(0,6)", "pickup_weekday BETWEEN 0 AND 6"),
+]
+
+#: Raw trips with the engineered columns, before cleaning.
+FEATURED = """featured AS (
+  SELECT *, trip_distance / NULLIF(trip_duration_min / 60.0, 0) AS avg_speed_mph FROM feat)"""
+
+
+def contract_sql() -> str:
+    """The raw columns are typed, so no value can fail to coerce."""
     parts = []
-    for r in contract_rules(s):
-        v = r.column
-        t = DUCK_TYPES[r.dtype]
-        parts.append(f"SELECT '{v}' AS column_name, 'coerce({r.dtype})' AS check_name, "
-                     f"CAST(count_if({v} IS NOT NULL AND TRY_CAST({v} AS {t}) IS NULL) AS BIGINT) AS failures "
-                     f"FROM clean")
-        if not r.nullable:
-            parts.append(f"SELECT '{v}', 'not_nullable', CAST(count_if({v} IS NULL) AS BIGINT) FROM clean")
-        if r.check is not None:
-            pred = r.sql.format(v=f"TRY_CAST({v} AS {t})")
-            parts.append(f"SELECT '{v}', '{r.check}', "
-                         f"CAST(count_if(TRY_CAST({v} AS {t}) IS NOT NULL AND NOT ({pred})) AS BIGINT) FROM clean")
+    for column, kind, nullable, label, condition in CONTRACT:
+        parts.append(f"SELECT '{column}' AS column_name, 'coerce({kind})' AS check_name, CAST(0 AS BIGINT) AS failures")
+        if not nullable:
+            parts.append(f"SELECT '{column}', 'not_nullable', CAST(count(*) - count({column}) AS BIGINT) FROM featured")
+        if label:
+            parts.append(f"SELECT '{column}', '{label}', CAST(count(*) FILTER (WHERE NOT ({condition})) AS BIGINT) FROM featured")
     return "\nUNION ALL ".join(parts)
 
 
 def sample_sql(n: int = 1000, seed: int = 7) -> str:
-    """O8 with the portable hash: md5 of the '|'-joined key, first 15 hex digits."""
-    from ridemart.operators.staging import STAGED_COLUMNS
+    """The smallest md5 prefixes of the '|'-joined key, first 15 hex digits."""
     keys = ["fleet", "_pickup_us", "pickup_location_id", "dropoff_location_id", "payment_type"]
     text = "concat_ws('|', '%d', %s)" % (seed, ", ".join(f"CAST({k} AS VARCHAR)" for k in keys))
-    order = keys + [c for c in STAGED_COLUMNS if c not in keys]
-    cols = ", ".join(STAGED_COLUMNS)
+    staged = ("fleet pickup_datetime dropoff_datetime pickup_location_id dropoff_location_id passenger_count trip_distance "
+              "fare_amount tip_amount total_amount payment_type pickup_date pickup_hour pickup_weekday pickup_day_name "
+              "is_weekend is_rush_hour trip_duration_min avg_speed_mph").split()
+    order = keys + [c for c in staged if c not in keys]
+    cols = ", ".join(staged)
     return f"""
 SELECT {cols} FROM (
   SELECT *, CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) AS _h
@@ -228,7 +243,7 @@ def metrics_sql(y: str = "y_actual", yhat: str = "yhat") -> str:
 
 
 def fold_mean(m: str) -> str:
-    """Mean over folds, summed in fold order (as ``series.ordered_mean``)."""
+    """Mean over folds, summed in fold order."""
     return (f"list_reduce(list({m} ORDER BY fold) FILTER (WHERE {m} IS NOT NULL), "
             f"lambda a, b: a + b) / count({m}) AS {m}")
 
@@ -254,15 +269,16 @@ FEATURES_NOT_NULL = " AND ".join(f"{c.strip()} IS NOT NULL" for c in FEATURES_SQ
 
 def oracle_queries() -> dict[str, str]:
     s = fixture_settings()
+    shown = s.replace(window={"start": "2024-01-01", "end": "2024-01-30"})  # F1 on a window that ends before the table
     q: dict[str, str] = {}
-    q["clean_trips"] = with_base("SELECT * FROM clean")
+    q["clean_trips"] = with_base("SELECT * FROM clean", s=shown)
     q["clean_summary"] = with_base(f"""
 SELECT count(*) AS rows_raw, CAST(count_if(coalesce(kept, false)) AS BIGINT) AS rows_clean,
        CAST(count(*) - count_if(coalesce(kept, false)) AS BIGINT) AS rows_removed,
        CASE WHEN count(*) > 0
             THEN {r2('(count(*) - count_if(coalesce(kept, false))) / count(*) * 100')}
             ELSE 0.0 END AS removed_pct
-FROM keep""")
+FROM keep""", s=shown)
     q["dim_zone"] = with_base("SELECT * FROM dim_zone")
     q["fact_trip"] = with_base(f"""
 SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS trip_id, * FROM fact""")
@@ -296,11 +312,23 @@ SELECT count(*) AS row_count, min(pickup_date) AS date_min, max(pickup_date) AS
        (SELECT count(*) FROM (SELECT {dup_key} FROM clean GROUP BY ALL HAVING count(*) > 1)) AS duplicate_groups
 FROM clean""")
     q["duplicate_groups"] = with_base(
-        f"SELECT {dup_key}, count(*) AS n FROM clean GROUP BY ALL HAVING count(*) > 1")
-    q["contract_failures"] = with_base(contract_sql(s))
+        "SELECT fleet, pickup_location_id, dropoff_location_id, fare_amount, count(*) AS n FROM featured GROUP BY ALL HAVING count(*) > 1",
+        FEATURED)
+    q["contract_failures"] = with_base(contract_sql(), FEATURED)
     q["contract_errors"] = with_base(
-        "SELECT check_name, CAST(sum(failures) AS BIGINT) AS n FROM (" + contract_sql(s) + ") c "
-        "WHERE failures > 0 GROUP BY check_name")
+        "SELECT check_name, CAST(sum(failures) AS BIGINT) AS n FROM (" + contract_sql() + ") c "
+        "WHERE failures > 0 GROUP BY check_name", FEATURED)
+    q["landed_trips"] = with_base("""
+SELECT fleet, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count, trip_distance,
+       fare_amount, tip_amount, total_amount, payment_type
+FROM raw""")
+    q["calendar_rollup"] = with_base("""
+SELECT CASE fleet WHEN 'yellow' THEN 'Yellow' WHEN 'green' THEN 'Green' END AS fleet_name, year, month_name, week_start,
+       CASE WHEN pickup_hour < 6 THEN 'Overnight' WHEN pickup_hour < 10 THEN 'Morning' WHEN pickup_hour < 16 THEN 'Midday'
+            WHEN pickup_hour < 20 THEN 'Evening' ELSE 'Night' END AS day_part,
+       is_rush_hour, count(*) AS rides, sum(total_amount) AS revenue
+FROM fact JOIN dim_date USING (date_key)
+GROUP BY ALL""")
     q["sampled_trips"] = with_base(sample_sql())
 
     sc = series_ctes(s)
@@ -327,11 +355,61 @@ GROUP BY fleet""", sc)
     reasons = ", ".join(f"CASE WHEN coalesce({p}, false) THEN '{n}' END" for n, p in RULES_SQL.items())
     q["anomaly_rules"] = with_base(f"""
 SELECT fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, concat_ws(',', {reasons}) AS rules
-FROM fact WHERE {FEATURES_NOT_NULL}""")
+FROM featured WHERE {FEATURES_NOT_NULL}""", FEATURED)
     q["anomaly_rule_summary"] = with_base("\nUNION ALL ".join(
-        f"SELECT '{n}' AS rule, CAST(count_if(coalesce({p}, false)) AS BIGINT) AS count FROM fact "
+        f"SELECT '{n}' AS rule, CAST(count_if(coalesce({p}, false)) AS BIGINT) AS count FROM featured "
         f"WHERE {FEATURES_NOT_NULL}"
-        for n, p in RULES_SQL.items()))
+        for n, p in RULES_SQL.items()), FEATURED)
+
+    # The model-side tables from a model and a score that SQL can repeat.
+    test = s.forecast.test_days * 24
+    plain = sc + f""",
+mean2 AS (SELECT *, (lag(y, 168) OVER w + lag(y, 336) OVER w) / 2 AS p2 FROM elig WINDOW w AS (PARTITION BY fleet ORDER BY ds)),
+spread AS (SELECT fleet, stddev_pop(y - p2) AS sigma FROM mean2 WHERE t < n - {test} AND p2 IS NOT NULL GROUP BY fleet),
+pf AS (SELECT m.fleet, ds, y AS y_actual, greatest(p2, 0.0) AS yhat, greatest(greatest(p2, 0.0) - 1.96 * sigma, 0.0) AS yhat_lower,
+              greatest(p2, 0.0) + 1.96 * sigma AS yhat_upper
+       FROM mean2 m JOIN spread USING (fleet) WHERE t >= n - {test}),
+pm AS (SELECT fleet, 'two_week_mean' AS model, {metrics_sql()} FROM pf GROUP BY fleet
+       UNION ALL SELECT fleet, 'seasonal_naive', {metrics_sql()} FROM naive GROUP BY fleet),
+tested AS (SELECT p.fleet, f.fold, p.y, p.yhat, greatest(p.p2, 0.0) AS p2
+           FROM mean2 p JOIN folds f ON p.fleet = f.fleet AND p.t >= f.cut AND p.t < f.cut + {s.forecast.horizon}),
+per_fold AS (SELECT fleet, 'two_week_mean' AS model, fold, {metrics_sql('y', 'p2')} FROM tested GROUP BY fleet, fold
+             UNION ALL SELECT fleet, 'seasonal_naive', fold, {metrics_sql('y', 'yhat')} FROM tested GROUP BY fleet, fold)"""
+    band = f"fleet, ds, y_actual, yhat, {rn('yhat_lower', 6)} AS yhat_lower, {rn('yhat_upper', 6)} AS yhat_upper"
+    q["plain_forecast"] = with_base(f"SELECT {band} FROM pf", plain)
+    q["plain_forecast_band"] = with_base(f"SELECT {band} FROM pf WHERE fleet = 'yellow' ORDER BY ds", plain)
+    q["plain_forecast_metrics"] = with_base("SELECT * FROM pm", plain)
+    q["plain_forecast_backtest"] = with_base(
+        f"SELECT fleet, model, {', '.join(fold_mean(m) for m in ('MAE', 'RMSE', 'MAPE', 'sMAPE'))} FROM per_fold GROUP BY fleet, model", plain)
+    q["plain_best_model"] = with_base("""
+SELECT fleet, model, RMSE, MAPE FROM (SELECT *, row_number() OVER (PARTITION BY fleet ORDER BY RMSE, model) AS place FROM pm) r
+WHERE place = 1""", plain)
+    q["plain_forecast_error"] = with_base("""
+SELECT fleet, avg(abs(yhat - y_actual)) AS MAE, avg(CASE WHEN y_actual > 0 THEN abs((yhat - y_actual) / y_actual) END) * 100 AS MAPE,
+       avg(yhat - y_actual) AS bias
+FROM pf GROUP BY fleet""", plain)
+
+    names = [c.strip() for c in FEATURES_SQL.split(",")]
+    zs = ", ".join(f"abs(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END)" for c in names)
+    scored = f"""
+numbered AS (SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS trip_id, * FROM fact),
+scores AS (SELECT trip_id, fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, greatest({zs}) AS anomaly_score,
+                  concat_ws(',', {reasons}) AS rules
+           FROM numbered WHERE {FEATURES_NOT_NULL}),
+marked AS (SELECT *, anomaly_score > (SELECT quantile_cont(anomaly_score, 0.99) FROM scores) AS iso_outlier FROM scores),
+flagged AS (SELECT *, iso_outlier OR rules <> '' AS is_anomaly FROM marked)"""
+    mart = (f"SELECT trip_id, fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, {rn('anomaly_score', 6)} AS anomaly_score, "
+            "rules, iso_outlier, is_anomaly FROM flagged WHERE is_anomaly")
+    q["plain_anomalies"] = with_base(mart, scored)
+    q["plain_top_anomalies"] = with_base(mart + " ORDER BY flagged.anomaly_score DESC, trip_id LIMIT 100", scored)
+    q["plain_anomaly_scatter"] = with_base(
+        f"SELECT trip_id, fleet, trip_distance, fare_amount, {rn('anomaly_score', 6)} AS anomaly_score, rules FROM flagged WHERE is_anomaly", scored)
+    q["plain_anomaly_summary"] = with_base(f"""
+SELECT count(*) AS sampled, CAST(count_if(is_anomaly) AS BIGINT) AS anomalies, {r4('count_if(is_anomaly) / count(*)')} AS anomaly_rate,
+       (SELECT count(*) FROM fact) AS fact_rows, count_if(is_anomaly) / (SELECT count(*) FROM fact) AS anomaly_rate_of_fact
+FROM flagged""", scored)
+    q["plain_anomaly_rules"] = with_base("\nUNION ALL ".join(
+        f"SELECT '{n}' AS rule, CAST(count_if(coalesce({p}, false)) AS BIGINT) AS count FROM flagged" for n, p in RULES_SQL.items()), scored)
 
     q["kpis"] = with_base("""
 SELECT count(*) AS total_trips, sum(total_amount) AS total_revenue,

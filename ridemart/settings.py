@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 class IngestSettings:
     fleets: tuple[str, ...] = ("yellow", "green")
     months: tuple[str, ...] = ("2022-01", "2022-02")
-    sample_rows: int | None = None  # cap per raw file; None keeps all rows
+    sample_rows: int | None = None  # about so many rows per raw file, by seeded hash; None keeps all
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,11 @@ class ForecastSettings:
     horizon: int = 24        # backtest fold length in hours
     folds: int = 3
     # Spark ML gradient-boosted trees; see README for the mapping.
-    max_iter: int = 30
-    max_depth: int = 5
+    max_iter: int = 500
+    max_depth: int = 7
     step_size: float = 0.06
+    max_bins: int = 256
+    min_leaf: int = 20
     seed: int = 7
     parallel_fits: int = 8   # concurrent model fits from the driver (each is one task wide)
     fit_partitions: int = 8  # partitions of the cached design matrix
@@ -52,8 +54,6 @@ class AnomalySettings:
     trees: int = 200
     max_samples: int = 256
     seed: int = 7
-    mart_rows: int = 10_000          # top flagged trips kept in the mart
-    exact_quantile_max_rows: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,11 @@ class QualitySettings:
 
 @dataclass(frozen=True)
 class ExportSettings:
-    csv_row_limit: int = 1_000_000
+    # Tables written as CSV next to parquet: all that are summaries by design.
+    csv_tables: tuple[str, ...] = (
+        "dim_date", "dim_fleet", "dim_time", "dim_zone", "mart_zone_demand", "mart_hourly_volume",
+        "mart_daily_volume", "mart_route_flows", "mart_forecast", "mart_forecast_metrics",
+        "mart_forecast_backtest", "mart_anomaly_summary")
 
 
 @dataclass(frozen=True)
@@ -75,9 +79,9 @@ class Settings:
     anomaly: AnomalySettings = field(default_factory=AnomalySettings)
     quality: QualitySettings = field(default_factory=QualitySettings)
     export: ExportSettings = field(default_factory=ExportSettings)
-    # Fact id numbering: "sorted" (range sort on the fact columns, reproducible
-    # order) or "scan" (storage order, no shuffle).
-    fact_ids: str = "sorted"
+    # Fact id numbering: "scan" (storage order, no shuffle) or "sorted" (range
+    # sort on the fact columns, reproducible order).
+    fact_ids: str = "scan"
     # Partitions for the "sorted" numbering; None sizes them from the row count.
     id_partitions: int | None = None
 
@@ -113,5 +117,5 @@ def settings_from_dict(data: dict) -> Settings:
 
 
 def fixture_settings() -> Settings:
-    """Settings for the trips derived from the driver tables (FIXTURES.md B)."""
-    return Settings().replace(window={"start": "2024-01-01", "end": "2024-01-30"})
+    """Settings for the trips derived from the driver tables (FIXTURES.md B); the window covers the table."""
+    return Settings().replace(window={"start": "2024-01-01", "end": "2024-02-01"})

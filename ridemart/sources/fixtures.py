@@ -14,16 +14,9 @@ from pyspark.sql import functions as F
 YELLOW_EVENT_TYPES = ("view", "click", "purchase")
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the file listing and schema are resolved once per session."""
-    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """A driver table."""
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def raw_trips_from_events(events: DataFrame) -> DataFrame:

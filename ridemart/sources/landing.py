@@ -54,7 +54,7 @@ def discover_landing(spark: SparkSession, landing_dir: str, settings: Settings)
                 found.append({"fleet": fleet, "month": month,
                               "path": f"{landing_dir.rstrip('/')}/{name}", "source": "landing"})
             else:
-                log.warning("missing raw file %s", name)
+                log.warning("landing folder has no %s; skipped", name)
     if not found:
         raise FileNotFoundError(f"no raw trip files for the requested grid in {landing_dir}")
     return found
@@ -88,14 +88,20 @@ def normalize_fleet(raw: DataFrame, fleet: str) -> DataFrame:
 
 def read_fleet_month(spark: SparkSession, fleet: str, path: str,
                      sample_rows: int | None = None) -> DataFrame:
-    """S1 + S3: one raw file, normalised; optional row cap for this file.
+    """S1 + S3: one raw file, normalised; optionally a sample of about ``sample_rows`` of its rows.
+
+    The sample is a seeded hash filter in the scan (the row count comes from
+    the file footers), so it is the same on every run and stays spread over
+    the file's tasks.
 
     Each file is read on its own because monthly files drift in physical
     types; casting per file makes the union safe.
     """
     df = normalize_fleet(spark.read.parquet(path), fleet)
     if sample_rows:
-        df = df.limit(int(sample_rows))
+        share = min(1.0, sample_rows / max(1, df.count()))
+        place = F.pmod(F.xxhash64(*df.columns, F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+        df = df.where(place < share)
     return df
 
 

@@ -46,8 +46,8 @@ def table_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 
 
 def export_tables(spark: SparkSession, tables: dict[str, str], out_dir: str,
-                  csv_row_limit: int = 1_000_000) -> DataFrame:
-    """Every table to parquet, to CSV (with header) when small enough.
+                  csv_tables: tuple[str, ...] = ()) -> DataFrame:
+    """Every table to parquet, the listed ones also to CSV (with header, any size).
 
     Returns the manifest ``(table, rows, columns, formats)`` and writes it as
     JSON next to the extracts.  Row counts come from one union job.
@@ -59,7 +59,7 @@ def export_tables(spark: SparkSession, tables: dict[str, str], out_dir: str,
         df = spark.read.parquet(path)
         write_table(df, f"{out_dir}/{name}.parquet")
         formats = ["parquet"]
-        if counts[name] <= csv_row_limit:
+        if name in csv_tables:
             df.write.mode("overwrite").option("header", True).csv(f"{out_dir}/{name}.csv")
             formats.append("csv")
         rows.append((name, int(counts[name]), list(df.columns), formats))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ridemart.operators import anomaly, iforest
 from ridemart.operators.sampling import sample_rows
-from ridemart.settings import fixture_settings
+
+from conftest import shown_settings as fixture_settings
 
 
 def test_rule_reasons_for_hand_rows(spark):
@@ -19,8 +20,9 @@ def test_rule_reasons_for_hand_rows(spark):
                    "tip_exceeds_fare"]
 
 
-def test_rule_summary_matches_fixture_table(inputs001):
-    s = {r.rule: r["count"] for r in anomaly.rule_summary(inputs001.rule_input()).collect()}
+def test_rule_summary_matches_fixture_table(inputs001, settings):
+    rows = anomaly.scoring_input(inputs001.fact(), settings)
+    s = {r.rule: r["count"] for r in anomaly.rule_summary(rows).collect()}
     # FIXTURES.md part B, sf0.001 row.
     assert s == {"zero_distance": 21, "zero_fare": 1, "implausible_speed": 28,
                  "fare_distance_mismatch": 8, "tip_exceeds_fare": 78}
@@ -76,21 +78,42 @@ def test_forest_is_deterministic(spark, forest_input):
                                   b.sort_values(key).reset_index(drop=True))
 
 
-def test_mart_cap_and_uncapped_summary(inputs001):
-    s = fixture_settings().replace(anomaly={"mart_rows": 10, "trees": 20})
-    out = anomaly.detect(inputs001.fact_with_ids(), s)
-    mart = out["mart"].collect()
+def test_rows_with_a_missing_feature_are_left_out(inputs001):
+    from ridemart.operators import dims
+
+    rows = dims.fact_rows(inputs001.featured())
+    missing = rows.where("avg_speed_mph IS NULL").count()
+    assert missing > 0 and inputs001.rule_input().count() == rows.count() - missing  # F11
+
+
+def test_whole_mart_and_top_of_it(inputs001, scratch):
+    s = fixture_settings().replace(anomaly={"trees": 20})
+    out = anomaly.detect(inputs001.fact_with_ids(), s, scratch + "/scores")
     summ = out["summary"].first()
-    assert len(mart) == 10 and summ.anomalies > 10  # K22
+    assert out["mart"].count() == summ.anomalies > 10  # K22
+    mart = anomaly.top_anomalies(out["mart"], 10).collect()
     scores = [r.anomaly_score for r in mart]
     assert scores == sorted(scores, reverse=True)
     top = out["scored"].where("is_anomaly").orderBy(F.desc("anomaly_score"), "trip_id").limit(10)
     assert [r.trip_id for r in mart] == [r.trip_id for r in top.collect()]
-    out["scored"].unpersist()
 
 
-def test_detect_end_to_end(inputs001):
-    out = anomaly.detect(inputs001.fact_with_ids(), fixture_settings())
+@pytest.mark.parametrize("rows,parts", [(1, 1), (7, 2), (1000, 3), (60_000, 5)])
+def test_one_quantile_method_at_every_size(spark, rows, parts):
+    import numpy as np
+
+    from ridemart.operators.sampling import exact_quantile
+
+    df = spark.range(rows).select((F.pmod(F.xxhash64("id"), F.lit(1000 if rows > 10 else 3)) / 1000.0 - 0.25).alias("v")).repartition(parts)
+    values = [r.v for r in df.collect()]
+    for q in (0.0, 0.5, 0.99, 1.0):
+        assert exact_quantile(df, "v", q) == pytest.approx(np.percentile(values, 100 * q), rel=1e-12, abs=1e-15)
+    assert exact_quantile(df.where("false"), "v", 0.5) is None
+    assert exact_quantile(df.select(F.lit(2.5).alias("v")), "v", 0.99) == 2.5
+
+
+def test_detect_end_to_end(inputs001, scratch):
+    out = anomaly.detect(inputs001.fact_with_ids(), fixture_settings(), scratch + "/scores")
     summ = out["summary"].first()
     assert summ.sampled == 672 and summ.anomalies >= 78
     mart = out["mart"]
@@ -98,7 +121,6 @@ def test_detect_end_to_end(inputs001):
     assert mart.count() == summ.anomalies
     outliers = out["scored"].where("iso_outlier").count()
     assert 5 <= outliers <= 9  # about 1 % of 672
-    out["scored"].unpersist()
 
 
 def test_top_k_is_exact(spark):
@@ -110,7 +132,7 @@ def test_top_k_is_exact(spark):
     assert got == want
 
 
-def test_injected_extreme_trip_is_flagged(spark):
+def test_injected_extreme_trip_is_flagged(spark, scratch):
     from ridemart.plans.catalog import Inputs
     from conftest import SF01
 
@@ -122,21 +144,19 @@ def test_injected_extreme_trip_is_flagged(spark):
     odd = odd.withColumns({"trip_distance": F.lit(100.0), "fare_amount": F.lit(500.0), "tip_amount": F.lit(2000.0),
                            "total_amount": F.lit(3000.0), "trip_duration_min": F.lit(1.0),
                            "avg_speed_mph": F.lit(6000.0)})
-    out = anomaly.detect(fact.unionByName(odd), fixture_settings().replace(anomaly={"trees": 100}))
+    out = anomaly.detect(fact.unionByName(odd), fixture_settings().replace(anomaly={"trees": 100}), scratch + "/scores")
     row = out["scored"].where("trip_id = 1000000000").first()
     assert row.iso_outlier and row.is_anomaly
     assert out["mart"].where("trip_id = 1000000000").count() == 1
-    out["scored"].unpersist()
 
 
-def test_sampled_mode_reports_both_denominators(inputs001):
+def test_sampled_mode_reports_both_denominators(inputs001, scratch):
     s = fixture_settings().replace(anomaly={"sample_rows": 300, "trees": 20})
-    out = anomaly.detect(inputs001.fact_with_ids(), s)
+    out = anomaly.detect(inputs001.fact_with_ids(), s, scratch + "/scores")
     summ = out["summary"].first()
     assert summ.sampled == 300 and summ.fact_rows == 672  # K23
     assert summ.anomaly_rate_of_fact == summ.anomalies / 672
     assert out["scored"].count() == 300
-    out["scored"].unpersist()
 
 
 def test_vectorised_scores_equal_a_plain_tree_walk(spark, forest_input):
@@ -161,11 +181,12 @@ def test_vectorised_scores_equal_a_plain_tree_walk(spark, forest_input):
         assert math.isclose(scored[row.trip_id], 2.0 ** (-eh / c), rel_tol=1e-12)
 
 
-def test_anomaly_outputs_equal_brute_force(inputs001):
+@pytest.mark.parametrize("score", [anomaly.forest_scores, anomaly.largest_z])
+def test_anomaly_outputs_equal_brute_force(inputs001, scratch, score):
     import numpy as np
 
-    s = fixture_settings().replace(anomaly={"trees": 20, "mart_rows": 50})
-    out = anomaly.detect(inputs001.fact_with_ids(), s)
+    s = fixture_settings().replace(anomaly={"trees": 20})
+    out = anomaly.detect(inputs001.fact_with_ids(), s, scratch + "/scores", score)
     scored = out["scored"].toPandas()
     thr = np.percentile(scored["anomaly_score"], 99)  # linear interpolation, as Spark's percentile
     assert (scored["iso_outlier"] == (scored["anomaly_score"] > thr)).all()
@@ -175,5 +196,4 @@ def test_anomaly_outputs_equal_brute_force(inputs001):
     assert summ.sampled == len(scored) and summ.anomalies == int(flags.sum())
     assert summ.anomaly_rate == np.floor(flags.mean() * 10000 + 0.5) / 10000
     top = scored[flags].sort_values(["anomaly_score", "trip_id"], ascending=[False, True]).head(50)
-    assert [r.trip_id for r in out["mart"].collect()] == top["trip_id"].tolist()
-    out["scored"].unpersist()
+    assert [r.trip_id for r in anomaly.top_anomalies(out["mart"], 50).collect()] == top["trip_id"].tolist()

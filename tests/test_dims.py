@@ -5,7 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ridemart.operators import dims
-from ridemart.settings import Settings, fixture_settings
+from ridemart.settings import Settings
+
+from conftest import shown_settings as fixture_settings
 
 
 def test_dim_date(spark):
@@ -95,3 +97,10 @@ def test_scan_ids_on_a_table_need_no_shuffle(spark, scratch):
     plan = out._jdf.queryExecution().executedPlan().toString()
     exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
     assert exchanges and all("_pid" in ln for ln in exchanges) and "rangepartitioning" not in plan
+
+
+def test_zone_repeated_by_its_centroids_has_no_bound(spark):
+    lookup = dims.mark_bounded(spark.createDataFrame([(1, "A", "Queens", "x")], "location_id int, zone string, borough string, service_zone string"), 1)
+    cents = spark.createDataFrame([(1, float(k), float(k)) for k in range(5)], "location_id int, lat double, lng double")
+    out = dims.dim_zone(lookup, cents)
+    assert out.count() == 5 and not hasattr(out, "_ridemart_max_rows")

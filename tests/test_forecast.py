@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridemart.operators import forecast
-from ridemart.settings import fixture_settings
+
+from conftest import shown_settings as fixture_settings
 
 
 @pytest.fixture(scope="module")

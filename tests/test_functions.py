@@ -62,10 +62,20 @@ def test_distance_band_edges(spark):
     assert got == ["<1", "<1", "1-3", "1-3", "3-5", "5-10", "5-10", "10+", "10+"]
 
 
-def test_fourier_terms_quantised(spark):
+def test_round_is_symmetric_and_passes_odd_values(spark):
+    values = [-0.125, 0.125, 1.005, -2.5, float("nan"), float("inf"), float("-inf"), None, 0.0, 1e300]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(X.round2("x")).collect()]
+    assert got[:4] == [-0.13, 0.13, 1.0, -2.5]
+    assert got[4] != got[4] and got[5:8] == [float("inf"), float("-inf"), None] and got[8:] == [0.0, 1e300]
+
+
+def test_fourier_terms_are_plain(spark):
+    import math
+
     cols = X.fourier_terms(F.lit(6), 24, 2, "d")
     row = spark.range(1).select(*cols).first()
-    assert row["d_sin1"] == 1.0 and row["d_cos1"] == 0.0
+    assert row["d_sin1"] == 1.0 and row["d_cos1"] == math.cos(math.pi / 2) != 0.0
     assert list(row.asDict()) == ["d_sin1", "d_cos1", "d_sin2", "d_cos2"]
 
 

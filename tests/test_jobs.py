@@ -3,8 +3,9 @@
 import os
 
 from ridemart.plans import jobs
-from ridemart.plans.catalog import spark_queries
-from ridemart.settings import fixture_settings
+from ridemart.plans.catalog import Inputs
+
+from conftest import shown_settings as fixture_settings
 from ridemart.sources import fixtures, sinks
 
 from conftest import SF001
@@ -16,7 +17,7 @@ def test_run_all(spark, scratch):
     fixtures.write_zone_lookup_csv(spark, SF001, root + "/reference/taxi_zone_lookup.csv")
     settings = fixture_settings().replace(
         ingest={"months": ("2024-01",)}, forecast={"max_iter": 5, "folds": 1},
-        anomaly={"trees": 20}, export={"csv_row_limit": 100})
+        anomaly={"trees": 20}, export={"csv_tables": ("dim_time",)})
     paths = jobs.Paths(root)
     res = jobs.run_all(spark, settings, paths)
 
@@ -28,14 +29,14 @@ def test_run_all(spark, scratch):
     assert t["fact_trip"] == 672 and t["dim_date"] == 29 and t["dim_time"] == 24
     # Same mart from the tables as from the registered query (lookup CSV has no
     # centroids here, so compare counts and pickups only).
-    q = spark_queries()["mart_zone_demand"](spark, SF001)
+    q = Inputs(spark, SF001, fixture_settings()).zone_demand()
     got = {r.location_id: r.pickups for r in spark.read.parquet(paths.table("mart_zone_demand")).collect()}
     assert got == {r.location_id: r.pickups for r in q.collect()}
     assert res["anomaly"]["sampled"] == 672
     assert res["anomaly"]["by_rule"]["zero_distance"] == 21
     assert set(res["forecast"]["best"]) <= {"yellow", "green"}
     manifest = {r.table: r for r in spark.read.json(paths.exports + "/manifest.json").collect()}
-    assert manifest["fact_trip"].formats == ["parquet"]          # 672 rows > CSV limit 100
+    assert manifest["fact_trip"].formats == ["parquet"]          # not among the CSV tables
     assert manifest["dim_time"].formats == ["parquet", "csv"]
     assert os.path.isdir(paths.exports + "/dim_time.csv")
     # Every table is queryable by name after the run.

@@ -12,7 +12,7 @@ def test_counts_export_and_manifest(spark, scratch):
              "big": sinks.write_table(big, scratch + "/wh/big")}
     counts = {r.table: r.rows for r in sinks.table_counts(spark, paths).collect()}
     assert counts == {"small": 5, "big": 50}
-    manifest = {r.table: r for r in sinks.export_tables(spark, paths, scratch + "/bi", csv_row_limit=10).collect()}
+    manifest = {r.table: r for r in sinks.export_tables(spark, paths, scratch + "/bi", csv_tables=("small",)).collect()}
     assert manifest["small"].formats == ["parquet", "csv"] and manifest["big"].formats == ["parquet"]
     assert manifest["small"].columns == ["id", "v"] and manifest["big"].rows == 50
     assert os.path.isdir(scratch + "/bi/small.csv") and not os.path.exists(scratch + "/bi/big.csv")

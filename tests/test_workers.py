@@ -23,7 +23,7 @@ def test_forest_runs_when_workers_cannot_import_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True,
                          text=True, timeout=600)
-    assert "SAMPLED 672" in out.stdout, out.stderr[-2000:]
+    assert "SAMPLED 701" in out.stdout, out.stderr[-2000:]
 
 
 def test_module_entry_prints_help(tmp_path):
