@@ -12,6 +12,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 from ridemart.operators import anomaly, dims, forecast, marts, quality, series, staging
@@ -93,7 +94,7 @@ def run_zone_dim(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
 
 def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """E1 + S1-S3, U1, D6, S11, A8: landed raw files -> staged trips (partitioned by fleet)."""
+    """E1 + S1-S3, U1, D6, S11, A8: landed raw files -> staged trips (partitioned by fleet and pickup month)."""
     files = landing.discover_landing(spark, paths.landing, settings)
     sinks.write_report(spark, {"files": files}, paths.landing_manifest)
     frames = [landing.read_fleet_month(spark, f["fleet"], f["path"], settings.ingest.sample_rows)
@@ -101,17 +102,21 @@ def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     raw = frames[0]
     for f in frames[1:]:
         raw = raw.unionByName(f)
-    # Sorting each task's rows by fleet, then pickup time (a local sort, no
+    # Sorting each task's rows by fleet, month and pickup time (a local sort, no
     # shuffle), satisfies the partitioned writer's ordering and makes parquet
     # row-group min/max statistics prune time-window reads later.
-    staged = staging.clean_trips(raw, settings).sortWithinPartitions("fleet", "pickup_datetime")
-    sinks.write_table(staged, paths.staged, ["fleet"])
+    staged = staging.clean_trips(raw, settings).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
+    staged = staged.sortWithinPartitions("fleet", "pickup_month", "pickup_datetime")
+    sinks.write_table(staged, paths.staged, ["fleet", "pickup_month"])
     return {**staging.clean_summary(raw, settings).first().asDict(), "path": paths.staged}
 
 
-def staged_trips(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The staged table, registered as the ``stg_trips`` view."""
+def staged_trips(spark: SparkSession, paths: Paths, settings: Settings) -> DataFrame:
+    """The staged table's months of the window, registered as the ``stg_trips`` view."""
+    w = settings.window
     df = spark.read.parquet(paths.staged)
+    month = F.col("pickup_month").cast("string")
+    df = df.where((month >= w.start[:7]) & (month <= w.end[:7])).select(*staging.STAGED_COLUMNS)
     df.createOrReplaceTempView("stg_trips")
     return df
 
@@ -121,7 +126,7 @@ def run_quality(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
 
     A failing contract is reported, never raised (K25).
     """
-    df = staged_trips(spark, paths)
+    df = staged_trips(spark, paths, settings)
     checked = df
     if settings.quality.sample_rows:
         from ridemart.operators.sampling import sample_rows
@@ -142,7 +147,7 @@ def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict
     The marts read the written fact table, so its lineage (and the id
     checkpoint) is not recomputed.
     """
-    staged = staged_trips(spark, paths)
+    staged = staged_trips(spark, paths, settings)
     t = paths.table
     sinks.write_table(dims.dim_date(spark, settings), t("dim_date"))
     sinks.write_table(dims.dim_fleet(spark), t("dim_fleet"))
@@ -166,7 +171,7 @@ def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict
 
 def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     """E1 + T1-T13: hourly series from the staged table -> forecast tables."""
-    s = series.hourly_series(staged_trips(spark, paths), settings)
+    s = series.hourly_series(staged_trips(spark, paths, settings), settings)
     out = forecast.forecast(s, settings)
     for name in FORECAST_TABLES:
         sinks.write_table(out[name], paths.table(name))
