@@ -42,7 +42,7 @@ class QualityConfig:
     gram: int = 4
     buckets: int = 1 << 16
     smoothing: float = 0.5
-    threshold: float = -0.2
+    threshold: float = -0.7
     trusted_sample: int = 50_000
     min_words: int = 50
     max_repeat_percent: int = 50
