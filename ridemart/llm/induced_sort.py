@@ -246,16 +246,28 @@ def _sorted_stars(text: np.ndarray, positions: np.ndarray, depth: int, memory: i
             os.unlink(file.name)
 
 
-def star_positions(text: np.ndarray) -> np.ndarray:
-    """Positions of S* suffixes; the text's last byte (its smallest) is one."""
+def star_positions(text: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """Positions of S* suffixes, ascending; the text's last byte (its smallest) is one.
+
+    Right to left in blocks: bytes in a run have the type of the run's last,
+    which the byte after it decides.
+    """
     n = len(text)
-    change = np.flatnonzero(text[1:] != text[:-1])  # between equal bytes the type is that of the run's last
-    smaller = np.append(text[change] < text[change + 1], True)
-    starts = np.concatenate([[0], change + 1])
-    star = smaller.copy()
-    star[1:] &= ~smaller[:-1]
-    star[0] = False
-    return starts[star]
+    found = [np.array([n - 1], np.uint32)] if n > 1 and text[n - 2] > text[n - 1] else []
+    smaller_at_end = True  # type of the byte right of the block
+    for b in range(n - 1, 0, -block):
+        a = max(0, b - block)
+        part = text[a:b + 1]
+        ends = np.flatnonzero(part[:-1] != part[1:])
+        types = np.append(part[ends] < part[ends + 1], smaller_at_end)
+        starts = np.concatenate([[0], ends + 1])  # of the runs; the first may begin further left
+        if len(starts) and starts[-1] == b - a:  # the run that begins right of the block is not its own
+            starts, types = starts[:-1], types[:-1]
+        before = np.concatenate([[text[a - 1] if a else 0], part[starts[1:] - 1]])
+        star = types & (before > part[starts])
+        found.append((starts[star] + a).astype(np.uint32))
+        smaller_at_end = bool(types[0])
+    return np.concatenate(found[::-1]) if found else np.zeros(0, np.uint32)
 
 
 def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 64 << 20, block: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -279,9 +291,9 @@ def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 64 << 20, block:
 
 def _passes(text, n, depth, memory, block, folder, queues: _Queues, larger: _Stack):
     stars = star_positions(text[:n])
-    if len(stars) * 4 > memory // 4:
+    if stars.nbytes > memory // 4:
         path = os.path.join(folder, "stars")
-        stars.astype("<u4").tofile(path)
+        stars.tofile(path)
         stars = np.memmap(path, "<u4", "r")
     minima = _Minima(depth)
 

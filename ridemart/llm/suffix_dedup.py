@@ -186,62 +186,66 @@ def _ask_shards(cfg: SuffixConfig, n_shards: int, folder: str, find_bits):
     return ask
 
 
-def smallest_documents(text: np.ndarray, owner: np.ndarray, valid: np.ndarray, cfg: SuffixConfig) -> np.ndarray:
-    """For every position the smallest owner among the suffixes that agree with it in ``length`` bytes."""
-    out = owner.copy()
-    open_positions: list[np.ndarray] = []
-    open_least = np.iinfo(np.int64).max
-
-    def close() -> None:
-        nonlocal open_positions, open_least
-        for p in open_positions:
-            out[p] = open_least
-        open_positions, open_least = [], np.iinfo(np.int64).max
+def smallest_owners(text: np.ndarray, owner: np.ndarray, cfg: SuffixConfig) -> np.ndarray:
+    """For every position the smallest owner among the suffixes that agree with it in ``length`` bytes.
 
+    Positions whose ``length`` bytes hold a separator agree only among themselves.
+    """
+    out, top = owner.copy(), np.iinfo(owner.dtype).max
+    open_positions: list[np.ndarray] = []
+    open_least = top
     for positions, common in sorted_suffixes(text, cfg.length, cfg.sort_memory):
         head = np.flatnonzero(common < cfg.length)
-        if not len(head) or head[0]:
-            # the block goes on with the open run
-            until = head[0] if len(head) else len(positions)
-            open_positions.append(positions[:until])
+        until = head[0] if len(head) else len(positions)
+        if until:  # the block goes on with the open run
+            open_positions.append(positions[:until].astype(np.uint32))
             open_least = min(open_least, int(owner[positions[:until]].min()))
         if not len(head):
             continue
-        close()
+        for p in open_positions:
+            out[p] = open_least
         least = np.minimum.reduceat(owner[positions], head)
-        size = np.diff(np.append(head, len(positions)))
-        out[positions[head[0]:]] = np.repeat(least, size)
-        open_positions, open_least = [positions[head[-1]:]], int(least[-1])
-    close()
-    return np.where(valid, out, np.iinfo(np.int64).max)
+        out[positions[head[0]:]] = np.repeat(least, np.diff(np.append(head, len(positions))))
+        open_positions, open_least = [positions[head[-1]:].astype(np.uint32)], int(least[-1])
+    for p in open_positions:
+        out[p] = open_least
+    return out
 
 
 def _sort_shard(cfg: SuffixConfig, join_bits):
     def reduce(requests: list[list[bytes]]) -> list[bytes]:
         windows = [X.unsqueeze(r[0], np.uint16).astype(np.int64) for r in requests]
         ids = np.concatenate([X.unsqueeze(r[1], np.int64) for r in requests])
+        rank = np.unique(ids, return_inverse=True)[1].astype(np.int32)
         data = np.concatenate([X.unsqueeze(r[2], np.uint8) for r in requests])
-        count, sizes = np.concatenate(windows), np.concatenate(windows) + cfg.length - 1
+        requests.clear()
+        sizes = np.concatenate(windows) + cfg.length - 1
         starts = np.cumsum(sizes) - sizes
-        first = _first_of_equals(_hash_spans(data, starts, sizes), ids)
+        first = _first_of_equals(_hash_spans(data, starts, sizes), rank)
         distinct = np.flatnonzero(first == np.arange(len(first)))
         # Distinct segments in a row, each byte raised by one, each followed by a separator.
         size = sizes[distinct] + 1
         stop = np.cumsum(size)
         begin = stop - size
         text = np.zeros(stop[-1], np.uint8)
-        offset = np.arange(stop[-1]) - np.repeat(begin, size)
-        body = offset < np.repeat(size - 1, size)
-        text[body] = data[(np.repeat(starts[distinct], size) + offset)[body]] + np.uint8(1)
-        valid = offset < np.repeat(count[distinct], size)
-        least = smallest_documents(text, np.repeat(ids[distinct], size), valid, cfg)
+        for a in range(0, len(distinct), 4096):
+            mine = slice(a, a + 4096)
+            body = size[mine] - 1
+            ends = np.cumsum(body)
+            within = np.arange(ends[-1]) - np.repeat(ends - body, body)
+            text[np.repeat(begin[mine], body) + within] = data[np.repeat(starts[distinct[mine]], body) + within] + np.uint8(1)
+        del data
+        least = smallest_owners(text, np.repeat(rank[distinct], size), cfg)
         place = np.empty(len(first), np.int64)
         place[distinct] = begin
-        stops = np.cumsum(count)
-        at = np.repeat(place[first] - (stops - count), count) + np.arange(stops[-1])
-        earlier = least[at] < np.repeat(ids, count)
-        cuts = np.cumsum([w.sum() for w in windows])
-        return [join_bits(b) for b in np.split(earlier, cuts[:-1])]
+        out, at = [], 0
+        for count in windows:
+            mine = slice(at, at + len(count))
+            ends = np.cumsum(count)
+            within = np.arange(ends[-1]) - np.repeat(ends - count, count)
+            out.append(join_bits(least[np.repeat(place[first[mine]], count) + within] < np.repeat(rank[mine], count)))
+            at += len(count)
+        return out
     return reduce
 
 
@@ -267,13 +271,13 @@ def _remove(cfg: SuffixConfig, find_bits):
             first = (np.repeat(starts, windows) + within)[gone]
             np.add.at(covered, first, 1)
             np.add.at(covered, first + cfg.length, -1)
-        covered = np.cumsum(covered[:-1]) > 0
+        covered = np.cumsum(covered[:-1], dtype=np.int32) > 0
         size = np.diff(off)
         for k in np.flatnonzero(same != np.arange(len(same))).tolist():
             mine = slice(off[k], off[k + 1])
             # An equal document with a smaller id has it all; rows of one id share their result.
             covered[mine] = size[k] >= cfg.length if ids[k] > ids[same[k]] else covered[off[same[k]]:off[same[k] + 1]]
-        removed = np.concatenate([[0], np.cumsum(covered)])
+        removed = np.concatenate([np.zeros(1, np.int32), np.cumsum(covered, dtype=np.int32)])
         digests, spans = [], []
         for k in range(len(size)):
             mine = covered[off[k]:off[k + 1]]
@@ -282,7 +286,7 @@ def _remove(cfg: SuffixConfig, find_bits):
             spans.append(edges.astype("<i8").tobytes())
             digests.append(hashlib.sha256((raw[~mine] if len(edges) else raw).tobytes()).hexdigest())
         return pa.table({"doc_id": table.column("doc_id").combine_chunks(), "n_bytes": pa.array(size, pa.int64()),
-                         "n_removed": pa.array(removed[off[1:]] - removed[off[:-1]], pa.int64()), "n_spans": pa.array([len(s) // 16 for s in spans], pa.int64()),
+                         "n_removed": pa.array((removed[off[1:]] - removed[off[:-1]]).astype(np.int64)), "n_spans": pa.array([len(s) // 16 for s in spans], pa.int64()),
                          "kept_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.binary())})
     return last
 
