@@ -19,18 +19,23 @@ import numpy as np
 _ONE = np.uint64(1)
 
 
+_LOW8, _HIGH8 = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: Place of the (k+1)-th set bit of a byte, by k and byte.
+_IN_BYTE = np.array([[next((i for i in range(8) if v >> i & 1 and bin(v & ((1 << i) - 1)).count("1") == k), 0) for v in range(256)] for k in range(8)],
+                    np.int64).ravel()
+
+
 def _select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the (k+1)-th set bit of each word."""
-    place = np.zeros(len(words), np.uint64)
-    words, k = words.copy(), k.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = words & np.uint64((1 << width) - 1)
-        count = np.bitwise_count(low).astype(np.int64)
-        up = k >= count
-        k = np.where(up, k - count, k)
-        words = np.where(up, words >> np.uint64(width), low)
-        place += np.where(up, np.uint64(width), np.uint64(0))
-    return place.astype(np.int64)
+    """Place of the (k+1)-th set bit of each word: the byte by sums of all bytes at once, then a table."""
+    k = k.astype(np.uint64)
+    sums = words - (words >> _ONE & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+    sums = ((sums + (sums >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _LOW8
+    place = np.bitwise_count(((k * _LOW8 | _HIGH8) - sums) & _HIGH8).astype(np.uint64) << np.uint64(3)
+    place = np.minimum(place, np.uint64(56))
+    rank = k - (sums << np.uint64(8) >> place & np.uint64(0xFF))
+    byte = words >> place & np.uint64(0xFF)
+    return place.astype(np.int64) + _IN_BYTE[((rank << np.uint64(8)) | byte).astype(np.int64)]
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
@@ -85,24 +90,46 @@ class EliasFano:
         place = (word << 6) + _select_in_word(self.high[word], at - self.ones[word])
         return ((place - at).astype(np.uint64) << np.uint64(self.width)) | read_bits(self.low, self.width, at)
 
-    def successor(self, low: np.ndarray, high: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """First place in [low, high) whose value is at least the asked one, else high."""
+    def successor(self, low: np.ndarray, high: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place in [low, high) whose value is at least the asked one, else high; is it equal?).
+
+        The values with the asked upper part are the set bits between two zeros
+        of the unary part; their low bits are searched by halving.
+        """
         upper = (values >> np.uint64(self.width)).astype(np.int64)
+        rest = values & np.uint64((1 << self.width) - 1)
         if self.zeros is None:
             self.zeros = (np.arange(len(self.ones), dtype=np.int64) << 6) - self.ones.astype(np.int64)
-        # The values with this upper part follow its zero in the unary bits.
-        want = np.maximum(upper - 1, 0)
-        word = np.minimum(np.searchsorted(self.zeros, want, "right") - 1, len(self.high) - 1)
-        place = (word << 6) + _select_in_word(~self.high[word], want - self.zeros[word])
-        begin = np.where(upper > 0, place - want, 0)
-        at = np.minimum(np.maximum(begin, low), high)
-        todo = np.flatnonzero(at < high)
+        beyond = upper > int(self.zeros[-1])
+        want = np.where(beyond, 0, np.maximum(upper - 1, 0))
+        word = np.searchsorted(self.zeros, want, "right") - 1
+        bit = (word << 6) + _select_in_word(~self.high[word], want - self.zeros[word]) + 1
+        bit[upper == 0] = 0
+        begin = np.where(beyond, self.n, bit - np.where(upper > 0, upper, 0))
+        stop = np.where(beyond, self.n, begin)
+        todo = np.flatnonzero(~beyond & (begin < self.n))
+        bit = bit[todo]
+        while len(todo):
+            shift = (bit & 63).astype(np.uint64)
+            zero = ~(self.high[bit >> 6] >> shift)
+            run = np.minimum(np.bitwise_count((zero & (~zero + _ONE)) - _ONE).astype(np.int64), 64 - (bit & 63))
+            stop[todo] += run
+            bit += run
+            more = (bit & 63 == 0) & (run > 0) & (stop[todo] < self.n)
+            todo, bit = todo[more], bit[more]
+        at, end = np.clip(begin, low, high), np.clip(stop, low, high)
+        limit = end.copy()
+        todo = np.flatnonzero(at < end)
         while len(todo):
-            ahead = self.get(at[todo]) < values[todo]
-            todo = todo[ahead]
-            at[todo] += 1
-            todo = todo[at[todo] < high[todo]]
-        return at
+            middle = (at[todo] + end[todo]) >> 1
+            ahead = read_bits(self.low, self.width, middle) < rest[todo]
+            at[todo[ahead]] = middle[ahead] + 1
+            end[todo[~ahead]] = middle[~ahead]
+            todo = todo[at[todo] < end[todo]]
+        equal = at < limit
+        some = np.flatnonzero(equal)
+        equal[some] = read_bits(self.low, self.width, at[some]) == rest[some]
+        return at, equal
 
 
 class Level:
@@ -135,10 +162,8 @@ class Level:
         low, high = self.pointers.get(owners).astype(np.int64), self.pointers.get(owners + 1).astype(np.int64)
         base = np.where(low > 0, self.keys.get(np.maximum(low - 1, 0)), np.uint64(0))
         value = base[back] + ids[known].astype(np.uint64)
-        at = self.keys.successor(low[back], high[back], value)
-        hit = np.flatnonzero(at < high[back])
-        hit = hit[self.keys.get(at[hit]) == value[hit]]
-        out[known[hit]] = at[hit]
+        at, equal = self.keys.successor(low[back], high[back], value)
+        out[known[equal]] = at[equal]
         return out
 
     def code(self, column: int, at: np.ndarray) -> np.ndarray:
@@ -156,6 +181,7 @@ def to_bytes(arrays: list[np.ndarray]) -> bytes:
 
 def from_buffer(data: np.ndarray) -> list[np.ndarray]:
     """Views into a byte array, such as a memory map."""
+    data = np.asarray(data)
     n = int(data[:8].view("<u8")[0])
     head = data[8:8 + 16 * n].view("<u8").astype(np.int64).reshape(n, 2)
     at, out = 8 + 16 * n, []

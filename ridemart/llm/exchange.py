@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.llm import store
+from ridemart.llm.cluster import per_worker
 
 REQUEST_SCHEMA = "bucket int, chunk string, payload binary"
 #: Bucket of the rows that only announce a chunk.
@@ -31,11 +32,11 @@ KEY_BITS = 40
 def squeeze(values: np.ndarray) -> bytes:
     """Any integer array, its byte planes apart, compressed."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T if len(values) else np.zeros((0, 0), np.uint8)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return per_worker("squeeze", lambda: zstandard.ZstdCompressor(level=1)).compress(np.ascontiguousarray(planes))
 
 
 def unsqueeze(data: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    raw = np.frombuffer(per_worker("unsqueeze", zstandard.ZstdDecompressor).decompress(data), np.uint8)
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel() if len(raw) else np.zeros(0, kind)
 
@@ -118,12 +119,16 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def write_requests(docs: DataFrame, folder: str, requests: Callable, chunk_bytes: int, save: Callable = save_texts) -> DataFrame:
-    """Chunk the rows (``doc_id``, ``text``), keep them, and write what ``requests(table, chunk)`` asks."""
+    """Chunk the rows (``doc_id``, ``text``), keep them, and write what ``requests(table, chunk)`` asks.
+
+    ``save`` returns the chunk's URI, or that and what ``requests`` gets instead of the rows.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_chunks(batches, chunk_bytes):
-            chunk = save(folder, table)
-            yield rows_batch([(CHUNK_ROW, chunk, b""), *requests(table, chunk)])
+            saved = save(folder, table)
+            chunk, what = saved if isinstance(saved, tuple) else (saved, table)
+            yield rows_batch([(CHUNK_ROW, chunk, b""), *requests(what, chunk)])
 
     path = f"{folder}/requests"
     (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(ask, REQUEST_SCHEMA)
@@ -153,11 +158,15 @@ def chunk_rows(requests: DataFrame) -> DataFrame:
     return requests.where(F.col("bucket") == CHUNK_ROW)
 
 
-def finish(rows: DataFrame, chunks: int, last: Callable, schema: str) -> DataFrame:
-    """Run ``last(chunk, [payload by bucket]) -> Arrow table`` for every chunk; what a chunk row carries comes first."""
+def finish(rows: DataFrame, chunks: int, last: Callable, schema: str, with_buckets: bool = False) -> DataFrame:
+    """Run ``last(chunk, [payload by bucket]) -> Arrow table`` for every chunk; what a chunk row carries comes first.
+
+    ``with_buckets``: (bucket, payload) pairs instead.
+    """
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
-        return last(table.column("chunk")[0].as_py(), [p for p in table.column("payload").to_pylist() if p])
+        pairs = [(b, p) for b, p in zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()) if p]
+        return last(table.column("chunk")[0].as_py(), pairs if with_buckets else [p for _, p in pairs])
 
     return rows.repartition(max(1, chunks), "chunk").groupBy("chunk").applyInArrow(one, schema)

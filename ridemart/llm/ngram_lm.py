@@ -25,7 +25,6 @@ other columns are not read.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import zlib
 from dataclasses import dataclass
@@ -95,63 +94,78 @@ def _tokens(table: pa.Table, cfg: LmConfig) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _save(cfg: LmConfig):
-    """A chunk's file: word numbers (by hash order) of all tokens, row bounds, ids and folds."""
-    def save(folder: str, table: pa.Table) -> str:
+    """A chunk's file: word numbers (by hash order) of all tokens, row bounds, ids and folds; its words go along once."""
+    def save(folder: str, table: pa.Table) -> tuple[str, np.ndarray]:
         hashes, first = _tokens(table, cfg)
-        words, number = np.unique(hashes, return_inverse=True)
+        words, number = T.unique_hashes(hashes)
         ids = table.column("doc_id").combine_chunks()
         out = held_out(ids.to_pylist(), cfg.folds)
         known = ids.is_valid().to_numpy(False)
-        parts = [X.squeeze_sorted(words), X.squeeze(number.astype(np.uint32)), X.squeeze(first), X.squeeze(ids.fill_null(0).to_numpy(False)),
+        parts = [np.array([len(words)], "<u8").tobytes(), X.squeeze(number.astype(np.uint32)), X.squeeze(first), X.squeeze(ids.fill_null(0).to_numpy(False)),
                  X.squeeze(known.astype(np.uint8)), X.squeeze(out.astype(np.uint8))]
-        return store.write_file(folder, "chunk", [X.join_parts(parts)])
+        return store.write_file(folder, "chunk", [X.join_parts(parts)]), words
     return save
 
 
 class Chunk:
     def __init__(self, uri: str):
         parts = X.split_parts(store.read_file(uri))
-        self.words = X.unsqueeze_sorted(parts[0])
+        self.n_words = int.from_bytes(parts[0], "little")
         self.number = X.unsqueeze(parts[1], np.uint32).astype(np.int64)
         self.first = X.unsqueeze(parts[2], np.int64)
         self.ids, self.known = X.unsqueeze(parts[3], np.int64), X.unsqueeze(parts[4], np.uint8).astype(bool)
         self.out = X.unsqueeze(parts[5], np.uint8).astype(bool)
         self.trains = np.repeat(~self.out, np.diff(self.first))
 
+    def renumber(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number the words by their ids from here on, which puts the n-grams in the ids' order."""
+        order = np.argsort(ids)
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        self.number = place[self.number]
+        return ids[order], counts[order]
+
     def grams(self, order: int):
         """Distinct k-grams for k = 1 .. order: context, last word, index at every start, first start, suffix."""
         n = len(self.number)
         row_end = np.repeat(self.first[1:], np.diff(self.first))
-        out = [{"index": self.number, "last": np.arange(len(self.words)), "starts": np.arange(n)}]
+        out = [{"index": self.number, "last": np.arange(self.n_words), "starts": np.arange(n)}]
         for k in range(2, order + 1):
             shorter = out[-1]
             starts = np.flatnonzero(np.arange(n) + k <= row_end)
             at = np.full(n, -1, np.int64)
             at[shorter["starts"]] = shorter["index"]
-            keys, where, index = np.unique((at[starts] << 32) | self.number[starts + k - 1], return_index=True, return_inverse=True)
-            out.append({"index": index, "context": keys >> 32, "last": keys & 0xFFFFFFFF, "starts": starts, "suffix": at[starts[where] + 1]})
+            width = max(1, self.n_words.bit_length())
+            keys, where, index = T.unique_places((at[starts] << width) | self.number[starts + k - 1], len(shorter["last"]).bit_length() + width)
+            out.append({"index": index, "context": keys >> width, "last": keys & ((1 << width) - 1), "starts": starts, "suffix": at[starts[where] + 1]})
         return out
 
 
 def _ask_words(cfg: LmConfig, n_buckets: int):
-    def ask(table: pa.Table, uri: str):
+    def ask(words: np.ndarray, uri: str):
         chunk = Chunk(uri)
-        counts = np.bincount(chunk.number[chunk.trains], minlength=len(chunk.words))
-        yield from X.bucket_requests(chunk.words, [counts.astype(np.uint32)], uri, n_buckets, bits=64)
+        counts = np.bincount(chunk.number[chunk.trains], minlength=len(words))
+        yield from X.bucket_requests(words, [counts.astype(np.uint32)], uri, n_buckets, bits=64)
     return ask
 
 
 def _number_words(requests: list[list[bytes]]) -> list[bytes]:
-    """(place in the bucket's dictionary, training count) of every asked word; the totals come with every answer."""
+    """(place in the bucket's dictionary by falling count, training count) of every asked word.
+
+    Frequent words get small numbers, which the n-grams' columns compress by.
+    The bucket's number and totals come with every answer.
+    """
     words = [X.unsqueeze_sorted(r[0]) for r in requests]
     counts = np.concatenate([X.unsqueeze(r[1], np.uint32) for r in requests]).astype(np.float64)
     distinct, back = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(back, weights=counts).astype(np.uint64)
+    rank = np.empty(len(distinct), np.uint32)
+    rank[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(distinct), dtype=np.uint32)
     out, at = [], 0
     totals = np.array([int(total.sum()), int((total > 0).sum())], "<u8").tobytes()
     for w in words:
         mine = back[at:at + len(w)]
-        out.append(X.join_parts([X.squeeze_sorted(mine.astype(np.uint64)), X.squeeze(total[mine]), totals]))
+        out.append(X.join_parts([X.squeeze(rank[mine]), X.squeeze(total[mine]), totals]))
         at += len(w)
     return out
 
@@ -170,17 +184,18 @@ def _routed(grams: list[dict], ids: np.ndarray, n_buckets: int):
         context_hash = T.mix(context_hash[level["context"]] * np.uint64(0x9E3779B97F4A7C15) + ids[level["last"]])
 
 
-def _ask_grams(cfg: LmConfig, n_buckets: int, shift: int, folder: str):
-    def ask(uri: str, payloads: list[bytes]) -> pa.Table:
+def _ask_grams(cfg: LmConfig, n_buckets: int, folder: str):
+    def ask(uri: str, answers: list[tuple[int, bytes]]) -> pa.Table:
         chunk = Chunk(uri)
-        cuts = X.bucket_cuts(chunk.words, n_buckets, 64)
         ids, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for bucket, payload in zip(np.flatnonzero(np.diff(cuts)).tolist(), payloads, strict=True):
+        for bucket, payload in answers:  # in the order of the words' hashes
             places, count, _ = X.split_parts(payload)
-            ids.append(X.unsqueeze_sorted(places) | np.uint64(bucket << shift))
+            ids.append(X.unsqueeze(places, np.uint32).astype(np.uint64) * np.uint64(n_buckets) + np.uint64(bucket))
             counts.append(X.unsqueeze(count, np.uint64))
         ids, counts = np.concatenate(ids), np.concatenate(counts)
-        side = store.write_file(folder, "words", [X.join_parts([X.squeeze_sorted(ids), X.squeeze(counts)])])
+        own_order = ids.astype(np.uint32), counts
+        ids, counts = chunk.renumber(ids, counts)
+        side = store.write_file(folder, "words", [X.join_parts([X.squeeze(c) for c in own_order])])
         grams = chunk.grams(cfg.order)
         sections: list[list[list[bytes]]] = [[] for _ in range(n_buckets)]
         columns = ids[:, None]  # the ids of every (k-1)-gram, word by word
@@ -206,27 +221,45 @@ def _gram_columns(section: bytes, k: int) -> tuple[list[np.ndarray], np.ndarray]
     return ids, X.unsqueeze(parts[k], np.uint32)
 
 
-def build_trie(ids: list[np.ndarray], counts: np.ndarray, cfg: LmConfig) -> list[np.ndarray]:
+class Grams:
+    """The distinct n-grams of some rows as a tree: per level (parent, id, number of parents); ``node``: each row's leaf."""
+
+    def __init__(self, ids: list[np.ndarray], counts: np.ndarray):
+        self.node, self.levels, n = np.zeros(len(counts), np.int64), [], 1
+        for column in ids:
+            values, _, column = T.unique_places(column, 32)
+            width = max(1, len(values).bit_length())
+            keys, _, self.node = T.unique_places((self.node << width) | column, n.bit_length() + width)
+            self.levels.append((keys >> width, values[keys & ((1 << width) - 1)].astype(np.int64) if len(keys) else keys, n))
+            n = len(keys)
+        self.total = np.bincount(self.node, weights=counts, minlength=n)
+
+    def trained(self) -> tuple[list[tuple[np.ndarray, np.ndarray, int]], np.ndarray]:
+        """(the levels, counts of the leaves) of the n-grams with a count."""
+        keep, out = self.total > 0, []
+        counts = self.total[keep]
+        for parent, ids, n_parents in reversed(self.levels):
+            up = np.zeros(n_parents, bool)
+            up[parent[keep]] = True
+            out.append(((np.cumsum(up) - 1)[parent[keep]], ids[keep], max(1, int(up.sum()))))
+            keep = up
+        return out[::-1], counts
+
+
+def build_trie(grams: Grams, cfg: LmConfig) -> list[np.ndarray]:
     """Arrays of one trie of k levels: alphas on the leaves, lambdas on their contexts."""
-    keep = counts > 0
-    ids, counts = [c[keep].astype(np.int64) for c in ids], counts[keep].astype(np.float64)
-    node, shape, n = np.zeros(len(counts), np.int64), [], 1
-    for column in ids:
-        keys, node = np.unique((node << 32) | column, return_inverse=True)
-        shape.append((keys >> 32, keys & 0xFFFFFFFF, n))
-        n = len(keys)
-    total = np.bincount(node, weights=counts, minlength=n)
+    levels, total = grams.trained()
     ones, twos = (total == 1).sum(), (total == 2).sum()
     discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.1, 0.95))
-    context, _, n_contexts = shape[-1]
+    context, _, n_contexts = levels[-1]
     of_context = np.bincount(context, weights=total, minlength=n_contexts)
-    alpha = encode_probability((total - discount) / of_context[context], cfg) if n else np.zeros(0, np.uint16)
+    alpha = encode_probability((total - discount) / of_context[context], cfg) if len(total) else np.zeros(0, np.uint16)
     given = np.bincount(context, weights=decode_table(cfg)[alpha], minlength=n_contexts)
-    rest = encode_probability(np.maximum(1.0 - given, 0.0), cfg)
+    rest = np.maximum(encode_probability(np.maximum(1.0 - given, 0.0), cfg), 1)  # never nothing: no text is impossible
     arrays = []
-    for depth, (parent, column, n_parents) in enumerate(shape):
-        codes = alpha if depth == len(shape) - 1 else rest if depth == len(shape) - 2 else np.zeros(len(column), np.uint16)
-        arrays += Level.build(parent, column, n_parents, [codes], cfg.code_bits)
+    for depth, (parent, ids, n_parents) in enumerate(levels):
+        codes = alpha if depth == len(levels) - 1 else rest[:len(ids)] if depth == len(levels) - 2 else np.zeros(len(ids), np.uint16)
+        arrays += Level.build(parent, ids, n_parents, [codes], cfg.code_bits)
     return arrays
 
 
@@ -236,44 +269,44 @@ class Trie:
     def __init__(self, arrays: list[np.ndarray], k: int, code_bits: int):
         self.levels = [Level(arrays[9 * d:9 * d + 9], code_bits) for d in range(k)]
 
-    def query(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(alpha code of every n-gram, lambda code of every distinct context) for n-grams in sorted order."""
-        n = len(ids[0])
-        node, head = np.zeros(n, np.int64), np.zeros(n, bool)
-        head[:1] = True
-        rest = np.zeros(0, np.uint64)
-        for depth, (level, column) in enumerate(zip(self.levels, ids)):
-            head = head.copy()
-            head[1:] |= column[1:] != column[:-1]
-            at = np.flatnonzero(head)
-            found = level.find(node[at], column[at].astype(np.int64))
-            if depth == len(ids) - 2:
-                rest = level.code(0, found)
-            if depth == len(ids) - 1:
-                return level.code(0, found).astype(np.uint16), rest.astype(np.uint16)
-            node = found[np.cumsum(head) - 1]
-        raise ValueError("a trie has two levels at least")
-
-
-def mapped(uri: str):
-    """The shard's file as a memory map (through a scratch copy that is gone when the map is)."""
+    def query(self, levels: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """(alpha code of every leaf, lambda code of every context) of a tree of n-grams: one walk down, level by level."""
+        node, rest = np.zeros(1, np.int64), np.zeros(0, np.uint16)
+        for depth, (level, (parent, ids, _)) in enumerate(zip(self.levels, levels)):
+            node = level.find(node[parent], ids)
+            if depth == len(levels) - 2:
+                rest = level.code(0, node).astype(np.uint16)
+        return self.levels[-1].code(0, node).astype(np.uint16), rest
+
+
+def mapped(data: bytes) -> np.ndarray:
+    """A shard as a memory map of a scratch file that is gone when the map is."""
     with tempfile.NamedTemporaryFile() as scratch:
-        scratch.write(store.read_file(uri))
+        scratch.write(data)
         scratch.flush()
-        return np.memmap(scratch.name, np.uint8, "r") if os.path.getsize(scratch.name) else np.zeros(0, np.uint8)
+        return np.memmap(scratch.name, np.uint8, "r")
 
 
-def _tries_and_answers(cfg: LmConfig, model: str):
+def _tries_and_answers(cfg: LmConfig, model: str | None):
     def reduce(requests: list[list[bytes]]) -> list[bytes]:
         answers: list[list[bytes]] = [[] for _ in requests]
         for k in range(2, cfg.order + 1):
             columns = [_gram_columns(r[k - 2], k) for r in requests]
-            merged = [np.concatenate([c[0][j] for c in columns]) for j in range(k)]
-            arrays = build_trie(merged, np.concatenate([c[1] for c in columns]), cfg)
-            uri = store.write_file(model, f"trie-{k}", [to_bytes(arrays)])
-            trie = Trie(from_buffer(mapped(uri)), k, cfg.code_bits)
-            for answer, (ids, _) in zip(answers, columns):
-                answer += [X.squeeze(c) for c in trie.query(ids)]
+            sizes = [len(c[1]) for c in columns]
+            grams = Grams([np.concatenate([c[0][j] for c in columns]) for j in range(k)], np.concatenate([c[1] for c in columns]))
+            del columns
+            shard = to_bytes(build_trie(grams, cfg))
+            if model:
+                store.write_file(model, f"trie-{k}", [shard])
+            alpha, rest = Trie(from_buffer(mapped(shard)), k, cfg.code_bits).query(grams.levels)
+            context, at = grams.levels[-1][0], 0
+            for answer, size in zip(answers, sizes):
+                mine = grams.node[at:at + size]
+                own = context[mine]
+                head = np.ones(size, bool)
+                head[1:] = own[1:] != own[:-1]
+                answer += [X.squeeze(alpha[mine]), X.squeeze(rest[own[head]])]
+                at += size
         return [X.join_parts(a) for a in answers]
     return reduce
 
@@ -284,7 +317,7 @@ def _score(cfg: LmConfig, n_buckets: int, n_train: int, n_types: int):
     def last(uri: str, payloads: list[bytes]) -> pa.Table:
         chunk = Chunk(uri)
         ids, counts = X.split_parts(store.read_file(payloads[0].decode()))
-        ids, counts = X.unsqueeze_sorted(ids), X.unsqueeze(counts, np.uint64).astype(np.float64)
+        ids, counts = chunk.renumber(X.unsqueeze(ids, np.uint32).astype(np.uint64), X.unsqueeze(counts, np.uint64).astype(np.float64))
         answers = [X.split_parts(p) for p in payloads[1:]]
         value, grams = decode_table(cfg), chunk.grams(cfg.order)
         shorter = (counts + cfg.add) / (n_train + cfg.add * (n_types + 1))
@@ -319,22 +352,21 @@ def _score(cfg: LmConfig, n_buckets: int, n_train: int, n_types: int):
 def train_and_score(docs: DataFrame, cfg: LmConfig | None = None, model: str | None = None) -> DataFrame:
     """Train on the documents that are not held out and score all (``RESULT_SCHEMA``).
 
-    ``model``: folder for the trie shards; by default one that goes with the scratch.
+    ``model``: folder to keep the trie shards in; without one each shard lives as long as its answers take.
     """
     cfg = cfg or LmConfig()
     spark = docs.sparkSession
     folder = shared_folder(spark, "ngram-lm")
     n_buckets = max(1, -(-X.text_bytes(docs) * cfg.order // (12 * cfg.bucket_grams)))
-    shift = 32 - max(1, (n_buckets - 1).bit_length())
     first = X.write_requests(docs, folder, _ask_words(cfg, n_buckets), cfg.chunk_bytes, _save(cfg))
-    known = X.chunk_rows(first)
-    chunks = known.count()
-    words = written(X.answer(first, _number_words, n_buckets), folder, "words-numbered")
+    chunks = X.chunk_rows(first).count()
+    words = written(X.answer(first, _number_words, n_buckets, pass_chunks=True), folder, "words-numbered")
+    drop_folder(spark, f"{folder}/requests")
     # One small row per bucket: its totals are the last 16 bytes of any of its answers.
-    totals = words.groupBy("bucket").agg(F.first(F.substring("payload", -16, 16)).alias("t")).collect()
+    totals = (words.where(F.col("bucket") != X.CHUNK_ROW).groupBy("bucket").agg(F.first(F.substring("payload", -16, 16)).alias("t")).collect())
     n_train, n_types = (sum(int.from_bytes(bytes(r["t"])[a:a + 8], "little") for r in totals) for a in (0, 8))
-    grams = X.finish(known.unionAll(words), chunks, _ask_grams(cfg, n_buckets, shift, folder), X.REQUEST_SCHEMA)
-    answers = X.answer(grams, _tries_and_answers(cfg, model or f"{folder}/model"), n_buckets, pass_chunks=True)
+    grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
+    answers = X.answer(grams, _tries_and_answers(cfg, model), n_buckets, pass_chunks=True)
     out = X.finish(answers, chunks, _score(cfg, n_buckets, n_train, n_types), RESULT_SCHEMA).checkpoint()
     drop_folder(spark, folder)
     return out

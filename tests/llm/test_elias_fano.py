@@ -18,7 +18,9 @@ def test_sequence(values, asked):
     low = rng.integers(0, n, len(asked))
     high = np.minimum(n, low + rng.integers(0, n + 1, len(asked)))
     want = np.clip(np.searchsorted(values, asked), low, high)
-    assert ef.successor(low, high, asked).tolist() == want.tolist()
+    at, equal = ef.successor(low, high, asked)
+    assert at.tolist() == want.tolist()
+    assert equal.tolist() == [p < h and values[p] == v for p, h, v in zip(want, high, asked)]
 
 
 @pytest.mark.parametrize("width", [0, 1, 7, 12, 31, 33, 63])

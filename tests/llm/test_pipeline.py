@@ -1,4 +1,3 @@
-import re
 import zlib
 
 import numpy as np
