@@ -24,14 +24,20 @@ from ridemart.sources import fixtures, landing, sinks
 
 
 class Inputs:
-    """Frames shared by the registered queries over one input folder."""
+    """Frames of one query over one input folder; each table is opened once per instance."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self.settings = settings or fixture_settings()
+        self._opened: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = fixtures.table(self.spark, self.sf_dir, name)
+        return self._opened[name]
 
     def raw(self) -> DataFrame:
-        return fixtures.raw_trips(self.spark, self.sf_dir)
+        return fixtures.raw_trips_from_events(self.table("events"))
 
     def featured(self) -> DataFrame:
         """Raw trips with the engineered columns, before any cleaning."""
@@ -49,8 +55,8 @@ class Inputs:
         return dims.fact_trip(self.clean(), dataclasses.replace(self.settings, fact_ids="sorted"))
 
     def dim_zone(self) -> DataFrame:
-        s, d = self.spark, self.sf_dir
-        return dims.dim_zone(fixtures.zone_lookup(s, d), fixtures.zone_centroids(s, d), fixtures.borough_centroids(s, d))
+        n, r = self.table("nation"), self.table("region")
+        return dims.dim_zone(fixtures.zone_lookup_from(n, r), fixtures.zone_centroids_from(n), fixtures.borough_centroids_from(r))
 
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark, self.settings)
@@ -80,7 +86,7 @@ class Inputs:
         sc = self.spark.sparkContext
         fs = sc._jvm.org.apache.hadoop.fs
         stamp = []
-        for f in sorted(fixtures.table(self.spark, self.sf_dir, "events").inputFiles()):
+        for f in sorted(self.table("events").inputFiles()):
             path = fs.Path(f)
             status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
             stamp.append((f, status.getLen(), status.getModificationTime()))

@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 YELLOW_EVENT_TYPES = ("view", "click", "purchase")
 
 
+#: Columns of the driver tables that the fixture reads.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table."""
-    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
+    """A driver table; the schema is stated, so opening it starts no job."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def raw_trips_from_events(events: DataFrame) -> DataFrame:
@@ -54,9 +62,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_lookup_from(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+
+
+def zone_lookup_from(n: DataFrame, r: DataFrame) -> DataFrame:
     """Zone lookup rows: ids 1..25 from nations, boroughs from regions."""
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         (F.col("n_nationkey") + 1).alias("location_id"),
         F.col("n_name").alias("zone"),
@@ -65,9 +75,8 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zone_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_centroids_from(n: DataFrame) -> DataFrame:
     """Centroids for even nation keys only, so fallbacks are exercised."""
-    n = table(spark, sf_dir, "nation")
     step = F.col("n_nationkey") / F.lit(64.0)
     return n.where(F.col("n_nationkey") % 2 == 0).select(
         (F.col("n_nationkey") + 1).alias("location_id"),
@@ -76,9 +85,8 @@ def zone_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def borough_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def borough_centroids_from(r: DataFrame) -> DataFrame:
     """Borough fallback for regions 0..3; region 4 falls to the city default."""
-    r = table(spark, sf_dir, "region")
     return r.where(F.col("r_regionkey") < 4).select(
         F.col("r_name").alias("borough"),
         (F.lit(40.0) + F.col("r_regionkey")).alias("lat"),
