@@ -8,8 +8,13 @@ counted, overfull ranges are sampled again and subdivided, and the ranges are
 dealt to the shards largest first, each to the lightest shard so far.  Law:
 ``bytes`` (shard sizes near equal).
 
-The driver holds the sample and one row per range, both bounded by
-``ranges_per_shard`` x ``samples_per_range``; rows never leave Spark.
+Groups of equal texts above a range's size are known exactly.  Each has ranges
+of its own, cut by rows and dealt together unless the group is larger than a
+shard should be.
+
+The driver holds the sample, the large groups and one row per range: in shards
+x ``ranges_per_shard``, a few times ``samples_per_range``, one, and a few.  Rows
+never leave Spark.
 
 Edge cases: a null text has size 8 and CRC 0 like an empty one; null ids sort
 before all others; repeated rows are told apart by their row number, so even
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -85,14 +91,22 @@ def sample_keys(rows: DataFrame, rate: float, *more: str) -> list:
             .select(*_KEY, F.greatest(F.col("size").cast("double"), F.lit(1 / rate)).alias("stands"), *more).collect())
 
 
-def quantiles(sample: list, target: float, hot: set[int]) -> list[tuple[int, int, int]]:
-    """Cuts between units so that sampled sizes stay below ``target``; a unit is a group of equal texts, or a row of a hot group."""
+def group_cuts(groups: Iterable[int]) -> list[tuple[int, int, int]]:
+    """Cuts before and after each of these groups of equal texts."""
+    return [(h, _LOWEST, _LOWEST) for g in groups for h in (g, g + 1) if h < 1 << 63]
+
+
+def quantiles(sample: list, target: float, large: Collection[int]) -> list[tuple[int, int, int]]:
+    """Cuts between units so that sampled sizes stay below ``target``; a unit is a group of equal texts, or a row of a large group."""
     units: dict[tuple, float] = {}
     for h, d, u, stands in sample:
-        unit = (h, d, u) if h in hot else (h, _LOWEST, _LOWEST)
+        unit = (h, d, u) if h in large else (h, _LOWEST, _LOWEST)
         units[unit] = units.get(unit, 0.0) + stands
-    cuts, total = [], 0.0
+    cuts, total, group = [], 0.0, None
     for unit, size in units.items():
+        own = unit[0] if unit[0] in large else None
+        if own != group:  # group_cuts() has a cut here
+            total, group = 0.0, own
         if total and total + size > target:
             cuts.append(unit)
             total = 0.0
@@ -103,45 +117,51 @@ def quantiles(sample: list, target: float, hot: set[int]) -> list[tuple[int, int
 def plan_shards(rows: DataFrame, n_shards: int, cfg: ShardConfig | None = None) -> ShardPlan:
     """Boundaries with no overfull range left, dealt to shards.
 
-    Groups of equal texts stay whole unless one is larger than a shard should
-    be.  The loop ends because the sampling rate doubles: once every row of an
-    overfull range is drawn, any range of two units or more is cut.
+    Groups of equal texts stay in one shard unless one is larger than a shard
+    should be.  The loop ends soon because the sampling rate doubles and no unit
+    of an overfull range is above ``target`` but single rows of a large group,
+    which are all drawn.
     """
     cfg = cfg or ShardConfig()
     total = rows.agg(F.sum("size")).first()[0] or 0
     if not total:
         return ShardPlan([])
-    # At most n_shards / whole_group rows: groups that no shard could hold.
-    hot = {r["h"] for r in rows.groupBy("h").agg(F.sum("size").alias("size"))
-           .where(F.col("size") > cfg.whole_group * total / n_shards).select("h").collect()}
     target = total / (n_shards * cfg.ranges_per_shard)
+    # At most n_shards x ranges_per_shard rows.
+    large = {r["h"]: r["size"] for r in rows.groupBy("h").agg(F.sum("size").alias("size")).where(F.col("size") > target).collect()}
+    whole = {h for h, size in large.items() if size <= cfg.whole_group * total / n_shards}
     rate = cfg.samples_per_range / target
-    cuts = quantiles(sample_keys(rows, rate), target, hot)
+    cuts = sorted({*group_cuts(large), *quantiles(sample_keys(rows, rate), target, large)})
     while True:
         ranged = rows.withColumn("range", range_of(cuts))
         sizes = {r["range"]: r for r in ranged.groupBy("range").agg(
             F.sum("size").alias("size"), F.count("*").alias("rows"), F.min("h").alias("first"), F.max("h").alias("last")).collect()}
         over = [k for k, r in sizes.items() if r["size"] > cfg.overfull * target
-                and (r["first"] < r["last"] or r["first"] in hot and r["rows"] > 1)]
+                and (r["first"] < r["last"] or r["first"] in large and r["rows"] > 1)]
         if not over:
             break
         rate *= 2
         drawn: dict[int, list] = {}
         for r in sample_keys(ranged.where(F.col("range").isin(over)), rate, "range"):
             drawn.setdefault(r["range"], []).append(r[:4])
-        cuts = sorted({*cuts, *(c for part in drawn.values() for c in quantiles(part, target, hot))})
-    shards, offsets = _deal(sizes, len(cuts) + 1, n_shards)
+        cuts = sorted({*cuts, *(c for part in drawn.values() for c in quantiles(part, target, large))})
+    shards, offsets = _deal(sizes, len(cuts) + 1, n_shards, whole)
     return ShardPlan(cuts, shards, offsets)
 
 
-def _deal(sizes: dict, n_ranges: int, n_shards: int) -> tuple[list[int], list[int]]:
-    """Largest range first to the lightest shard; slots follow range order within a shard."""
+def _deal(sizes: dict, n_ranges: int, n_shards: int, whole: set[int]) -> tuple[list[int], list[int]]:
+    """Largest first to the lightest shard, a range or all ranges of a ``whole`` group; slots follow range order within a shard."""
+    together: dict[tuple, list[int]] = {}
+    for k in sorted(sizes):
+        h = sizes[k]["first"]
+        together.setdefault(("group", h) if h in whole else ("range", k), []).append(k)
     loads = [(0, s) for s in range(n_shards)]
     shard = [0] * n_ranges
-    for k in sorted(sizes, key=lambda k: (-sizes[k]["size"], k)):
+    for size, ranges in sorted(((sum(sizes[k]["size"] for k in ranges), ranges) for ranges in together.values()), key=lambda x: (-x[0], x[1])):
         load, s = heapq.heappop(loads)
-        shard[k] = s
-        heapq.heappush(loads, (load + sizes[k]["size"], s))
+        for k in ranges:
+            shard[k] = s
+        heapq.heappush(loads, (load + size, s))
     filled, offset = [0] * n_shards, [0] * n_ranges
     for k in range(n_ranges):
         offset[k] = filled[shard[k]]

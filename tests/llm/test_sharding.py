@@ -40,6 +40,31 @@ def test_edges(make_docs, rows):
         assert sizes.max() < 2.5 * max(sizes.mean(), 1)
 
 
+def test_large_group_below_a_shard_is_not_collected(make_docs, monkeypatch):
+    rows = [(i, f"{i:06d}" + "z" * 86) for i in range(6000)] + [(10_000 + i, "c" * 92) for i in range(800)]
+    drawn, plans, sample_keys, plan_shards = [], [], S.sample_keys, S.plan_shards
+
+    def spied(*a):
+        drawn.append(sample_keys(*a))
+        return drawn[-1]
+
+    def planned(*a):
+        plans.append(plan_shards(*a))
+        return plans[-1]
+
+    monkeypatch.setattr(S, "sample_keys", spied)
+    monkeypatch.setattr(S, "plan_shards", planned)
+    got = S.assign(make_docs(rows), 4, S.ShardConfig(ranges_per_shard=8)).toPandas()
+    check(got, 4, rows)
+    copies = got[got.doc_id >= 10_000]
+    assert copies.shard.nunique() == 1  # 0.47 of a shard
+    h = make_docs([(1, "c" * 92)]).select(S._key_columns()[0]).first()[0]
+    assert sum(b[0] == h for b in plans[0].boundaries) >= 3  # its ranges
+    assert sum(sum(r["h"] == h for r in sample) for sample in drawn) < 100
+    sizes = got.groupby("shard")["size"].sum()
+    assert sizes.max() <= 1.1 * sizes.mean()
+
+
 def test_range_of_is_bisect(spark):
     import bisect
     cuts = [(-5, 0, 0), (3, -2, 9), (3, 7, 0), (8, 0, 0), (8, 0, 1)]
