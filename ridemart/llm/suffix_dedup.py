@@ -4,7 +4,9 @@ Which strings can repeat at all is found first: the smallest k-gram hash of
 every window (a function of the window's bytes) is looked up among all chunks
 (``exchange.py``), and only windows whose hash occurs in two documents go on.
 Neighbouring ones with the same hash make a segment, and the hash decides the
-segment's shard, so all copies of a window meet in one shard.
+segment's shard, so all copies of a window meet in one shard.  A hash whose
+segments alone are more than a shard's bytes (a phrase between ever other
+neighbours) is split: its windows go one by one, by their own hashes.
 
 A shard joins its distinct segments, sorts their suffixes by external induced
 sorting with common-prefix values (``induced_sort.py``), and takes the smallest
@@ -51,6 +53,8 @@ class SuffixConfig:
     sort_memory: int = 64 << 20
 
 
+#: Bytes of a key's segments are told in these units.
+WEIGHT_UNIT = 128
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary"
 
 
@@ -140,18 +144,45 @@ def _prepared(table: pa.Table):
 def _ask_keys(cfg: SuffixConfig, n_buckets: int):
     def ask(table: pa.Table, chunk: str):
         data, off, ids, same = _prepared(table)
-        _, _, keys, rows = key_runs(data, off, cfg)
+        starts, windows, keys, rows = key_runs(data, off, cfg)
         own = same[rows] == rows
         keys, rows = keys[own], rows[own]
+        weight = _distinct_units(data, starts[own], windows[own] + cfg.length - 1, keys)
         order = np.lexsort((ids[rows], keys))
         keys, owner = keys[order], ids[rows][order]
         fresh = np.ones(len(keys), bool)
         fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
         unique, counts = np.unique(keys[fresh], return_counts=True)
-        yield from X.bucket_requests(unique, [np.minimum(counts, 2).astype(np.uint8)], chunk, n_buckets)
+        yield from X.bucket_requests(unique, [np.minimum(counts, 2).astype(np.uint8), weight], chunk, n_buckets)
     return ask
 
 
+def _distinct_units(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Bytes of the distinct segments of every key (in the keys' order), in units rounded up."""
+    unique, back, runs = np.unique(keys, return_inverse=True, return_counts=True)
+    counted = np.ones(len(keys), bool)
+    several = np.flatnonzero(runs[back] > 1)
+    prints = _hash_spans(data, starts[several], sizes[several])
+    counted[several] = False
+    counted[several[np.unique(prints, return_index=True)[1]]] = True
+    total = np.bincount(back[counted], weights=sizes[counted], minlength=len(unique)).astype(np.int64)
+    return np.minimum(-(-total // WEIGHT_UNIT), 0xFFFF).astype(np.uint16)
+
+
+def _key_classes(cfg: SuffixConfig, join_bits):
+    """Bits of every asked key: is it in two documents, and are its segments more than a shard's bytes?"""
+    def reduce(requests: list[list[bytes]]) -> list[bytes]:
+        keys = [X.unsqueeze_sorted(r[0]) for r in requests]
+        counts = np.concatenate([X.unsqueeze(r[1], np.uint8) for r in requests])
+        weights = np.concatenate([X.unsqueeze(r[2], np.uint16) for r in requests])
+        _, back = np.unique(np.concatenate(keys), return_inverse=True)
+        shared = np.bincount(back, weights=counts)[back] > 1
+        hot = np.bincount(back, weights=weights)[back] * WEIGHT_UNIT > cfg.shard_text_bytes
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        return [X.join_parts([join_bits(a), join_bits(b)]) for a, b in zip(np.split(shared, cuts), np.split(hot, cuts))]
+    return reduce
+
+
 def _ask_shards(cfg: SuffixConfig, n_shards: int, folder: str, find_bits):
     """A chunk's distinct segments, by shard, each with its smallest document."""
     def ask(chunk: str, payloads: list[bytes]) -> pa.Table:
@@ -159,17 +190,20 @@ def _ask_shards(cfg: SuffixConfig, n_shards: int, folder: str, find_bits):
         starts, windows, keys, rows = key_runs(data, off, cfg)
         own = same[rows] == rows
         asked, back = np.unique(keys[own], return_inverse=True)
-        shared = find_bits(payloads)[back] if len(asked) else np.zeros(0, bool)
+        answers = [X.split_parts(p) for p in payloads]
+        shared, hot = (find_bits([a[k] for a in answers])[back] if len(asked) else np.zeros(0, bool) for k in range(2))
         starts, windows, keys, rows = (c[own][shared] for c in (starts, windows, keys, rows))
-        # Long runs (one gram over and over) in pieces.
-        pieces = -(-windows // cfg.segment_windows)
+        # Long runs (one gram over and over) in pieces, those of a hot key window by window.
+        most = np.where(hot[shared], 1, cfg.segment_windows)
+        pieces = -(-windows // most)
         piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts, rest, keys, rows = (np.repeat(c, pieces) for c in (starts, windows, keys, rows))
-        starts, windows = starts + piece * cfg.segment_windows, np.minimum(rest - piece * cfg.segment_windows, cfg.segment_windows)
+        starts, rest, keys, rows, most, hot = (np.repeat(c, pieces) for c in (starts, windows, keys, rows, most, hot[shared]))
+        starts, windows = starts + piece * most, np.minimum(rest - piece * most, most)
         sizes = windows + cfg.length - 1
-        first = _first_of_equals(_hash_spans(data, starts, sizes), ids[rows])
+        prints = _hash_spans(data, starts, sizes)
+        first = _first_of_equals(prints, ids[rows])
         order = np.flatnonzero(first == np.arange(len(first)))  # the distinct ones
-        shard = (keys[order] % np.uint64(n_shards)).astype(np.int64)
+        shard = (np.where(hot, prints, keys)[order] % np.uint64(n_shards)).astype(np.int64)
         order = order[np.argsort(shard, kind="stable")]
         bounds = np.searchsorted(np.sort(shard), np.arange(n_shards + 1))
         place = np.empty(len(first), np.int64)
@@ -293,7 +327,7 @@ def _remove(cfg: SuffixConfig, find_bits):
 
 def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFrame:
     """One row per document (``RESULT_SCHEMA``); ``spans`` has the removed byte ranges, (begin, end) as int64."""
-    from ridemart.llm.recompression import _repeated, join_bits, split_bits
+    from ridemart.llm.recompression import join_bits, split_bits
 
     cfg = cfg or SuffixConfig()
     spark = docs.sparkSession
@@ -304,7 +338,7 @@ def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFram
     first = X.write_requests(docs, folder, _ask_keys(cfg, n_buckets), cfg.chunk_bytes)
     known = X.chunk_rows(first)
     chunks = known.count()
-    segments = X.finish(known.unionAll(X.answer(first, _repeated, n_buckets)), chunks, _ask_shards(cfg, n_shards, folder, split_bits), X.REQUEST_SCHEMA)
+    segments = X.finish(known.unionAll(X.answer(first, _key_classes(cfg, join_bits), n_buckets)), chunks, _ask_shards(cfg, n_shards, folder, split_bits), X.REQUEST_SCHEMA)
     answers = X.answer(segments, _sort_shard(cfg, join_bits), n_shards, pass_chunks=True)
     out = X.finish(answers, chunks, _remove(cfg, split_bits), RESULT_SCHEMA).checkpoint()
     drop_folder(spark, folder)

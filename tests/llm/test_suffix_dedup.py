@@ -51,6 +51,24 @@ def test_matches_brute_force(make_docs, kw):
     assert run(make_docs(cases()), **kw) == brute(cases())
 
 
+def test_common_phrase_between_other_neighbours_is_spread(make_docs, monkeypatch):
+    rng = random.Random(5)
+    noise = lambda n: "".join(chr(rng.randrange(0x21, 0x7F)) for _ in range(n))
+    passages = [noise(70) for _ in range(40)]
+    rows = [(i, noise(35) + "the most common phrase of all, to be" + noise(35) + passages[i % 40]) for i in range(400)]
+    docs, loads, answer = make_docs(rows), [], S.X.answer
+
+    def spied(requests, *a, **kw):
+        if kw.get("pass_chunks"):
+            sums = requests.where("bucket >= 0").selectExpr("bucket", "length(payload) as n").groupBy("bucket").sum("n").collect()
+            loads.extend(r[1] for r in sums)
+        return answer(requests, *a, **kw)
+
+    monkeypatch.setattr(S.X, "answer", spied)
+    assert run(docs, shard_text_bytes=4000) == brute(rows)
+    assert max(loads) < 2 * sum(loads) / len(loads)  # 2.9 times the mean without a split
+
+
 def test_other_lengths(make_docs):
     assert run(make_docs(cases()), length=30, gram=8) == brute(cases(), 30)
 
