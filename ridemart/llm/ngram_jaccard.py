@@ -267,6 +267,19 @@ def near_duplicates(docs: DataFrame, cfg: JaccardConfig | None = None) -> DataFr
 
 
 def keep_one_of_each(docs: DataFrame, cfg: JaccardConfig | None = None) -> DataFrame:
-    """The documents that are the smallest of their group, all columns unchanged (ids are unique here)."""
-    gone = (near_duplicates(docs, cfg).where("not doc_id <=> component_id").select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """One row of each group, all columns unchanged: one with the smallest id (null ids last).
+
+    Rows are known by a hash of id and text; of equal rows one stays.  Texts
+    without a word are linked with nothing and all stay.
+    """
+    key = F.xxhash64("doc_id", "text")
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), cfg)
+    rows = found.groupBy(F.col("doc_id").alias("_key"), "component_id", (F.col("n_shingles") == 0).alias("bare")).agg(F.count("*").alias("rows"))
+    ids = docs.select(key.alias("_key"), F.col("doc_id").alias("id")).distinct()
+    best = (rows.where("not bare").join(ids, "_key").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key", "rows")).alias("best")).select("best._key", "best.rows"))
+    single = best.where("rows = 1").select("_key").unionAll(rows.where("bare").select("_key"))
+    keyed = docs.withColumn("_key", key)
+    several = (keyed.join(best.where("rows > 1"), "_key", "left_semi").groupBy("_key")
+               .agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("row")).select("row.*"))
+    return keyed.join(single, "_key", "left_semi").select(docs.columns).unionAll(several)

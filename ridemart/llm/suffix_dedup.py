@@ -283,7 +283,7 @@ def _sort_shard(cfg: SuffixConfig, join_bits):
     return reduce
 
 
-def _remove(cfg: SuffixConfig, find_bits):
+def _remove(cfg: SuffixConfig, find_bits, with_key: bool):
     def last(chunk: str, payloads: list[bytes]) -> pa.Table:
         table = X.load_texts(chunk)
         data, off, ids, same = _prepared(table)
@@ -312,21 +312,26 @@ def _remove(cfg: SuffixConfig, find_bits):
             # An equal document with a smaller id has it all; rows of one id share their result.
             covered[mine] = size[k] >= cfg.length if ids[k] > ids[same[k]] else covered[off[same[k]]:off[same[k] + 1]]
         removed = np.concatenate([np.zeros(1, np.int32), np.cumsum(covered, dtype=np.int32)])
-        digests, spans = [], []
+        digests, spans, keys = [], [], []
         for k in range(len(size)):
             mine = covered[off[k]:off[k + 1]]
             raw = data[off[k]:off[k + 1]]
             edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))) if removed[off[k + 1]] > removed[off[k]] else np.zeros(0, np.int64)
             spans.append(edges.astype("<i8").tobytes())
+            keys.append(hashlib.sha256(raw.tobytes()).hexdigest() if with_key and len(edges) else None)
             digests.append(hashlib.sha256((raw[~mine] if len(edges) else raw).tobytes()).hexdigest())
-        return pa.table({"doc_id": table.column("doc_id").combine_chunks(), "n_bytes": pa.array(size, pa.int64()),
-                         "n_removed": pa.array((removed[off[1:]] - removed[off[:-1]]).astype(np.int64)), "n_spans": pa.array([len(s) // 16 for s in spans], pa.int64()),
-                         "kept_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.binary())})
+        out = pa.table({"doc_id": table.column("doc_id").combine_chunks(), "n_bytes": pa.array(size, pa.int64()),
+                        "n_removed": pa.array((removed[off[1:]] - removed[off[:-1]]).astype(np.int64)), "n_spans": pa.array([len(s) // 16 for s in spans], pa.int64()),
+                        "kept_sha256": pa.array(digests, pa.string()), "spans": pa.array(spans, pa.binary())})
+        return out.append_column("text_sha256", pa.array(keys, pa.string())) if with_key else out
     return last
 
 
-def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFrame:
-    """One row per document (``RESULT_SCHEMA``); ``spans`` has the removed byte ranges, (begin, end) as int64."""
+def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None, with_key: bool = False) -> DataFrame:
+    """One row per document (``RESULT_SCHEMA``); ``spans`` has the removed byte ranges, (begin, end) as int64.
+
+    ``with_key``: also ``text_sha256``, the digest of the whole text where something is removed.
+    """
     from ridemart.llm.recompression import join_bits, split_bits
 
     cfg = cfg or SuffixConfig()
@@ -340,7 +345,7 @@ def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFram
     chunks = known.count()
     segments = X.finish(known.unionAll(X.answer(first, _key_classes(cfg, join_bits), n_buckets)), chunks, _ask_shards(cfg, n_shards, folder, split_bits), X.REQUEST_SCHEMA)
     answers = X.answer(segments, _sort_shard(cfg, join_bits), n_shards, pass_chunks=True)
-    out = X.finish(answers, chunks, _remove(cfg, split_bits), RESULT_SCHEMA).checkpoint()
+    out = X.finish(answers, chunks, _remove(cfg, split_bits, with_key), RESULT_SCHEMA + (", text_sha256 string" if with_key else "")).checkpoint()
     drop_folder(spark, folder)
     return out
 
@@ -348,10 +353,13 @@ def remove_repeats(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFram
 def cut_documents(docs: DataFrame, cfg: SuffixConfig | None = None) -> DataFrame:
     """The documents with the repeated ranges cut out of ``text`` (a character cut in two goes as a whole).
 
-    All columns stay; ids are unique here; documents without any repeat are unchanged.
+    All columns and rows stay; documents without any repeat are unchanged.  What
+    is cut follows from a row's id and text, so these are the key.
     """
-    found = remove_repeats(docs, cfg).where("n_removed > 0").select(F.col("doc_id").alias("_cut_id"), F.col("spans").alias("_cut_spans"))
-    joined = docs.join(found, docs["doc_id"] == F.col("_cut_id"), "left").drop("_cut_id")
+    found = (remove_repeats(docs, cfg, with_key=True).where("n_removed > 0").dropDuplicates(["doc_id", "text_sha256"])
+             .select(F.col("doc_id").alias("_cut_id"), F.col("text_sha256").alias("_cut_text"), F.col("spans").alias("_cut_spans")))
+    joined = (docs.join(found, docs["doc_id"].eqNullSafe(F.col("_cut_id")) & (F.sha2(docs["text"].cast("binary"), 256) == F.col("_cut_text")), "left")
+              .drop("_cut_id", "_cut_text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -87,6 +87,17 @@ def test_odd_rows_go_through(make_docs, spark):
     assert {r.doc_id for r in docs.collect()} <= {1, None}
 
 
+def test_null_ids_and_repeated_rows_have_a_result(make_docs, spark):
+    text, other, third = (" ".join(f"{w}{k}" for k in range(80)) for w in ("word", "other", "third"))
+    docs = make_docs([(1, text), (1, text), (2, text), (None, text + " x"), (None, other), (None, other), (None, None), (None, None), (4, ""), (4, third)])
+    got = sorted(((r.doc_id, r.text) for r in C.near_copies(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, text), (None, other), (None, None), (None, None), (4, ""), (4, third)], key=str)
+    passage = "0123456789" * 6
+    docs = make_docs([(1, passage), (7, "a " + passage), (7, "bcd " + passage + " e"), (7, "a " + passage), (None, passage + " f"), (None, "g")])
+    got = sorted(((r.doc_id, r.text) for r in C.repeats(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, passage), (7, "a "), (7, "bcd  e"), (7, "a "), (None, "f"), (None, "g")], key=str)
+
+
 def test_flat_handles_sliced_arrays():
     column = pa.array(["ab", None, "cde", ""])[1:]
     data, off = T.flat(column)
