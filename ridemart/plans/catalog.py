@@ -80,8 +80,9 @@ class Inputs:
     def _handed_over(self, purpose: str, names: list[str], build: Callable[[str], dict[str, DataFrame]]) -> dict[str, DataFrame]:
         """Tables written once below the shared checkpoint folder for these files and settings, and read by all that need them.
 
-        The folder's name follows from the input files (path, size, time), so
-        changed input makes new tables.
+        The folder's name follows from the input files (path, size, time) and the
+        application, so changed input makes new tables, and no table of other
+        code is read.
         """
         sc = self.spark.sparkContext
         fs = sc._jvm.org.apache.hadoop.fs
@@ -90,7 +91,7 @@ class Inputs:
             path = fs.Path(f)
             status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
             stamp.append((f, status.getLen(), status.getModificationTime()))
-        digest = hashlib.sha256(repr((stamp, self.settings)).encode()).hexdigest()[:16]
+        digest = hashlib.sha256(repr((stamp, self.settings, sc.applicationId)).encode()).hexdigest()[:16]
         folder = f"{ensure_checkpoint_dir(self.spark)}/{purpose}-{digest}"
         done = fs.Path(f"{folder}/done/_SUCCESS")
         if not done.getFileSystem(sc._jsc.hadoopConfiguration()).exists(done):

@@ -73,3 +73,16 @@ def test_overwritten_input_is_read_again(spark, tmp_path):
 def test_window_predicate_reaches_the_scan(spark):
     plan = _plan(spark, "clean_trips")
     assert "PushedFilters: [IsNotNull(ts)" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_tables_of_another_application_are_not_read(spark, inputs001, monkeypatch):
+    built = []
+
+    def build(folder):
+        built.append(folder)
+        return {"probe": spark.range(1)}
+
+    for app in ("probe-1", "probe-2", "probe-2"):
+        monkeypatch.setattr(type(spark.sparkContext), "applicationId", app)
+        assert inputs001._handed_over("probe", ["probe"], build)["probe"].count() == 1
+    assert len(built) == len(set(built)) == 2
