@@ -5,9 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
+from support import SF001, shown_settings  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,13 +18,6 @@ def spark():
     s.stop()
 
 
-def shown_settings():
-    """The window of FIXTURES.md part B, which ends before the table does (F1); the expected counts are for it."""
-    from ridemart.settings import fixture_settings
-
-    return fixture_settings().replace(window={"start": "2024-01-01", "end": "2024-01-30"})
-
-
 @pytest.fixture(scope="session")
 def settings():
     return shown_settings()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ridemart.operators import anomaly, iforest
 from ridemart.operators.sampling import sample_rows
 
-from conftest import shown_settings as fixture_settings
+from support import shown_settings as fixture_settings
 
 
 def test_rule_reasons_for_hand_rows(spark):
@@ -134,7 +134,7 @@ def test_top_k_is_exact(spark):
 
 def test_injected_extreme_trip_is_flagged(spark, scratch):
     from ridemart.plans.catalog import Inputs
-    from conftest import SF01
+    from support import SF01
 
     i = Inputs(spark, SF01)
     fact = i.fact_with_ids()

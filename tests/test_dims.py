@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ridemart.operators import dims
 from ridemart.settings import Settings
 
-from conftest import shown_settings as fixture_settings
+from support import shown_settings as fixture_settings
 
 
 def test_dim_date(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ridemart.operators import forecast
 
-from conftest import shown_settings as fixture_settings
+from support import shown_settings as fixture_settings
 
 
 @pytest.fixture(scope="module")

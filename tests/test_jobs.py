@@ -5,10 +5,10 @@ import os
 from ridemart.plans import jobs
 from ridemart.plans.catalog import Inputs
 
-from conftest import shown_settings as fixture_settings
+from support import shown_settings as fixture_settings
 from ridemart.sources import fixtures, sinks
 
-from conftest import SF001
+from support import SF001
 
 
 def test_run_all(spark, scratch):

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF001
+from support import SF001
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import SF001
+from support import SF001
 from ridemart.plans import catalog
 from ridemart.plans.catalog import spark_queries
 

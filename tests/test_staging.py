@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from ridemart.operators import staging
 
-from conftest import shown_settings as fixture_settings
+from support import shown_settings as fixture_settings
 from ridemart.sources import fixtures, landing
 
-from conftest import SF001
+from support import SF001
 
 
 def test_bounds_hold_after_cleaning(inputs001, settings):
