@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.llm import archive, decontamination, direct_codes, ngram_jaccard, ngram_lm, packing, quality_llr, recompression, sharding, suffix_dedup
+from ridemart.llm import (archive, centroid_clustering, conversation_repair, decontamination, direct_codes, html_differencing, ngram_jaccard, ngram_lm, packing,
+                          quality_llr, recompression, sharding, suffix_dedup)
 from ridemart.llm.tokens import vocabulary
 
 
@@ -107,9 +108,57 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def op11_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, next to the page with the nearest URL."""
+    return html_differencing.main_text_report(html_differencing.extract_main_text(_table(spark, sf_dir, "pages")))
+
+
+def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    return conversation_repair.repair_report(conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations"))))
+
+
+def op13_simplex_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of the embeddings after three rounds, in exact integers."""
+    return centroid_clustering.cluster_report(*centroid_clustering.cluster_vectors(_table(spark, sf_dir, "embeddings")))
+
+
+def _clustering_sql(rounds: int = 3) -> str:
+    """Every vector against every centroid, round by round."""
+    parts = ["""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS k, v FROM kept
+  ORDER BY k LIMIT 16)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := d, k := k)) AS best
+  FROM (SELECT r, k, CAST(list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM kept, c{i}) x
+  GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+s{i} AS MATERIALIZED (
+  SELECT k, j, sum(x) AS s, count(*) AS n
+  FROM (SELECT best.k AS k, unnest(v) AS x, unnest(range(64)) AS j FROM a{i} JOIN kept USING (r)) u
+  GROUP BY k, j),
+m{i} AS MATERIALIZED (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM s{i} GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.k AS k, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (k))""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} c ON c.k = best.k
+"""
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op1_elias_fano_lm, op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op9_induced_sort, op10_warc_dictionary)}
+    return {f.__name__: f for f in (op1_elias_fano_lm, op2_direct_codes, op3_sampled_splitters, op4_best_fit, op5_multi_order, op6_winnowing, op7_quality_llr, op8_recompression, op9_induced_sort, op10_warc_dictionary,
+                                    op11_url_differencing, op12_auction_repair, op13_simplex_centroids)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op6_winnowing": DECONTAMINATION_SQL, "op10_warc_dictionary": ARCHIVE_SQL}
+    return {"op6_winnowing": DECONTAMINATION_SQL, "op10_warc_dictionary": ARCHIVE_SQL, "op13_simplex_centroids": _clustering_sql()}
