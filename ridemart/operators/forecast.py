@@ -1,115 +1,95 @@
-"""Hourly volume forecast with Spark ML gradient-boosted trees.
-
-Per fleet: a GBT model on calendar, Fourier, trend and lag features is fit on
-all but the last ``test_days`` and scored on them next to the seasonal-naive
-baseline; a rolling-origin backtest repeats the fit for each fold.  The
-design matrix is built once for all fleets (its size is bounded by the
-window in hours) and cached; each fit is a filter of it.  Fits run
-concurrently from a small thread pool, one Spark ML job set each.
+"""Hourly volume forecast with gradient-boosted trees.
+
+Per fleet: a model on calendar, Fourier, trend and lag features is fit on all
+but the last ``test_days`` and scored on them next to the seasonal-naive
+baseline; a rolling-origin backtest repeats the fit for each fold.  The design
+matrix is built once for all fleets, the folds are rows, and (fleet, fold) is
+the key by which its rows are grouped: all fits are one Spark job, one group
+each.  A group's size is bounded by the window in hours, whatever the number
+of trips.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridemart.constants import INTERVAL_Z, LAGS, WEEK_HOURS
+from ridemart.constants import INTERVAL_Z, WEEK_HOURS
 from ridemart.functions import clip_lower
+from ridemart.operators.boosting import BoostingConfig, boost
+from ridemart.operators.joins import bounded
 from ridemart.operators.series import (FEATURE_COLUMNS, METRICS, backtest_folds, by_fleet, design_matrix,
                                        eligible, naive_backtest, naive_metrics, ordered_mean, score, with_position)
 from ridemart.settings import Settings
 
-# Gradient-boosted trees cannot take NULL lags; a lag before the start of the
-# series becomes this value, below every real count.
-MISSING_LAG = -1.0
+PREDICTIONS = "fleet string, fold int, t int, ds timestamp_ntz, y double, raw_pred double, is_test boolean"
 
 
-MISSING_FLAGS = [f"lag_{lag}_missing" for lag in LAGS]
+def boosting_config(settings: Settings) -> BoostingConfig:
+    fc = settings.forecast
+    return BoostingConfig(fc.max_iter, fc.step_size, fc.max_depth, fc.max_leaves, fc.max_bins, fc.min_leaf, fc.l2)
 
 
-def model_frame(series: DataFrame, settings: Settings) -> DataFrame:
-    """Design matrix of eligible fleets with position, length and a feature vector.
+def fits(positioned: DataFrame, settings: Settings) -> DataFrame:
+    """T9 + W5: one row ``(fleet, fold, cut, stop)`` per model fit.
 
-    The 26 design columns plus one 0/1 flag per lag marking a lag before the
-    start of the series (whose value is then ``MISSING_LAG``).
+    Fold -1 is the final fit (held-out week), folds 0.. are the backtest;
+    rows before ``cut`` train the model and those up to ``stop`` are predicted.
     """
-    dm = design_matrix(series)
-    dm = dm.withColumns({f"lag_{lag}_missing": F.col(f"lag_{lag}").isNull().cast("double") for lag in LAGS})
-    dm = dm.fillna(MISSING_LAG, subset=[f"lag_{lag}" for lag in LAGS])
-    pos = eligible(with_position(dm), settings)
-    asm = VectorAssembler(inputCols=FEATURE_COLUMNS + MISSING_FLAGS, outputCol="features")
-    return asm.transform(pos)
+    fc = settings.forecast
+    test = fc.test_days * 24
+    lengths = positioned.select("fleet", "n").distinct()
+    final = lengths.select("fleet", F.lit(-1).alias("fold"), (F.col("n") - test).alias("cut"), F.col("n").alias("stop"))
+    folds = backtest_folds(positioned, settings)
+    return final.unionByName(folds.select("fleet", "fold", "cut", (F.col("cut") + fc.horizon).alias("stop")))
 
 
-def _pipeline(settings: Settings) -> Pipeline:
-    fc = settings.forecast
-    gbt = GBTRegressor(featuresCol="features", labelCol="y", predictionCol="raw_pred",
-                       maxIter=fc.max_iter, maxDepth=fc.max_depth, stepSize=fc.step_size,
-                       maxBins=fc.max_bins, minInstancesPerNode=fc.min_leaf, seed=fc.seed)
-    return Pipeline(stages=[gbt])
+def _fit_group(cfg: BoostingConfig, features: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("t", ignore_index=True)
+        train = (rows["t"] < rows["cut"]).to_numpy()
+        rows["raw_pred"] = boost(rows[features].to_numpy(dtype=float), rows["y"].to_numpy(), train, cfg)
+        rows["is_test"] = ~train
+        return rows[["fleet", "fold", "t", "ds", "y", "raw_pred", "is_test"]]
+    return fit
 
 
-def _fit_fold(mf: DataFrame, fleet: str, cut: int, horizon: int, settings: Settings,
-                 fold: int) -> DataFrame:
-    """T5: fit on positions < cut, predict positions < cut + horizon.
+def predictions(series: DataFrame, settings: Settings) -> DataFrame:
+    """Every fit's predictions ``(fleet, fold, t, ds, y, raw_pred, is_test)``.
 
-    Returns ``(fleet, fold, t, ds, y, raw_pred, is_test)``; the training
-    rows are kept so the residual spread can be taken in-sample (K18).
-    """
-    rows = mf.where((F.col("fleet") == fleet) & (F.col("t") < cut + horizon))
-    # One fleet's rows (bounded by the window's hours) in one partition: each
-    # of the fit's many small jobs then runs a single task.
-    model = _pipeline(settings).fit(rows.where(F.col("t") < cut).coalesce(1))
-    pred = model.transform(rows)
-    return pred.select("fleet", F.lit(fold).alias("fold"), "t", "ds", "y", "raw_pred",
-                       (F.col("t") >= cut).alias("is_test"))
-
-
-def forecast(series: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """``mart_forecast``, ``mart_forecast_metrics``, ``mart_forecast_backtest``.
-
-    Fold -1 is the final fit (held-out week); folds 0.. are the backtest.
-    All fits' predictions are one union (U2); ``mart_forecast`` is the P10
-    projection with the interval from the in-sample residual std (A16).
-    Fleets too short for a forecast are skipped (T13); no eligible fleet
-    gives empty tables.
+    The training rows are kept so the residual spread can be taken in-sample
+    (K18).  Lags before the start of the series stay NULL; the trees send
+    them to the better side of each cut.  Fleets too short for a forecast
+    are skipped (T13).
     """
     fc = settings.forecast
-    test = fc.test_days * 24
-    if test > WEEK_HOURS:
+    if fc.test_days * 24 > WEEK_HOURS:
         raise ValueError("test horizon longer than one season would read held-out actuals")
-    # The matrix holds (fleets x window hours) rows: a few partitions are plenty
-    # and keep the per-iteration task count of every fit low.
-    mf = model_frame(series, settings)
-    mf = mf.repartition(max(1, min(fc.fit_partitions, len(fc.fleets))), "fleet").cache()
-    # One row per eligible fleet: a bounded list (configured fleets).
-    lengths = {r["fleet"]: r["n"] for r in mf.select("fleet", "n").distinct().collect()}
-    folds = {(r["fleet"], r["fold"]): r["cut"]
-             for r in backtest_folds(mf.select("fleet", "n").distinct(), settings).collect()}
-    jobs = [(f, n - test, test, -1) for f, n in sorted(lengths.items())]
-    jobs += [(f, cut, fc.horizon, fold) for (f, fold), cut in sorted(folds.items())]
-    spark = series.sparkSession
-
-    def run(job):
-        fleet, cut, horizon, fold = job
-        return _fit_fold(mf, fleet, cut, horizon, settings, fold)
-
-    if jobs:
-        with ThreadPoolExecutor(max_workers=max(1, fc.parallel_fits)) as pool:
-            preds = list(pool.map(run, jobs))
-        pred = preds[0]
-        for p in preds[1:]:
-            pred = pred.unionByName(p)
-    else:
-        pred = spark.createDataFrame([], "fleet string, fold int, t int, ds timestamp_ntz, y double, "
-                                         "raw_pred double, is_test boolean")
-
-    return {**forecast_tables(pred, series, settings), "predictions": pred, "model_frame": mf}
+    positioned = eligible(with_position(design_matrix(series)), settings)
+    n_fits = len(fc.fleets) * (fc.folds + 1)
+    plan = bounded(fits(positioned, settings), known_max_rows=n_fits)
+    rows = positioned.join(plan, "fleet").where(F.col("t") < F.col("stop"))
+    # Few rows but long fits: more partitions than fits (an explicit count is not
+    # coalesced), so that hardly two fits share a task.
+    rows = rows.select("fleet", "fold", "cut", "t", "ds", "y", *FEATURE_COLUMNS).repartition(8 * n_fits, "fleet", "fold")
+    return rows.groupBy("fleet", "fold").applyInPandas(_fit_group(boosting_config(settings), FEATURE_COLUMNS), PREDICTIONS)
+
+
+def forecast(series: DataFrame, settings: Settings, predictions_path: str | None = None) -> dict[str, DataFrame]:
+    """``mart_forecast``, ``mart_forecast_metrics``, ``mart_forecast_backtest`` and the ``predictions`` behind them.
+
+    With ``predictions_path`` the predictions are written there once and the
+    tables read them; without, each table that is read fits its models anew.
+    No eligible fleet gives empty tables.
+    """
+    pred = predictions(series, settings)
+    if predictions_path:
+        pred.write.mode("overwrite").parquet(predictions_path)
+        pred = series.sparkSession.read.schema(PREDICTIONS).parquet(predictions_path)
+    return {**forecast_tables(pred, series, settings), "predictions": pred}
 
 
 def forecast_tables(pred: DataFrame, series: DataFrame, settings: Settings, model: str = "gbm") -> dict[str, DataFrame]:

@@ -36,15 +36,14 @@ class ForecastSettings:
     fleets: tuple[str, ...] = ("yellow", "green")
     horizon: int = 24        # backtest fold length in hours
     folds: int = 3
-    # Spark ML gradient-boosted trees; see README for the mapping.
+    # Gradient-boosted trees, see ridemart.operators.boosting.
     max_iter: int = 500
     max_depth: int = 7
+    max_leaves: int = 31
     step_size: float = 0.06
-    max_bins: int = 256
+    max_bins: int = 255
     min_leaf: int = 20
-    seed: int = 7
-    parallel_fits: int = 8   # concurrent model fits from the driver (each is one task wide)
-    fit_partitions: int = 8  # partitions of the cached design matrix
+    l2: float = 1.0
 
 
 @dataclass(frozen=True)
