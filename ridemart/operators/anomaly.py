@@ -1,8 +1,8 @@
 """Trip anomalies: business rules plus an isolation-forest score.
 
-Rules are plain boolean columns (JVM).  The forest is built from seeded
-draws of bounded size (one pandas task per tree) and scores every trip in
-Arrow batches; see ``ridemart.operators.iforest``.  What follows a score
+Rules are plain boolean columns.  The forest is grown from seeded draws of
+bounded size and scores every trip in one expression, both in the JVM; see
+``ridemart.operators.iforest``.  What follows a score
 (threshold, flags, mart, summary) is the same for any score column.
 """
 
@@ -111,16 +111,16 @@ def largest_z(df: DataFrame, settings: Settings) -> DataFrame:
 
 
 def forest_scores(df: DataFrame, settings: Settings) -> DataFrame:
-    """The isolation-forest score of every row."""
+    """The isolation-forest score of every row (raw features: scaling them changes no tree)."""
     from ridemart.operators import iforest
 
     a, feats = settings.anomaly, list(ANOMALY_FEATURES)
-    center, scale, rows = iforest.feature_stats(df, feats)
-    z, zcols = iforest.with_z(df, feats, center, scale)
+    rows = df.count()
+    if not rows:
+        return df.withColumn("anomaly_score", F.lit(None).cast("double"))
     keys = ["trip_id"] if "trip_id" in df.columns else None
-    nodes = iforest.fit_forest(z, zcols, a.trees, a.max_samples, a.seed, keys, rows)
-    # Scoring standardises inside the Python task: only raw columns cross over.
-    return iforest.score(df, feats, nodes, center=center, scale=scale)
+    nodes = iforest.fit_forest(df, feats, a.trees, a.max_samples, a.seed, keys, rows)
+    return iforest.score(df, feats, nodes)
 
 
 def assess(scored: DataFrame, settings: Settings, fact_rows: Column | int | None = None) -> dict[str, DataFrame]:

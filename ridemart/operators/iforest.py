@@ -1,4 +1,4 @@
-"""Isolation forest on Spark (N2-N5): bounded tree build, distributed scoring.
+"""Isolation forest on Spark (N2-N5): trees grown level by level, rows scored in the JVM.
 
 Isolation forests (Liu, Ting and Zhou, 2008) isolate points with random
 axis-aligned cuts; anomalies need fewer cuts.  Each tree sees only
@@ -9,39 +9,39 @@ place:
    with the probability that gives each tree about ``1.5 * max_samples``
    rows, so about ``1.5 * trees * max_samples`` rows leave the scan however
    large the table is,
-2. they go straight to their tree's task, which keeps the ``max_samples``
+2. they go to their tree's partition, which keeps the ``max_samples``
    smallest hashes (an exact sample without replacement),
-3. ``groupBy(tree_id).applyInPandas`` grows each tree from its own group
-   and returns its nodes; the groups are spread over up to one task per
-   core by an explicit partition count,
-4. the node table (at most ``trees * (2 * max_samples - 1)`` rows) is
-   broadcast and every row is scored in Arrow batches by ``mapInPandas``.
+3. all trees grow together, one level after the other: per (tree, node) the
+   count and every feature's minimum and maximum; the split feature and the
+   threshold between its minimum and maximum follow from a hash of (tree,
+   node) that any SQL engine prints alike.  The rows stay in their tree's
+   partition, so a level moves nothing,
+4. the node table (at most ``trees * (2 * max_samples - 1)`` rows) becomes
+   literal arrays, and every row walks all trees in one expression.
+
+Thresholds lie between a node's own values, so shifting and scaling a
+feature changes no tree: the raw features serve as well as z-scores (N2).
 
 Score s(x) = 2 ** (-E[h(x)] / c(max_samples)), in (0, 1], higher is odder.
+Path lengths are added as whole multiples of 2**-44, so the sum of a row's
+trees does not depend on their order.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ridemart.constants import EULER_GAMMA
-from ridemart.operators.sampling import exact_quantile
-
-# The tree builder and scorer run in Python workers.  Ship this module's
-# functions by value so workers need numpy and pandas, not this package on
-# their path (no --py-files needed).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from ridemart.operators.sampling import HASH_SPAN, exact_quantile, hash_text, seeded_hash
 
-NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, "
-               "left_child int, right_child int, leaf_path double")
+#: Parts of a path length that is 1.
+PATH_UNIT = 1 << 44
 
 
 def avg_path_length(n: float) -> float:
@@ -53,59 +53,6 @@ def avg_path_length(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes of one isolation tree over sample ``x`` (rows x features).
-
-    Returns ``(node_id, feature, threshold, left, right, leaf_path)``;
-    internal nodes have ``leaf_path`` NaN, leaves have feature -1 and
-    ``leaf_path = depth + c(size)``.
-    """
-    nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, -1, False)]
-    while stack:
-        idx, depth, parent, is_right = stack.pop()
-        node_id = len(nodes)
-        if parent >= 0:
-            nodes[parent][3 if is_right else 2] = node_id
-        sub = x[idx]
-        split = None
-        if depth < max_depth and len(idx) > 1:
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
-            candidates = np.flatnonzero(hi > lo)
-            if len(candidates):
-                q = int(rng.choice(candidates))
-                t = float(rng.uniform(lo[q], hi[q]))
-                if t <= lo[q]:  # keep both sides non-empty
-                    t = float(np.nextafter(lo[q], hi[q]))
-                split = (q, t)
-        if split is None:
-            nodes.append([-1, math.nan, -1, -1, depth + avg_path_length(len(idx))])
-            continue
-        q, t = split
-        go_left = sub[:, q] < t
-        nodes.append([q, t, -1, -1, math.nan])
-        stack.append((idx[~go_left], depth + 1, node_id, True))
-        stack.append((idx[go_left], depth + 1, node_id, False))
-    return [(i, *n) for i, n in enumerate(nodes)]
-
-
-def _tree_builder(features: list[str], max_samples: int, seed: int):
-    max_depth = int(math.ceil(math.log2(max(max_samples, 2))))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree_id = int(pdf["tree_id"].iloc[0])
-        pdf = pdf.sort_values("_h", kind="mergesort").head(max_samples)
-        rng = np.random.default_rng([seed, tree_id])
-        nodes = grow_tree(pdf[features].to_numpy(dtype=float), rng, max_depth)
-        out = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left_child",
-                                           "right_child", "leaf_path"])
-        out.insert(0, "tree_id", tree_id)
-        return out.astype({"tree_id": "int32", "node_id": "int32", "feature": "int32",
-                           "left_child": "int32", "right_child": "int32"})
-
-    return build
-
-
 def feature_stats(df: DataFrame, features: list[str]) -> tuple[list[float], list[float], int]:
     """Per-feature mean and population std (0 -> 1), plus the row count, in one pass."""
     stats = df.agg(F.count(F.lit(1)).alias("n"),
@@ -131,97 +78,128 @@ def standardize(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str
     return z, zcols, n
 
 
+def tree_samples(df: DataFrame, features: list[str], trees: int, psi: int, seed: int, keys: list[str], rows: int) -> DataFrame:
+    """Step 1 and 2: ``(tree_id, x)`` of exactly ``psi`` rows per tree (about that many where a tree drew fewer)."""
+    wanted = 1.5 * trees * psi / rows  # trees per row
+    copies = min(trees, max(1, math.ceil(wanted)))
+    share = min(1.0, wanted / copies)
+    drawn = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), seeded_hash(keys, seed).alias("_own"))
+    drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))) if copies > 1 else F.lit(0))
+    drawn = drawn.withColumn("tree_id", ((F.col("_own") % trees + F.col("_copy")) % trees).cast("int"))
+    drawn = drawn.withColumn("_h", hash_text(F.concat_ws("|", F.lit("sample"), F.lit(str(seed)), "_own", "tree_id")))
+    kept = drawn.where(F.col("_h") < F.lit(math.floor(share * HASH_SPAN)).cast("long"))
+    # Few rows (about 1.5 x trees x psi); the explicit count keeps AQE from growing all trees in one task.
+    tasks = max(1, min(trees, df.sparkSession.sparkContext.defaultParallelism))
+    by_hash = Window.partitionBy("tree_id").orderBy("_h", "_own", "x")
+    return (kept.repartition(tasks, "tree_id").withColumn("_place", F.row_number().over(by_hash))
+            .where(F.col("_place") <= psi).select("tree_id", "x"))
+
+
+def split_columns(n_features: int, seed: int) -> list[tuple[str, Column]]:
+    """The columns that decide a node's split, in order, from its count and its features' ranges ``lo`` and ``hi``."""
+    def draw(purpose: str) -> Column:
+        return hash_text(F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), "tree_id", "node_id"))
+
+    varying = F.filter(F.sequence(F.lit(0), F.lit(n_features - 1)), lambda i: F.get("hi", i) > F.get("lo", i))
+    low, high = F.get("lo", F.col("feature")), F.get("hi", F.col("feature"))
+    share = (draw("threshold") + 1).cast("double") / float(HASH_SPAN)
+    return [
+        ("_varying", varying),
+        ("feature", F.when((F.col("size") > 1) & (F.size("_varying") > 0),
+                           F.get("_varying", (draw("feature") % F.greatest(F.size("_varying"), F.lit(1))).cast("int")))),
+        ("_at", F.least(low + share * (high - low), high)),
+        # Both sides must keep a row: a threshold that rounding left at the minimum becomes the maximum.
+        ("threshold", F.when(F.col("_at") > low, F.col("_at")).otherwise(high)),
+    ]
+
+
+def grown(samples: DataFrame, n_features: int, depth: int, seed: int) -> DataFrame:
+    """Step 3: ``(tree_id, node_id, feature, threshold, size)`` of every node; leaves have no feature.
+
+    Node k has children 2k+1 and 2k+2, the root is 0.
+    """
+    rows = samples.withColumn("node_id", F.lit(0)).withColumn("path", F.array().cast("array<struct<node_id:int,feature:int,threshold:double>>"))
+    here = Window.partitionBy("tree_id", "node_id")
+    for _ in range(depth):
+        rows = rows.select("tree_id", "x", "node_id", "path", F.count(F.lit(1)).over(here).alias("size"),
+                           F.array(*[F.min(F.col("x")[i]).over(here) for i in range(n_features)]).alias("lo"),
+                           F.array(*[F.max(F.col("x")[i]).over(here) for i in range(n_features)]).alias("hi"))
+        for name, column in split_columns(n_features, seed):
+            rows = rows.withColumn(name, column)
+        child = 2 * F.col("node_id") + F.when(F.get("x", F.col("feature")) < F.col("threshold"), 1).otherwise(2)
+        split = F.col("feature").isNotNull()
+        rows = rows.select(
+            "tree_id", "x", F.when(split, child).otherwise(F.col("node_id")).cast("int").alias("node_id"),
+            F.when(split, F.array_append("path", F.struct(F.col("node_id"), F.col("feature"), F.col("threshold")))).otherwise(F.col("path")).alias("path"))
+    leaf = F.struct("node_id", F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("threshold"))
+    nodes = rows.select("tree_id", F.explode(F.array_append("path", leaf)).alias("node"))
+    return nodes.groupBy("tree_id", "node.node_id", "node.feature", "node.threshold").agg(F.count(F.lit(1)).alias("size"))
+
+
 def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples: int = 256,
                seed: int = 7, key_cols: list[str] | None = None, rows: int | None = None) -> pd.DataFrame:
-    """Grow ``trees`` isolation trees; returns the (bounded) node table."""
-    keys = key_cols or features
+    """Grow ``trees`` isolation trees; returns the (bounded) node table.
+
+    Internal nodes have ``leaf_path`` NaN, leaves have feature -1 and
+    ``leaf_path = depth + c(size)``.
+    """
     n = df.count() if rows is None else rows
     if n == 0:
         raise ValueError("no rows to fit the isolation forest on")
     psi = min(max_samples, n)
-    wanted = 1.5 * trees * psi / n  # trees per row
-    copies = min(trees, max(1, math.ceil(wanted)))
-    own = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
-    drawn = df.select(*dict.fromkeys(keys + features)).withColumn("_own", own)
-    drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))) if copies > 1 else F.lit(0))
-    drawn = drawn.withColumn("tree_id", F.pmod(F.pmod("_own", F.lit(trees)) + F.col("_copy"), F.lit(trees)).cast("int"))
-    drawn = drawn.withColumn("_h", F.xxhash64("_own", "tree_id", F.lit(seed)))
-    kept = F.pmod("_h", F.lit(1 << 30)).cast("double") / float(1 << 30) < min(1.0, wanted / copies)
-    chosen = drawn.where(kept).select("tree_id", *features, "_h")
-    # The drawn rows are few (about 1.5 x trees x psi), so AQE would coalesce
-    # them into one partition and grow every tree in one Python task.  An
-    # explicit partition count (which AQE keeps) spreads the trees over the
-    # cluster; the grouping reuses that partitioning.
-    tasks = max(1, min(trees, df.sparkSession.sparkContext.defaultParallelism))
-    nodes = (chosen.repartition(tasks, "tree_id").groupBy("tree_id")
-             .applyInPandas(_tree_builder(features, psi, seed), NODE_SCHEMA))
-    node_pdf = nodes.toPandas()
-    node_pdf.attrs["max_samples"] = psi
-    return node_pdf
-
-
-def _pack(nodes: pd.DataFrame) -> dict:
-    nodes = nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    tree_ids = nodes["tree_id"].to_numpy()
-    start = np.flatnonzero(np.r_[True, tree_ids[1:] != tree_ids[:-1]])
-    offset = np.repeat(start, np.diff(np.r_[start, len(nodes)]))
-    left = nodes["left_child"].to_numpy() + offset
-    right = nodes["right_child"].to_numpy() + offset
-    return {
-        "roots": start.astype(np.int64),
-        "feature": nodes["feature"].to_numpy().astype(np.int64),
-        "threshold": nodes["threshold"].to_numpy(),
-        "left": np.where(nodes["left_child"].to_numpy() >= 0, left, -1).astype(np.int64),
-        "right": np.where(nodes["right_child"].to_numpy() >= 0, right, -1).astype(np.int64),
-        "leaf_path": nodes["leaf_path"].to_numpy(),
-    }
-
-
-def path_lengths(x: np.ndarray, packed: dict) -> np.ndarray:
-    """Mean path length over all trees for each row of ``x`` (vectorised)."""
-    m = len(x)
-    idx = np.tile(packed["roots"], (m, 1))
-    rows = np.arange(m)[:, None]
-    feat, thr = packed["feature"], packed["threshold"]
-    while True:
-        f = feat[idx]
-        internal = f >= 0
-        if not internal.any():
-            break
-        val = x[rows, np.where(internal, f, 0)]
-        nxt = np.where(val < thr[idx], packed["left"][idx], packed["right"][idx])
-        idx = np.where(internal, nxt, idx)
-    return packed["leaf_path"][idx].mean(axis=1)
-
-
-def score(df: DataFrame, features: list[str], nodes: pd.DataFrame,
-          score_col: str = "anomaly_score", center: list[float] | None = None,
-          scale: list[float] | None = None) -> DataFrame:
-    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row.
-
-    With ``center``/``scale`` the raw ``features`` are standardised inside
-    the task (same arithmetic as ``with_z``), so no z columns cross the
-    JVM/Python boundary.
-    """
-    packed = _pack(nodes)
-    if center is not None:
-        packed["center"] = np.asarray(center, dtype=float)
-        packed["scale"] = np.asarray(scale, dtype=float)
+    depth = int(math.ceil(math.log2(max(psi, 2))))
+    samples = tree_samples(df, features, trees, psi, seed, key_cols or features, n)
+    found = grown(samples, len(features), depth, seed).toPandas().sort_values(["tree_id", "node_id"], ignore_index=True)
+    leaf = found["feature"].isna().to_numpy()
+    node = found["node_id"].to_numpy()
+    level = np.floor(np.log2(node + 1)).astype(int)
+    path = [d + avg_path_length(int(s)) if end else math.nan for d, s, end in zip(level, found["size"], leaf)]
+    out = pd.DataFrame({
+        "tree_id": found["tree_id"].astype("int32"), "node_id": node.astype("int32"), "feature": found["feature"].fillna(-1).astype("int32"),
+        "threshold": found["threshold"], "left_child": np.where(leaf, -1, 2 * node + 1).astype("int32"),
+        "right_child": np.where(leaf, -1, 2 * node + 2).astype("int32"), "leaf_path": path})
+    out.attrs["max_samples"] = psi
+    return out
+
+
+def _literal(values: np.ndarray, kind: str) -> Column:
+    """An array literal from one string, which the optimizer folds (an element at a time would be slow to build)."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast(f"array<{kind}>")
+
+
+def walked(features: list[str], nodes: pd.DataFrame) -> Column:
+    """A row's path lengths through all trees, added up in units of ``1 / PATH_UNIT``."""
+    nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
+    tree, node = nodes["tree_id"].to_numpy(), nodes["node_id"].to_numpy().astype(np.int64)
+    leaf = nodes["feature"].to_numpy() < 0
+    # Places of the children: (tree, node) pairs are sorted, so a search finds them; a leaf stays where it is.
+    name = tree.astype(np.int64) << 32
+    own = np.arange(len(nodes))
+    left, right = (np.where(leaf, own, np.searchsorted(name | node, name | (2 * node + step))) for step in (1, 2))
+    units = [0 if math.isnan(p) else round(p * PATH_UNIT) for p in nodes["leaf_path"]]
+    tables = {"roots": _literal(own[node == 0], "int"), "feature": _literal(np.maximum(nodes["feature"].to_numpy(), 0), "int"),
+              "threshold": _literal(nodes["threshold"].fillna(0.0).to_numpy(), "double"), "left": _literal(left, "int"),
+              "right": _literal(right, "int"), "length": _literal(np.array(units), "long")}
+    levels = F.sequence(F.lit(1), F.lit(int(np.floor(np.log2(node.max() + 1)))))
+
+    def path(t: Column, root: Column) -> Column:
+        if node.max() == 0:
+            return F.get(t["length"], root)
+        return F.get(t["length"], F.aggregate(levels, root, lambda i, _: F.when(
+            F.get(t["x"], F.get(t["feature"], i)) < F.get(t["threshold"], i), F.get(t["left"], i)).otherwise(F.get(t["right"], i))))
+
+    # A one-element transform binds the row's features and the arrays once a row instead of once a step.
+    row = F.struct(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), *[c.alias(name) for name, c in tables.items()])
+    return F.get(F.transform(F.array(row), lambda t: F.aggregate(t["roots"], F.lit(0).cast("long"), lambda acc, root: acc + path(t, root))), F.lit(0))
+
+
+def score(df: DataFrame, features: list[str], nodes: pd.DataFrame, score_col: str = "anomaly_score") -> DataFrame:
+    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row, in the JVM."""
     c_psi = avg_path_length(nodes.attrs.get("max_samples", 256))
-    bc = df.sparkSession.sparkContext.broadcast(packed)
-    schema = T.StructType(df.schema.fields + [T.StructField(score_col, T.DoubleType())])
-
-    def run(batches):
-        p = bc.value
-        for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float)
-            if "center" in p:
-                x = (x - p["center"]) / p["scale"]
-            eh = path_lengths(x, p) if len(x) else np.zeros(0)
-            pdf[score_col] = np.power(2.0, -eh / c_psi) if c_psi > 0 else 1.0
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    if c_psi <= 0:
+        return df.withColumn(score_col, F.lit(1.0))
+    mean = walked(features, nodes).cast("double") / float(PATH_UNIT) / float(nodes["tree_id"].nunique())
+    return df.withColumn(score_col, F.pow(F.lit(2.0), -mean / F.lit(c_psi)))
 
 
 def contamination_threshold(scored: DataFrame, contamination: float, score_col: str = "anomaly_score") -> float | None:

@@ -7,19 +7,20 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPAN = 2 ** 60
+#: Hashes are below this.
+HASH_SPAN = 2 ** 60
 
 
-def seeded_hash(cols: list, seed: int) -> Column:
-    """A 60-bit hash that SQL engines reproduce exactly.
-
-    The first 15 hex digits of ``md5(seed|k1|k2|...)`` as BIGINT.  NULL keys
-    are skipped, as ``concat_ws`` does.
-    """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+def hash_text(text: Column) -> Column:
+    """A 60-bit hash that SQL engines reproduce exactly: the first 15 hex digits of the text's md5 as BIGINT."""
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def seeded_hash(cols: list, seed: int) -> Column:
+    """The hash of ``seed|k1|k2|...``.  NULL keys are skipped, as ``concat_ws`` does."""
+    return hash_text(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+
+
 def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None = None,
                 oversample: float = 1.5, total: int | None = None) -> DataFrame:
     """Exactly ``min(n, count)`` rows: those with the smallest seeded hash.
@@ -41,9 +42,9 @@ def sample_rows(df: DataFrame, n: int, seed: int = 7, key_cols: list[str] | None
     if total <= n:
         return df
     frac = min(1.0, oversample * n / total)
-    while frac < 1.0 and hashed.where(F.col("_h") < F.lit(int(frac * _SPAN))).count() < n:
+    while frac < 1.0 and hashed.where(F.col("_h") < F.lit(int(frac * HASH_SPAN))).count() < n:
         frac = min(1.0, 2 * frac)
-    candidates = hashed if frac >= 1.0 else hashed.where(F.col("_h") < F.lit(int(frac * _SPAN)))
+    candidates = hashed if frac >= 1.0 else hashed.where(F.col("_h") < F.lit(int(frac * HASH_SPAN)))
     return candidates.orderBy("_h", *order).limit(int(n)).drop("_h")
 
 
