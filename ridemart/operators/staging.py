@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +51,21 @@ def keep_predicate(settings: Settings) -> Column:
     )
 
 
-def clean_trips(raw: DataFrame, settings: Settings) -> DataFrame:
-    """Normalised raw trips -> staged trips (19 columns).
+def clean_trips(raw: DataFrame, settings: Settings, more: list[str] | None = None) -> DataFrame:
+    """Normalised raw trips -> staged trips (19 columns, and those of ``more``).
 
     The window predicate on the raw timestamp is pushed into each parquet
     scan; the derived predicates run right after it in the same stage.
     """
-    return with_features(raw).where(keep_predicate(settings)).select(*STAGED_COLUMNS)
+    return with_features(raw).where(keep_predicate(settings)).select(*STAGED_COLUMNS, *(more or []))
+
+
+def removal_counts(rows_raw: int, rows_clean: int) -> dict:
+    """A8 from two row counts (percent rounded half up to 2 digits, 0 of nothing)."""
+    removed = rows_raw - rows_clean
+    percent = Decimal(removed * 100) / rows_raw if rows_raw else Decimal(0)
+    return {"rows_raw": rows_raw, "rows_clean": rows_clean, "rows_removed": removed,
+            "removed_pct": float(percent.quantize(Decimal("0.01"), ROUND_HALF_UP))}
 
 
 def clean_summary(raw: DataFrame, settings: Settings) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ridemart.functions import round_half_up
 from ridemart.operators import anomaly, bi, dims, forecast, marts, quality, series, staging
 from ridemart.operators.sampling import sample_rows
+from ridemart.plans import jobs
 from ridemart.session import ensure_checkpoint_dir
 from ridemart.settings import Settings, fixture_settings
 from ridemart.sources import fixtures, landing, sinks
@@ -104,10 +105,7 @@ class Inputs:
     def forecast(self) -> dict[str, DataFrame]:
         """Forecast tables: all fits run once, their result is a written table."""
         def build(folder: str) -> dict[str, DataFrame]:
-            out = forecast.forecast(self.series(), self.settings)
-            pred = sinks.write_table(out["predictions"], f"{folder}/predictions")
-            out["model_frame"].unpersist()
-            return forecast.forecast_tables(self.spark.read.parquet(pred), self.series(), self.settings)
+            return forecast.forecast(self.series(), self.settings, f"{folder}/predictions")
         return self._handed_over("forecast", ["mart_forecast", "mart_forecast_metrics", "mart_forecast_backtest"], build)
 
     def plain_forecast(self) -> dict[str, DataFrame]:
@@ -147,12 +145,80 @@ def sampled_trips(i: Inputs) -> DataFrame:
     return sample_rows(keyed, SAMPLE_ROWS, seed=7, key_cols=SAMPLE_KEY).drop("_pickup_us")
 
 
-def landed_trips(i: Inputs) -> DataFrame:
-    """The trips as raw fleet-month files with prefixed columns, discovered, normalised and united."""
+#: S3 is shown with so many rows of each landed file.
+LANDED_CAP = 400
+
+
+def _landed(i: Inputs) -> tuple[str, Settings]:
+    """The trips as raw fleet-month files with prefixed columns, whose types drift from file to file; December was never landed."""
     folder = f"{ensure_checkpoint_dir(i.spark)}/landing-{uuid.uuid4().hex}"
-    fixtures.write_landing(i.spark, i.sf_dir, folder, "2024-01")
-    wanted = i.settings.replace(ingest={"months": ("2023-12", "2024-01")})  # December was never landed
-    return landing.read_landing(i.spark, folder, wanted)
+    fixtures.write_drifted_landing(i.spark, i.sf_dir, folder)
+    return folder, i.settings.replace(ingest={"months": ("2023-12", "2024-01", "2024-02")})
+
+
+def landed_trips(i: Inputs) -> DataFrame:
+    """Raw files of differing types discovered, grouped by type, normalised and united."""
+    return landing.read_landing(i.spark, *_landed(i))
+
+
+def landed_sample(i: Inputs) -> DataFrame:
+    """S3: exactly ``LANDED_CAP`` rows of every landed file (all of a smaller one), spread over it."""
+    folder, wanted = _landed(i)
+    return landing.read_landing(i.spark, folder, wanted.replace(ingest={"sample_rows": LANDED_CAP}), with_month=True)
+
+
+def landing_manifest(i: Inputs) -> DataFrame:
+    """The landed files found, with their rows from the files' own metadata."""
+    folder, wanted = _landed(i)
+    found = landing.landing_counts(i.spark, landing.discover_landing(i.spark, folder, wanted))
+    return found.select("fleet", "month", F.element_at(F.split("path", "/"), -1).alias("file"), "source", "rows", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+EXPORTED_CSV = ("daily", "zones")
+
+
+def _exported(i: Inputs) -> tuple[str, dict[str, DataFrame]]:
+    """Three marts as replaced, registered tables, exported by name with a manifest."""
+    root = f"{ensure_checkpoint_dir(i.spark)}/export-{uuid.uuid4().hex}"
+    tables = {"daily": i.daily(False), "hourly": i.hourly(False), "zones": i.zone_demand(False)}
+    for name, df in tables.items():
+        sinks.replace_table(df, f"{root}/{name}")
+    stored = {name: sinks.read_table(i.spark, f"{root}/{name}") for name in tables}
+    sinks.export_tables(i.spark, stored, f"{root}/bi", EXPORTED_CSV)
+    return f"{root}/bi", stored
+
+
+def export_manifest(i: Inputs) -> DataFrame:
+    """The manifest of an export of three marts, read back."""
+    folder, _ = _exported(i)
+    manifest = sinks.read_manifest(i.spark, folder)
+    return manifest.select("table", "rows", F.array_join("columns", ",").alias("columns"), F.array_join("formats", ",").alias("formats"))
+
+
+def exported_daily(i: Inputs) -> DataFrame:
+    """The daily mart's CSV extract, read back with the mart's schema."""
+    folder, stored = _exported(i)
+    return sinks.read_extract(i.spark, folder, "daily", stored["daily"].schema)
+
+
+def catalog_counts(i: Inputs) -> DataFrame:
+    """Tables replaced twice, registered by name, listed by the catalog and counted."""
+    root = f"{ensure_checkpoint_dir(i.spark)}/warehouse-{uuid.uuid4().hex}"
+    tables = {"shown_daily": i.daily(False), "shown_zones": i.zone_demand(False)}
+    for name, df in tables.items():
+        sinks.replace_table(df.limit(1), f"{root}/{name}")
+        sinks.replace_table(df, f"{root}/{name}")
+        sinks.register_table(i.spark, name, f"{root}/{name}")
+    return sinks.catalog_counts(i.spark, list(tables))
+
+
+def staged_window(i: Inputs) -> DataFrame:
+    """Landed files staged into the partitioned table, one month of them twice, and the window read back."""
+    folder, wanted = _landed(i)
+    paths = jobs.Paths(f"{ensure_checkpoint_dir(i.spark)}/staged-{uuid.uuid4().hex}", folder)
+    jobs.run_staging(i.spark, wanted, paths)
+    jobs.run_staging(i.spark, wanted.replace(ingest={"months": ("2024-02",)}), paths)
+    return jobs.staged_trips(i.spark, paths, shown_window(i))
 
 
 def calendar_rollup(i: Inputs) -> DataFrame:
@@ -189,6 +255,12 @@ def _registered(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, st
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "landed_trips": landed_trips,
+        "landed_sample": landed_sample,
+        "landing_manifest": landing_manifest,
+        "staged_window": staged_window,
+        "export_manifest": export_manifest,
+        "exported_daily": exported_daily,
+        "catalog_counts": catalog_counts,
         "clean_trips": lambda i: staging.clean_trips(i.raw(), shown_window(i)),
         "clean_summary": lambda i: staging.clean_summary(i.raw(), shown_window(i)),
         "dim_zone": lambda i: i.dim_zone(),
@@ -224,9 +296,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_model": lambda i: forecast.best_model(i.forecast()["mart_forecast_metrics"]),
         "forecast_error": lambda i: bi.forecast_error(i.forecast()["mart_forecast"]),
         "forecast_band": lambda i: marts.forecast_band(i.forecast()["mart_forecast"], HEATMAP_FLEET),
-        "mart_trip_anomalies": lambda i: i.anomalies()["mart"],
+        "mart_trip_anomalies": lambda i: rounded(i.anomalies()["mart"], ["anomaly_score"]),
         "anomaly_summary": lambda i: i.anomalies()["summary"],
-        "anomaly_scatter": lambda i: bi.anomaly_scatter(i.anomalies()["mart"]),
+        "anomaly_scatter": lambda i: rounded(bi.anomaly_scatter(i.anomalies()["mart"]), ["anomaly_score"]),
         "plain_forecast": lambda i: rounded(i.plain_forecast()["mart_forecast"], BAND),
         "plain_forecast_metrics": lambda i: i.plain_forecast()["mart_forecast_metrics"],
         "plain_forecast_backtest": lambda i: i.plain_forecast()["mart_forecast_backtest"],

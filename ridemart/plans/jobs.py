@@ -2,26 +2,22 @@
 
 Each stage reads its inputs from tables written by earlier stages and writes
 its outputs as tables under ``Paths.root`` (a shared folder on a cluster), so
-a stage can be rerun on its own and lineage is cut at every hand-over.
+a stage can be rerun on its own and lineage is cut at every hand-over.  The
+staged trips are partitioned and replaced landed month by landed month; all
+other tables are replaced as a whole by a new version (``sinks.replace_table``).
 """
 
 from __future__ import annotations
 
-import logging
-import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-
 from ridemart.operators import anomaly, dims, forecast, marts, quality, series, staging
 from ridemart.settings import Settings
 from ridemart.sources import landing, sinks
 
-log = logging.getLogger("ridemart.jobs")
-
-
 @dataclass(frozen=True)
 class Paths:
     root: str
@@ -66,56 +62,67 @@ FORECAST_TABLES = ["mart_forecast", "mart_forecast_metrics", "mart_forecast_back
 ANOMALY_TABLES = ["mart_trip_anomalies", "mart_anomaly_summary"]
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def register_tables(spark: SparkSession, paths: Paths) -> list[str]:
-    """S13 as SQL names: every written warehouse table becomes a temp view.
+    """S13 as SQL names: every written warehouse table is a table of the catalog.
 
-    After a run, ``spark.sql("SELECT ... FROM mart_zone_demand")`` works the
-    way queries against the tables of a warehouse database do.
+    After a run, or in a new session after this call,
+    ``spark.sql("SELECT ... FROM mart_zone_demand")`` works the way queries
+    against the tables of a warehouse database do.
     """
-    names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES
-             if _table_exists(spark, paths.table(n))]
+    names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES if sinks.table_exists(spark, paths.table(n))]
     for n in names:
-        spark.read.parquet(paths.table(n)).createOrReplaceTempView(n)
+        sinks.register_table(spark, n, paths.table(n))
     return names
 
 
+def _table(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
+    return sinks.read_table(spark, paths.table(name))
+
+
 def run_zone_dim(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     """D4 + S5/S6/S12: zone lookup CSV (+ optional centroids) -> dim_zone table."""
     lookup = dims.read_zone_lookup_csv(spark, paths.lookup_csv)
     cents = spark.read.parquet(paths.zone_centroids) if paths.zone_centroids else None
-    sinks.write_table(dims.dim_zone(lookup, cents), paths.table("dim_zone"))
-    return {"zones": spark.read.parquet(paths.table("dim_zone")).count()}
+    sinks.replace_table(dims.dim_zone(lookup, cents), paths.table("dim_zone"))
+    return {"zones": _table(spark, paths, "dim_zone").count()}
+
+
+STAGED_PARTITIONS = ["fleet", "landed_month", "pickup_month"]
 
 
 def run_staging(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """E1 + S1-S3, U1, D6, S11, A8: landed raw files -> staged trips (partitioned by fleet and pickup month)."""
+    """E1 + S1-S3, S11, S19, U1, D6, A8: landed raw files -> staged trips.
+
+    The staged table is partitioned by fleet, landed month and pickup month;
+    only the landed months of this run are replaced, so a month can be staged
+    again or added without touching the others.  The raw files' data is
+    scanned once: raw rows are counted by the footers, kept rows by the write
+    itself (which has no shuffle, so every row is counted once).
+    """
     files = landing.discover_landing(spark, paths.landing, settings)
-    sinks.write_report(spark, {"files": files}, paths.landing_manifest)
-    frames = [landing.read_fleet_month(spark, f["fleet"], f["path"], settings.ingest.sample_rows)
-              for f in files]
-    raw = frames[0]
-    for f in frames[1:]:
-        raw = raw.unionByName(f)
-    # Sorting each task's rows by fleet, month and pickup time (a local sort, no
-    # shuffle), satisfies the partitioned writer's ordering and makes parquet
-    # row-group min/max statistics prune time-window reads later.
-    staged = staging.clean_trips(raw, settings).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
-    staged = staged.sortWithinPartitions("fleet", "pickup_month", "pickup_datetime")
-    sinks.write_table(staged, paths.staged, ["fleet", "pickup_month"])
-    return {**staging.clean_summary(raw, settings).first().asDict(), "path": paths.staged}
+    parts = [r.asDict() for r in landing.landed_parts(spark, files).collect()]
+    landed = landing.manifest_rows(files, parts)
+    sinks.write_report(spark, {"files": landed}, paths.landing_manifest)
+    cap = settings.ingest.sample_rows
+    raw = landing.read_files(spark, files, cap, with_month=True, parts=parts)
+    kept = Observation("kept trips")
+    staged = staging.clean_trips(raw, settings, ["landed_month"]).observe(kept, F.count(F.lit(1)).alias("rows"))
+    staged = staged.withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
+    # Sorting each task's rows by partition and pickup time (a local sort, no shuffle)
+    # satisfies the partitioned writer's ordering and makes parquet row-group min/max
+    # statistics prune time-window reads later.
+    staged = staged.sortWithinPartitions(*STAGED_PARTITIONS, "pickup_datetime")
+    sinks.replace_partitions(staged, paths.staged, STAGED_PARTITIONS[:2], STAGED_PARTITIONS[2:],
+                             [{"fleet": f["fleet"], "landed_month": f["month"]} for f in files])
+    rows_raw = sum(min(f["rows"], cap) if cap else f["rows"] for f in landed)
+    return {**staging.removal_counts(rows_raw, kept.get["rows"]), "path": paths.staged}
 
 
 def staged_trips(spark: SparkSession, paths: Paths, settings: Settings) -> DataFrame:
     """The staged table's months of the window, registered as the ``stg_trips`` view."""
     w = settings.window
     df = spark.read.parquet(paths.staged)
-    month = F.col("pickup_month").cast("string")
+    month = F.substring(F.col("pickup_month").cast("string"), 1, 7)
     df = df.where((month >= w.start[:7]) & (month <= w.end[:7])).select(*staging.STAGED_COLUMNS)
     df.createOrReplaceTempView("stg_trips")
     return df
@@ -148,89 +155,65 @@ def run_warehouse(spark: SparkSession, settings: Settings, paths: Paths) -> dict
     checkpoint) is not recomputed.
     """
     staged = staged_trips(spark, paths, settings)
-    t = paths.table
-    sinks.write_table(dims.dim_date(spark, settings), t("dim_date"))
-    sinks.write_table(dims.dim_fleet(spark), t("dim_fleet"))
-    sinks.write_table(dims.dim_time(spark), t("dim_time"))
-    if not _table_exists(spark, t("dim_zone")):
+    def put(name: str, df: DataFrame) -> None:
+        sinks.replace_table(df, paths.table(name))
+
+    put("dim_date", dims.dim_date(spark, settings))
+    put("dim_fleet", dims.dim_fleet(spark))
+    put("dim_time", dims.dim_time(spark))
+    if not sinks.table_exists(spark, paths.table("dim_zone")):
         run_zone_dim(spark, settings, paths)
-    sinks.write_table(dims.fact_trip(staged, settings), t("fact_trip"))
-    fact = spark.read.parquet(t("fact_trip"))
-    dim_zone = spark.read.parquet(t("dim_zone"))
-    dim_date = spark.read.parquet(t("dim_date"))
-    sinks.write_table(marts.mart_zone_demand(fact, dim_zone, ordered=False), t("mart_zone_demand"))
-    sinks.write_table(marts.mart_hourly_volume(fact, dim_date, settings, ordered=False),
-                      t("mart_hourly_volume"))
-    sinks.write_table(marts.mart_daily_volume(fact, dim_date, settings, ordered=False),
-                      t("mart_daily_volume"))
-    sinks.write_table(marts.mart_route_flows(fact, dim_zone), t("mart_route_flows"))
-    counts = sinks.table_counts(spark, {n: t(n) for n in WAREHOUSE_TABLES}).collect()
+    put("fact_trip", dims.fact_trip(staged, settings))
+    fact, dim_zone, dim_date = (_table(spark, paths, n) for n in ("fact_trip", "dim_zone", "dim_date"))
+    put("mart_zone_demand", marts.mart_zone_demand(fact, dim_zone, ordered=False))
+    put("mart_hourly_volume", marts.mart_hourly_volume(fact, dim_date, settings, ordered=False))
+    put("mart_daily_volume", marts.mart_daily_volume(fact, dim_date, settings, ordered=False))
+    put("mart_route_flows", marts.mart_route_flows(fact, dim_zone))
     register_tables(spark, paths)
-    return {"tables": {r["table"]: r["rows"] for r in counts}}
+    return {"tables": {r["table"]: r["rows"] for r in sinks.catalog_counts(spark, WAREHOUSE_TABLES).collect()}}
 
 
 def run_forecast(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     """E1 + T1-T13: hourly series from the staged table -> forecast tables."""
     s = series.hourly_series(staged_trips(spark, paths, settings), settings)
-    out = forecast.forecast(s, settings)
+    out = forecast.forecast(s, settings, paths.table("forecast_predictions"))
     for name in FORECAST_TABLES:
-        sinks.write_table(out[name], paths.table(name))
-    out["model_frame"].unpersist()
+        sinks.replace_table(out[name], paths.table(name))
     register_tables(spark, paths)
-    fc = spark.read.parquet(paths.table("mart_forecast"))
-    best = forecast.best_model(spark.read.parquet(paths.table("mart_forecast_metrics"))).collect()
-    return {"forecasts": fc.count(), "best": {r["fleet"]: r["model"] for r in best}}
+    best = forecast.best_model(_table(spark, paths, "mart_forecast_metrics")).collect()
+    return {"forecasts": _table(spark, paths, "mart_forecast").count(), "best": {r["fleet"]: r["model"] for r in best}}
 
 
 def run_anomaly(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
     """E1 + N1-N14: score the fact table, write the scores, the flagged-trip mart and the rule summary."""
-    fact = spark.read.parquet(paths.table("fact_trip"))
-    out = anomaly.detect(fact, settings, paths.table("trip_scores"))
-    sinks.write_table(out["mart"], paths.table("mart_trip_anomalies"))
-    sinks.write_table(out["rules"], paths.table("mart_anomaly_summary"))
+    out = anomaly.detect(_table(spark, paths, "fact_trip"), settings, paths.table("trip_scores"))
+    sinks.replace_table(out["mart"], paths.table("mart_trip_anomalies"))
+    sinks.replace_table(out["rules"], paths.table("mart_anomaly_summary"))
     summary = out["summary"].first().asDict()
-    summary["by_rule"] = {r["rule"]: r["count"] for r in
-                          spark.read.parquet(paths.table("mart_anomaly_summary")).collect()}
+    summary["by_rule"] = {r["rule"]: r["count"] for r in _table(spark, paths, "mart_anomaly_summary").collect()}
     register_tables(spark, paths)
     return summary
 
 
 def run_export(spark: SparkSession, settings: Settings, paths: Paths) -> dict:
-    """E1 + S16-S18: every warehouse table to parquet (+ CSV as listed) with a manifest."""
-    names = [n for n in WAREHOUSE_TABLES + FORECAST_TABLES + ANOMALY_TABLES
-             if _table_exists(spark, paths.table(n))]
-    manifest = sinks.export_tables(spark, {n: paths.table(n) for n in names}, paths.exports,
-                                   settings.export.csv_tables)
+    """E1 + S15-S18: every warehouse table of the catalog to parquet (+ CSV as listed) with a manifest."""
+    names = register_tables(spark, paths)
+    manifest = sinks.export_tables(spark, {n: spark.table(n) for n in names}, paths.exports, settings.export.csv_tables)
     return {"tables": manifest.count(), "path": paths.exports}
 
 
-STAGES = [
-    ("zones", run_zone_dim),
-    ("stage", run_staging),
-    ("quality", run_quality),
-    ("warehouse", run_warehouse),
-    ("forecast", run_forecast),
-    ("anomaly", run_anomaly),
-    ("export", run_export),
-]
+#: What can be asked for by name, in the order in which each finds its inputs.
+JOBS = {"zones": run_zone_dim, "stage": run_staging, "quality": run_quality, "warehouse": run_warehouse,
+        "forecast": run_forecast, "anomaly": run_anomaly, "export": run_export}
 
 
 def run_all(spark: SparkSession, settings: Settings, paths: Paths,
             stages: list[str] | None = None) -> dict:
-    """The stages in order; each result dict is returned under its stage name."""
-    unknown = set(stages or ()) - {name for name, _ in STAGES}
+    """The whole run, or the named stages of it; each one's result under its name."""
+    unknown = set(stages or ()) - set(JOBS)
     if unknown:
-        raise ValueError(f"unknown stages {sorted(unknown)}; known: {[n for n, _ in STAGES]}")
-    results = {}
-    for name, fn in STAGES:
-        if stages and name not in stages:
-            continue
-        t0 = time.perf_counter()
-        results[name] = fn(spark, settings, paths)
-        log.info("stage %s done in %.1fs", name, time.perf_counter() - t0)
-    return results
-
-
+        raise ValueError(f"unknown stages {sorted(unknown)}; known: {list(JOBS)}")
+    return {name: job(spark, settings, paths) for name, job in JOBS.items() if not stages or name in stages}
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -249,7 +232,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--landing", help="raw file folder (default <root>/landing)")
     ap.add_argument("--zone-lookup", help="zone lookup CSV (default <root>/reference/taxi_zone_lookup.csv)")
     ap.add_argument("--zone-centroids", help="optional centroid parquet (location_id, lat, lng)")
-    ap.add_argument("--stages", help="comma-separated subset of " + ",".join(n for n, _ in STAGES))
+    ap.add_argument("--stages", help="comma-separated subset of " + ",".join(JOBS))
     ap.add_argument("--window-start")
     ap.add_argument("--window-end")
     ap.add_argument("--months", help="comma-separated yyyy-mm list")

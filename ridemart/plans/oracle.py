@@ -267,6 +267,68 @@ FEATURES_SQL = "trip_distance, fare_amount, tip_amount, total_amount, trip_durat
 FEATURES_NOT_NULL = " AND ".join(f"{c.strip()} IS NOT NULL" for c in FEATURES_SQL.split(","))
 
 
+def hash_sql(text: str) -> str:
+    """The first 15 hex digits of the text's md5 as BIGINT."""
+    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
+
+
+def path_sql(n: str) -> str:
+    """c(n): average path length of an unsuccessful search among n points."""
+    return f"CASE WHEN {n} <= 1 THEN 0.0::DOUBLE WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * ({n} - 1) / {n} END"
+
+
+def forest_ctes(s: Settings, names: list[str], source: str) -> str:
+    """The isolation forest level by level, and every row's walk through all trees: ``forest(trip_id, anomaly_score)``.
+
+    Heap numbering of nodes: the root is 0, node k has children 2k+1 and 2k+2.
+    """
+    a = s.anomaly
+    levels = (a.max_samples - 1).bit_length()
+    span, unit = 1 << 60, 1 << 44
+
+    def ranges(fn: str) -> str:
+        return "[" + ", ".join(f"{fn}(x[{i + 1}])" for i in range(len(names))) + "]"
+
+    def draw(purpose: str) -> str:
+        return hash_sql(f"concat_ws('|', '{purpose}', '{a.seed}', tree, node)")
+
+    parts = [f"""
+inp AS MATERIALIZED (SELECT trip_id, [{', '.join(f'CAST({c} AS DOUBLE)' for c in names)}] AS x FROM {source}),
+sizes AS (SELECT count(*) AS n, least({a.max_samples}, count(*)) AS psi FROM inp),
+wish AS (SELECT *, CAST(1.5 AS DOUBLE) * {a.trees} * psi / n AS wanted FROM sizes),
+share AS (SELECT *, wanted / copies AS part FROM (SELECT *, least({a.trees}, greatest(1, CAST(ceil(wanted) AS BIGINT))) AS copies FROM wish) w),
+drawn AS (SELECT x, own, (own % {a.trees} + c) % {a.trees} AS tree
+          FROM (SELECT x, {hash_sql(f"concat_ws('|', '{a.seed}', trip_id)")} AS own FROM inp) o, share, range(0, {a.trees}) r(c) WHERE c < copies),
+hashed AS (SELECT *, {hash_sql(f"concat_ws('|', 'sample', '{a.seed}', own, tree)")} AS h FROM drawn),
+l0 AS MATERIALIZED (
+  SELECT tree, CAST(0 AS BIGINT) AS node, x
+  FROM (SELECT tree, x, psi, row_number() OVER (PARTITION BY tree ORDER BY h, own, x) AS place FROM hashed, share
+        WHERE h < CAST(floor(least(part, 1.0::DOUBLE) * {span}) AS BIGINT)) p
+  WHERE place <= psi),
+w0 AS (SELECT trip_id, x, tree, CAST(0 AS BIGINT) AS node FROM inp, (SELECT DISTINCT tree FROM l0) t)"""]
+    for d in range(levels):
+        parts.append(f"""
+g{d} AS (SELECT tree, node, count(*) AS size, {ranges('min')} AS lo, {ranges('max')} AS hi FROM l{d} GROUP BY tree, node),
+v{d} AS (SELECT *, list_filter(range(1, {len(names) + 1}), lambda i: hi[i] > lo[i]) AS varying FROM g{d}),
+f{d} AS (SELECT tree, node, lo, hi, varying[1 + {draw('feature')} % len(varying)] AS feature FROM v{d}, share
+         WHERE size > 1 AND len(varying) > 0 AND {d} < ceil(log2(greatest(psi, 2)))),
+t{d} AS (SELECT tree, node, feature, lo[feature] AS low, hi[feature] AS high,
+                least(lo[feature] + CAST({draw('threshold')} + 1 AS DOUBLE) / CAST({span} AS DOUBLE) * (hi[feature] - lo[feature]), hi[feature]) AS cut FROM f{d}),
+q{d} AS MATERIALIZED (SELECT tree, node, feature, CASE WHEN cut > low THEN cut ELSE high END AS threshold FROM t{d}),
+l{d + 1} AS MATERIALIZED (
+  SELECT tree, CASE WHEN feature IS NULL THEN node WHEN x[feature] < threshold THEN 2 * node + 1 ELSE 2 * node + 2 END AS node, x
+  FROM l{d} LEFT JOIN q{d} USING (tree, node)),
+w{d + 1} AS (
+  SELECT trip_id, x, tree, CASE WHEN feature IS NULL THEN node WHEN x[feature] < threshold THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM w{d} LEFT JOIN q{d} USING (tree, node))""")
+    parts.append(f"""
+leaves AS (SELECT tree, node, CAST(round((floor(log2(node + 1)) + {path_sql('size')}) * {unit}) AS BIGINT) AS units
+           FROM (SELECT tree, node, count(*) AS size FROM l{levels} GROUP BY tree, node) z),
+forest AS (SELECT trip_id, pow(2.0::DOUBLE, -(CAST(sum(units) AS DOUBLE) / CAST({unit} AS DOUBLE) / count(*)) / (SELECT {path_sql('psi')} FROM share)) AS anomaly_score
+           FROM w{levels} JOIN leaves USING (tree, node) GROUP BY trip_id)""")
+    return ",".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     s = fixture_settings()
     shown = s.replace(window={"start": "2024-01-01", "end": "2024-01-30"})  # F1 on a window that ends before the table
@@ -322,6 +384,30 @@ FROM clean""")
 SELECT fleet, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count, trip_distance,
        fare_amount, tip_amount, total_amount, payment_type
 FROM raw""")
+    raw_columns = ("fleet, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count, trip_distance, "
+                   "fare_amount, tip_amount, total_amount, payment_type")
+    landed = f"""
+landed AS (SELECT {raw_columns}, CASE WHEN pickup_datetime < TIMESTAMP '2024-01-16' THEN '2024-01' ELSE '2024-02' END AS landed_month FROM raw),
+filed AS (SELECT *, row_number() OVER (PARTITION BY fleet, landed_month ORDER BY pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id,
+                                       passenger_count NULLS FIRST, trip_distance, fare_amount, tip_amount, total_amount, payment_type) - 1 AS place,
+                 count(*) OVER (PARTITION BY fleet, landed_month) AS n
+          FROM landed),
+steps AS (SELECT n, min(step) AS step
+          FROM (SELECT n, unnest(range(greatest(1, CAST(floor(n * 0.6180339887498949::DOUBLE) AS BIGINT)), n + 2)) AS step FROM (SELECT DISTINCT n FROM filed) d) c
+          WHERE gcd(step, n) = 1 GROUP BY n)"""
+    q["landed_sample"] = with_base(f"SELECT {raw_columns}, landed_month FROM filed JOIN steps USING (n) WHERE place * step % n < 400", landed)
+    q["landing_manifest"] = with_base("""
+SELECT fleet, landed_month AS month, fleet || '_tripdata_' || landed_month || '.parquet' AS file, 'landing' AS source, count(*) AS rows, true AS has_bytes
+FROM landed GROUP BY fleet, landed_month""", landed)
+    q["staged_window"] = with_base("SELECT * FROM clean")
+    q["export_manifest"] = with_base("""
+SELECT 'daily' AS "table", count(*) AS rows, 'fleet,date,weekday_name,is_weekend,rides,revenue,avg_fare,avg_distance' AS columns, 'parquet,csv' AS formats FROM daily
+UNION ALL SELECT 'hourly', count(*), 'fleet,weekday,weekday_name,hour,rides,n_days,avg_rides_per_day', 'parquet' FROM hourly
+UNION ALL SELECT 'zones', count(*), 'location_id,zone,borough,lat,lng,pickups,total_revenue,avg_fare,avg_distance,avg_duration_min', 'parquet,csv' FROM zones""",
+                                   HOURLY_VOLUME + "," + DAILY_VOLUME + f", zones AS ({ZONE_DEMAND})")
+    q["exported_daily"] = with_base("SELECT * FROM daily", DAILY_VOLUME)
+    q["catalog_counts"] = with_base("""
+SELECT 'shown_daily' AS "table", count(*) AS rows FROM daily UNION ALL SELECT 'shown_zones', count(*) FROM zones""", DAILY_VOLUME + f", zones AS ({ZONE_DEMAND})")
     q["calendar_rollup"] = with_base("""
 SELECT CASE fleet WHEN 'yellow' THEN 'Yellow' WHEN 'green' THEN 'Green' END AS fleet_name, year, month_name, week_start,
        CASE WHEN pickup_hour < 6 THEN 'Overnight' WHEN pickup_hour < 10 THEN 'Morning' WHEN pickup_hour < 16 THEN 'Midday'
@@ -391,25 +477,31 @@ FROM pf GROUP BY fleet""", plain)
 
     names = [c.strip() for c in FEATURES_SQL.split(",")]
     zs = ", ".join(f"abs(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END)" for c in names)
-    scored = f"""
+    numbered = f"""
 numbered AS (SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS trip_id, * FROM fact),
-scores AS (SELECT trip_id, fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, greatest({zs}) AS anomaly_score,
-                  concat_ws(',', {reasons}) AS rules
-           FROM numbered WHERE {FEATURES_NOT_NULL}),
+usable AS (SELECT * FROM numbered WHERE {FEATURES_NOT_NULL})"""
+    flags = f"""
+scores AS (SELECT trip_id, fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, anomaly_score, concat_ws(',', {reasons}) AS rules FROM rated),
 marked AS (SELECT *, anomaly_score > (SELECT quantile_cont(anomaly_score, 0.99) FROM scores) AS iso_outlier FROM scores),
 flagged AS (SELECT *, iso_outlier OR rules <> '' AS is_anomaly FROM marked)"""
+    scored = numbered + f",\nrated AS (SELECT *, greatest({zs}) AS anomaly_score FROM usable)," + flags
+    forest = numbered + "," + forest_ctes(s, names, "usable") + ",\nrated AS (SELECT * FROM usable JOIN forest USING (trip_id))," + flags
     mart = (f"SELECT trip_id, fleet, pickup_location_id, dropoff_location_id, {FEATURES_SQL}, {rn('anomaly_score', 6)} AS anomaly_score, "
             "rules, iso_outlier, is_anomaly FROM flagged WHERE is_anomaly")
-    q["plain_anomalies"] = with_base(mart, scored)
-    q["plain_top_anomalies"] = with_base(mart + " ORDER BY flagged.anomaly_score DESC, trip_id LIMIT 100", scored)
-    q["plain_anomaly_scatter"] = with_base(
-        f"SELECT trip_id, fleet, trip_distance, fare_amount, {rn('anomaly_score', 6)} AS anomaly_score, rules FROM flagged WHERE is_anomaly", scored)
-    q["plain_anomaly_summary"] = with_base(f"""
+    scatter = f"SELECT trip_id, fleet, trip_distance, fare_amount, {rn('anomaly_score', 6)} AS anomaly_score, rules FROM flagged WHERE is_anomaly"
+    summary = f"""
 SELECT count(*) AS sampled, CAST(count_if(is_anomaly) AS BIGINT) AS anomalies, {r4('count_if(is_anomaly) / count(*)')} AS anomaly_rate,
        (SELECT count(*) FROM fact) AS fact_rows, count_if(is_anomaly) / (SELECT count(*) FROM fact) AS anomaly_rate_of_fact
-FROM flagged""", scored)
+FROM flagged"""
+    q["plain_anomalies"] = with_base(mart, scored)
+    q["plain_top_anomalies"] = with_base(mart + " ORDER BY flagged.anomaly_score DESC, trip_id LIMIT 100", scored)
+    q["plain_anomaly_scatter"] = with_base(scatter, scored)
+    q["plain_anomaly_summary"] = with_base(summary, scored)
     q["plain_anomaly_rules"] = with_base("\nUNION ALL ".join(
         f"SELECT '{n}' AS rule, CAST(count_if(coalesce({p}, false)) AS BIGINT) AS count FROM flagged" for n, p in RULES_SQL.items()), scored)
+    q["mart_trip_anomalies"] = with_base(mart, forest)
+    q["anomaly_scatter"] = with_base(scatter, forest)
+    q["anomaly_summary"] = with_base(summary, forest)
 
     q["kpis"] = with_base("""
 SELECT count(*) AS total_trips, sum(total_amount) AS total_revenue,

@@ -122,6 +122,31 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_dir: str, month: str
     return written
 
 
+#: The landed table's second file begins here.
+SECOND_FILE = "2024-01-16"
+
+
+def write_drifted_landing(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
+    """The fixture trips as two files per fleet, ``2024-01`` and from ``SECOND_FILE`` on ``2024-02``, in the order of their columns.
+
+    The second has DOUBLE location ids and payment types where the first has
+    BIGINT, the way published files drift.
+    """
+    from ridemart.constants import FLEET_PREFIX
+    from ridemart.sources.landing import raw_file_name
+
+    raw = raw_trips(spark, sf_dir)
+    for fleet, prefix in FLEET_PREFIX.items():
+        for month, kind, part in (("2024-01", "long", F.col("pickup_datetime") < SECOND_FILE), ("2024-02", "double", F.col("pickup_datetime") >= SECOND_FILE)):
+            rows = raw.where((F.col("fleet") == fleet) & part).orderBy(*raw.columns)
+            rows.select(
+                F.col("pickup_datetime").alias(f"{prefix}_pickup_datetime"), F.col("dropoff_datetime").alias(f"{prefix}_dropoff_datetime"),
+                "passenger_count", "trip_distance", F.col("pickup_location_id").cast(kind).alias("PULocationID"),
+                F.col("dropoff_location_id").cast(kind).alias("DOLocationID"), F.col("payment_type").cast(kind).alias("payment_type"),
+                "fare_amount", "tip_amount", "total_amount",
+            ).write.mode("overwrite").parquet(f"{landing_dir.rstrip('/')}/{raw_file_name(fleet, month)}")
+
+
 def write_zone_lookup_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
     """The fixture zone lookup as a CSV with the published header."""
     zone_lookup(spark, sf_dir).select(

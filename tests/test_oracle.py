@@ -60,11 +60,13 @@ def test_query_equals_oracle(spark, con, key):
 
 
 MODEL_OUTPUTS = {"mart_forecast", "mart_forecast_metrics", "mart_forecast_backtest", "best_model",
-                 "forecast_error", "forecast_band", "mart_trip_anomalies", "anomaly_summary", "anomaly_scatter"}
+                 "forecast_error", "forecast_band"}
 PLAIN = {"plain_forecast", "plain_forecast_metrics", "plain_forecast_backtest", "plain_best_model", "plain_forecast_error",
          "plain_forecast_band", "plain_anomalies", "plain_anomaly_summary", "plain_anomaly_rules", "plain_anomaly_scatter",
          "plain_top_anomalies"}
 REGISTERED = PLAIN | MODEL_OUTPUTS | {
+    "mart_trip_anomalies", "anomaly_summary", "anomaly_scatter", "landed_sample", "landing_manifest", "staged_window",
+    "export_manifest", "exported_daily", "catalog_counts",
     "landed_trips", "clean_trips", "clean_summary", "dim_zone", "fact_trip", "mart_zone_demand", "mart_hourly_volume",
     "mart_daily_volume", "mart_route_flows", "heatmap_grid", "daily_trend", "top_zones", "zone_map_points", "calendar_rollup",
     "quality_metrics", "duplicate_groups", "contract_failures", "contract_errors", "sampled_trips", "hourly_series",

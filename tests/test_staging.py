@@ -120,3 +120,49 @@ def test_landing_manifest_frame(spark, scratch):
     m = landing.landing_manifest(spark, files)
     assert m.columns == ["fleet", "month", "path", "source"]
     assert sorted((r.fleet, r.month) for r in m.collect()) == [("green", "2024-01"), ("yellow", "2024-01")]
+
+
+def test_files_of_drifting_types_are_read_by_group(spark, scratch):
+    for k in range(6):  # six months of two kinds
+        month = f"2024-{k + 1:02d}"
+        kind = "double" if k % 2 else "long"
+        (spark.range(40).select(
+            *[F.lit(f"{month}-05 10:00:00").cast("timestamp_ntz").alias(f"tpep_{c}_datetime") for c in ("pickup", "dropoff")],
+            *[(F.col("id") + (0.6 if k % 2 else 0)).cast(kind).alias(c) for c in ("PULocationID", "DOLocationID", "payment_type")],
+            *[F.lit(1.0).alias(c) for c in ("passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")],
+            *([F.lit("x").alias("airport_fee")] if k == 3 else []))
+         .repartition(1 + k % 3).write.parquet(f"{scratch}/l/yellow_tripdata_{month}.parquet"))
+    s = fixture_settings().replace(ingest={"fleets": ("yellow",), "months": tuple(f"2024-{k + 1:02d}" for k in range(6))})
+    raw = landing.read_landing(spark, scratch + "/l", s, with_month=True)
+    assert raw._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    counts = {r.landed_month: (r.n, r.top) for r in raw.groupBy("landed_month").agg(F.count("*").alias("n"), F.max("pickup_location_id").alias("top")).collect()}
+    assert counts == {f"2024-{k + 1:02d}": (40, 40 if k % 2 else 39) for k in range(6)}
+
+
+def test_exact_row_cap_per_file(spark, scratch):
+    fixtures.write_drifted_landing(spark, SF001, scratch + "/l")
+    months = {"months": ("2024-01", "2024-02")}
+    whole = landing.read_landing(spark, scratch + "/l", fixture_settings().replace(ingest=months), with_month=True)
+    sizes = {(r.fleet, r.landed_month): r["count"] for r in whole.groupBy("fleet", "landed_month").count().collect()}
+    for cap in (1, 150, 250, 10_000):
+        raw = landing.read_landing(spark, scratch + "/l", fixture_settings().replace(ingest={**months, "sample_rows": cap}), with_month=True)
+        got = {(r.fleet, r.landed_month): r["count"] for r in raw.groupBy("fleet", "landed_month").count().collect()}
+        assert got == {k: min(cap, n) for k, n in sizes.items()}
+        assert raw.exceptAll(whole).count() == 0
+        assert "Exchange hash" not in raw._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_step_visits_every_row_once():
+    for n in (1, 2, 3, 10, 97, 360, 1000, 6936):
+        step = landing.spread_step(n)
+        assert len({i * step % n for i in range(n)}) == n
+
+
+def test_manifest_counts_every_landed_file(spark, scratch):
+    fixtures.write_drifted_landing(spark, SF001, scratch + "/l")
+    settings = fixture_settings().replace(ingest={"months": ("2024-01", "2024-02")})
+    spark.read.parquet(scratch + "/l/green_tripdata_2024-01.parquet").limit(0).write.parquet(scratch + "/l/green_tripdata_2024-03.parquet")
+    files = landing.discover_landing(spark, scratch + "/l", settings.replace(ingest={"months": ("2024-01", "2024-02", "2024-03")}))
+    rows = {(r.fleet, r.month): r for r in landing.landing_counts(spark, files).collect()}
+    assert sum(r.rows for r in rows.values()) == 1000 and rows["green", "2024-03"].rows == 0
+    assert all(r.bytes > 0 and r.parts > 0 for k, r in rows.items() if k[1] != "2024-03")
