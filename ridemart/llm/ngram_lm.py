@@ -8,6 +8,9 @@ tokens with one extra unknown type.  For a context h,
 where lambda takes what the (quantised) alphas leave, so that no context gives
 out more than one; an unseen context passes everything on.
 
+D is one number per order, from the counts of counts over the whole corpus, so a
+score does not depend on how the corpus is cut into chunks and buckets.
+
 Training and scoring are two key exchanges (``exchange.py``).  In the first,
 words get dense ids and training counts.  In the second, each chunk sends its
 distinct n-grams with training counts, routed by their context; a bucket adds
@@ -193,6 +196,8 @@ def _ask_grams(cfg: LmConfig, n_buckets: int, folder: str):
             ids.append(X.unsqueeze(places, np.uint32).astype(np.uint64) * np.uint64(n_buckets) + np.uint64(bucket))
             counts.append(X.unsqueeze(count, np.uint64))
         ids, counts = np.concatenate(ids), np.concatenate(counts)
+        if len(ids) and ids.max() >> np.uint64(32):
+            raise ValueError("word numbers beyond 32 bits; take fewer buckets (a larger bucket_grams)")
         own_order = ids.astype(np.uint32), counts
         ids, counts = chunk.renumber(ids, counts)
         side = store.write_file(folder, "words", [X.join_parts([X.squeeze(c) for c in own_order])])
@@ -246,11 +251,24 @@ class Grams:
         return out[::-1], counts
 
 
-def build_trie(grams: Grams, cfg: LmConfig) -> list[np.ndarray]:
+def count_of_counts(section_columns: list[tuple[list[np.ndarray], np.ndarray]], k: int) -> tuple[int, int]:
+    """(k-grams seen once in training, seen twice) among the rows of a bucket."""
+    key = np.zeros(sum(len(c) for _, c in section_columns), np.uint64)
+    for j in range(k):
+        key = T.mix(key * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([ids[j] for ids, _ in section_columns]).astype(np.uint64) + np.uint64(1))
+    _, back = T.unique_hashes(key)
+    total = np.bincount(back, weights=np.concatenate([c for _, c in section_columns]))
+    return int((total == 1).sum()), int((total == 2).sum())
+
+
+def discount(ones: int, twos: int) -> float:
+    """D of an order, from all its n-grams seen once and twice in training, wherever they are kept."""
+    return float(np.clip(ones / max(1, ones + 2 * twos), 0.1, 0.95))
+
+
+def build_trie(grams: Grams, cfg: LmConfig, discount: float) -> list[np.ndarray]:
     """Arrays of one trie of k levels: alphas on the leaves, lambdas on their contexts."""
     levels, total = grams.trained()
-    ones, twos = (total == 1).sum(), (total == 2).sum()
-    discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.1, 0.95))
     context, _, n_contexts = levels[-1]
     of_context = np.bincount(context, weights=total, minlength=n_contexts)
     alpha = encode_probability((total - discount) / of_context[context], cfg) if len(total) else np.zeros(0, np.uint16)
@@ -287,7 +305,16 @@ def mapped(data: bytes) -> np.ndarray:
         return np.memmap(scratch.name, np.uint8, "r")
 
 
-def _tries_and_answers(cfg: LmConfig, model: str | None):
+def _tally(cfg: LmConfig):
+    """(order, seen once, seen twice) of a bucket's n-grams."""
+    def tally(table: pa.Table) -> pa.Table:
+        requests = [X.split_parts(p.as_py()) for p in table.column("payload")]
+        rows = [(k, *count_of_counts([_gram_columns(r[k - 2], k) for r in requests], k)) for k in range(2, cfg.order + 1)]
+        return pa.table([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3, ["k", "ones", "twos"])
+    return tally
+
+
+def _tries_and_answers(cfg: LmConfig, discounts: dict[int, float], model: str | None):
     def reduce(requests: list[list[bytes]]) -> list[bytes]:
         answers: list[list[bytes]] = [[] for _ in requests]
         for k in range(2, cfg.order + 1):
@@ -295,7 +322,7 @@ def _tries_and_answers(cfg: LmConfig, model: str | None):
             sizes = [len(c[1]) for c in columns]
             grams = Grams([np.concatenate([c[0][j] for c in columns]) for j in range(k)], np.concatenate([c[1] for c in columns]))
             del columns
-            shard = to_bytes(build_trie(grams, cfg))
+            shard = to_bytes(build_trie(grams, cfg, discounts.get(k, discount(0, 0))))
             if model:
                 store.write_file(model, f"trie-{k}", [shard])
             alpha, rest = Trie(from_buffer(mapped(shard)), k, cfg.code_bits).query(grams.levels)
@@ -365,8 +392,11 @@ def train_and_score(docs: DataFrame, cfg: LmConfig | None = None, model: str | N
     # One small row per bucket: its totals are the last 16 bytes of any of its answers.
     totals = (words.where(F.col("bucket") != X.CHUNK_ROW).groupBy("bucket").agg(F.first(F.substring("payload", -16, 16)).alias("t")).collect())
     n_train, n_types = (sum(int.from_bytes(bytes(r["t"])[a:a + 8], "little") for r in totals) for a in (0, 8))
-    grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
-    answers = X.answer(grams, _tries_and_answers(cfg, model), n_buckets, pass_chunks=True)
+    grams = written(X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True), folder, "grams")
+    asked = grams.where(F.col("bucket") != X.CHUNK_ROW).repartition(n_buckets, "bucket")
+    tallies = asked.groupBy("bucket").applyInArrow(_tally(cfg), "k long, ones long, twos long").groupBy("k").agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos"))
+    discounts = {r["k"]: discount(r["ones"], r["twos"]) for r in tallies.collect()}  # a row per order
+    answers = X.answer(grams, _tries_and_answers(cfg, discounts, model), n_buckets, pass_chunks=True)
     out = X.finish(answers, chunks, _score(cfg, n_buckets, n_train, n_types), RESULT_SCHEMA).checkpoint()
     drop_folder(spark, folder)
     return out

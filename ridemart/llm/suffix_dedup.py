@@ -138,6 +138,9 @@ def _prepared(table: pa.Table):
     data, off = T.flat(table.column("text"))
     ids = _ids(table)
     same = _first_of_equals(_hash_spans(data, off[:-1], np.diff(off)) if len(data) else np.zeros(len(ids), np.uint64), ids)
+    for k in np.flatnonzero(same != np.arange(len(same))).tolist():
+        if not np.array_equal(data[off[k]:off[k + 1]], data[off[same[k]]:off[same[k] + 1]]):
+            same[k] = k  # equal hashes of different texts: it stands for itself
     return data, off, ids, same
 
 

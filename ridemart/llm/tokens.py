@@ -5,10 +5,16 @@ of a batch once, and every worker keeps the ids of the pieces it has met.  A
 piece starts where the vocabulary's pre-tokeniser always starts a new token: at
 a single space after a non-space, at and after a single newline, and at ASCII
 punctuation after a letter.  So the ids of the pieces in a row are exactly the
-ids of the text.  Texts with runs of white space, or white space other than
-space and newline, go to the library whole.
+ids of the text.  Texts with runs of white space, with white space other than
+space and newline, or with the string of an added token of the vocabulary go to
+the library whole.
 
-Pieces are looked up by a 64-bit hash of their bytes and length.
+Pieces are looked up by a 64-bit hash of their bytes and length, and their
+bytes are compared with those that the ids are of; a text with a piece of equal
+hash and other bytes goes to the library whole.
+
+Edge cases: a null text is empty; an empty text has no ids; a text of any length
+is encoded as a whole, by the memory of its own size.
 """
 
 from __future__ import annotations
@@ -67,7 +73,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.kept_pieces, self.joined = kept_pieces, joined
         # Pieces may be encoded in one go, one per line, when a newline is one id of its own.
         newline = self._whole(["\n"])[0]
@@ -79,6 +85,9 @@ class Encoder:
         self.first = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.at = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.raw = np.zeros(0, np.uint8)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -111,9 +120,22 @@ class Encoder:
         self.keys = np.insert(self.keys, place, keys)
         self.first = np.insert(self.first, place, first)
         self.size = np.insert(self.size, place, size)
-
-    def _plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, id offsets) of texts without odd white space."""
+        length = np.array([len(p) for p in pieces], np.int64)
+        self.at = np.insert(self.at, place, len(self.raw) + np.cumsum(length) - length)
+        self.length = np.insert(self.length, place, length)
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(pieces), np.uint8)])
+
+    def _others(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Pieces whose bytes are not those of the known piece at their place (pieces follow one another without a gap)."""
+        length = ends - starts
+        wrong = self.length[place] != length
+        known = np.repeat(np.where(wrong, 0, self.at[place]) - starts, length) + np.arange(len(data))
+        differs = np.flatnonzero(self.raw[np.minimum(known, len(self.raw) - 1)] != data)
+        wrong[np.searchsorted(starts, differs, "right") - 1] = True
+        return np.flatnonzero(wrong)
+
+    def _plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, id offsets, rows whose ids are not right) of texts without odd white space."""
         blank = _BLANK[data]
         begins = blank.copy()
         begins[1:] |= data[:-1] == 10
@@ -134,11 +156,22 @@ class Encoder:
             self._learn(keys[fresh], [raw[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist())])
             place = np.searchsorted(self.keys, keys)
         place = place[back]
+        wrong = np.unique(np.searchsorted(off, starts[self._others(data, starts, ends, place)], "right") - 1)
         size = self.size[place]
         stop = np.cumsum(size)
         total = int(stop[-1]) if len(stop) else 0
         ids = self.ids[np.repeat(self.first[place] - (stop - size), size) + np.arange(total)]
-        return ids, np.concatenate([[0], stop])[np.searchsorted(starts, off)]
+        return ids, np.concatenate([[0], stop])[np.searchsorted(starts, off)], wrong
+
+    def _with_added(self, data: np.ndarray) -> list[int]:
+        """Places of added tokens' strings."""
+        raw, out = data.tobytes(), []
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                out.append(at)
+                at = raw.find(token, at + 1)
+        return out
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
         """The ids of every text of a slice (bytes and offsets), as little-endian uint32."""
@@ -152,19 +185,20 @@ class Encoder:
             row = np.searchsorted(off, runs, "right") - 1
             odd[row[off[row + 1] > runs + 1]] = True
             odd[np.searchsorted(off, _odd_space(data), "right") - 1] = True
+            odd[np.searchsorted(off, self._with_added(data), "right") - 1] = True  # (one that spans two rows only costs time)
         size = np.diff(off)
         out: list[bytes] = [b""] * n
-        rest = np.flatnonzero(odd & (size > 0)).tolist()
-        for k, ids in zip(rest, self._whole([data[off[k]:off[k + 1]].tobytes().decode() for k in rest])):
-            out[k] = ids.astype("<u4", copy=False).tobytes()
-        if odd.any():
-            data = data[np.repeat(~odd, size)]
-            off = np.concatenate([[0], np.cumsum(size[~odd])])
-        if len(data):
-            ids, cuts = self._plain(data, off)
+        whole = np.flatnonzero(odd & (size > 0)).tolist()
+        plain = np.flatnonzero(~odd)
+        kept, cut = (data[np.repeat(~odd, size)], np.concatenate([[0], np.cumsum(size[~odd])])) if odd.any() else (data, off)
+        if len(kept):
+            ids, cuts, wrong = self._plain(kept, cut)
             raw, cuts = ids.astype("<u4", copy=False).tobytes(), (cuts * 4).tolist()
-            for k, a, b in zip(np.flatnonzero(~odd).tolist(), cuts, cuts[1:]):
+            for k, a, b in zip(plain.tolist(), cuts, cuts[1:]):
                 out[k] = raw[a:b]
+            whole += plain[wrong].tolist()
+        for k, ids in zip(whole, self._whole([data[off[k]:off[k + 1]].tobytes().decode() for k in whole])):
+            out[k] = ids.astype("<u4", copy=False).tobytes()
         return out
 
 

@@ -98,3 +98,17 @@ def test_components_of_a_long_path(spark):
     order = random.Random(1).sample(range(n), n)
     got = components(spark.createDataFrame([*zip(order, order[1:]), (1000, 1001)], "a long, b long"), J.shared_folder(spark, "test"))
     assert {r.id: r.component for r in got.collect()} == {**dict.fromkeys(range(n), 0), 1000: 1000, 1001: 1000}
+
+
+def thue_morse(size):
+    """Two words that polynomial hashes modulo powers of two cannot tell apart."""
+    word, other = "a", "b"
+    while len(word) < size:
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_collide_modulo_powers_of_two(make_docs):
+    word, other = thue_morse(2048)
+    rows = [(1, f"{word} x y z w"), (2, f"{other} x y z w"), (3, f"{word} X y z w"), (4, f"x y z w {word}"), (5, f"x y z w {other}")]
+    assert run(make_docs(rows)) == brute(rows)

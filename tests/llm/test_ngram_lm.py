@@ -83,7 +83,18 @@ def test_scores_match_a_plain_model(make_docs, order):
 
 def test_many_chunks_and_buckets(make_docs):
     cfg = L.LmConfig(chunk_bytes=700, slice_bytes=200, bucket_grams=300)
-    check(L.train_and_score(make_docs(cases()).repartition(3), cfg).collect(), cases(), 3, False)
+    many = L.train_and_score(make_docs(cases()).repartition(3), cfg).collect()
+    check(many, cases(), 3, True)
+    one = {(r.doc_id, r.n_tokens): r.score for r in L.train_and_score(make_docs(cases())).collect()}
+    assert all(r.score == pytest.approx(one[r.doc_id, r.n_tokens], abs=1e-9) for r in many)
+
+
+def test_words_that_collide_modulo_powers_of_two(make_docs):
+    word, other = "a", "b"
+    while len(word) < 1024:
+        word, other = word + other, other + word
+    rows = [(k, f"{word} x") for k in range(6)] + [(k, f"{other} y") for k in range(6, 8)]
+    check(L.train_and_score(make_docs(rows)).collect(), rows, 3, True)
 
 
 def test_probabilities_of_a_context_add_up():
@@ -92,7 +103,7 @@ def test_probabilities_of_a_context_add_up():
     ids = [rng.integers(0, 9, 3000), rng.integers(0, 9, 3000), rng.integers(0, 60, 3000)]
     grams, counts = np.unique(np.column_stack(ids), axis=0, return_counts=True)
     known = L.Grams([grams[:, j] for j in range(3)], counts * (np.arange(len(counts)) % 10 > 0))
-    trie = L.Trie(L.build_trie(known, cfg), 3, cfg.code_bits)
+    trie = L.Trie(L.build_trie(known, cfg, 0.5), 3, cfg.code_bits)
     alpha, rest = trie.query(known.levels)
     assert ((alpha == 0) == (known.total == 0)).all()
     value = L.decode_table(cfg)

@@ -54,7 +54,6 @@ def test_pipeline_matches_brute_force(spark):
     want = brute(rows["documents"], rows["labels"], rows["benchmark"])
     assert 20 < len(want) < len(rows["documents"])
     library = Tokenizer.from_file(vocabulary())
-    library.encode_special_tokens = True
     pieces = {}
     for r in C.run(spark, SF).collect():
         pieces.setdefault(r.doc_id, []).append(r)

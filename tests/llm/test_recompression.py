@@ -80,3 +80,17 @@ def test_empty_and_text(make_docs):
     text = " ".join(f"w{k}" for k in range(30))
     got = {r.doc_id: r.kept for r in R.remove_repeats(make_docs([(1, text), (2, "x  " + text + " y")]), with_text=True).collect()}
     assert got == {1: text, 2: "x y"}
+
+
+def thue_morse(size):
+    """Two words that polynomial hashes modulo powers of two cannot tell apart."""
+    word, other = "a", "b"
+    while len(word) < size:
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_collide_modulo_powers_of_two(make_docs):
+    word, other = thue_morse(1024)
+    rows = [(k, " ".join([*(f"w{j}" for j in range(10)), w, *(f"v{j}" for j in range(12))])) for k, w in enumerate([word, other, word])]
+    assert run(make_docs(rows)) == brute(rows, 20)

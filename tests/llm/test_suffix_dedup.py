@@ -114,3 +114,17 @@ def test_small_memory_spills_and_sorts_a_larger_text(spark):
     text = np.append(np.frombuffer(raw, np.uint8) + 1, 0).astype(np.uint8)
     one, two = ([np.concatenate(c) for c in zip(*I.sorted_suffixes(text, 50, memory=m))] for m in (1 << 30, 1 << 16))
     assert (one[1] == two[1]).all() and (np.sort(two[0]) == np.arange(len(text))).all()
+
+
+def thue_morse(size):
+    """Two words that polynomial hashes modulo powers of two cannot tell apart."""
+    word, other = "a", "b"
+    while len(word) < size:
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_texts_that_collide_modulo_powers_of_two(make_docs):
+    word, other = thue_morse(1024)
+    rows = [(1, word), (2, other), (3, word), (4, other + "!")]
+    assert run(make_docs(rows)) == brute(rows)

@@ -14,13 +14,12 @@ from ridemart.llm.tokens import Encoder, vocabulary
 
 SF = "/root/testdata/sf0.001"
 EDGE = [None, "", " ", "\n", "  two", "a  b", "a\n\nb", " lead", "trail ", "trail\n", "x\n y", "tab\there", "nul\x00 x", "a\x1cb c", "é ü z",
-        "  x", "don't we'll 12 3.5!? #a", "<|endoftext|> x", "日本 語", "w " * 3000, "a" * 5000, "\r\nq\r\n"]
+        "  x", "don't we'll 12 3.5!? #a", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext", "|>", "日本 語", "w " * 3000, "a" * 5000, "\r\nq\r\n"]
 
 
 @pytest.fixture(scope="module")
 def direct():
     t = Tokenizer.from_file(vocabulary())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,6 +33,27 @@ def test_pieces_equal_the_library(direct):
     assert got_ids(encoder, EDGE) == [direct(t) for t in EDGE]
 
 
+def test_words_that_collide_modulo_powers_of_two(direct):
+    word, other = "a", "b"
+    while len(word) < 4096:
+        word, other = word + other, other + word
+    texts = [word, other, f"{word} x y", f"{other} x y", f"x\n{other}", f"x\n{word}"]
+    data, off = T.flat(pa.array([word, other, word.upper()], pa.string()))
+    h = T.span_hashes(data, off[:-1], off[1:])
+    assert len(set(h.tolist())) == 3
+    low = T.span_hashes(data, off[:-1], off[1:], lower=True)
+    assert low[0] == low[2] != low[1]
+    assert got_ids(Encoder(vocabulary()), texts) == [direct(t) for t in texts]
+
+
+def test_pieces_of_equal_hash_are_told_apart(direct, monkeypatch):
+    monkeypatch.setattr(T, "span_hashes", lambda data, starts, ends, lower=False: (ends - starts).astype(np.uint64))
+    encoder = Encoder(vocabulary())
+    texts = ["one two six", "ten two", "six one", "abc", "", "one"]
+    for _ in range(2):
+        assert got_ids(encoder, texts) == [direct(t) for t in texts]
+
+
 @settings(max_examples=400, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="ab \n\té'1.Ü \x1c", max_size=30), max_size=6))
 def test_pieces_equal_the_library_on_any_text(texts):
