@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridemart.llm import decontamination, ngram_jaccard, packing, quality_llr, suffix_dedup
-from ridemart.llm.cluster import shared_folder, written
+from ridemart.llm.cluster import drop_folder, shared_folder, written
 from ridemart.llm.queries import END_ID
 from ridemart.llm.tokens import vocabulary
 
@@ -56,9 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table; a stage's table goes when the next one's is written."""
     folder = shared_folder(spark, "pipeline")
-    docs = _table(spark, sf_dir, "documents")
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), folder, name)
+        if before:
+            drop_folder(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
