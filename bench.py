@@ -4,9 +4,10 @@ Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` (default 8): one cold run,
 then ``$BENCH_RUNS`` (default 3) warm runs; the warm median is reported.
 Each run executes the whole plan into the ``noop`` sink (no driver
-collection).  The model stages (all GBT fits, the isolation forest) are run
-once, fresh, and are part of the sum (``BENCH_MODELS=0`` leaves them out).
-Prints one JSON line.
+collection).  The model stages (all forecast fits, the isolation forest) are
+run once, fresh, and are part of the sum (``BENCH_MODELS=0`` leaves them out).
+``machine_seconds`` is a fixed JVM loop outside the sum, by which runs on
+different hosts can be compared.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ HEADLINE = [
 
 
 def model_timings(spark, sf_dir: str) -> dict:
-    """One fresh run each of the forecast (all GBT fits at full size) and the anomaly forest."""
+    """One fresh run each of the forecast (all fits at full size) and the anomaly forest."""
     import uuid
 
     from ridemart.operators import anomaly, forecast
@@ -59,6 +60,17 @@ def model_timings(spark, sf_dir: str) -> dict:
     return out
 
 
+def machine_seconds(spark) -> float:
+    """Best of three: the same arithmetic over the same numbers, on all cores."""
+    loop = spark.range(400_000_000).selectExpr("sum((id * 31 + 7) % 1009 * (id % 13)) AS s")
+    times = []
+    for _ in range(3):
+        t0 = time.perf_counter()
+        loop.collect()
+        times.append(time.perf_counter() - t0)
+    return round(min(times), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -70,6 +82,7 @@ def main() -> None:
                       extra={"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    machine = machine_seconds(spark)
     qs = spark_queries()
     timings: dict[str, float] = {}
     for name in HEADLINE:
@@ -92,6 +105,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "runs": runs,
+        "machine_seconds": machine,
         "spark": {"version": spark.version,
                   "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
                   "aqe": spark.conf.get("spark.sql.adaptive.enabled")},

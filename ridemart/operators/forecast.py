@@ -34,7 +34,7 @@ def boosting_config(settings: Settings) -> BoostingConfig:
 
 
 def fits(positioned: DataFrame, settings: Settings) -> DataFrame:
-    """T9 + W5: one row ``(fleet, fold, cut, stop)`` per model fit.
+    """T9 + W5, U2: one row ``(fleet, fold, cut, stop)`` per model fit, the final ones and the folds united.
 
     Fold -1 is the final fit (held-out week), folds 0.. are the backtest;
     rows before ``cut`` train the model and those up to ``stop`` are predicted.
@@ -96,6 +96,8 @@ def forecast_tables(pred: DataFrame, series: DataFrame, settings: Settings, mode
     """T6, T8-T12 from any model's predictions ``(fleet, fold, t, ds, y, raw_pred, is_test)``.
 
     Fold -1 holds the final fit with its in-sample rows, folds 0.. the backtest.
+    ``mart_forecast`` is the P10 projection with the interval from the
+    in-sample residual std (A16).
     """
     # Sigma is the population std of in-sample residuals of the final fit.
     sigma = (pred.where((F.col("fold") == -1) & ~F.col("is_test"))
