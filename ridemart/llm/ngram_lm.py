@@ -308,21 +308,21 @@ def mapped(data: bytes) -> np.ndarray:
 def _tally(cfg: LmConfig):
     """(order, seen once, seen twice) of a bucket's n-grams."""
     def tally(table: pa.Table) -> pa.Table:
-        requests = [X.split_parts(p.as_py()) for p in table.column("payload")]
-        rows = [(k, *count_of_counts([_gram_columns(r[k - 2], k) for r in requests], k)) for k in range(2, cfg.order + 1)]
+        requests = [X.split_parts(p.as_py()) for p in table.column("payload")] if table.column("bucket")[0].as_py() != X.CHUNK_ROW else []
+        rows = [(k, *count_of_counts([_gram_columns(r[k - 2], k) for r in requests], k)) for k in range(2, cfg.order + 1)] if requests else []
         return pa.table([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3, ["k", "ones", "twos"])
     return tally
 
 
-def _tries_and_answers(cfg: LmConfig, discounts: dict[int, float], model: str | None):
-    def reduce(requests: list[list[bytes]]) -> list[bytes]:
+def _tries_and_answers(cfg: LmConfig, model: str | None):
+    def reduce(requests: list[list[bytes]], discounts: dict[int, float]) -> list[bytes]:
         answers: list[list[bytes]] = [[] for _ in requests]
         for k in range(2, cfg.order + 1):
             columns = [_gram_columns(r[k - 2], k) for r in requests]
             sizes = [len(c[1]) for c in columns]
             grams = Grams([np.concatenate([c[0][j] for c in columns]) for j in range(k)], np.concatenate([c[1] for c in columns]))
             del columns
-            shard = to_bytes(build_trie(grams, cfg, discounts.get(k, discount(0, 0))))
+            shard = to_bytes(build_trie(grams, cfg, discounts[k]))
             if model:
                 store.write_file(model, f"trie-{k}", [shard])
             alpha, rest = Trie(from_buffer(mapped(shard)), k, cfg.code_bits).query(grams.levels)
@@ -335,7 +335,29 @@ def _tries_and_answers(cfg: LmConfig, discounts: dict[int, float], model: str |
                 answer += [X.squeeze(alpha[mine]), X.squeeze(rest[own[head]])]
                 at += size
         return [X.join_parts(a) for a in answers]
-    return reduce
+
+    def one(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        out = table.select(["bucket", "chunk", "payload"])
+        if table.column("bucket")[0].as_py() == X.CHUNK_ROW:
+            return out
+        discounts = {k: discount(*(table.column(f"{c}{k}")[0].as_py() or 0 for c in ("ones", "twos"))) for k in range(2, cfg.order + 1)}
+        payloads = reduce([X.split_parts(p.as_py()) for p in table.column("payload")], discounts)
+        return out.set_column(2, "payload", pa.array(payloads, pa.binary()))
+    return one
+
+
+def _answers(grams: DataFrame, cfg: LmConfig, n_buckets: int, model: str | None) -> DataFrame:
+    """Every bucket's trie and answers, with discounts summed over all buckets first.
+
+    Both steps read one shuffle: the sums are a single row, joined to the
+    buckets' rows where they lie.
+    """
+    asked = grams.repartition(n_buckets, "bucket")
+    tallies = asked.groupBy("bucket").applyInArrow(_tally(cfg), "k long, ones long, twos long").agg(
+        F.lit(0).alias("_one"), *[F.sum(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(2, cfg.order + 1) for c in ("ones", "twos")])
+    with_sums = asked.withColumn("_one", F.lit(0)).join(F.broadcast(tallies), "_one").drop("_one")
+    return with_sums.groupBy("bucket").applyInArrow(_tries_and_answers(cfg, model), X.REQUEST_SCHEMA)
 
 
 # --- scores ----------------------------------------------------------------
@@ -392,11 +414,8 @@ def train_and_score(docs: DataFrame, cfg: LmConfig | None = None, model: str | N
     # One small row per bucket: its totals are the last 16 bytes of any of its answers.
     totals = (words.where(F.col("bucket") != X.CHUNK_ROW).groupBy("bucket").agg(F.first(F.substring("payload", -16, 16)).alias("t")).collect())
     n_train, n_types = (sum(int.from_bytes(bytes(r["t"])[a:a + 8], "little") for r in totals) for a in (0, 8))
-    grams = written(X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True), folder, "grams")
-    asked = grams.where(F.col("bucket") != X.CHUNK_ROW).repartition(n_buckets, "bucket")
-    tallies = asked.groupBy("bucket").applyInArrow(_tally(cfg), "k long, ones long, twos long").groupBy("k").agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos"))
-    discounts = {r["k"]: discount(r["ones"], r["twos"]) for r in tallies.collect()}  # a row per order
-    answers = X.answer(grams, _tries_and_answers(cfg, discounts, model), n_buckets, pass_chunks=True)
+    grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
+    answers = _answers(grams, cfg, n_buckets, model)
     out = X.finish(answers, chunks, _score(cfg, n_buckets, n_train, n_types), RESULT_SCHEMA).checkpoint()
     drop_folder(spark, folder)
     return out
