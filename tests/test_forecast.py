@@ -96,3 +96,16 @@ def test_forecast_outputs_equal_brute_force(spark, inputs001):
     for fleet in best:
         rm = {mod: metrics[(fleet, mod)].RMSE for mod in ("gbm", "seasonal_naive")}
         assert best[fleet] == min(rm, key=lambda k: (rm[k], k))
+
+
+def test_model_beats_the_baseline_on_held_out_hours(spark):
+    from ridemart.plans.catalog import Inputs
+    from support import SF01
+
+    s = fixture_settings().replace(window={"start": "2024-01-01", "end": "2024-02-01"}, forecast={"max_iter": 120, "folds": 1})
+    out = forecast.forecast(Inputs(spark, SF01, s).series(), s)
+    scores = {(r.fleet, r.model): r for r in out["mart_forecast_metrics"].collect()}
+    assert {f for f, _ in scores} == {"yellow", "green"}
+    for fleet in ("yellow", "green"):
+        assert scores[fleet, "gbm"].MAPE < scores[fleet, "seasonal_naive"].MAPE
+        assert scores[fleet, "gbm"].RMSE < scores[fleet, "seasonal_naive"].RMSE

@@ -15,6 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: These read tables that their first one writes; its jobs are counted there.
 MODEL_KEYS = {"mart_forecast", "mart_forecast_metrics", "mart_forecast_backtest", "best_model",
               "forecast_error", "forecast_band", "mart_trip_anomalies", "anomaly_summary",
               "anomaly_scatter"}
@@ -52,12 +53,15 @@ def main() -> None:
              f"Final physical plans (after AQE) of the registered queries on `{sf_dir}`, written by `tools/plan_report.py`.",
              "Scans count parquet scans in the executed plan; the fixture queries read `events` (trips) and `nation`/`region` (zones).",
              "Single-partition exchanges are global one-row aggregates or windows over frames with a known small bound.",
-             "Scalar subqueries (the duplicate-group count of `quality_metrics`) and cached frames (the forecast design",
-             "matrix, scored trips) run as separate plans and are not counted here.",
-             "", "| Query | tables | scans | hash shuffles | range shuffles | single-partition | broadcast joins | shuffle joins | reused | python stages |",
-             "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
+             "Scalar subqueries (the duplicate-group count of `quality_metrics`) and tables that a query hands over (landed files, staged and",
+             "exported tables, predictions, scored trips) run as separate plans; their jobs are in the last column. `mart_forecast` is the first",
+             "forecast query: its jobs are those of all 8 fits, the tables and this query. `mart_trip_anomalies` likewise grows the forest and scores.",
+             "", "| Query | tables | scans | hash shuffles | range shuffles | single-partition | broadcast joins | shuffle joins | reused | python stages | jobs |",
+             "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     details = []
     for name, fn in spark_queries().items():
+        sc = spark.sparkContext
+        sc.setJobGroup(name, name)
         df = fn(spark, sf_dir)
         # Execute through the DataFrame's own query execution so its adaptive
         # plan is final (a write would run under a separate one).
@@ -65,7 +69,7 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         lines.append(f"| `{name}` | {s['tables']} | {s['scans']} | {s['hash_shuffles']} | {s['range_shuffles']} | "
-                     f"{s['single_partition']} | {s['broadcast_joins']} | {s['shuffle_joins']} | {s['reused']} | {s['python']} |")
+                     f"{s['single_partition']} | {s['broadcast_joins']} | {s['shuffle_joins']} | {s['reused']} | {s['python']} | {len(sc.statusTracker().getJobIdsForGroup(name))} |")
         if name not in MODEL_KEYS:
             details.append(f"- `{name}`: read `{' | '.join(s['read'][:3]) or '-'}`; pushed `{' | '.join(s['pushed'][:3])}`")
     lines += ["", "## Scan pruning and pushdown (first scans)", ""] + details
