@@ -94,3 +94,44 @@ def test_words_that_collide_modulo_powers_of_two(make_docs):
     word, other = thue_morse(1024)
     rows = [(k, " ".join([*(f"w{j}" for j in range(10)), w, *(f"v{j}" for j in range(12))])) for k, w in enumerate([word, other, word])]
     assert run(make_docs(rows)) == brute(rows, 20)
+
+
+def test_names_decide(make_docs, monkeypatch):
+    """Without the rounds' names no repeat is found between chunks."""
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(k, f"a{k} b{k} {passage} c{k}") for k in range(6)]
+    kw = {"chunk_bytes": 200}
+    assert run(make_docs(rows), **kw) == brute(rows, 20)
+    monkeypatch.setattr(R, "_name_phrases", lambda requests: R._number(np.arange(sum(len(R.X.unsqueeze(r[0], np.uint32)) for r in requests)), [np.ones_like(R.X.unsqueeze(r[0], np.uint32)) for r in requests]))
+    assert all(removed == 0 for _, _, removed, _ in run(make_docs(rows), **kw))
+
+
+@pytest.mark.parametrize("hashes_differ", [True, False])
+def test_rows_and_windows_are_told_apart_by_values(monkeypatch, hashes_differ):
+    if not hashes_differ:  # every hash the same: only the values are left
+        monkeypatch.setattr(R, "hash_columns", lambda columns: np.zeros(len(columns[0]), np.uint64))
+        monkeypatch.setattr(R.T, "gram_hashes", lambda values, n: np.zeros(len(values) - n + 1, np.uint64))
+    rng = np.random.default_rng(3)
+    columns = [rng.integers(0, 3, 200).astype(np.uint64) for _ in range(4)]
+    _, first, back = R.distinct_rows(columns)
+    rows = list(zip(*(c.tolist() for c in columns)))
+    assert [rows[first[b]] for b in back] == rows and [rows.index(r) for r in rows] == first[back].tolist()
+    words = rng.integers(0, 2, 120).astype(np.uint64)
+    starts = np.arange(116)
+    firsts, index = R.distinct_windows(words, starts, 5, (starts,))
+    grams = [tuple(words[s:s + 5].tolist()) for s in starts]
+    assert firsts[index].tolist() == [grams.index(g) for g in grams]
+
+
+def test_frequent_anchors_and_long_texts(make_docs):
+    """Anchors above the bound send windows one by one; one text is many times a chunk."""
+    rng = random.Random(5)
+    long = " ".join(rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(40_000))
+    rows = [(1, long), (2, long[1000:9000]), (3, "x " + long[20_000:21_000]), (4, None), (5, "")]
+    for kw in ({"hot_class": 1, "chunk_bytes": 3000}, {"chunk_bytes": 3000, "bucket_keys": 300}):
+        assert run(make_docs(rows), **kw) == brute(rows, 20)
+
+
+def test_other_columns_are_not_read(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", "y"), (2, None, "x", None)], "doc_id long, text string, chunk string, kept_sha256 string")
+    assert run(docs) == brute([(1, "a b c"), (2, None)], 20)
