@@ -118,7 +118,7 @@ def parse(symbols: np.ndarray, row: np.ndarray, round_: int) -> Phrases:
     return Phrases(run_at, right, at, parts, ~pair & (size[at] == 1), (parts[0] == 0) | (pair & (parts[2] == 0)))
 
 
-def local_names(round_: int, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+def local_names(round_: int, phrases: Phrases, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Names of a sequence on its own: fingerprints of the parts, all of one count class."""
     names = np.where(phrases.plain, phrases.parts[0], hash_columns(phrases.parts) | np.uint64(1))
     return names, np.zeros(len(names), np.uint8)
@@ -147,10 +147,11 @@ def _without_unnamed(symbols: np.ndarray, low: np.ndarray, high: np.ndarray) ->
     return unnamed[high] == unnamed[low]
 
 
-def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig, names=local_names) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig, names=local_names,
+                classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, keys, anchors) of the windows that can repeat; equal windows have equal keys.
 
-    ``names(round, phrases)`` gives the symbols of a round and their count classes.
+    ``names(round, phrases, classes before it)`` gives the symbols of a round and their count classes.
     """
     row = T.row_of(first)
     count = len(words) - cfg.window + 1
@@ -161,6 +162,7 @@ def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig,
     keys, anchors, possible = own.copy(), starts.copy(), np.ones(len(starts), bool)
     low, high, alive = starts, starts + cfg.window, np.arange(len(starts))
     symbols, origin = words, np.arange(len(words))
+    classes = np.zeros(len(words), np.uint8) if classes is None else classes
     for round_ in range(cfg.rounds):
         phrases = parse(symbols, row, round_)
         run_of = np.repeat(np.arange(len(phrases.run_at)), np.diff(np.append(phrases.run_at, len(symbols))))
@@ -172,7 +174,7 @@ def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig,
         phrase_of = np.cumsum(np.bincount(phrases.at, minlength=len(phrases.run_at))) - 1
         good = low < high
         low, high, alive = phrase_of[low[good]], phrase_of[high[good] - 1] + 1, alive[good]
-        symbols, classes = names(round_, phrases)
+        symbols, classes = names(round_, phrases, classes)
         place = phrases.run_at[phrases.at]
         row, origin = row[place], origin[place]
         good = _without_unnamed(symbols, low, high)
@@ -373,15 +375,6 @@ def _own_rows(n: np.ndarray, same: np.ndarray, cfg: RecompressionConfig) -> np.n
     return np.flatnonzero((same == np.arange(len(same))) & (n >= cfg.window))
 
 
-def _write_symbols(folder: str, symbols: np.ndarray, classes: np.ndarray, sizes: np.ndarray) -> str:
-    return store.write_file(folder, "symbols", [X.join_parts([X.squeeze(symbols), X.squeeze(classes), X.squeeze(sizes)])])
-
-
-def _read_symbols(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    symbols, classes, sizes = X.split_parts(store.read_file(uri))
-    return X.unsqueeze(symbols, np.uint64), X.unsqueeze(classes, np.uint8), X.unsqueeze(sizes, np.int64)
-
-
 def _answers(pairs: list[tuple[int, bytes]], level: int, cfg: RecompressionConfig, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(global names, count classes) in the order asked; names of different rounds differ."""
     names, classes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
@@ -394,34 +387,58 @@ def _answers(pairs: list[tuple[int, bytes]], level: int, cfg: RecompressionConfi
     return np.concatenate(names), np.concatenate(classes)
 
 
-def _renamed(before: str, level: int, names: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of a round from those before it and the answers."""
-    symbols, old, sizes = _read_symbols(before)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    phrases = parse(symbols, row, level - 1)
+def _write_names(folder: str, names: np.ndarray, classes: np.ndarray) -> str:
+    return store.write_file(folder, "names", [X.join_parts([X.squeeze(names), X.squeeze(classes)])])
+
+
+def _read_names(uri: str) -> tuple[np.ndarray, np.ndarray]:
+    names, classes = X.split_parts(store.read_file(uri))
+    return X.unsqueeze(names, np.uint64), X.unsqueeze(classes, np.uint8)
+
+
+def _named(phrases: Phrases, before: np.ndarray, names: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and count classes of a round from the classes before it and what was answered for each phrase asked about."""
+    symbols = np.where(phrases.plain, phrases.parts[0], np.uint64(0))
+    out = np.where(phrases.plain, before[phrases.run_at[phrases.at]], np.uint8(0))
     asked = phrases.asked
-    back = distinct_rows([p[asked] for p in phrases.parts])[2]
-    place = phrases.run_at[phrases.at]
-    out, out_class = np.where(phrases.plain, phrases.parts[0], np.uint64(0)), np.where(phrases.plain, old[place], 0).astype(np.uint8)
-    out[asked], out_class[asked] = names[back], classes[back]
-    return out, out_class, np.bincount(row[place], minlength=len(sizes)).astype(np.int64)
+    symbols[asked], out[asked] = names, classes
+    return symbols, out
+
+
+def _symbols(index: np.ndarray, sizes: np.ndarray, files: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, count classes, row of each) after the rounds whose answers are kept in ``files``."""
+    names, classes = _read_names(files[0])
+    symbols, classes, row = names[index], classes[index], np.repeat(np.arange(len(sizes)), sizes)
+    for round_, file in enumerate(files[1:]):
+        phrases = parse(symbols, row, round_)
+        symbols, classes = _named(phrases, classes, *_read_names(file))
+        row = row[phrases.run_at[phrases.at]]
+    return symbols, classes, row
 
 
 def _step(cfg: RecompressionConfig, folder: str, n_buckets: int, level: int):
-    """Put the names of a round in place and ask for the next round's, or, after the last, for the windows."""
+    """Keep the answers of a round and ask for the next round's names, or, after the last, for the windows.
+
+    Only the answers are kept; a chunk's symbols follow from them and its words.
+    """
     def step(chunk: str, pairs: list[tuple[int, bytes]]) -> pa.Table:
         files = pairs.pop(0)[1].decode().split("\n") if pairs and pairs[0][0] == X.CHUNK_ROW else []
         names, classes = _answers(pairs, level, cfg, n_buckets)
-        if level == 0:
-            index, n, same = _state(chunk)
-            symbols, classes, sizes = names[index], classes[index], n[_own_rows(n, same, cfg)]
+        index, n, same = _state(chunk)
+        sizes = n[_own_rows(n, same, cfg)]
+        if level:
+            symbols, old, row = _symbols(index, sizes, files)
+            phrases = parse(symbols, row, level - 1)
+            back = distinct_rows([p[phrases.asked] for p in phrases.parts])[2]
+            names, classes = names[back], classes[back]
+            symbols, row = _named(phrases, old, names, classes)[0], row[phrases.run_at[phrases.at]]
         else:
-            symbols, classes, sizes = _renamed(files[-1], level, names, classes)
-        files.append(_write_symbols(folder, symbols, classes, sizes))
+            symbols, row = names[index], np.repeat(np.arange(len(sizes)), sizes)
+        files.append(_write_names(folder, names, classes))
         if level < cfg.rounds:
-            rows = [(X.CHUNK_ROW, chunk, "\n".join(files).encode())]
-            rows += _ask_phrases(symbols, np.repeat(np.arange(len(sizes)), sizes), level, chunk, n_buckets)
+            rows = [(X.CHUNK_ROW, chunk, "\n".join(files).encode()), *_ask_phrases(symbols, row, level, chunk, n_buckets)]
         else:
+            del symbols, row
             rows = _ask_windows(cfg, folder, chunk, files, n_buckets)
         return pa.Table.from_batches([X.rows_batch(rows)])
     return step
@@ -429,12 +446,13 @@ def _step(cfg: RecompressionConfig, folder: str, n_buckets: int, level: int):
 
 def _ask_windows(cfg: RecompressionConfig, folder: str, chunk: str, files: list[str], n_buckets: int) -> list[tuple]:
     """A chunk's distinct candidate windows as segments of words, with their first document, by the anchor's name."""
-    words, _, sizes = _read_symbols(files[0])
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    starts, keys, anchors = window_keys(words, first, cfg, lambda round_, _: _read_symbols(files[round_ + 1])[:2])
-    _, n, same = _state(chunk)
-    table = X.load_texts(chunk.split("|")[0])
+    index, n, same = _state(chunk)
     own = _own_rows(n, same, cfg)
+    first = np.concatenate([[0], np.cumsum(n[own])])
+    names, classes = _read_names(files[0])
+    words, classes = names[index], classes[index]
+    starts, keys, anchors = window_keys(words, first, cfg, lambda round_, phrases, before: _named(phrases, before, *_read_names(files[round_ + 1])), classes)
+    table = X.load_texts(chunk.split("|")[0])
     owner = own[np.searchsorted(first, starts, "right") - 1] if len(starts) else starts
     firsts, _ = distinct_windows(words, starts, cfg.window, (starts, _document_order(table)[owner]))
     gone = np.ones(len(starts), bool)
