@@ -10,7 +10,8 @@ the smallest page id as a response, the others as revisits of it.
 Edge cases: a null html is an empty payload; a null page id is never the one
 referred to; rows repeated with the smallest id are all responses; a file with
 too little to train on has an empty dictionary frame; an empty table writes no
-file; a null url is left out of its record; other columns are not read.
+file; a null url is left out of its record; other columns are not read; rows
+that repeat both id and url share a salt.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ RECORD_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record
 @dataclass(frozen=True)
 class ArchiveConfig:
     min_revisit_bytes: int = 100
+    #: One salt for so many rows of the table: pages with one payload meet under that many keys.
+    salt_rows: int = 50_000
     file_payload_bytes: int = 32 << 20
     level: int = 3
     dictionary_bytes: int = 64 << 10
@@ -50,13 +53,24 @@ class ArchiveConfig:
 
 
 def with_references(pages: DataFrame, cfg: ArchiveConfig) -> DataFrame:
-    """Adds digest and, for revisits, ``refers_to``; the first of each payload comes from a map-side combined minimum."""
+    """Adds digest and, for revisits, ``refers_to``.
+
+    Payload bytes move under (digest, salt of id and url), so a payload that a
+    third of the pages share is spread over as many keys as the table has
+    salts.  Each payload's first page is found from one row per (digest, salt),
+    combined before its shuffle and without the bytes.
+    """
+    salts = max(1, -(-pages.count() // cfg.salt_rows))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    firsts = (rows.where(F.length("payload") >= cfg.min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-              .where("n > 1").select(F.col("digest").alias("_digest"), "first"))
-    return (rows.join(firsts, F.col("digest") == F.col("_digest"), "left")
-            .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).drop("_digest", "first"))
+    rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
+    cells = (rows.where(F.length("payload") >= cfg.min_revisit_bytes).groupBy("digest", "salt")
+             .agg(F.min("page_id").alias("least"), F.count("*").alias("n")))
+    firsts = (cells.groupBy(F.col("digest").alias("_digest")).agg(F.min("least").alias("first"), F.sum("n").alias("_n"))
+              .where("_n > 1").select("_digest", "first"))
+    cells = (cells.join(firsts, F.col("digest") == F.col("_digest"))
+             .select("_digest", F.col("salt").alias("_salt"), "first"))
+    return (rows.join(cells, (F.col("digest") == F.col("_digest")) & (F.col("salt") == F.col("_salt")), "left")
+            .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).drop("_digest", "_salt", "salt", "first"))
 
 
 def _record_id(page_id: int | None) -> str:

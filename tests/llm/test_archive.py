@@ -61,3 +61,10 @@ def test_damage_is_noticed():
     parts = A.file_parts([A.record_bytes(1, "u", b"z" * 500, "d", None, "now")], A.ArchiveConfig())
     with pytest.raises(Exception):
         list(A.read_records(b"".join(parts)[:-4]))
+
+
+@pytest.mark.parametrize("salt_rows", [1, 7, 50_000])
+def test_one_payload_on_a_third_of_the_pages(spark, salt_rows):
+    rows = [(k, f"u{k}", "hot " * 40 if k % 3 == 0 else f"page {k % 50} " * 20) for k in range(90)]
+    rows += [(None, None, "hot " * 40), (None, "u", "hot " * 40), (200, None, None), (201, None, "")]
+    assert run(spark, rows, salt_rows=salt_rows) == brute(rows)
