@@ -20,6 +20,10 @@ search relative to the context.  All of a context is in one bucket, and an
 n-gram is sent once per chunk however often it occurs.  No table of words or
 n-grams is ever held whole by one process; the model grows with the corpus.
 
+``train`` keeps a model (words and trie shards by bucket, with tables that name
+them) and ``score`` scores any other table with it: the table's words and
+n-grams go to the buckets of the model, which only look them up.
+
 Edge cases: a null text is empty and scores its end token alone; a null id
 counts as the empty text for the split; repeated rows count each; an empty
 training set makes every word unknown; an empty table gives an empty result;
@@ -30,7 +34,7 @@ from __future__ import annotations
 
 import tempfile
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -152,18 +156,24 @@ def _ask_words(cfg: LmConfig, n_buckets: int):
     return ask
 
 
-def _number_words(requests: list[list[bytes]]) -> list[bytes]:
-    """(place in the bucket's dictionary by falling count, training count) of every asked word.
-
-    Frequent words get small numbers, which the n-grams' columns compress by.
-    The bucket's number and totals come with every answer.
-    """
+def _counted(requests: list[list[bytes]]):
+    """(words of every request, the distinct words, index, training counts, places by falling count)."""
     words = [X.unsqueeze_sorted(r[0]) for r in requests]
     counts = np.concatenate([X.unsqueeze(r[1], np.uint32) for r in requests]).astype(np.float64)
     distinct, back = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(back, weights=counts).astype(np.uint64)
     rank = np.empty(len(distinct), np.uint32)
     rank[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(distinct), dtype=np.uint32)
+    return words, distinct, back, total, rank
+
+
+def _number_words(requests: list[list[bytes]]) -> list[bytes]:
+    """(place in the bucket's dictionary by falling count, training count) of every asked word.
+
+    Frequent words get small numbers, which the n-grams' columns compress by.
+    The bucket's number and totals come with every answer.
+    """
+    words, _, back, total, rank = _counted(requests)
     out, at = [], 0
     totals = np.array([int(total.sum()), int((total > 0).sum())], "<u8").tobytes()
     for w in words:
@@ -173,6 +183,31 @@ def _number_words(requests: list[list[bytes]]) -> list[bytes]:
     return out
 
 
+def _keep_words(table: pa.Table) -> pa.Table:
+    """A bucket's words with training counts, numbered as ``_number_words`` does (trained words come first)."""
+    _, distinct, _, total, rank = _counted([X.split_parts(p.as_py()) for p in table.column("payload")])
+    trained = total > 0
+    payload = X.join_parts([X.squeeze_sorted(distinct[trained]), X.squeeze(rank[trained]), X.squeeze(total[trained])])
+    return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "words": pa.array([payload], pa.binary())})
+
+
+def _look_up_words(asked: pa.Table, kept: pa.Table) -> pa.Table:
+    """Answers as ``_number_words`` gives, from a kept model; words it does not have get numbers beyond its own."""
+    asked = asked.select(["bucket", "chunk", "payload"])
+    if not asked.num_rows or asked.column("bucket")[0].as_py() == X.CHUNK_ROW:
+        return asked
+    parts = X.split_parts(kept.column("words")[0].as_py()) if kept.num_rows else [X.squeeze(np.zeros(0, np.uint64))] * 3
+    words, rank, total = X.unsqueeze_sorted(parts[0]), X.unsqueeze(parts[1], np.uint32), X.unsqueeze(parts[2], np.uint64)
+    requests = [X.unsqueeze_sorted(X.split_parts(p.as_py())[0]) for p in asked.column("payload")]
+    new = np.setdiff1d(np.concatenate(requests), words)
+    both = np.concatenate([words, new])
+    order = np.argsort(both)
+    both, rank = both[order], np.concatenate([rank, len(words) + np.arange(len(new), dtype=np.uint32)]).astype(np.uint32)[order]
+    total = np.concatenate([total, np.zeros(len(new), np.uint64)])[order]
+    at = [np.searchsorted(both, r) for r in requests]
+    return asked.set_column(2, "payload", pa.array([X.join_parts([X.squeeze(rank[a]), X.squeeze(total[a]), b"\0" * 16]) for a in at], pa.binary()))
+
+
 def _buckets(context_hash: np.ndarray, n_buckets: int) -> np.ndarray:
     return (context_hash >> np.uint64(20)) % np.uint64(n_buckets)
 
@@ -314,41 +349,81 @@ def _tally(cfg: LmConfig):
     return tally
 
 
-def _tries_and_answers(cfg: LmConfig, model: str | None):
-    def reduce(requests: list[list[bytes]], discounts: dict[int, float]) -> list[bytes]:
-        answers: list[list[bytes]] = [[] for _ in requests]
-        for k in range(2, cfg.order + 1):
-            columns = [_gram_columns(r[k - 2], k) for r in requests]
-            sizes = [len(c[1]) for c in columns]
-            grams = Grams([np.concatenate([c[0][j] for c in columns]) for j in range(k)], np.concatenate([c[1] for c in columns]))
-            del columns
-            shard = to_bytes(build_trie(grams, cfg, discounts[k]))
-            if model:
-                store.write_file(model, f"trie-{k}", [shard])
-            alpha, rest = Trie(from_buffer(mapped(shard)), k, cfg.code_bits).query(grams.levels)
-            context, at = grams.levels[-1][0], 0
-            for answer, size in zip(answers, sizes):
-                mine = grams.node[at:at + size]
-                own = context[mine]
-                head = np.ones(size, bool)
-                head[1:] = own[1:] != own[:-1]
-                answer += [X.squeeze(alpha[mine]), X.squeeze(rest[own[head]])]
-                at += size
-        return [X.join_parts(a) for a in answers]
+def _request_grams(requests: list[list[bytes]], k: int) -> tuple[Grams, list[int]]:
+    """(the distinct k-grams of a bucket's requests, how many each request has)."""
+    columns = [_gram_columns(r[k - 2], k) for r in requests]
+    return Grams([np.concatenate([c[0][j] for c in columns]) for j in range(k)], np.concatenate([c[1] for c in columns])), [len(c[1]) for c in columns]
+
+
+def _shard_answers(shard: bytes, k: int, grams: Grams, sizes: list[int], cfg: LmConfig) -> list[list[bytes]]:
+    """(alpha codes, lambda codes of the contexts) of every request's k-grams, from a mapped shard."""
+    alpha, rest = Trie(from_buffer(mapped(shard)), k, cfg.code_bits).query(grams.levels)
+    context, at, out = grams.levels[-1][0], 0, []
+    for size in sizes:
+        mine = grams.node[at:at + size]
+        own = context[mine]
+        head = np.ones(size, bool)
+        head[1:] = own[1:] != own[:-1]
+        out.append([X.squeeze(alpha[mine]), X.squeeze(rest[own[head]])])
+        at += size
+    return out
+
 
+def _bucket_discounts(table: pa.Table, cfg: LmConfig) -> dict[int, float]:
+    return {k: discount(*(table.column(f"{c}{k}")[0].as_py() or 0 for c in ("ones", "twos"))) for k in range(2, cfg.order + 1)}
+
+
+def _tries_and_answers(cfg: LmConfig):
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         out = table.select(["bucket", "chunk", "payload"])
         if table.column("bucket")[0].as_py() == X.CHUNK_ROW:
             return out
-        discounts = {k: discount(*(table.column(f"{c}{k}")[0].as_py() or 0 for c in ("ones", "twos"))) for k in range(2, cfg.order + 1)}
-        payloads = reduce([X.split_parts(p.as_py()) for p in table.column("payload")], discounts)
-        return out.set_column(2, "payload", pa.array(payloads, pa.binary()))
+        discounts = _bucket_discounts(table, cfg)
+        requests = [X.split_parts(p.as_py()) for p in table.column("payload")]
+        answers: list[list[bytes]] = [[] for _ in requests]
+        for k in range(2, cfg.order + 1):
+            grams, sizes = _request_grams(requests, k)
+            for answer, more in zip(answers, _shard_answers(to_bytes(build_trie(grams, cfg, discounts[k])), k, grams, sizes, cfg)):
+                answer += more
+        return out.set_column(2, "payload", pa.array([X.join_parts(a) for a in answers], pa.binary()))
     return one
 
 
-def _answers(grams: DataFrame, cfg: LmConfig, n_buckets: int, model: str | None) -> DataFrame:
-    """Every bucket's trie and answers, with discounts summed over all buckets first.
+def _keep_tries(cfg: LmConfig, folder: str):
+    """A bucket's shards as files, one a level of n-grams; rows that name them."""
+    def one(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        uris = {}
+        if bucket != X.CHUNK_ROW:
+            discounts = _bucket_discounts(table, cfg)
+            requests = [X.split_parts(p.as_py()) for p in table.column("payload")]
+            for k in range(2, cfg.order + 1):
+                uris[k] = store.write_file(folder, f"trie-{k}", [to_bytes(build_trie(_request_grams(requests, k)[0], cfg, discounts[k]))])
+        return pa.table({"bucket": pa.array([bucket] * len(uris), pa.int32()), "k": pa.array(list(uris), pa.int32()), "uri": pa.array(list(uris.values()), pa.string())})
+    return one
+
+
+def _look_up_grams(cfg: LmConfig):
+    """Answers as ``_tries_and_answers`` gives, from the shards of a kept model."""
+    def one(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        if not asked.num_rows or asked.column("bucket")[0].as_py() == X.CHUNK_ROW:
+            return asked
+        uris = dict(zip(kept.column("k").to_pylist(), kept.column("uri").to_pylist()))
+        requests = [X.split_parts(p.as_py()) for p in asked.column("payload")]
+        answers: list[list[bytes]] = [[] for _ in requests]
+        for k in range(2, cfg.order + 1):
+            grams, sizes = _request_grams(requests, k)
+            nothing = Grams([np.zeros(0, np.int64)] * k, np.zeros(0))
+            shard = store.read_file(uris[k]) if k in uris else to_bytes(build_trie(nothing, cfg, 0.5))
+            for answer, more in zip(answers, _shard_answers(shard, k, grams, sizes, cfg)):
+                answer += more
+        return asked.set_column(asked.column_names.index("payload"), "payload", pa.array([X.join_parts(a) for a in answers], pa.binary()))
+    return one
+
+
+def _with_tallies(grams: DataFrame, cfg: LmConfig, n_buckets: int) -> DataFrame:
+    """Every bucket's requests with the counts of counts summed over all buckets.
 
     Both steps read one shuffle: the sums are a single row, joined to the
     buckets' rows where they lie.
@@ -356,8 +431,7 @@ def _answers(grams: DataFrame, cfg: LmConfig, n_buckets: int, model: str | None)
     asked = grams.repartition(n_buckets, "bucket")
     tallies = asked.groupBy("bucket").applyInArrow(_tally(cfg), "k long, ones long, twos long").agg(
         F.lit(0).alias("_one"), *[F.sum(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(2, cfg.order + 1) for c in ("ones", "twos")])
-    with_sums = asked.withColumn("_one", F.lit(0)).join(F.broadcast(tallies), "_one").drop("_one")
-    return with_sums.groupBy("bucket").applyInArrow(_tries_and_answers(cfg, model), X.REQUEST_SCHEMA)
+    return asked.withColumn("_one", F.lit(0)).join(F.broadcast(tallies), "_one").drop("_one")
 
 
 # --- scores ----------------------------------------------------------------
@@ -398,24 +472,73 @@ def _score(cfg: LmConfig, n_buckets: int, n_train: int, n_types: int):
     return last
 
 
-def train_and_score(docs: DataFrame, cfg: LmConfig | None = None, model: str | None = None) -> DataFrame:
-    """Train on the documents that are not held out and score all (``RESULT_SCHEMA``).
-
-    ``model``: folder to keep the trie shards in; without one each shard lives as long as its answers take.
-    """
-    cfg = cfg or LmConfig()
+def _numbered(docs: DataFrame, folder: str, cfg: LmConfig, n_buckets: int, model: str | None = None) -> tuple[DataFrame, int, int, int]:
+    """(every chunk's words with ids and counts, number of chunks, training tokens, distinct ones); the words also go to ``model``."""
     spark = docs.sparkSession
-    folder = shared_folder(spark, "ngram-lm")
-    n_buckets = max(1, -(-X.text_bytes(docs) * cfg.order // (12 * cfg.bucket_grams)))
     first = X.write_requests(docs, folder, _ask_words(cfg, n_buckets), cfg.chunk_bytes, _save(cfg))
     chunks = X.chunk_rows(first).count()
     words = written(X.answer(first, _number_words, n_buckets, pass_chunks=True), folder, "words-numbered")
+    if model:
+        asked = first.where(F.col("bucket") != X.CHUNK_ROW).repartition(n_buckets, "bucket")
+        asked.groupBy("bucket").applyInArrow(_keep_words, "bucket int, words binary").write.parquet(f"{model}/words")
     drop_folder(spark, f"{folder}/requests")
     # One small row per bucket: its totals are the last 16 bytes of any of its answers.
     totals = (words.where(F.col("bucket") != X.CHUNK_ROW).groupBy("bucket").agg(F.first(F.substring("payload", -16, 16)).alias("t")).collect())
     n_train, n_types = (sum(int.from_bytes(bytes(r["t"])[a:a + 8], "little") for r in totals) for a in (0, 8))
+    return words, chunks, n_train, n_types
+
+
+def _bucket_number(docs: DataFrame, cfg: LmConfig) -> int:
+    return max(1, -(-X.text_bytes(docs) * cfg.order // (12 * cfg.bucket_grams)))
+
+
+def train(docs: DataFrame, model: str, cfg: LmConfig | None = None) -> None:
+    """Train on the documents that are not held out and keep the model below the new folder ``model`` (shared, by URI).
+
+    The table ``about`` is written last: a folder without it is no model.
+    """
+    cfg = cfg or LmConfig()
+    spark = docs.sparkSession
+    folder, n_buckets = shared_folder(spark, "ngram-lm"), _bucket_number(docs, cfg)
+    words, chunks, n_train, n_types = _numbered(docs, folder, cfg, n_buckets, model)
+    grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
+    tries = _with_tallies(grams, cfg, n_buckets).groupBy("bucket").applyInArrow(_keep_tries(cfg, f"{model}/shards"), "bucket int, k int, uri string")
+    tries.write.parquet(f"{model}/tries")
+    spark.createDataFrame([(cfg.order, cfg.add, cfg.code_bits, cfg.log2_range, n_buckets, n_train, n_types)],
+                          "order int, add double, code_bits int, log2_range double, n_buckets int, n_train long, n_types long").coalesce(1).write.parquet(f"{model}/about")
+    drop_folder(spark, folder)
+
+
+def score(model: str, docs: DataFrame, cfg: LmConfig | None = None) -> DataFrame:
+    """Score all documents with a kept model (``RESULT_SCHEMA``); ``cfg`` gives the sizes of chunks, the model the rest.
+
+    ``held_out`` only tells the fold of the id; words the model does not have are unknown.
+    """
+    spark = docs.sparkSession
+    about = spark.read.parquet(f"{model}/about").first()
+    cfg = replace(cfg or LmConfig(), order=about["order"], add=about["add"], code_bits=about["code_bits"], log2_range=about["log2_range"])
+    folder, n_buckets = shared_folder(spark, "ngram-lm"), about["n_buckets"]
+    first = X.write_requests(docs, folder, _ask_words(cfg, n_buckets), cfg.chunk_bytes, _save(cfg))
+    chunks = X.chunk_rows(first).count()
+    kept = spark.read.schema("bucket int, words binary").parquet(f"{model}/words")
+    words = first.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(_look_up_words, X.REQUEST_SCHEMA)
+    words = written(words, folder, "words-numbered")
+    grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
+    tries = spark.read.schema("bucket int, k int, uri string").parquet(f"{model}/tries")
+    answers = grams.groupBy("bucket").cogroup(tries.groupBy("bucket")).applyInArrow(_look_up_grams(cfg), X.REQUEST_SCHEMA)
+    out = X.finish(answers, chunks, _score(cfg, n_buckets, about["n_train"], about["n_types"]), RESULT_SCHEMA).checkpoint()
+    drop_folder(spark, folder)
+    return out
+
+
+def train_and_score(docs: DataFrame, cfg: LmConfig | None = None) -> DataFrame:
+    """Train on the documents that are not held out and score all (``RESULT_SCHEMA``); each shard lives as long as its answers take."""
+    cfg = cfg or LmConfig()
+    spark = docs.sparkSession
+    folder, n_buckets = shared_folder(spark, "ngram-lm"), _bucket_number(docs, cfg)
+    words, chunks, n_train, n_types = _numbered(docs, folder, cfg, n_buckets)
     grams = X.finish(words, chunks, _ask_grams(cfg, n_buckets, folder), X.REQUEST_SCHEMA, with_buckets=True)
-    answers = _answers(grams, cfg, n_buckets, model)
+    answers = _with_tallies(grams, cfg, n_buckets).groupBy("bucket").applyInArrow(_tries_and_answers(cfg), X.REQUEST_SCHEMA)
     out = X.finish(answers, chunks, _score(cfg, n_buckets, n_train, n_types), RESULT_SCHEMA).checkpoint()
     drop_folder(spark, folder)
     return out

@@ -89,6 +89,41 @@ def test_many_chunks_and_buckets(make_docs):
     assert all(r.score == pytest.approx(one[r.doc_id, r.n_tokens], abs=1e-9) for r in many)
 
 
+def other_rows():
+    rng = random.Random(9)
+    vocab = [f"w{k}" for k in range(0, 60, 2)] + ["THE", "unseen", "é,"]
+    return [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(900, None), (None, "w1 w2"), (901, "unseen " * 3)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_kept_model_scores_another_table(make_docs, tmp_path, small):
+    cfg = L.LmConfig(chunk_bytes=700, slice_bytes=200, bucket_grams=300) if small else L.LmConfig()
+    model = (tmp_path / "model").as_uri()
+    L.train(make_docs(cases()), model, cfg)
+    plain = Plain(cases(), 3)
+    texts = dict(other_rows())
+    got = L.score(model, make_docs(other_rows()), cfg).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = texts[r.doc_id]
+        assert (r.n_tokens, r.train_tokens, r.n_known) == (len(tokens(t)), plain.n, sum(plain.counts[0][(w,)] > 0 for w in tokens(t)))
+        assert r.base_score == pytest.approx(plain.base(t), abs=1e-6)
+        assert r.score == pytest.approx(plain.score(t), abs=0.01 * r.n_tokens)
+    again = {(r.doc_id, r.n_tokens): r.score for r in L.score(model, make_docs(cases()), cfg).collect()}
+    for r in L.train_and_score(make_docs(cases()), cfg).collect():
+        assert again[r.doc_id, r.n_tokens] == pytest.approx(r.score, abs=1e-9)
+    assert L.score(model, make_docs([])).count() == 0
+
+
+def test_model_without_training(make_docs, tmp_path):
+    out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    for name, rows in (("nothing", []), ("held-out", [(out, "a b")])):
+        model = (tmp_path / name).as_uri()
+        L.train(make_docs(rows), model)
+        r = L.score(model, make_docs([(1, "a b")])).first()
+        assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 3) and r.score == pytest.approx(0.0)
+
+
 def test_words_that_collide_modulo_powers_of_two(make_docs):
     word, other = "a", "b"
     while len(word) < 1024:
