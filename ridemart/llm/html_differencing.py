@@ -8,18 +8,18 @@ then ordered by URL path and each is paired with the neighbour whose path has
 most leading segments in common; the lines of both are aligned by longest
 common subsequence.  Shared lines are the site's, not the page's.
 
-A page that declares an article consists of its article lines, shared or not
-(texts that two pages both carry are still their texts), so it is not aligned
-and its result names no partner.  A page that does not consists of its open lines without the shared ones; if no line would be left,
-the partner is a copy and the other neighbour is asked, and a page between
-copies keeps its lines.
+Every page is paired and aligned.  A page that declares an article consists of
+its article lines, shared or not: texts that two pages both carry are still
+their texts.  A page that does not consists of its open lines without the
+shared ones; if no line would be left, the partner is a copy and the other
+neighbour is asked, and a page between copies keeps its lines.
 
 Pages are numbered in the order of (host, path, id) by a range sort, so a host
 with a third of all pages is cut into as many ranges as its pages fill, and
 neighbours are found by an equality join on number plus and minus one, which
-has one row per key.  Only addresses and line digests take part in that; of
-the texts only those of pages without a declared article move, to the join with
-their neighbours' digests.  All pages can be partners.
+has one row per key.  Only addresses, line classes and digests take part in
+that; the texts stay in compressed files, a chunk of pages each, and a chunk is
+read again when the alignments of its pages are known.
 
 Edge cases: a null or empty html gives an empty text; a null or relative URL
 has no host and no partner; repeated rows are pages of their own; pages with
@@ -42,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridemart.llm.cluster import shared_folder, written
+from ridemart.llm import exchange as X
+from ridemart.llm.cluster import shared_folder
 from ridemart.operators.dims import with_dense_ids
 
 CHROME, ARTICLE, OPEN = 0, 1, 2
@@ -309,27 +310,40 @@ class Neighbour:
     keys: list[int]
 
 
-def main_lines(lines: list[str], classes: list[int], keys: list[int], path: str, neighbours: list[Neighbour]) -> tuple[list[str], int | None, int, int]:
-    """(kept lines, partner's id, shared lines, deleted lines) of one page next to its neighbours of the same host."""
-    declared = ARTICLE in classes
-    own = [k for k, c in enumerate(classes) if c == (ARTICLE if declared else OPEN)]
+def own_lines(classes: list[int]) -> list[int]:
+    """Places of the lines that a page's text can have: its article lines, or without any its open ones."""
+    wanted = ARTICLE if ARTICLE in classes else OPEN
+    return [k for k, c in enumerate(classes) if c == wanted]
+
+
+def aligned_lines(classes: list[int], keys: list[int], path: str, neighbours: list[Neighbour]) -> tuple[list[int] | None, int | None, int, int]:
+    """(places kept of the own lines, None for all; partner's id, shared lines, deleted lines) of one page next to its neighbours of the same host."""
     partner, n_shared = None, 0
     for near in sorted(neighbours, key=lambda x: -common_segments(path, x.path)):
         shared = shared_lines(keys, near.keys)
         if partner is None:
             partner, n_shared = near.page_id, sum(shared)
-        if declared:
+        if ARTICLE in classes:
             break
-        rest = [k for k in own if not shared[k]]
+        own = own_lines(classes)
+        rest = [j for j, k in enumerate(own) if not shared[k]]
         if rest:
-            return [lines[k] for k in rest], near.page_id, sum(shared), len(own) - len(rest)
-    return [lines[k] for k in own], partner, n_shared, 0
+            return rest, near.page_id, sum(shared), len(own) - len(rest)
+    return None, partner, n_shared, 0
+
+
+def main_lines(lines: list[str], classes: list[int], keys: list[int], path: str, neighbours: list[Neighbour]) -> tuple[list[str], int | None, int, int]:
+    """(kept lines, partner's id, shared lines, deleted lines) of one page next to its neighbours of the same host."""
+    kept, *found = aligned_lines(classes, keys, path, neighbours)
+    own = [lines[k] for k in own_lines(classes)]
+    return (own if kept is None else [own[j] for j in kept], *found)
 
 
 # --- Spark -----------------------------------------------------------------
 
-_LINES = "array<string>"
-PAGE_SCHEMA = "page_id long, url string, host string, path string, lines array<string>, classes array<int>, keys array<long>"
+#: What takes part in the pairing of pages: the place of their lines (file, row), the address, line classes and digests.
+PAGE_SCHEMA = "chunk string, at int, page_id long, url string, host string, path string, classes array<int>, keys array<long>"
+ALIGNED_SCHEMA = "chunk string, at int, kept array<int>, paired_page_id long, n_shared_lines long, n_deleted_lines long"
 MAIN_SCHEMA = "page_id long, url string, text string, paired_page_id long, n_lines long, n_shared_lines long, n_deleted_lines long"
 
 
@@ -337,34 +351,62 @@ def _key(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def read_pages(pages: DataFrame, slice_rows: int = 256) -> DataFrame:
-    """Every page's host, path, lines, line classes and line digests."""
+def read_pages(pages: DataFrame, folder: str, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """Every page's address, line classes and line digests; its own lines go to the file of its chunk."""
     url = F.coalesce("url", F.lit(""))
     parts = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)([^?#]*)"
     taken = pages.select("page_id", "url", F.nullif(F.lower(F.regexp_extract(url, parts, 1)), F.lit("")).alias("host"),
-                         F.regexp_extract(url, parts, 2).alias("path"), "html")
+                         F.regexp_extract(url, parts, 2).alias("path"), F.col("html").alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, slice_rows):
-                b = whole.slice(at, slice_rows)
-                found = [read_page(h) for h in b.column(4).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), b.column(2), b.column(3), pa.array([x for x, _ in found], pa.list_(pa.string())),
-                     pa.array([c for _, c in found], pa.list_(pa.int32())), pa.array([[_key(t) for t in x] for x, _ in found], pa.list_(pa.int64()))],
-                    ["page_id", "url", "host", "path", "lines", "classes", "keys"])
+        for whole in X.text_chunks(batches, chunk_bytes):
+            own, sizes, classes, keys = [], [], [], []
+            for html in whole.column("text"):
+                lines, found = read_page(html.as_py())
+                own.append([lines[k] for k in own_lines(found)])
+                sizes.append(len(lines))
+                classes.append(found)
+                keys.append([_key(t) for t in lines])
+            texts = whole.select(["page_id", "url"]).append_column("own", pa.array(own, pa.list_(pa.string()))).append_column("n_lines", pa.array(sizes, pa.int64()))
+            chunk = X.save_texts(folder, texts).rsplit("/", 1)[1]
+            n = whole.num_rows
+            columns = [pa.array([chunk] * n), pa.array(range(n), pa.int32()), *(whole.column(c).combine_chunks() for c in ("page_id", "url", "host", "path")),
+                       pa.array(classes, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "at", "page_id", "url", "host", "path", "classes", "keys"])
 
     return taken.mapInArrow(read, PAGE_SCHEMA)
 
 
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for chunk, at, path, classes, keys, *sides in zip(*[c.to_pylist() for c in b.columns]):
+            near = [Neighbour(s["page_id"], s["path"], s["keys"]) for s in sides if s is not None]
+            out.append((chunk, at, *aligned_lines(classes, keys, path, near)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ALIGNED_TYPES)], _ALIGNED_NAMES)
+
+
+def _texts(folder: str):
+    """The result rows of a chunk from its file and its pages' alignments."""
+    def one(aligned: pa.Table) -> pa.Table:
+        aligned = aligned.sort_by("at")
+        pages = X.load_texts(f"{folder}/{aligned.column('chunk')[0].as_py()}")
+        texts = ["\n".join(own if kept is None else [own[j] for j in kept]) for own, kept in zip(pages.column("own").to_pylist(), aligned.column("kept").to_pylist())]
+        return pa.table({"page_id": pages.column("page_id"), "url": pages.column("url"), "text": pa.array(texts, pa.string()), "paired_page_id": aligned.column("paired_page_id"),
+                         "n_lines": pages.column("n_lines"), "n_shared_lines": aligned.column("n_shared_lines"), "n_deleted_lines": aligned.column("n_deleted_lines")})
+    return one
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """The main text of every page, with its partner and the lines that both share."""
-    folder = shared_folder(pages.sparkSession, "main-text")
-    declared = F.array_contains("classes", ARTICLE).alias("declared")
-    read_pages(pages).select("*", declared, F.monotonically_increasing_id().alias("row")).write.option("compression", "zstd").parquet(f"{folder}/pages")
-    read = pages.sparkSession.read.schema(f"{PAGE_SCHEMA}, declared boolean, row long").parquet(f"{folder}/pages")
-    # Only addresses and line digests are sorted and meet their neighbours; of the texts only those of open pages move, to the last join.
-    placed = with_dense_ids(read.select("row", "declared", "host", "path", "page_id", "url", "keys").where("host is not null"), ["host", "path", "page_id", "url", "keys"], "place")
+    spark = pages.sparkSession
+    folder = shared_folder(spark, "main-text")
+    read_pages(pages, f"{folder}/lines").write.option("compression", "zstd").parquet(f"{folder}/pages")
+    read = spark.read.schema(PAGE_SCHEMA).parquet(f"{folder}/pages")
+    chunks = read.where("at = 0").count()
+    # Only addresses, classes and line digests are sorted and meet their neighbours.
+    placed = with_dense_ids(read.where("host is not null"), ["host", "path", "page_id", "url", "keys"], "place")
     slim = placed.select("place", "host", F.struct("page_id", "path", "keys").alias("page"))
 
     def beside(step: int, name: str) -> DataFrame:
@@ -373,30 +415,16 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def same_host(name: str):
         return F.when(F.col(f"{name}_host") == F.col("host"), F.col(name)).alias(name)
 
-    near = (placed.where(~F.col("declared")).select("row", "place", "host").join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
-            .select("row", same_host("before"), same_host("after")))
-    paired = read.where(~F.col("declared")).join(near, "row", "left").select("page_id", "url", "path", "lines", "classes", "keys", "before", "after")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            out = []
-            for page_id, url, path, lines, classes, keys, *sides in zip(*[c.to_pylist() for c in b.columns]):
-                near = [Neighbour(s["page_id"], s["path"], s["keys"]) for s in sides if s is not None]
-                kept, partner, n_shared, n_deleted = main_lines(lines, classes, keys, path, near)
-                out.append((page_id, url, "\n".join(kept), partner, len(lines), n_shared, n_deleted))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _MAIN_TYPES)], _MAIN_NAMES)
-
-    own = F.filter("lines", lambda _, k: F.get("classes", k) == ARTICLE)
-    zero = F.lit(0).cast("long")
-    article = read.where("declared").select("page_id", "url", F.array_join(own, "\n").alias("text"), F.lit(None).cast("long").alias("paired_page_id"),
-                                            F.size("lines").cast("long").alias("n_lines"), zero.alias("n_shared_lines"), zero.alias("n_deleted_lines"))
-    return article.unionByName(paired.mapInArrow(run, MAIN_SCHEMA))
-
-
-_MAIN_NAMES = ["page_id", "url", "text", "paired_page_id", "n_lines", "n_shared_lines", "n_deleted_lines"]
-_MAIN_TYPES = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    wanted = ["chunk", "at", "path", "classes", "keys"]
+    near = (placed.select("place", "host", *wanted).join(beside(1, "before"), "place", "left").join(beside(-1, "after"), "place", "left")
+            .select(*wanted, same_host("before"), same_host("after")))
+    alone = read.where("host is null").select(*wanted)
+    aligned = near.unionByName(alone, allowMissingColumns=True).mapInArrow(_align, ALIGNED_SCHEMA)
+    return aligned.repartition(max(1, chunks), "chunk").groupBy("chunk").applyInArrow(_texts(f"{folder}/lines"), MAIN_SCHEMA)
+
+
+_ALIGNED_NAMES = ["chunk", "at", "kept", "paired_page_id", "n_shared_lines", "n_deleted_lines"]
+_ALIGNED_TYPES = [pa.string(), pa.int32(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64()]
 
 
 def main_text_report(extracted: DataFrame) -> DataFrame:

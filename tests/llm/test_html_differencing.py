@@ -102,6 +102,17 @@ def test_edges(spark):
     assert run(spark, [], 1) == {}
 
 
+def test_pages_with_an_article_are_paired_and_aligned(spark):
+    def page(*body):
+        return "<nav>Menu</nav><article>" + "".join(f"<p>{x}</p>" for x in body) + "</article><footer>Foot</footer>"
+
+    rows = [(1, "http://h.x/a/1", page("one", "both")), (2, "http://h.x/a/2", page("two", "both")), (3, "http://h.x/b/1", "<p>open</p><div>Foot</div>"),
+            (4, "http://other.x/a/1", page("one", "both")), (5, None, page("one", "both"))]
+    got = {k[0]: (r.text, r.paired_page_id, r.n_lines, r.n_shared_lines, r.n_deleted_lines) for k, r in run(spark, rows).items()}
+    assert got == {1: ("one\nboth", 2, 4, 3, 0), 2: ("two\nboth", 1, 4, 3, 0), 3: ("open", 2, 2, 1, 1),
+                   4: ("one\nboth", None, 4, 0, 0), 5: ("one\nboth", None, 4, 0, 0)}
+
+
 def test_whole_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in H.main_text_report(H.extract_main_text(pages)).collect()}
