@@ -1,7 +1,7 @@
 """Trip anomalies: business rules plus an isolation-forest score.
 
 Rules are plain boolean columns.  The forest is grown from seeded draws of
-bounded size and scores every trip in one expression, both in the JVM; see
+bounded size and scores every trip in Arrow batches; see
 ``ridemart.operators.iforest``.  What follows a score
 (threshold, flags, mart, summary) is the same for any score column.
 """

@@ -1,4 +1,4 @@
-"""Isolation forest on Spark (N2-N5): trees grown level by level, rows scored in the JVM.
+"""Isolation forest on Spark (N2-N5): trees grown level by level, rows scored in Arrow batches.
 
 Isolation forests (Liu, Ting and Zhou, 2008) isolate points with random
 axis-aligned cuts; anomalies need fewer cuts.  Each tree sees only
@@ -16,8 +16,9 @@ place:
    threshold between its minimum and maximum follow from a hash of (tree,
    node) that any SQL engine prints alike.  The rows stay in their tree's
    partition, so a level moves nothing,
-4. the node table (at most ``trees * (2 * max_samples - 1)`` rows) becomes
-   literal arrays, and every row walks all trees in one expression.
+4. the node table (at most ``trees * (2 * max_samples - 1)`` rows) goes to the
+   tasks as arrays, and the rows of a batch walk each tree together, one level
+   after the other.
 
 Thresholds lie between a node's own values, so shifting and scaling a
 feature changes no tree: the raw features serve as well as z-scores (N2).
@@ -30,9 +31,11 @@ trees does not depend on their order.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +43,9 @@ from pyspark.sql.window import Window
 from ridemart.constants import EULER_GAMMA
 from ridemart.operators.sampling import HASH_SPAN, exact_quantile, hash_text, seeded_hash
 
+# Executors need numpy, pandas and Arrow, not this package on their path: its task functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Parts of a path length that is 1.
 PATH_UNIT = 1 << 44
 
@@ -162,39 +168,68 @@ def fit_forest(df: DataFrame, features: list[str], trees: int = 200, max_samples
     return out
 
 
-def _literal(values: np.ndarray, kind: str) -> Column:
-    """An array literal from one string, which the optimizer folds (an element at a time would be slow to build)."""
-    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast(f"array<{kind}>")
+#: Rows that walk a tree together; what a step reads and writes for so many stays in a core's cache.
+WALK_ROWS = 4096
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Doubles as integers of the same order, as Spark compares them: -0.0 equals 0.0, NaN is greater than all."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
+
+
+def _full_trees(nodes: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(feature and threshold of every node, path length of every end, levels) of the trees, all filled up to one depth.
+
+    Node k has children 2k+1 and 2k+2.  What lies below a leaf has the leaf's
+    length, so a walk that goes on below it ends with the right one.
+    """
+    tree = np.unique(nodes["tree_id"], return_inverse=True)[1]
+    node = nodes["node_id"].to_numpy().astype(np.int64)
+    depth = int(node.max() + 1).bit_length() - 1
+    feature = np.zeros((tree.max() + 1, (2 << depth) - 1), np.int64)
+    threshold, length = np.zeros(feature.shape, np.int64), np.zeros(feature.shape, np.int64)
+    leaf = nodes["feature"].to_numpy() < 0
+    feature[tree[~leaf], node[~leaf]] = nodes["feature"].to_numpy()[~leaf]
+    threshold[tree[~leaf], node[~leaf]] = _ordered(nodes["threshold"].to_numpy(np.float64)[~leaf])
+    length[tree[leaf], node[leaf]] = [0 if math.isnan(p) else round(p * PATH_UNIT) for p in nodes["leaf_path"].to_numpy()[leaf]]
+    ends = np.zeros(feature.shape, bool)
+    ends[tree[leaf], node[leaf]] = True
+    for k in range((1 << depth) - 1):
+        for child in (2 * k + 1, 2 * k + 2):
+            length[ends[:, k], child] = length[ends[:, k], k]
+            ends[ends[:, k], child] = True
+    return feature, threshold, length[:, (1 << depth) - 1:], depth
+
+
+def _walk(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, length: np.ndarray, depth: int) -> np.ndarray:
+    """Path lengths through all trees, added up, of rows given as one array of ``_ordered`` values a feature."""
+    n = x.shape[1]
+    total, row = np.zeros(n, np.int64), np.arange(n)
+    flat, at = np.ascontiguousarray(x).ravel(), feature * n
+    for t in range(len(feature)):
+        place = np.zeros(n, np.int64)
+        for _ in range(depth):
+            left = flat.take(at[t].take(place) + row) < threshold[t].take(place)
+            place = 2 * place + 2 - left
+        total += length[t].take(place - ((1 << depth) - 1))
+    return total
 
 
 def walked(features: list[str], nodes: pd.DataFrame) -> Column:
     """A row's path lengths through all trees, added up in units of ``1 / PATH_UNIT``."""
-    nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
-    tree, node = nodes["tree_id"].to_numpy(), nodes["node_id"].to_numpy().astype(np.int64)
-    leaf = nodes["feature"].to_numpy() < 0
-    # Places of the children: (tree, node) pairs are sorted, so a search finds them; a leaf stays where it is.
-    name = tree.astype(np.int64) << 32
-    own = np.arange(len(nodes))
-    left, right = (np.where(leaf, own, np.searchsorted(name | node, name | (2 * node + step))) for step in (1, 2))
-    units = [0 if math.isnan(p) else round(p * PATH_UNIT) for p in nodes["leaf_path"]]
-    tables = {"roots": _literal(own[node == 0], "int"), "feature": _literal(np.maximum(nodes["feature"].to_numpy(), 0), "int"),
-              "threshold": _literal(nodes["threshold"].fillna(0.0).to_numpy(), "double"), "left": _literal(left, "int"),
-              "right": _literal(right, "int"), "length": _literal(np.array(units), "long")}
-    levels = F.sequence(F.lit(1), F.lit(int(np.floor(np.log2(node.max() + 1)))))
-
-    def path(t: Column, root: Column) -> Column:
-        if node.max() == 0:
-            return F.get(t["length"], root)
-        return F.get(t["length"], F.aggregate(levels, root, lambda i, _: F.when(
-            F.get(t["x"], F.get(t["feature"], i)) < F.get(t["threshold"], i), F.get(t["left"], i)).otherwise(F.get(t["right"], i))))
-
-    # A one-element transform binds the row's features and the arrays once a row instead of once a step.
-    row = F.struct(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), *[c.alias(name) for name, c in tables.items()])
-    return F.get(F.transform(F.array(row), lambda t: F.aggregate(t["roots"], F.lit(0).cast("long"), lambda acc, root: acc + path(t, root))), F.lit(0))
+    feature, threshold, length, depth = _full_trees(nodes)
+
+    def add_up(*columns: pd.Series) -> pd.Series:
+        x = np.stack([_ordered(c.to_numpy(np.float64, na_value=np.nan)) for c in columns])
+        parts = [_walk(x[:, a:a + WALK_ROWS], feature, threshold, length, depth) for a in range(0, x.shape[1], WALK_ROWS)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+
+    return F.pandas_udf(add_up, "long")(*[F.col(c).cast("double") for c in features])
 
 
 def score(df: DataFrame, features: list[str], nodes: pd.DataFrame, score_col: str = "anomaly_score") -> DataFrame:
-    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row, in the JVM."""
+    """Add ``score_col`` = 2 ** (-E[h] / c(psi)) to every row."""
     c_psi = avg_path_length(nodes.attrs.get("max_samples", 256))
     if c_psi <= 0:
         return df.withColumn(score_col, F.lit(1.0))

@@ -197,3 +197,24 @@ def test_anomaly_outputs_equal_brute_force(inputs001, scratch, score):
     assert summ.anomaly_rate == np.floor(flags.mean() * 10000 + 0.5) / 10000
     top = scored[flags].sort_values(["anomaly_score", "trip_id"], ascending=[False, True]).head(50)
     assert [r.trip_id for r in anomaly.top_anomalies(out["mart"], 50).collect()] == top["trip_id"].tolist()
+
+
+def test_rows_walk_the_trees_in_batches(spark, monkeypatch):
+    """No lambda is interpreted a row, tree and level; odd values go the way Spark's own comparison sends them."""
+    import itertools
+
+    nan, inf = float("nan"), float("inf")
+    nodes = pd.DataFrame([(4, 0, 0, 0.0, 1, 2, nan), (4, 1, -1, nan, -1, -1, 1.5), (4, 2, 1, nan, 5, 6, nan), (4, 5, 0, inf, 11, 12, nan), (4, 6, -1, nan, -1, -1, 2.0),
+                          (4, 11, -1, nan, -1, -1, 3.0), (4, 12, -1, nan, -1, -1, 4.25), (9, 0, -1, nan, -1, -1, 0.125)],
+                         columns=["tree_id", "node_id", "feature", "threshold", "left_child", "right_child", "leaf_path"])
+    monkeypatch.setattr(iforest, "WALK_ROWS", 7)
+    odd = [None, nan, inf, -inf, 0.0, -0.0, -1.0, 5e-324]
+    rows = spark.createDataFrame(list(itertools.product(odd, odd)), "a double, b double")
+    scored = iforest.score(rows, ["a", "b"], nodes)
+    assert "lambda" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    below = F.when(F.col("a") < F.lit(inf), 3.0).otherwise(4.25)
+    path = F.when(F.col("a") < 0.0, 1.5).otherwise(F.when(F.col("b") < F.lit(nan), below).otherwise(2.0)) + 0.125
+    want = F.pow(F.lit(2.0), -path / 2.0 / F.lit(iforest.avg_path_length(256)))
+    got = scored.select("anomaly_score", want.alias("want")).collect()
+    assert len(got) == 64 and all(r.anomaly_score == r.want for r in got)
+    assert iforest.score(rows.limit(0), ["a", "b"], nodes).count() == 0
