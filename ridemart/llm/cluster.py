@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ridemart.session import ensure_checkpoint_dir
@@ -36,3 +38,11 @@ def per_worker(key: str, make: Callable[[], object]) -> object:
     if not hasattr(store, key):
         setattr(store, key, make())
     return getattr(store, key)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker that Spark keeps for later tasks would otherwise hold on to its largest task's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.llm import store
-from ridemart.llm.cluster import per_worker
+from ridemart.llm.cluster import per_worker, release_memory
 
 REQUEST_SCHEMA = "bucket int, chunk string, payload binary"
 #: Bucket of the rows that only announce a chunk.
@@ -128,7 +128,10 @@ def write_requests(docs: DataFrame, folder: str, requests: Callable, chunk_bytes
         for table in text_chunks(batches, chunk_bytes):
             saved = save(folder, table)
             chunk, what = saved if isinstance(saved, tuple) else (saved, table)
-            yield rows_batch([(CHUNK_ROW, chunk, b""), *requests(what, chunk)])
+            rows = rows_batch([(CHUNK_ROW, chunk, b""), *requests(what, chunk)])
+            del table, saved, what
+            release_memory()
+            yield rows
 
     path = f"{folder}/requests"
     (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(ask, REQUEST_SCHEMA)
@@ -148,6 +151,7 @@ def answer(requests: DataFrame, reduce: Callable, n_buckets: int, pass_chunks: b
         if table.column("bucket")[0].as_py() == CHUNK_ROW:
             return table
         payloads = reduce([split_parts(p.as_py()) for p in table.column("payload")])
+        release_memory()
         return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"), "payload": pa.array(payloads, pa.binary())})
 
     asked = requests if pass_chunks else requests.where(F.col("bucket") != CHUNK_ROW)
@@ -167,6 +171,9 @@ def finish(rows: DataFrame, chunks: int, last: Callable, schema: str, with_bucke
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
         pairs = [(b, p) for b, p in zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()) if p]
-        return last(table.column("chunk")[0].as_py(), pairs if with_buckets else [p for _, p in pairs])
+        out = last(table.column("chunk")[0].as_py(), pairs if with_buckets else [p for _, p in pairs])
+        del pairs
+        release_memory()
+        return out
 
     return rows.repartition(max(1, chunks), "chunk").groupBy("chunk").applyInArrow(one, schema)

@@ -53,6 +53,7 @@ class RecompressionConfig:
     rounds: int = 3
     chunk_bytes: int = 8 << 20
     slice_bytes: int = 2 << 20
+    slice_words: int = 1 << 17
     bucket_keys: int = 2_000_000
     #: Anchors that occur more than ``2**hot_class`` times do not gather their windows in one bucket.
     hot_class: int = 13
@@ -151,7 +152,8 @@ def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig,
                 classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, keys, anchors) of the windows that can repeat; equal windows have equal keys.
 
-    ``names(round, phrases, classes before it)`` gives the symbols of a round and their count classes.
+    ``names(round, phrases, classes before it)`` gives the symbols of a round and their count classes;
+    it is asked for every round, also when no window is left.
     """
     row = T.row_of(first)
     count = len(words) - cfg.window + 1
@@ -181,7 +183,7 @@ def window_keys(words: np.ndarray, first: np.ndarray, cfg: RecompressionConfig,
         possible[alive[~good]] = False
         low, high, alive = low[good], high[good], alive[good]
         if not len(alive):
-            break
+            continue
         best = _range_minima((classes.astype(np.uint64) << np.uint64(56)) | (T.mix(symbols) >> np.uint64(8)), low, high)
         hot = classes[best] > cfg.hot_class
         keys[alive] = np.where(hot, own[alive], T.mix(symbols[best]))
@@ -438,23 +440,50 @@ def _step(cfg: RecompressionConfig, folder: str, n_buckets: int, level: int):
         if level < cfg.rounds:
             rows = [(X.CHUNK_ROW, chunk, "\n".join(files).encode()), *_ask_phrases(symbols, row, level, chunk, n_buckets)]
         else:
-            del symbols, row
+            del symbols, row, index, names, classes
             rows = _ask_windows(cfg, folder, chunk, files, n_buckets)
         return pa.Table.from_batches([X.rows_batch(rows)])
     return step
 
 
+def _candidates(index: np.ndarray, first: np.ndarray, files: list[str], cfg: RecompressionConfig) -> tuple[np.ndarray, ...]:
+    """(words, and ``window_keys`` of them) of a chunk, found for a slice of its documents at a time.
+
+    A document's symbols do not depend on its neighbours, so a slice takes the
+    next of each round's answers.
+    """
+    named, classes = _read_names(files[0])
+    words, classes = named[index], classes[index]
+    rounds, at = [_read_names(f) for f in files[1:]], [0] * (len(files) - 1)
+
+    def names(round_: int, phrases: Phrases, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mine = slice(at[round_], at[round_] + int(phrases.asked.sum()))
+        at[round_] = mine.stop
+        return _named(phrases, before, *(c[mine] for c in rounds[round_]))
+
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for a, b in T.slices(first, cfg.slice_words):
+        low, high = int(first[a]), int(first[b])
+        starts, keys, anchors = window_keys(words[low:high], first[a:b + 1] - low, cfg, names, classes[low:high])
+        found.append((starts + low, keys, anchors % (high - low) + low + anchors // (high - low) * len(words)))
+    return words, *map(np.concatenate, zip(*found))
+
+
 def _ask_windows(cfg: RecompressionConfig, folder: str, chunk: str, files: list[str], n_buckets: int) -> list[tuple]:
     """A chunk's distinct candidate windows as segments of words, with their first document, by the anchor's name."""
     index, n, same = _state(chunk)
     own = _own_rows(n, same, cfg)
     first = np.concatenate([[0], np.cumsum(n[own])])
-    names, classes = _read_names(files[0])
-    words, classes = names[index], classes[index]
-    starts, keys, anchors = window_keys(words, first, cfg, lambda round_, phrases, before: _named(phrases, before, *_read_names(files[round_ + 1])), classes)
-    table = X.load_texts(chunk.split("|")[0])
-    owner = own[np.searchsorted(first, starts, "right") - 1] if len(starts) else starts
-    firsts, _ = distinct_windows(words, starts, cfg.window, (starts, _document_order(table)[owner]))
+    words, starts, keys, anchors = _candidates(index, first, files, cfg)
+    del index
+    table = X.load_texts(chunk.split("|")[0]).select(["doc_id"])
+    rank = _document_order(table)[own[np.searchsorted(first, starts, "right") - 1] if len(starts) else starts]
+    firsts = [np.zeros(0, np.int64)]
+    for part in range(4):  # equal windows have equal keys
+        mine = np.flatnonzero(keys >> np.uint64(62) == part)
+        firsts.append(mine[distinct_windows(words, starts[mine], cfg.window, (starts[mine], rank[mine]))[0]])
+    del rank
+    firsts = np.concatenate(firsts)
     gone = np.ones(len(starts), bool)
     gone[firsts] = False
     firsts.sort()

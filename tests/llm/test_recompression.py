@@ -135,3 +135,34 @@ def test_frequent_anchors_and_long_texts(make_docs):
 def test_other_columns_are_not_read(spark):
     docs = spark.createDataFrame([(1, "a b c", "x", "y"), (2, None, "x", None)], "doc_id long, text string, chunk string, kept_sha256 string")
     assert run(docs) == brute([(1, "a b c"), (2, None)], 20)
+
+
+def test_windows_of_a_chunk_are_searched_a_slice_at_a_time(make_docs, tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ridemart.llm import exchange as X
+
+    rows = cases()
+    assert run(make_docs(rows), slice_words=50) == brute(rows, 20)
+
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 40)}" for _ in range(200)) for _ in range(500)]
+    table, peaks, asked = pa.table({"doc_id": pa.array(range(500), pa.int64()), "text": pa.array(texts)}), [], []
+    for slice_words in (1 << 30, 2000):
+        cfg = R.RecompressionConfig(slice_words=slice_words)
+        chunk, what = R._keep_chunk(cfg)(f"file://{tmp_path}", table)
+        rows = list(R._ask_words(1)(what, chunk))
+        for level in range(cfg.rounds + 1):  # each request comes twice, so all have names
+            reduce = R._name_phrases if level else R._name_words
+            told = [(X.CHUNK_ROW, rows[0][2])] if level else []
+            pairs = told + [(k, reduce([X.split_parts(p)] * 2)[0]) for k, _, p in rows if k != X.CHUNK_ROW]
+            if level == cfg.rounds:
+                tracemalloc.start()
+            rows = [(r["bucket"], r["chunk"], r["payload"]) for r in R._step(cfg, f"file://{tmp_path}", 1, level)(chunk, pairs).to_pylist()]
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        asked.append([p for k, _, p in rows if k != X.CHUNK_ROW])
+    assert asked[0] == asked[1] and len(asked[0]) == 1
+    assert peaks[1] < 0.75 * peaks[0], peaks
