@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridemart.llm.cluster import release_memory
 from ridemart.llm.tokens import encoded
 from ridemart.session import ensure_checkpoint_dir
 
@@ -99,6 +100,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if k == 2 else pa.int64()) for k, v in enumerate(out)],
                                                  names=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
+        release_memory()
 
     return (docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
             .mapInArrow(encode, PIECE_SCHEMA))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.llm import text as T
+from ridemart.llm.cluster import release_memory
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -100,6 +101,7 @@ def count_grams(docs: DataFrame, trusted: np.ndarray, cfg: QualityConfig) -> np.
                     keep = np.repeat(good[a:b], np.diff(cut))
                     sizes = np.diff(cut)[good[a:b]]
                     _add_counts(counts[1], part[keep], np.concatenate([[0], np.cumsum(sizes)]), cfg)
+        release_memory()
         yield pa.RecordBatch.from_pydict({"counts": pa.array([counts.tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +208,7 @@ def score_documents(docs: DataFrame, ratios: np.ndarray, cfg: QualityConfig | No
             if batch.num_rows:
                 got = _measured(batch, ratios, cfg)
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {k: pa.array(got[k]) for k in names})
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, SCORE_SCHEMA)
 
@@ -218,5 +221,6 @@ def keep_documents(docs: DataFrame, ratios: np.ndarray, cfg: QualityConfig | Non
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(_measured(batch, ratios, cfg)["kept"]))
+        release_memory()
 
     return docs.mapInArrow(keep, docs.schema)
