@@ -132,6 +132,16 @@ class EliasFano:
         return at, equal
 
 
+#: Places asked at once; what a search reads and writes for so many stays in a core's cache.
+_BLOCK = 1 << 14
+
+
+def _in_blocks(ask, out: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    for a in range(0, len(out), _BLOCK):
+        out[a:a + _BLOCK] = ask(*(c[a:a + _BLOCK] for c in columns))
+    return out
+
+
 class Level:
     """Children of every context: pointers, relative ids, and two columns of codes."""
 
@@ -153,12 +163,17 @@ class Level:
     def find(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Place of each child id under its context, or -1; an unknown context is -1 too."""
         out = np.full(len(context), -1, np.int64)
-        if not self.keys.n:
-            return out
+        return _in_blocks(self._find, out, context, ids) if self.keys.n else out
+
+    def _find(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        out = np.full(len(context), -1, np.int64)
         known = np.flatnonzero(context >= 0)
-        owners, back = np.unique(context[known], return_inverse=True)
+        owners = context[known]
         if not len(owners):
             return out
+        head = np.ones(len(owners), bool)  # neighbours mostly ask under one context
+        head[1:] = owners[1:] != owners[:-1]
+        owners, back = owners[head], np.cumsum(head) - 1
         low, high = self.pointers.get(owners).astype(np.int64), self.pointers.get(owners + 1).astype(np.int64)
         base = np.where(low > 0, self.keys.get(np.maximum(low - 1, 0)), np.uint64(0))
         value = base[back] + ids[known].astype(np.uint64)
@@ -168,8 +183,10 @@ class Level:
 
     def code(self, column: int, at: np.ndarray) -> np.ndarray:
         """Codes at places; 0 (nothing) where the place is -1."""
-        got = read_bits(self.codes[column], self.code_bits, np.maximum(at, 0))
-        return np.where(at >= 0, got, np.uint64(0))
+        def ask(at: np.ndarray) -> np.ndarray:
+            return np.where(at >= 0, read_bits(self.codes[column], self.code_bits, np.maximum(at, 0)), np.uint64(0))
+
+        return _in_blocks(ask, np.zeros(len(at), np.uint64), at)
 
 
 def to_bytes(arrays: list[np.ndarray]) -> bytes:

@@ -46,3 +46,20 @@ def test_level_in_a_memory_map(tmp_path):
 def test_empty_level():
     level = E.Level(E.Level.build(np.zeros(0, np.int64), np.zeros(0, np.int64), 3, [np.zeros(0, np.int64)] * 2, 12), 12)
     assert level.find(np.array([0, 2, -1]), np.array([1, 2, 3])).tolist() == [-1, -1, -1]
+
+
+def test_places_are_asked_in_blocks(monkeypatch):
+    """Any number and order of questions is answered block by block, as all at once."""
+    rng = np.random.default_rng(4)
+    pairs = np.unique(rng.integers(0, 40, (300, 2)), axis=0)
+    level = E.Level(E.Level.build(pairs[:, 0], pairs[:, 1], 40, [np.arange(len(pairs), dtype=np.uint16)], 12), 12)
+    context, ids = rng.integers(-1, 40, 500), rng.integers(0, 45, 500)
+    places = {tuple(p): k for k, p in enumerate(pairs.tolist())}
+    want = [places.get((c, i), -1) for c, i in zip(context.tolist(), ids.tolist())]
+    asked, search = [], E.EliasFano.successor
+    monkeypatch.setattr(E.EliasFano, "successor", lambda self, low, high, values: asked.append(len(values)) or search(self, low, high, values))
+    for block in (7, 1 << 14):
+        monkeypatch.setattr(E, "_BLOCK", block)
+        assert level.find(context, ids).tolist() == want
+        assert level.code(0, np.array(want)).tolist() == [max(k, 0) for k in want]
+    assert max(asked[:-1]) <= 7 and asked[-1] > 400
