@@ -50,19 +50,30 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 #: The prime that spans are hashed by, and the bases of their two polynomials.
 _PRIME = np.uint64((1 << 31) - 1)
 _BLOCK = 1 << 14
+#: Powers are kept for this many places; further places are a multiple of it and one of these.
+_PAGE = 1 << 18
 _PRIME_BASES = (1_482_396_571, 737_215_909)
 _PRIME_CODES = [(mix(_BYTE_CODES + np.uint64(k)) % (_PRIME - np.uint64(1)) + np.uint64(1)) for k in (1, 2)]
 _LOWER_CODES = [np.concatenate([c[:65], c[97:123], c[91:]]) for c in _PRIME_CODES]
 
 
-def prime_powers(n: int, base: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo the prime, grown on demand and kept per worker."""
+def prime_powers(base: int) -> np.ndarray:
+    """base^0 .. base^(_PAGE-1) modulo the prime, kept per worker."""
     kept = per_worker("prime_powers", dict)
-    have = kept.get(base, np.ones(1, np.uint64))
-    while len(have) < max(n, 1 << 16):
-        have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME])
-    kept[base] = have
-    return have[:n]
+    if base not in kept:
+        have = np.ones(1, np.uint64)
+        while len(have) < _PAGE:
+            have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME])
+        kept[base] = have
+    return kept[base]
+
+
+def _page_powers(n: int, base: int) -> np.ndarray:
+    """The power of base at the first place of every page of ``n`` places."""
+    step, out = pow(base, _PAGE, int(_PRIME)), [1]
+    for _ in range((n - 1) // _PAGE):
+        out.append(out[-1] * step % int(_PRIME))
+    return np.array(out, np.uint64)
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +117,26 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     out = np.zeros(len(starts), np.uint64)
     sums = np.zeros(len(data) + 1, np.uint64)
     for base, codes in zip(_PRIME_BASES, _LOWER_CODES if lower else _PRIME_CODES):
-        steps = prime_powers(len(data), base)
+        steps, pages = prime_powers(base), _page_powers(len(data), base)
         for a in range(0, len(data), _BLOCK):  # blocks that stay in the processor's cache
-            terms = codes[data[a:a + _BLOCK]]
-            terms *= steps[a:a + _BLOCK]
+            if a % _PAGE == 0:
+                paged = codes * pages[a // _PAGE] % _PRIME
+            terms = paged[data[a:a + _BLOCK]]
+            terms *= steps[a % _PAGE:][:len(terms)]
             carry = terms >> np.uint64(31)
             terms &= _PRIME
             terms += carry  # below 2^32
             terms[0] += sums[a]
             np.cumsum(terms, out=sums[a + 1:a + 1 + len(terms)])
-        inverse = prime_powers(len(data) + 1, pow(base, -1, int(_PRIME)))
+        inverse = pow(base, -1, int(_PRIME))
         part = sums[ends]
         part -= sums[starts]
         part %= _PRIME
-        part *= inverse[starts]
+        part *= prime_powers(inverse)[starts & (_PAGE - 1)]
         part %= _PRIME
+        if len(data) > _PAGE:
+            part *= _page_powers(len(data) + 1, inverse)[starts // _PAGE]
+            part %= _PRIME
         out <<= np.uint64(31)
         out |= part
     return mix(out)

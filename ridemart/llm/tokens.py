@@ -66,15 +66,15 @@ def _letters(data: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Texts to ids; ``kept_pieces`` bounds the memory of the piece table."""
+    """Texts to ids; ``kept_pieces`` and ``kept_bytes`` (of their texts) bound the memory of the piece table."""
 
-    def __init__(self, path: str, kept_pieces: int = 1_500_000, joined: int = 2000):
+    def __init__(self, path: str, kept_pieces: int = 1_500_000, joined: int = 2000, kept_bytes: int = 24 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.kept_pieces, self.joined = kept_pieces, joined
+        self.kept_pieces, self.joined, self.kept_bytes = kept_pieces, joined, kept_bytes
         # Pieces may be encoded in one go, one per line, when a newline is one id of its own.
         newline = self._whole(["\n"])[0]
         self.newline = int(newline[0]) if len(newline) == 1 else None
@@ -82,11 +82,11 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
-        self.at = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.raw = np.zeros(0, np.uint8)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -145,7 +145,7 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         hashes = T.mix(T.span_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
         keys, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.kept_pieces:
+        if len(self.keys) + len(keys) > self.kept_pieces or len(self.raw) + int((ends - starts)[at].sum()) > self.kept_bytes:
             self._forget()
         place = np.searchsorted(self.keys, keys)
         fresh = np.ones(len(keys), bool)
@@ -206,7 +206,7 @@ def encoder(path: str) -> Encoder:
     return per_worker("encoder:" + path, lambda: Encoder(path))
 
 
-def encoded(column, path: str, slice_bytes: int = 4 << 20):
+def encoded(column, path: str, slice_bytes: int = 1 << 20):
     """Yield (first row, ids of its rows) over a text column, a slice at a time."""
     library = encoder(path)
     data, off = T.flat(column)

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from ridemart.llm import direct_codes as C
 from ridemart.llm import packing as P
 from ridemart.llm import text as T
-from ridemart.llm.tokens import Encoder, vocabulary
+from ridemart.llm.tokens import Encoder, encoded, vocabulary
 
 SF = "/root/testdata/sf0.001"
 EDGE = [None, "", " ", "\n", "  two", "a  b", "a\n\nb", " lead", "trail ", "trail\n", "x\n y", "tab\there", "nul\x00 x", "a\x1cb c", "é ü z",
@@ -54,6 +54,46 @@ def test_pieces_of_equal_hash_are_told_apart(direct, monkeypatch):
         assert got_ids(encoder, texts) == [direct(t) for t in texts]
 
 
+def test_span_hashes_do_not_depend_on_the_place_and_keep_small_tables():
+    from ridemart.llm.cluster import per_worker
+
+    rng = np.random.default_rng(3)
+    word = rng.integers(97, 123, 300_000).astype(np.uint8)
+    data = rng.integers(97, 123, 3_000_000).astype(np.uint8)
+    starts = np.array([0, 262_143, 700_000, 1_048_576, 2_699_990, 2_999_999, 3_000_000])
+    for size in (0, 1, 7, 300_000):
+        at = starts[starts + size <= len(data)]
+        for a in at.tolist():
+            data[a:a + size] = word[:size]
+            assert T.span_hashes(data, np.array([a]), np.array([a + size])) == T.span_hashes(word, np.array([0]), np.array([size]))
+    assert sum(v.nbytes for v in per_worker("prime_powers", dict).values()) <= 16 << 20
+
+
+def test_kept_pieces_are_bounded_by_their_bytes(direct):
+    encoder = Encoder(vocabulary(), kept_bytes=2000)
+    for k in range(40):
+        texts = [f"{k}x{i}" * 30 + " a" for i in range(10)]
+        assert got_ids(encoder, texts) == [direct(t) for t in texts]
+        assert len(encoder.raw) <= 2000
+
+
+def test_a_batch_is_encoded_in_memory_of_a_slice(direct):
+    import tracemalloc
+
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(words[(i * 7 + j * j) % 3000] for j in range(400)) for i in range(4000)]
+    column = pa.array(texts, pa.string())
+    first = [x for _, some in encoded(column.slice(0, 5), vocabulary()) for x in some]
+    assert [np.frombuffer(x, "<u4").tolist() for x in first] == [direct(t) for t in texts[:5]]
+    tracemalloc.start()
+    try:
+        rows = sum(len(some) for _, some in encoded(column, vocabulary()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 100 << 20
+
+
 @settings(max_examples=400, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="ab \n\té'1.Ü \x1c", max_size=30), max_size=6))
 def test_pieces_equal_the_library_on_any_text(texts):
